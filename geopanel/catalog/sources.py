@@ -15,7 +15,7 @@ from geopanel.sources.header_json import parse_documents, parse_lines, read_head
 def _rate_lines(spark, sf_dir):
     """Customers as the lines of an array of arrays, header first."""
     customer = table(spark, sf_dir, "customer")
-    header = spark.createDataFrame([('[["RATE","state","county"],',)], "value string")
+    header = spark.range(1).select(F.lit('[["RATE","state","county"],').alias("value"))
     rows = customer.select(F.concat(
         F.lit('["'), F.when(F.col("c_acctbal") < 0, "n/a")
         .otherwise(F.col("c_acctbal").cast("string")),

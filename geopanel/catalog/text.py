@@ -17,11 +17,13 @@ from geopanel.functions import (
     title_case,
 )
 
-# The same word rule without look-around, which the texts do not need.
-_TITLE_SQL = r"""array_to_string(list_transform(regexp_extract_all(lower(%s),
+# The same word rule without look-around: a mark between a digit and a letter does not
+# join them, so a control character is put behind it and taken out again.
+_TITLE_SQL = r"""replace(array_to_string(list_transform(regexp_extract_all(
+    regexp_replace(lower(%s), '(\p{N}[''’.])(\p{L})', '\1' || chr(1) || '\2', 'g'),
   '[\p{L}\p{M}\p{N}_]+(?:[''’.][\p{L}\p{M}\p{N}_]+)*|[^\p{L}\p{M}\p{N}_]+'),
   lambda t: CASE substring(t, 1, 1) WHEN 'ß' THEN 'Ss' ELSE upper(substring(t, 1, 1)) END
-    || substring(t, 2)), '')"""
+    || substring(t, 2)), ''), chr(1), '')"""
 
 
 @query("""SELECT o_orderkey, substring(o_orderpriority, 1, strpos(o_orderpriority, '-') - 1)

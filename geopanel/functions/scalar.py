@@ -23,12 +23,13 @@ WEEKDAYS = {"Sun": 1, "Mon": 2, "Tue": 3, "Wed": 4, "Thu": 5, "Fri": 6, "Sat": 7
 
 # One word: letters, marks, digits and underscores. An apostrophe or a point joins
 # two letters or two digits; a comma or semicolon joins two digits.
-_RUN = r"[\p{L}\p{M}\p{N}_]+"
+_RUN = r"[\p{L}\p{M}\p{N}_]++"
 _WORD = (
     rf"{_RUN}(?:(?<=[\p{{L}}\p{{M}}])['’.](?=\p{{L}}){_RUN}"
-    rf"|(?<=\p{{N}})['’.,;](?=\p{{N}}){_RUN})*"
+    rf"|(?<=\p{{N}})['’.,;](?=\p{{N}}){_RUN})*+"
 )
-_TITLE_TOKENS = rf"{_WORD}|[^\p{{L}}\p{{M}}\p{{N}}_]+"
+# A code point no text may contain, and the blank that initcap() looks for.
+_WORD_MARK = "\ufdd0 "
 
 
 def col(c: ColumnLike) -> Column:
@@ -122,18 +123,13 @@ def split_first(c: ColumnLike, separator: str) -> tuple[Column, Column]:
 
 
 def title_case(c: ColumnLike) -> Column:
-    """Lower-case the text, then capitalise each word, wherever the word starts."""
-
-    def capitalised(token: Column) -> Column:
-        # One letter may become two (sharp s); only the first of them is a capital.
-        first = F.upper(F.substring(token, 1, 1))
-        return F.concat(
-            F.substring(first, 1, 1), F.lower(F.substr(first, F.lit(2))),
-            F.substr(token, F.lit(2)),
-        )
-
-    tokens = F.regexp_extract_all(F.lower(col(c)), F.lit(_TITLE_TOKENS), F.lit(0))
-    return F.array_join(F.transform(tokens, capitalised), "")
+    """Lower-case the text, then capitalise each word, wherever the word starts.
+
+    ``initcap`` has the letter rules but knows only blanks as word breaks, so every
+    word gets a marked blank in front, which is taken out again.
+    """
+    marked = F.regexp_replace(col(c), _WORD, _WORD_MARK + "$0")
+    return F.replace(F.initcap(marked), F.lit(_WORD_MARK), F.lit(""))
 
 
 def on_weekday(c: ColumnLike, day: str) -> Column:

@@ -16,6 +16,7 @@ def build_session(app: str = "geopanel", **settings: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)

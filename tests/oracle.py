@@ -58,5 +58,5 @@ def compare(df, con, sql):
         problems.append(f"{len(actual)} rows != {len(expected)}")
     wrong = [(a, e) for a, e in zip(actual, expected) if a != e]
     if wrong:
-        problems.append(f"{len(wrong)} of {len(actual)} rows differ, first: {wrong[:2]}")
+        problems.append(f"{len(wrong)} of {len(actual)} rows differ, first: {str(wrong[0])[:600]}")
     return problems
