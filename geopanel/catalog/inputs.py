@@ -24,24 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def area_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part, 20 counts; one scan of four columns, one aggregation."""
-    early = F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz")
-    quantity = F.col("l_quantity")
+    early = f"l_shipdate < TIMESTAMP_NTZ '{CUT}'"
     counts = []
-    for source, rows in (("EST", early), ("CEN", ~early)):
+    for source, rows in (("EST", early), ("CEN", f"NOT {early}")):
+        quantity = {
+            "POP_TOT": rows,
+            **{f"{g}_TOT": f"{rows} AND l_linenumber = {i}" for i, g in enumerate(GROUPS, 1)},
+        }
         counts += [
-            F.sum(F.when(rows, quantity)).cast("bigint").alias(f"{source}_POP_TOT"),
-            *[
-                F.sum(F.when(rows & (F.col("l_linenumber") == i), quantity))
-                .cast("bigint").alias(f"{source}_{g}_TOT")
-                for i, g in enumerate(GROUPS, start=1)
-            ],
-            F.count(F.when(rows, 1)).alias(f"{source}_HU_TOT"),
-            F.coalesce(
-                F.sum(F.when(
-                    rows & (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
-                    quantity,
-                )), F.lit(0),
-            ).cast("bigint").alias(f"{source}_GQ_TOT"),
+            F.expr(f"bigint(sum(l_quantity) FILTER (WHERE {where}))").alias(f"{source}_{m}")
+            for m, where in quantity.items()
+        ]
+        returned = f"{rows} AND l_returnflag = 'R' AND l_linestatus = 'F'"
+        counts += [
+            F.expr(f"count_if({rows})").alias(f"{source}_HU_TOT"),
+            F.expr(f"bigint(coalesce(sum(l_quantity) FILTER (WHERE {returned}), 0))")
+            .alias(f"{source}_GQ_TOT"),
         ]
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("area")).agg(*counts)
 

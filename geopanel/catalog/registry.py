@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geopanel.functions import quoted
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,15 +19,11 @@ DIGITS = 6
 
 def presentable(df: DataFrame) -> DataFrame:
     """Doubles rounded to a fixed number of digits, dates as ISO text."""
-    columns = []
-    for field in df.schema:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, DIGITS)
-        elif isinstance(field.dataType, T.DateType):
-            c = c.cast("string")
-        columns.append(c.alias(field.name))
-    return df.select(*columns)
+    shown = {T.DoubleType: f"round({{}}, {DIGITS}) AS {{}}", T.DateType: "string({}) AS {}"}
+    return df.selectExpr(*[
+        shown.get(type(field.dataType), "{}").format(*[quoted(field.name)] * 2)
+        for field in df.schema
+    ])
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:

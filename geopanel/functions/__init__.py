@@ -18,16 +18,19 @@ from geopanel.functions.scalar import (
     on_weekday,
     pad_key,
     ratio,
+    quoted,
     remove_first,
     slice_text,
     split_first,
+    sql,
     sum_columns,
+    text,
     title_case,
 )
 
 __all__ = [
     "alias_code", "as_number", "cases", "finite_or", "half_even", "if_else",
-    "is_member", "number_key", "numeric_columns", "on_weekday", "pad_key", "ratio",
-    "remove_first", "single_value", "slice_text", "split_first", "strict_mean",
-    "strict_sd", "strict_sum", "sum_columns", "title_case",
+    "is_member", "number_key", "numeric_columns", "on_weekday", "pad_key", "quoted", "ratio",
+    "remove_first", "single_value", "slice_text", "split_first", "sql", "strict_mean",
+    "strict_sd", "strict_sum", "sum_columns", "text", "title_case",
 ]

@@ -36,6 +36,24 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql(template: str, **names: str) -> Column:
+    """An expression from SQL text with column names filled in.
+
+    The per-metric expressions are written this way: one call builds a whole
+    expression, where the method form costs a round trip per operator.
+    """
+    return F.expr(template.format(**{k: quoted(v) for k, v in names.items()}))
+
+
 def ratio(numerator: ColumnLike, denominator: ColumnLike, unbounded: bool = False) -> Column:
     """``numerator / denominator``; NULL when the denominator is 0.
 
@@ -79,11 +97,9 @@ def is_member(c: ColumnLike, values: Sequence[Any]) -> Column:
 
 
 def finite_or(c: ColumnLike, default: Any) -> Column:
-    """Replace NULL, NaN and +-Inf."""
+    """Replace NULL, NaN and +-Inf (NaN sorts above every number)."""
     x = col(c).cast("double")
-    inf = float("inf")
-    finite = x.isNotNull() & ~F.isnan(x) & (x != inf) & (x != -inf)
-    return F.when(finite, x).otherwise(F.lit(default).cast("double"))
+    return F.when(F.abs(x) < float("inf"), x).otherwise(F.lit(default).cast("double"))
 
 
 def as_number(c: ColumnLike) -> Column:

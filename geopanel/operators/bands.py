@@ -20,39 +20,40 @@ from geopanel.constants import (
     SIZE_CUTS,
     SLIGHT,
 )
-from geopanel.functions import (
-    cases,
-    finite_or,
-    if_else,
-    is_member,
-    ratio,
-    single_value,
-)
-from geopanel.functions.scalar import ColumnLike, col
+from geopanel.functions import is_member, quoted, single_value, sql, text
 
 SIZE_LABELS = tuple(label for _, label in SIZE_CUTS)
 RANGES = ("range_1_high", "range_1_low", "range_2_high", "range_2_low")
 
 
-def calibration_difference(actual: ColumnLike, estimate: ColumnLike, relative: bool) -> Column:
+def calibration_difference(actual: str, estimate: str, relative: bool) -> Column:
     """Relative or plain difference; missing and unbounded ones count as 0."""
-    diff = col(actual) - col(estimate)
-    return finite_or(ratio(diff, estimate) if relative else diff, 0)
+    diff = "CAST({a} - {e} AS DOUBLE)"
+    if relative:
+        diff = f"try_divide({diff}, CAST({{e}} AS DOUBLE))"
+    # NaN sorts above infinity, and a NULL comparison falls through to 0 as well.
+    return sql(
+        f"CASE WHEN abs({diff}) < double('Infinity') THEN {diff} ELSE 0D END",
+        a=actual, e=estimate,
+    )
 
 
 def scoring_difference(
-    actual: ColumnLike, estimate: ColumnLike, relative: bool, compat: bool = False
+    actual: str, estimate: str, relative: bool, compat: bool = False
 ) -> Column:
     """Difference to be graded; stays missing when an input is.
 
     The relative form divides by the estimate, as the bands do. ``compat`` divides
     by ``actual + estimate / 2`` instead.
     """
-    a, e = col(actual).cast("double"), col(estimate).cast("double")
-    diff = a - e
-    if not relative:
-        return diff
-    return if_else(diff == 0, F.lit(0.0), ratio(diff, a + e / 2 if compat else e))
+    diff = "CAST({a} AS DOUBLE) - CAST({e} AS DOUBLE)"
+    if relative:
+        base = "{a} + {e} / 2D" if compat else "{e}"
+        diff = (
+            f"CASE WHEN {{a}} = {{e}} THEN 0D WHEN {{a}} <> {{e}} "
+            f"THEN try_divide({diff}, CAST({base} AS DOUBLE)) END"
+        )
+    return sql(diff, a=actual, e=estimate)
 
 
 def _with_ranges(df: DataFrame) -> DataFrame:
@@ -120,14 +121,20 @@ def calibrate_long(
     return _with_ranges(grouped)
 
 
-def divergence_label(difference: Column, bands: Mapping[str, Column]) -> Column:
-    """Outside two sd, outside one sd, strictly inside; else NULL."""
-    d = difference
-    return cases([
-        ((d >= bands["range_2_high"]) | (d <= bands["range_2_low"]), HIGH),
-        ((d >= bands["range_1_high"]) | (d <= bands["range_1_low"]), SLIGHT),
-        ((d < bands["range_1_high"]) & (d > bands["range_1_low"]), CLOSE),
-    ])
+def divergence_label(difference: str, bands: str = "") -> Column:
+    """Outside two sd, outside one sd, strictly inside; else NULL.
+
+    ``bands`` is the struct column holding the ranges, or empty when they are
+    columns of their own.
+    """
+    prefix = f"{quoted(bands)}." if bands else ""
+    high1, low1, high2, low2 = (prefix + r for r in RANGES)
+    return sql(
+        f"CASE WHEN {{d}} >= {high2} OR {{d}} <= {low2} THEN {text(HIGH)} "
+        f"WHEN {{d}} >= {high1} OR {{d}} <= {low1} THEN {text(SLIGHT)} "
+        f"WHEN {{d}} < {high1} AND {{d}} > {low1} THEN {text(CLOSE)} END",
+        d=difference,
+    )
 
 
 def bands_by_size(
@@ -160,17 +167,18 @@ def score_wide(
     """
     metrics = [*relative, *absolute]
     by_size = F.broadcast(bands_by_size(bands, metrics, size, sizes))
-    joined = df.join(by_size, size, "left")
-    labels = {}
-    for m in metrics:
-        diff = scoring_difference(
+    joined = df.withColumns({
+        f"__d_{m}": scoring_difference(
             f"{actual}{m}", f"{estimate}{m}", m in set(relative), compat
         )
-        band = {r: F.col(f"__band_{m}").getField(r) for r in RANGES}
-        labels[names.get(m, f"{m}_MEASURE")] = divergence_label(diff, band)
-    order = [n for m, n in names.items() if m in metrics]
-    order += [n for n in labels if n not in order]
-    return joined.select(*df.columns, *[labels[n].alias(n) for n in order])
+        for m in metrics
+    }).join(by_size, size, "left")
+    ordered = [m for m in names if m in metrics]
+    ordered += [m for m in metrics if m not in names]
+    return joined.select(*df.columns, *[
+        divergence_label(f"__d_{m}", f"__band_{m}").alias(names.get(m, f"{m}_MEASURE"))
+        for m in ordered
+    ])
 
 
 def score_long(
@@ -196,8 +204,9 @@ def score_long(
     joined = df.withColumn("difference", diff).join(
         F.broadcast(small), ["variable", size], "left"
     )
-    grade = divergence_label(F.col("difference"), {r: F.col(r) for r in RANGES})
-    return joined.select(*df.columns, "difference", grade.alias(label))
+    return joined.select(
+        *df.columns, "difference", divergence_label("difference").alias(label)
+    )
 
 
 def unmatched_bands(bands: DataFrame, df: DataFrame, size: str = "SIZE_CLASS") -> DataFrame:

@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geopanel.constants import CATEGORY_ITEMS, LAST_ITEM
-from geopanel.functions import half_even, if_else, number_key, slice_text, sum_columns
+from geopanel.functions import (
+    half_even,
+    if_else,
+    number_key,
+    slice_text,
+    sql,
+    sum_columns,
+    text,
+)
 from geopanel.functions.scalar import ColumnLike
 
 
@@ -44,14 +52,14 @@ def category_columns(
     """
     out = []
     for name, codes in groups.items():
-        member = F.col(code).isin(list(codes))
-        present = F.count(F.when(member, F.col(value)))
-        rows = F.count(F.when(member, 1))
-        out.append(
-            F.when(rows > len(codes), F.raise_error(F.lit(f"repeated code in group {name}")))
-            .when(present == len(codes), F.sum(F.when(member, F.col(value))))
-            .alias(name)
-        )
+        member = f"{{c}} IN ({', '.join(map(text, codes))})"
+        out.append(sql(
+            f"CASE WHEN count_if({member}) > {len(codes)} "
+            f"THEN raise_error({text(f'a code of group {name} is repeated')}) "
+            f"WHEN count({{v}}) FILTER (WHERE {member}) = {len(codes)} "
+            f"THEN sum({{v}}) FILTER (WHERE {member}) END",
+            c=code, v=value,
+        ).alias(name))
     return out
 
 

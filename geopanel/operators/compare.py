@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geopanel.constants import CLOSE, HIGH, MONTHS_TO_APRIL, SIZE_CUTS, SLIGHT
-from geopanel.functions import cases, half_even, if_else, ratio
+from geopanel.functions import cases, half_even, ratio, sql
 from geopanel.functions.scalar import ColumnLike, col
 
 
@@ -20,25 +20,32 @@ def interpolate(
     return half_even(p + (f - p) / F.lit(12) * F.lit(months)).cast("bigint")
 
 
+def quotient(numerator: str, denominator: str) -> Column:
+    """``ratio`` of two named columns."""
+    return sql("try_divide(CAST({n} AS DOUBLE), CAST({d} AS DOUBLE))",
+               n=numerator, d=denominator)
+
+
 def share_columns(
     prefix: str, groups: Sequence[str], total: str, suffix: str = "_TOT", out: str = "_PROP"
 ) -> dict[str, Column]:
     """``<prefix><group>_PROP`` = group total over the overall total."""
-    return {f"{prefix}{g}{out}": ratio(f"{prefix}{g}{suffix}", total) for g in groups}
+    return {f"{prefix}{g}{out}": quotient(f"{prefix}{g}{suffix}", total) for g in groups}
 
 
 def proportions(df: DataFrame, parts: Mapping[str, str], total: str) -> DataFrame:
     """Add one share column per part: ``{new column: part column}`` over ``total``."""
-    return df.withColumns({name: ratio(part, total) for name, part in parts.items()})
+    return df.withColumns({name: quotient(part, total) for name, part in parts.items()})
 
 
-def household(population: ColumnLike, group_quarters: ColumnLike) -> Column:
-    return col(population) - col(group_quarters)
+def household(population: str, group_quarters: str) -> Column:
+    return sql("{p} - {g}", p=population, g=group_quarters)
 
 
-def per_unit(population: ColumnLike, group_quarters: ColumnLike, units: ColumnLike) -> Column:
+def per_unit(population: str, group_quarters: str, units: str) -> Column:
     """Household population per housing unit."""
-    return ratio(household(population, group_quarters), units)
+    return sql("try_divide(CAST({p} - {g} AS DOUBLE), CAST({u} AS DOUBLE))",
+               p=population, g=group_quarters, u=units)
 
 
 def size_class(
@@ -52,24 +59,28 @@ def size_class(
     return cases(branches)
 
 
-def raw_difference(actual: ColumnLike, estimate: ColumnLike) -> Column:
-    return col(actual) - col(estimate)
+def raw_difference(actual: str, estimate: str) -> Column:
+    return sql("{a} - {e}", a=actual, e=estimate)
 
 
 def share_difference(
-    actual: ColumnLike, estimate: ColumnLike, zero_if_actual_zero: bool = False,
-    unbounded: bool = False,
+    actual: str, estimate: str, zero_if_actual_zero: bool = False, unbounded: bool = False
 ) -> Column:
     """Difference over the estimate; 0 when there is no difference.
 
     ``zero_if_actual_zero`` also gives 0 where the actual count is 0. A difference
     against an estimate of 0 is NULL, or infinite with ``unbounded``.
     """
-    diff = raw_difference(actual, estimate)
-    settled = diff == 0
-    if zero_if_actual_zero:
-        settled = settled | (col(actual) == 0)
-    return if_else(settled, F.lit(0.0), ratio(diff, estimate, unbounded))
+    settled = "{a} - {e} = 0" + (" OR {a} = 0" if zero_if_actual_zero else "")
+    infinite = (
+        "WHEN {e} = 0 AND {a} > 0 THEN double('Infinity') "
+        "WHEN {e} = 0 AND {a} < 0 THEN double('-Infinity') "
+    ) if unbounded else ""
+    return sql(
+        f"CASE WHEN {settled} THEN 0D {infinite}WHEN NOT ({settled}) "
+        "THEN try_divide(CAST({a} - {e} AS DOUBLE), CAST({e} AS DOUBLE)) END",
+        a=actual, e=estimate,
+    )
 
 
 def compare_sources(

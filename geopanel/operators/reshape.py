@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopanel.functions import single_value, split_first
+from geopanel.functions import split_first, sql, text
 
 
 def to_long(
@@ -25,7 +25,13 @@ def code_columns(
     """Aggregates that spread a code/value pair into one column per listed code."""
     mapping = names if isinstance(names, Mapping) else {n: n for n in names}
     return [
-        single_value(value, F.col(code) == c).alias(alias) for c, alias in mapping.items()
+        sql(
+            f"CASE WHEN count_if({{c}} = {text(c)}) > 1 "
+            f"THEN raise_error({text(f'code {c} is repeated within a row')}) "
+            f"ELSE max({{v}}) FILTER (WHERE {{c}} = {text(c)}) END",
+            c=code, v=value,
+        ).alias(alias)
+        for c, alias in mapping.items()
     ]
 
 

@@ -17,6 +17,8 @@ def build_session(app: str = "geopanel", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Otherwise every column call records its call site.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)
