@@ -44,6 +44,30 @@ def left_lookup(
     return df.join(right, condition, "left").drop(*[f"__k_{r}" for r in pairs.values()])
 
 
+def combine_sources(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Full outer join of any number of frames that are unique per key.
+
+    Stack the frames and aggregate by key: one exchange however many frames there
+    are, nothing to sort, and NULL keys fall together. A key that occurs twice in a
+    frame is an error. Apart from the keys, every column belongs to one frame.
+    """
+    stacked = None
+    for number, frame in enumerate(frames):
+        part = frame.withColumn("__source", F.lit(number))
+        stacked = part if stacked is None else stacked.unionByName(part, True)
+    values = [c for frame in frames for c in frame.columns if c not in keys]
+    once = " AND ".join(f"count_if(__source = {n}) < 2" for n in range(len(frames)))
+    return (
+        stacked.groupBy(*keys)
+        .agg(
+            F.expr(f"assert_true({once}, 'a key occurs twice in one source')").alias("__once"),
+            *[F.max(c).alias(c) for c in values],
+        )
+        .filter(F.col("__once").isNull())
+        .select(*keys, *values)
+    )
+
+
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Put the columns of a one-row frame beside every row.
 
@@ -79,18 +103,24 @@ def attach_context(
     ``keep_unmatched`` adds context rows whose period no row has, which makes the
     result that of a full outer join but leaves the large side splittable.
     """
-    if periods is not None:
-        context, small = period_rows(context, period, periods)
-        right = F.broadcast(context) if small else context
-    else:
-        right = context
-    out = df.join(right, period, "left")
-    if keep_unmatched:
-        seen = df.select(period).distinct()
-        out = out.unionByName(
-            context.join(seen, period, "left_anti"), allowMissingColumns=True
-        )
-    return out
+    if periods is None:
+        if keep_unmatched:
+            raise ValueError("keep_unmatched needs the list of periods")
+        return df.join(context, period, "left")
+    context, small = period_rows(context, period, periods)
+    out = df.join(F.broadcast(context) if small else context, period, "left")
+    if not keep_unmatched:
+        return out
+    values = [c for c in context.columns if c != period]
+    marks = df.select(period, F.lit(1).alias("__seen"))
+    unmatched = (
+        context.withColumn("__seen", F.lit(0)).unionByName(marks, allowMissingColumns=True)
+        .groupBy(period)
+        .agg(F.max("__seen").alias("__seen"), *[F.max(c).alias(c) for c in values])
+        .filter("__seen = 0")
+        .drop("__seen")
+    )
+    return out.unionByName(unmatched, allowMissingColumns=True)
 
 
 def attach_group_values(

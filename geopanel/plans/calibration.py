@@ -25,7 +25,7 @@ from geopanel.operators.compare import (
 )
 from geopanel.operators.crosswalk import Crosswalk, Members, merge_keys, replicate_keys
 from geopanel.operators.enrich import outside_state
-from geopanel.operators.joins import full_join
+from geopanel.operators.joins import combine_sources
 from geopanel.operators.reshape import to_wide
 from geopanel.plans.estimates import group_totals
 
@@ -61,7 +61,7 @@ def estimates_2010(
         F.concat("STATE", "COUNTY").alias("GEOID"),
         interpolate("GQESTIMATES2009", "GQESTIMATES2010").alias("GQ_TOT"),
     )
-    return _derived(full_join(full_join(people, units, ["GEOID"]), quarters, ["GEOID"]))
+    return _derived(combine_sources([people, units, quarters], ["GEOID"]))
 
 
 def housing_2010(long: DataFrame, codes=None) -> DataFrame:
@@ -82,7 +82,7 @@ def counts_2010(
         "GEOID", F.col("value").alias("GQ_TOT")
     )
     units = housing_2010(housing).drop("HU_VAC")
-    joined = full_join(full_join(people, gq, ["GEOID"]), units, ["GEOID"])
+    joined = combine_sources([people, gq, units], ["GEOID"])
     return _derived(joined).withColumn("SIZE_CLASS", size_class("POP_TOT"))
 
 
@@ -100,8 +100,8 @@ def cutpoints(
     cen = counts_2010(characteristics_cen, quarters_cen, housing_cen)
     if size_cuts is not None:
         cen = cen.withColumn("SIZE_CLASS", size_class("POP_TOT", size_cuts))
-    panel = full_join(
-        with_prefix(est, "EST_", _IDS), with_prefix(cen, "CEN_", [*_IDS, "SIZE_CLASS"]), _IDS
+    panel = combine_sources(
+        [with_prefix(est, "EST_", _IDS), with_prefix(cen, "CEN_", [*_IDS, "SIZE_CLASS"])], _IDS
     )
     return calibrate_bands(panel).select(*CUTPOINT_COLUMNS)
 

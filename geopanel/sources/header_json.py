@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +31,25 @@ def parse_lines(
     row = F.from_json(inner, "array<string>")
     content = lines.filter((text != "") & (text != "[") & (text != "]"))
     if header is None:
-        names = content.filter(opened).select(row.alias("h")).distinct().scalar()
+        found = content.filter(opened).select(row.alias("h")).distinct()
+        names = found.select(_with_columns(F.col("h"), fields.values())).scalar()
     else:
         names = F.array(*[F.lit(h) for h in header])
-    rows = content.filter(~opened).select(row.alias("row"), F.col(value).alias("__line"))
-    checked = F.when(
-        F.coalesce(F.size("row") == F.size(names), F.lit(False)), F.col("row")
-    ).otherwise(F.raise_error(F.concat(F.lit("not a data row: "), F.col("__line"))))
-    return rows.select(checked.alias("row")).select(
-        *[_field(F.col("row"), names, source).alias(out) for out, source in fields.items()]
+    broken = F.raise_error(F.concat(F.lit("not a data row: "), F.col(value)))
+    # A row of another length than the header fails in map_from_arrays.
+    rows = content.filter(~opened).select(
+        F.map_from_arrays(names, F.coalesce(row, broken.cast("array<string>"))).alias("row")
+    )
+    return rows.select(
+        *[F.element_at("row", F.lit(source)).alias(out) for out, source in fields.items()]
+    )
+
+
+def _with_columns(header: Column, wanted: Iterable[str]) -> Column:
+    """The header itself, or an error when a wanted name is not in it."""
+    missing = F.array_except(F.array(*[F.lit(w) for w in wanted]), header)
+    return F.when(F.size(missing) == 0, header).otherwise(
+        F.raise_error(F.concat(F.lit("not in the header: "), F.array_join(missing, ", ")))
     )
 
 
@@ -48,20 +58,13 @@ def parse_documents(
 ) -> DataFrame:
     """A whole document per row: many small answers, each with its own header."""
     parsed = documents.select(F.from_json(F.col(value), _ROWS).alias("rows"))
-    header = F.element_at("rows", 1).alias("header")
-    rows = parsed.select(header, F.explode(F.slice("rows", 2, F.greatest(
-        F.size("rows") - 1, F.lit(0)))).alias("row"))
-    return rows.select(
-        *[_field(F.col("row"), F.col("header"), s).alias(out) for out, s in fields.items()]
-    )
-
-
-def _field(row: Column, header: Column, name: str) -> Column:
-    position = F.array_position(header, name)
-    found = F.when(position > 0, position.cast("int")).otherwise(
-        F.raise_error(F.lit(f"no column {name} in the header")).cast("int")
-    )
-    return F.element_at(row, found)
+    header = _with_columns(F.element_at("rows", 1), fields.values()).alias("header")
+    data = F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))
+    rows = parsed.select(header, F.explode(data).alias("row"))
+    return rows.select(*[
+        F.element_at("row", F.array_position("header", source).cast("int")).alias(out)
+        for out, source in fields.items()
+    ])
 
 
 def read_header_json(
