@@ -22,6 +22,7 @@ from geopanel.catalog.inputs import (
 )
 from geopanel.catalog.registry import query
 from geopanel.constants import (
+    AREA_NOTES,
     BROADBAND_CODES,
     CATEGORY_ITEMS,
     CLOSE,
@@ -390,6 +391,11 @@ def _main_inputs(spark, sf_dir):
     return counts, known, bands, _units_2010(spark, sf_dir, "H003001", "H003003")
 
 
+_NOTES_SQL = "CASE GEOID " + " ".join(
+    f"WHEN '{key}' THEN '{note}'" for key, note in AREA_NOTES.items()
+) + " ELSE '' END"
+
+
 def _main_sql(compat: bool) -> str:
     def over(n, d):
         return f"{n} / nullif({d}, 0)"
@@ -463,7 +469,8 @@ def _main_sql(compat: bool) -> str:
     EST_POP_TOT - EST_GQ_TOT AS EST_HH_TOT,
     (CEN_POP_TOT - CEN_GQ_TOT) / nullif(CEN_HU_TOT, 0) AS CEN_PPH_TOT,
     (EST_POP_TOT - EST_GQ_TOT) / nullif(EST_HU_TOT, 0) AS EST_PPH_TOT,
-    CEN_HU_VACANT_TOT / nullif(CEN_HU_TOT, 0) * 100 AS PCT_VACANT_HU_2020, '' AS NOTES,
+    CEN_HU_VACANT_TOT / nullif(CEN_HU_TOT, 0) * 100 AS PCT_VACANT_HU_2020,
+    {_NOTES_SQL} AS NOTES,
     CASE WHEN CEN_POP_TOT >= 450 THEN 'Large' WHEN CEN_POP_TOT >= 350 THEN 'Medium'
       WHEN CEN_POP_TOT IS NOT NULL THEN 'Small' END AS SIZE_CLASS
     FROM with_parents LEFT JOIN known USING (GEOID)),

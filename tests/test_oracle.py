@@ -1,0 +1,33 @@
+"""Every registered query against its SQL twin."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as driver
+from tests.oracle import compare, connect
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_agrees_with_sql(spark, con, name):
+    frame = driver.queries()[name](spark, SF_DIR)
+    assert compare(frame, con, driver.oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    frame = driver.entry(spark)
+    assert frame.columns[:2] == ["area", "SIZE_CLASS"]
+    assert frame.count() > 0
