@@ -106,12 +106,14 @@ def attach_context(
     if periods is None:
         if keep_unmatched:
             raise ValueError("keep_unmatched needs the list of periods")
-        return df.join(context, period, "left")
+        return left_join(df, context, [period])
     context, small = period_rows(context, period, periods)
-    out = df.join(F.broadcast(context) if small else context, period, "left")
+    values = [c for c in context.columns if c != period]
+    out = df.join(F.broadcast(context) if small else context, period, "left").select(
+        *df.columns, *values
+    )
     if not keep_unmatched:
         return out
-    values = [c for c in context.columns if c != period]
     marks = df.select(period, F.lit(1).alias("__seen"))
     unmatched = (
         context.withColumn("__seen", F.lit(0)).unionByName(marks, allowMissingColumns=True)
@@ -123,6 +125,18 @@ def attach_context(
     return out.unionByName(unmatched, allowMissingColumns=True)
 
 
+def left_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which NULL keys match NULL keys.
+
+    Also the form to use when ``other`` was aggregated by the same keys: a plain
+    equality would reuse that partitioning and leave adaptive execution without a
+    shuffle of its own to split a hot key in.
+    """
+    right = other.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    condition = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    return df.join(right, condition, "left").drop(*[f"__k_{k}" for k in keys])
+
+
 def attach_group_values(
     df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]
 ) -> DataFrame:
@@ -131,5 +145,4 @@ def attach_group_values(
     Aggregate first, then join back: a window would pull each whole group into one
     task, while here a hot group is pre-aggregated and its join partition split.
     """
-    totals = df.groupBy(*keys).agg(*aggregates)
-    return df.join(totals, list(keys), "left")
+    return left_join(df, df.groupBy(*keys).agg(*aggregates), keys)

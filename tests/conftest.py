@@ -10,7 +10,8 @@ from geopanel.session import build_session
 def spark(tmp_path_factory):
     session = build_session("tests", **{
         "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4",
-        "spark.default.parallelism": "4",
+        "spark.default.parallelism": "4", "spark.sql.maxMetadataStringLength": "10000",
+        "spark.sql.debug.maxToStringFields": "1000",
     })
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):

@@ -105,11 +105,14 @@ def test_attach_one_row(spark, rows):
 def test_attach_context(spark, rows):
     df = spark.createDataFrame([("a", 2010), ("b", 2020), ("c", 2030)], "k string, year int")
     us = spark.createDataFrame([(2010, 1.0), (2020, 2.0), (2040, 4.0)], "year int, us double")
-    left = [(2010, "a", 1.0), (2020, "b", 2.0), (2030, "c", None)]
+    left = [("a", 2010, 1.0), ("b", 2020, 2.0), ("c", 2030, None)]
     assert rows(J.attach_context(df, us, "year")) == left
     assert rows(J.attach_context(df, us, "year", periods=[2010, 2020, 2030])) == left
     full = J.attach_context(df, us, "year", periods=[2010, 2020, 2040], keep_unmatched=True)
-    assert rows(full) == [*left, (2040, None, 4.0)]
+    assert rows(full) == [*left, (None, 2040, 4.0)]
+    nulls = spark.createDataFrame([("a", None)], "k string, year int")
+    unknown = spark.createDataFrame([(None, 7.0)], "year int, us double")
+    assert rows(J.attach_context(nulls, unknown, "year")) == [("a", None, 7.0)]
     with pytest.raises(ValueError):
         J.attach_context(df, us, "year", keep_unmatched=True)
 
