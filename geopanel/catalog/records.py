@@ -28,7 +28,8 @@ from geopanel.sources.coded import select_codes
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey AS part,
-    CAST(l_quantity AS BIGINT) AS qty, l_shipdate AS shipped, 2020 AS vintage FROM lineitem
+    CAST(l_quantity AS BIGINT) AS qty, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped,
+    2020 AS vintage FROM lineitem
   WHERE l_linestatus = 'F' AND l_returnflag IN ('A', 'R') AND l_linenumber <> 7
     AND NOT starts_with(CAST(l_partkey AS VARCHAR), '72')
     AND l_shipdate >= TIMESTAMP '1997-01-02' AND l_shipdate < TIMESTAMP '1998-01-01'""")
@@ -43,7 +44,7 @@ def record_select(spark, sf_dir):
     ).withColumn("key", F.col("l_partkey").cast("string")).filter(outside_state("key"))
     return kept.select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"),
-        F.col("l_quantity").cast("bigint").alias("qty"), F.col("l_shipdate").alias("shipped"),
+        F.col("l_quantity").cast("bigint").alias("qty"), F.to_date("l_shipdate").alias("shipped"),
         F.lit(2020).alias("vintage"),
     )
 
