@@ -9,7 +9,7 @@ from geopanel.catalog.registry import query
 from geopanel.functions import as_number
 from geopanel.session import shared_folder
 from geopanel.sources.delimited import read_csv, read_tsv, write_csv
-from geopanel.sources.header_json import parse_documents, parse_lines, read_header_json
+from geopanel.sources.header_json import parse_documents, parse_rows, read_header_json
 
 
 def _rate_lines(spark, sf_dir):
@@ -33,7 +33,7 @@ _RATES = """SELECT CAST(c_custkey AS VARCHAR) AS county, CAST(c_nationkey AS VAR
 @query(_RATES)
 def json_header_rows(spark, sf_dir):
     """One array per line; columns found by the names in the header line."""
-    parsed = parse_lines(_rate_lines(spark, sf_dir), _FIELDS)
+    parsed = parse_rows(_rate_lines(spark, sf_dir), _FIELDS)
     return parsed.withColumn("rate", as_number("rate"))
 
 

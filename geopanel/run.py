@@ -126,7 +126,7 @@ def read_input(
 
 def build(
     spark: SparkSession, name: str, paths: dict[str, str], compat: bool = False,
-    layout: str = "lines", encoding: str | None = None,
+    layout: str = "rows", encoding: str | None = None,
 ) -> DataFrame:
     """The table as a frame; ``paths`` holds one path per input."""
     table = TABLES[name]
@@ -151,7 +151,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--format", choices=["csv", "parquet"], default="csv")
         command.add_argument("--mode", default="errorifexists")
         command.add_argument("--encoding", help="of the CSV inputs")
-        command.add_argument("--json-layout", choices=["lines", "documents"], default="lines")
+        command.add_argument("--json-layout", choices=["rows", "documents"], default="rows")
         if table.has_compat:
             command.add_argument("--compat", action="store_true",
                                  help="reproduce the scripted behaviour quirk by quirk")

@@ -11,34 +11,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROWS = "array<array<string>>"
+# Values and separators of one inner array: no bracket outside of quotes.
+_ONE_ROW = r'^(?:[^"\[\]]++|"(?:[^"\\]++|\\.)*+")*+$'
 
 
-def parse_lines(
-    lines: DataFrame, fields: Mapping[str, str], value: str = "value",
+def parse_rows(
+    records: DataFrame, fields: Mapping[str, str], value: str = "value",
     header: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One inner array per line, as the service lays its answers out.
+    """One inner array per record, brackets and separators still around it.
 
-    Lines are independent, so a large file splits over tasks. The header is the line
-    that opens the outer array; all files of one call must agree on it (a second
-    distinct header is an error). Naming ``header`` saves the extra pass that looks
-    it up. ``fields`` maps output column -> name in the header. A line that is not
-    an array of that many texts is an error.
+    Records are independent, so a large file splits over tasks. The header is the
+    record that opens the outer array; all files of one call must agree on it (a
+    second distinct header is an error). Naming ``header`` saves the extra pass that
+    looks it up. ``fields`` maps output column -> name in the header. A record that is
+    not exactly one array of that many values is an error.
     """
-    text = F.trim(F.col(value))
-    opened = text.startswith("[[")
-    inner = F.regexp_replace(F.regexp_replace(text, r"^\[\s*\[", "["), r"\]\s*\]?\s*,?$", "]")
-    row = F.from_json(inner, "array<string>")
-    content = lines.filter((text != "") & (text != "[") & (text != "]"))
+    inner = F.regexp_replace(F.col(value), r"^[\s\[]+|[\s\],]+$", "")
+    # The parser stops behind the first array, so a record must hold nothing else.
+    parsed = F.from_json(F.concat(F.lit("["), inner, F.lit("]")), "array<string>")
+    broken = F.raise_error(F.concat(F.lit("not a single row: "), F.col(value)))
+    row = F.coalesce(F.when(inner.rlike(_ONE_ROW), parsed), broken.cast("array<string>"))
+    opened = F.col(value).rlike(r"^\s*\[\s*\[")
+    content = records.filter(inner != "")
     if header is None:
         found = content.filter(opened).select(row.alias("h")).distinct()
         names = found.select(_with_columns(F.col("h"), fields.values())).scalar()
     else:
         names = F.array(*[F.lit(h) for h in header])
-    broken = F.raise_error(F.concat(F.lit("not a data row: "), F.col(value)))
     # A row of another length than the header fails in map_from_arrays.
     rows = content.filter(~opened).select(
-        F.map_from_arrays(names, F.coalesce(row, broken.cast("array<string>"))).alias("row")
+        F.map_from_arrays(names, row).alias("row")
     )
     return rows.select(
         *[F.element_at("row", F.lit(source)).alias(out) for out, source in fields.items()]
@@ -68,10 +71,16 @@ def parse_documents(
 
 
 def read_header_json(
-    spark: SparkSession, path: str, fields: Mapping[str, str], layout: str = "lines",
+    spark: SparkSession, path: str, fields: Mapping[str, str], layout: str = "rows",
     header: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read such files. ``layout="documents"`` is for files without line breaks."""
+    """Read such files, with or without line breaks.
+
+    The reader cuts the text at every ``],``, so files of any size and either layout
+    split over tasks; a cut inside a quoted value, or a missed one (blanks before the
+    comma), is an error. ``layout="documents"`` reads many small files that each have a header of
+    their own, one file per row.
+    """
     if layout == "documents":
         return parse_documents(spark.read.text(path, wholetext=True), fields)
-    return parse_lines(spark.read.text(path), fields, header=header)
+    return parse_rows(spark.read.text(path, lineSep="],"), fields, header=header)

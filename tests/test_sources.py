@@ -10,7 +10,7 @@ from geopanel.session import shared_folder
 from geopanel.sources import schemas
 from geopanel.sources.coded import read_decennial, read_survey, select_codes
 from geopanel.sources.delimited import read_csv, read_tsv, write_csv
-from geopanel.sources.header_json import parse_lines, read_header_json
+from geopanel.sources.header_json import parse_rows, read_header_json
 
 
 def _write(path, text, encoding="utf-8"):
@@ -88,7 +88,10 @@ FIELDS = {"county": "county", "state": "state", "rate": "RATE"}
 PARSED = [("001", "01", 70.1), ("063", "02", None), ("066", "02", None)]
 
 
-@pytest.mark.parametrize("layout, text", [("lines", LINES), ("documents", LINES.replace("\n", ""))])
+@pytest.mark.parametrize("layout, text", [
+    ("rows", LINES), ("rows", LINES.replace("\n", "")), ("rows", LINES.replace(',"', ' , "')),
+    ("documents", LINES), ("documents", LINES.replace(",", " , ")),
+])
 def test_header_json(spark, tmp_path, rows, layout, text):
     path = _write(tmp_path / "r.json", text)
     out = read_header_json(spark, path, FIELDS, layout)
@@ -105,7 +108,8 @@ def test_header_json_columns_in_another_order(spark, tmp_path, rows):
 @pytest.mark.parametrize("text, message", [
     ('[["a","state","county"],\n["1","01","001"]]', "not in the header: RATE"),
     ('[["RATE","state","county"],\n["1","01"]]', "length|size|same"),
-    ('[["RATE","state","county"],\nbroken]', "not a data row"),
+    ('[["RATE","state","county"],\nbroken]', "not a single row"),
+    ('[["RATE","state","county"],\n["a],b","01","001"]]', "not a single row"),
 ])
 def test_header_json_fails_loudly(spark, tmp_path, text, message):
     path = _write(tmp_path / "r.json", text)
@@ -113,11 +117,36 @@ def test_header_json_fails_loudly(spark, tmp_path, text, message):
         read_header_json(spark, path, FIELDS).collect()
 
 
+def test_header_json_with_blanks_between_rows_fails(spark, tmp_path):
+    path = _write(tmp_path / "r.json", LINES.replace("],", "] ,"))
+    with pytest.raises(Exception, match="not a single row"):
+        read_header_json(spark, path, FIELDS).collect()
+
+
+def test_header_json_keeps_brackets_in_values(spark, tmp_path, rows):
+    path = _write(tmp_path / "r.json", '[["RATE","state","county"],["a[1]","[x]","q\\"]z"]]')
+    assert rows(read_header_json(spark, path, FIELDS)) == [('q"]z', "[x]", "a[1]")]
+
+
+def test_header_json_splits_over_tasks(spark, tmp_path):
+    rows = ",".join(f'["{i / 10}","{i % 50:02d}","{i:05d}"]' for i in range(20_000))
+    path = _write(tmp_path / "r.json", f'[["RATE","state","county"],{rows}]')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        out = read_header_json(spark, path, FIELDS)
+        assert spark.read.text(path, lineSep="],").rdd.getNumPartitions() > 5
+        got = {(r.county, r.state, r.rate) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(f"{i:05d}", f"{i % 50:02d}", str(i / 10)) for i in range(20_000)}
+
+
 def test_header_json_with_two_headers(spark):
     df = spark.createDataFrame([('[["RATE","state","county"],',), ('[["RATE","county","state"],',),
                                 ('["1","2","3"]',)], "value string")
     with pytest.raises(Exception, match="More than one row"):
-        parse_lines(df, FIELDS).collect()
+        parse_rows(df, FIELDS).collect()
 
 
 def test_coded_tables(spark, tmp_path, rows):
