@@ -76,6 +76,7 @@ BROADBAND_CODES = {"B28002_004": "broadband", "B28002_001": "total"}
 MERGED_AREAS = {"51515": "51019", "46113": "46102", "02270": "02158"}
 SPLIT_AREAS = {"02261": ["02063", "02066"]}
 ROLLED_UP_AREAS = {"02261": ["02063", "02066"]}
+PARENT_NAMES = {"02261": ("Alaska", "Valdez-Cordova Census Area")}
 EXCLUDED_STATE = "72"
 
 # --- Fixed values: name repairs and notes -------------------------------------

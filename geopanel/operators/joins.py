@@ -20,11 +20,16 @@ from geopanel.functions import single_value
 BROADCAST_ROWS = 100_000
 
 
-def full_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def full_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: bool = True
+) -> DataFrame:
     """Full outer join on keys that are unique on both sides, keys coalesced.
 
-    NULL keys match NULL keys, and the join stays an equi-join.
+    NULL keys match NULL keys, and the join stays an equi-join. Say ``nullable=False``
+    for keys that are never NULL: a plain equality can reuse a side's partitioning.
     """
+    if not nullable:
+        return left.join(right, list(keys), "full")
     lhs = left.withColumnsRenamed({k: f"__l_{k}" for k in keys})
     rhs = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     condition = [F.col(f"__l_{k}").eqNullSafe(F.col(f"__r_{k}")) for k in keys]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from geopanel.constants import (
     BROADBAND_CODES,
     GROUP_SOURCES,
     GROUPS,
+    PARENT_NAMES,
     ROLLED_UP_AREAS,
     SPLIT_AREAS,
 )
-from geopanel.functions import sum_columns
+from geopanel.functions import alias_code, sum_columns
 from geopanel.operators.columns import bind_rows
 from geopanel.operators.compare import interpolate
 from geopanel.operators.crosswalk import Members, replicate_keys, roll_up_rows
@@ -47,14 +50,14 @@ def broadband(county: DataFrame, national: DataFrame, split: Members) -> DataFra
 def estimates(
     characteristics: DataFrame, housing: DataFrame, components: DataFrame,
     survey_county: DataFrame, survey_national: DataFrame,
-    rolled_up: Members = ROLLED_UP_AREAS, split: Members = SPLIT_AREAS,
-    parent_names: dict[str, tuple[str, str]] | None = None,
+    rolled_up: Mapping[str, Sequence[str]] = ROLLED_UP_AREAS, split: Members = SPLIT_AREAS,
+    parent_names: Mapping[str, tuple[str, str]] = PARENT_NAMES, compat: bool = False,
 ) -> DataFrame:
     """One row per area, plus one row per rolled-up area of the older geography.
 
-    A rolled-up row takes the names of its first member, or those in
-    ``parent_names`` (key -> state name, county name). The survey tables carry the
-    variables under their names, not their codes.
+    A rolled-up row takes its names from ``parent_names`` (key -> state name, county
+    name), and those of its first member where it is not listed or with ``compat``.
+    The survey tables carry the variables under their names, not their codes.
     """
     county_level = F.col("SUMLEV") == "050"
     key = F.concat("STATE", "COUNTY").alias("GEOID")
@@ -74,12 +77,10 @@ def estimates(
         areas, "GEOID", rolled_up, columns=figures,
         extra=[F.min_by(c, "GEOID").alias(c) for c in ("STNAME", "CTYNAME")],
     )
-    for parent, (state, county) in (parent_names or {}).items():
-        here = F.col("GEOID") == parent
-        older = older.withColumns({
-            "STNAME": F.when(here, state).otherwise(F.col("STNAME")),
-            "CTYNAME": F.when(here, county).otherwise(F.col("CTYNAME")),
-        })
+    known = {} if compat else {k: v for k, v in parent_names.items() if k in rolled_up}
+    for position, column in enumerate(("STNAME", "CTYNAME") if known else ()):
+        names = alias_code("GEOID", {key: pair[position] for key, pair in known.items()})
+        older = older.withColumn(column, F.coalesce(names, F.col(column)))
     # Joining each branch before the union keeps the exchange on GEOID usable for
     # all three joins of the main branch; the other branch is a few keys only.
     access = broadband(survey_county, survey_national, split)

@@ -88,7 +88,9 @@ def county_main(
         VACANCY_CODES_2010, "PCT_VACANT_HU_2010",
     )
     table = grade_change(
-        full_join(graded, vacancy, ["GEOID"]), "PCT_VACANT_HU_2020", "PCT_VACANT_HU_2010",
+        # The wide side is already partitioned by area from the join above.
+        full_join(graded, vacancy, ["GEOID"], nullable=False),
+        "PCT_VACANT_HU_2020", "PCT_VACANT_HU_2010",
         VACANCY_CUTS, "PCT_VACANT_CHANGE", "VACANCY_MEASURE",
     ).select(*COUNTY_MAIN_COLUMNS)
     if compat:

@@ -42,10 +42,12 @@ class Table:
     encodings: dict[str, str] = field(default_factory=dict)
 
 
-def _estimates(characteristics, housing, components, survey_county, survey_national):
+def _estimates(
+    characteristics, housing, components, survey_county, survey_national, compat=False
+):
     return plans.estimates(
         characteristics, housing, components,
-        survey_by_name(survey_county), survey_by_name(survey_national),
+        survey_by_name(survey_county), survey_by_name(survey_national), compat=compat,
     )
 
 
@@ -68,7 +70,7 @@ TABLES: dict[str, Table] = {
         {"characteristics": S.CHARACTERISTICS_2020, "housing": S.HOUSING_2020,
          "components": S.COMPONENTS_2020, "survey_county": S.SURVEY_LONG,
          "survey_national": S.SURVEY_LONG},
-        help="estimates by area with broadband access",
+        has_compat=True, help="estimates by area with broadband access",
         encodings={"characteristics": LATIN, "components": LATIN, "housing": LATIN},
     ),
     "cutpoints": Table(
