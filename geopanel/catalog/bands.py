@@ -47,8 +47,9 @@ def _scored(denominator: str) -> str:
          WHEN difference < range_1_high AND difference > range_1_low THEN '{CLOSE}' END AS label
   FROM (SELECT area, variable, SIZE_CLASS, CASE WHEN {_RELATIVE}
           THEN CASE WHEN CEN - EST = 0 THEN 0 ELSE (CEN - EST) / nullif({denominator}, 0) END
-          ELSE CEN - EST END AS difference FROM long)
-  LEFT JOIN bands USING (variable, SIZE_CLASS))"""
+          ELSE CEN - EST END AS difference FROM long) d
+  LEFT JOIN (SELECT variable AS v, SIZE_CLASS AS s, * EXCLUDE (variable, SIZE_CLASS)
+    FROM bands) b ON b.v = d.variable AND b.s IS NOT DISTINCT FROM d.SIZE_CLASS)"""
 
 
 def _wide_sql(denominator: str) -> str:

@@ -442,7 +442,7 @@ def _main_sql(compat: bool) -> str:
     labels = ", ".join(label(m) for m in MEASURE_NAMES)
     joins = " ".join(
         f"LEFT JOIN bands AS {m}_b ON {m}_b.variable = '{m}' "
-        f"AND {m}_b.SIZE_CLASS = full_table.SIZE_CLASS"
+        f"AND {m}_b.SIZE_CLASS IS NOT DISTINCT FROM full_table.SIZE_CLASS"
         for m in MEASURE_NAMES
     )
     vacancy = "merged" if compat else "vacancy"

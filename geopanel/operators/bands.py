@@ -21,6 +21,7 @@ from geopanel.constants import (
     SLIGHT,
 )
 from geopanel.functions import is_member, quoted, single_value, sql, text
+from geopanel.operators.joins import left_join
 
 SIZE_LABELS = tuple(label for _, label in SIZE_CUTS)
 RANGES = ("range_1_high", "range_1_low", "range_2_high", "range_2_low")
@@ -137,16 +138,21 @@ def divergence_label(difference: str, bands: str = "") -> Column:
     )
 
 
+def _graded(metrics: Sequence[str], size: str, sizes: Sequence[str]) -> Column:
+    listed = F.col(size).isin(list(sizes)) | F.col(size).isNull()
+    return F.col("variable").isin(list(metrics)) & listed
+
+
 def bands_by_size(
     bands: DataFrame, metrics: Sequence[str], size: str = "SIZE_CLASS",
     sizes: Sequence[str] = SIZE_LABELS,
 ) -> DataFrame:
     """One row per size class with a struct of ranges per metric.
 
-    At most ``len(sizes)`` rows, whatever the input, so it is safe to broadcast. A
-    repeated (metric, class) is an error.
+    At most one row per listed class and one for areas without a class, whatever the
+    input, so it is safe to broadcast. A repeated (metric, class) is an error.
     """
-    kept = bands.filter(F.col("variable").isin(list(metrics)) & F.col(size).isin(list(sizes)))
+    kept = bands.filter(_graded(metrics, size, sizes))
     ranges = F.struct(*[F.col(r).cast("double").alias(r) for r in RANGES])
     return kept.groupBy(size).agg(*[
         single_value(ranges, F.col("variable") == m).alias(f"__band_{m}") for m in metrics
@@ -166,13 +172,14 @@ def score_wide(
     expressions, so the wide frame is neither reshaped nor shuffled.
     """
     metrics = [*relative, *absolute]
-    by_size = F.broadcast(bands_by_size(bands, metrics, size, sizes))
-    joined = df.withColumns({
+    by_size = bands_by_size(bands, metrics, size, sizes)
+    differences = df.withColumns({
         f"__d_{m}": scoring_difference(
             f"{actual}{m}", f"{estimate}{m}", m in set(relative), compat
         )
         for m in metrics
-    }).join(by_size, size, "left")
+    })
+    joined = left_join(differences, by_size, [size], bounded=True)
     ordered = [m for m in names if m in metrics]
     ordered += [m for m in metrics if m not in names]
     return joined.select(*df.columns, *[
@@ -190,19 +197,19 @@ def score_long(
     """Add ``difference`` and its grade to a long frame.
 
     Bands outside the listed metrics and classes cannot match; what is left has at
-    most ``metrics x classes`` rows and is broadcast.
+    most ``metrics x (classes + 1)`` rows and is broadcast.
     """
     metrics = [*relative, *absolute]
     small = (
-        bands.filter(F.col("variable").isin(metrics) & F.col(size).isin(list(sizes)))
+        bands.filter(_graded(metrics, size, sizes))
         .groupBy("variable", size)
         .agg(*[single_value(F.col(r).cast("double")).alias(r) for r in RANGES])
     )
     diff = F.when(
         is_member("variable", relative), scoring_difference(actual, estimate, True, compat)
     ).otherwise(scoring_difference(actual, estimate, False))
-    joined = df.withColumn("difference", diff).join(
-        F.broadcast(small), ["variable", size], "left"
+    joined = left_join(
+        df.withColumn("difference", diff), small, ["variable", size], bounded=True
     )
     return joined.select(
         *df.columns, "difference", divergence_label("difference").alias(label)
@@ -211,6 +218,7 @@ def score_long(
 
 def unmatched_bands(bands: DataFrame, df: DataFrame, size: str = "SIZE_CLASS") -> DataFrame:
     """Size classes that have bands but no graded area, one row each."""
+    graded = df.select(F.col(size).alias("__size")).distinct()
     return bands.select(size).distinct().join(
-        df.select(size).distinct(), size, "left_anti"
+        graded, F.col(size).eqNullSafe(F.col("__size")), "left_anti"
     )

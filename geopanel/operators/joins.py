@@ -130,8 +130,10 @@ def attach_context(
     return out.unionByName(unmatched, allowMissingColumns=True)
 
 
-def left_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join in which NULL keys match NULL keys.
+def left_join(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], bounded: bool = False
+) -> DataFrame:
+    """Left join in which NULL keys match NULL keys; a ``bounded`` side is broadcast.
 
     Also the form to use when ``other`` was aggregated by the same keys: a plain
     equality would reuse that partitioning and leave adaptive execution without a
@@ -139,6 +141,8 @@ def left_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     right = other.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     condition = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    if bounded:
+        right = F.broadcast(right)
     return df.join(right, condition, "left").drop(*[f"__k_{k}" for k in keys])
 
 

@@ -176,7 +176,8 @@ DATA = [
 def bands(spark):
     ranges = {
         ("N", "Large"): (0.5, -0.5, 1.0, -1.0), ("N", "Small"): (0.1, -0.1, 0.2, -0.2),
-        ("S", "Large"): (0.05, -0.05, 0.2, -0.2),
+        ("S", "Large"): (0.05, -0.05, 0.2, -0.2), ("N", None): (0.1, -0.1, 0.2, -0.2),
+        ("N", "Huge"): (0.1, -0.1, 0.2, -0.2), ("other", "Large"): (0.1, -0.1, 0.2, -0.2),
     }
     return spark.createDataFrame(
         [(v, s, *r) for (v, s), r in ranges.items()],
@@ -187,7 +188,7 @@ def bands(spark):
 
 LABELS = {
     1: (CLOSE, SLIGHT), 2: (CLOSE, SLIGHT), 3: (HIGH, CLOSE), 4: (None, None),
-    5: (CLOSE, None), 6: (None, None),
+    5: (CLOSE, None), 6: (CLOSE, None),  # bands without a class grade areas without one
 }
 
 
@@ -220,7 +221,7 @@ def test_repeated_bands_are_rejected(spark, bands):
 
 def test_unmatched_bands(spark, bands, rows):
     df = spark.createDataFrame(DATA, SCHEMA).filter("SIZE_CLASS = 'Small'")
-    assert rows(B.unmatched_bands(bands, df)) == [("Large",)]
+    assert rows(B.unmatched_bands(bands, df)) == [("Huge",), ("Large",), (None,)]
 
 
 def test_published_band_identity():

@@ -16,6 +16,7 @@ from geopanel.operators import bands as B
 from geopanel.operators import crosswalk as K
 from geopanel.operators import joins as J
 from geopanel.session import shared_folder
+from geopanel.sources import schemas as S
 from tests.conftest import plan
 from tests.test_plans import _cutpoint_inputs
 
@@ -164,6 +165,44 @@ def test_filters_and_columns_reach_the_scan(spark, name, filters, columns):
     assert {c.split(":")[0] for c in schema.split(",")} == columns
 
 
+def test_main_table_shuffles_the_areas_once(spark, tmp_path):
+    frames = []
+    for name, contract in [("c", S.COUNTY_PL), ("e", S.ESTIMATES), ("b", S.CUTPOINTS),
+                           ("v", S.DECENNIAL_LONG)]:
+        spark.createDataFrame([], S.ddl(contract)).write.parquet(str(tmp_path / name))
+        frames.append(spark.read.parquet(str(tmp_path / name)))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        text = plan(plans.county_main(*frames))
+    assert "SortMergeJoin" in text and text.count("FullOuter") == 1
+    # Counts, rolled-up rows, estimates, bands; three for the 2010 vacancy.
+    assert text.count("Exchange hashpartitioning") == 7
+    # The full join adds neither an exchange nor a sort to the wide side.
+    full = text[text.index("FullOuter"):].splitlines()[1:4]
+    assert not any("Exchange" in line or "Sort [" in line for line in full)
+
+
+def test_grading_works_on_a_stream(spark, tmp_path):
+    wide = graded_panel(spark, SF_DIR)
+    wide.write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    bands = B.calibrate_bands(wide)
+    bands.write.parquet(str(tmp_path / "bands"))
+    bands = spark.read.parquet(str(tmp_path / "bands"))
+    stream = spark.readStream.schema(wide.schema).parquet(str(tmp_path / "wide"))
+    job = (
+        B.score_wide(stream, bands, sizes=["Large", "Medium", "Small"])
+        .writeStream.format("parquet")
+        .option("checkpointLocation", shared_folder(spark, "stream"))
+        .start(str(tmp_path / "out"))
+    )
+    job.processAllAvailable()
+    job.stop()
+    batch = B.score_wide(wide, bands, sizes=["Large", "Medium", "Small"])
+    streamed = spark.read.parquet(str(tmp_path / "out"))
+    assert streamed.count() == batch.count() > 0
+    assert batch.exceptAll(streamed.select(*batch.columns)).count() == 0
+
+
 def test_context_is_broadcast_only_when_its_bound_is_known(spark):
     df = spark.range(1000).select((F.col("id") % 12).alias("m"))
     us = spark.range(12).select(F.col("id").alias("m"), F.lit(1.0).alias("us"))
