@@ -145,13 +145,14 @@ def county_pl(spark, sf_dir):
 _SEX = {"MALE": "O", "FEMALE": "F"}
 
 
-def _people(items, rows, suffix=()):
+def _people(items, rows):
     """Total and counts by group and sex, one row per part."""
     return items.filter(rows).groupBy("l_partkey").agg(
-        F.sum("l_quantity").cast("bigint").alias("TOT_POP"),
+        F.expr("bigint(sum(l_quantity))").alias("TOT_POP"),
         *[
-            F.coalesce(
-                _quantity((F.col("l_linenumber") == i) & (F.col("l_linestatus") == s)), F.lit(0)
+            F.expr(
+                "bigint(coalesce(sum(l_quantity) FILTER "
+                f"(WHERE l_linenumber = {i} AND l_linestatus = '{s}'), 0))"
             ).alias(f"{GROUP_SOURCES[g]}_{sex}")
             for i, g in enumerate(GROUPS, 1) for sex, s in _SEX.items()
         ],

@@ -11,6 +11,7 @@ from geopanel.constants import (
     GROUPS,
     HOUSING_CODES_2010,
     MERGED_AREAS,
+    SIZE_CUTS,
     SPLIT_AREAS,
 )
 from geopanel.functions import number_key
@@ -75,35 +76,34 @@ def housing_2010(long: DataFrame, codes=None) -> DataFrame:
 def counts_2010(
     characteristics: DataFrame, quarters: DataFrame, housing: DataFrame
 ) -> DataFrame:
-    """Counted figures and size class per area."""
+    """Counted figures per area."""
     people = _characteristics(characteristics, 1, F.concat("STATE", "COUNTY"))
     gq_code = next(iter(GQ_CODES_2010))
     gq = quarters.filter((F.col("variable") == gq_code) & outside_state("GEOID")).select(
         "GEOID", F.col("value").alias("GQ_TOT")
     )
     units = housing_2010(housing).drop("HU_VAC")
-    joined = combine_sources([people, gq, units], ["GEOID"])
-    return _derived(joined).withColumn("SIZE_CLASS", size_class("POP_TOT"))
+    return _derived(combine_sources([people, gq, units], ["GEOID"]))
 
 
 def cutpoints(
     characteristics_est: DataFrame, housing_est: DataFrame, components: DataFrame,
     characteristics_cen: DataFrame, quarters_cen: DataFrame, housing_cen: DataFrame,
-    size_cuts=None,
+    size_cuts=tuple(SIZE_CUTS),
 ) -> DataFrame:
     """Mean, sd and bands per metric and size class.
 
-    The two sources are joined wide on (GEOID, names) and calibrated side by side;
-    the long panel of metrics is never materialised.
+    The two sources meet wide on (GEOID, names) and are calibrated side by side; the
+    long panel of metrics is never materialised. Only numbers are aggregated there, so
+    it is a hash aggregation; the size class is derived afterwards.
     """
     est = estimates_2010(characteristics_est, housing_est, components)
     cen = counts_2010(characteristics_cen, quarters_cen, housing_cen)
-    if size_cuts is not None:
-        cen = cen.withColumn("SIZE_CLASS", size_class("POP_TOT", size_cuts))
     panel = combine_sources(
-        [with_prefix(est, "EST_", _IDS), with_prefix(cen, "CEN_", [*_IDS, "SIZE_CLASS"])], _IDS
+        [with_prefix(est, "EST_", _IDS), with_prefix(cen, "CEN_", _IDS)], _IDS
     )
-    return calibrate_bands(panel).select(*CUTPOINT_COLUMNS)
+    sized = panel.withColumn("SIZE_CLASS", size_class("CEN_POP_TOT", size_cuts))
+    return calibrate_bands(sized).select(*CUTPOINT_COLUMNS)
 
 
 def vacancy_2010(

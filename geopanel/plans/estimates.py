@@ -15,7 +15,7 @@ from geopanel.constants import (
     ROLLED_UP_AREAS,
     SPLIT_AREAS,
 )
-from geopanel.functions import alias_code, sum_columns
+from geopanel.functions import alias_code, sql
 from geopanel.operators.columns import bind_rows
 from geopanel.operators.compare import interpolate
 from geopanel.operators.crosswalk import Members, replicate_keys, roll_up_rows
@@ -29,8 +29,8 @@ _GROUP_ORDER = ["NH_WA", "NH_BA", "H_TOT", "NH_AI", "NH_AA", "NH_NA", "NH_TOM"]
 def group_totals(prefix: str = "", groups=tuple(GROUPS)):
     """Male plus female per population group."""
     return [
-        sum_columns([f"{GROUP_SOURCES[g]}_MALE", f"{GROUP_SOURCES[g]}_FEMALE"])
-        .cast("bigint").alias(f"{prefix}{g}_TOT")
+        sql("CAST({m} + {f} AS BIGINT)", m=f"{GROUP_SOURCES[g]}_MALE",
+            f=f"{GROUP_SOURCES[g]}_FEMALE").alias(f"{prefix}{g}_TOT")
         for g in groups
     ]
 

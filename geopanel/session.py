@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def build_session(app: str = "geopanel", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="geopanel-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share (``spark.checkpoint.dir``).
 
@@ -34,6 +40,5 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="geopanel-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

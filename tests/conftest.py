@@ -7,15 +7,13 @@ from geopanel.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session("tests", **{
         "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4",
         "spark.default.parallelism": "4", "spark.sql.maxMetadataStringLength": "10000",
         "spark.sql.debug.maxToStringFields": "1000",
     })
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

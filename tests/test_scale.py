@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from contextlib import contextmanager
 from types import SimpleNamespace
@@ -221,13 +222,17 @@ def test_wide_context_is_not_broadcast(spark, monkeypatch):
     assert out.filter("us IS NULL").count() == 0
 
 
-def test_scratch_files_go_to_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert shared_folder(spark, "x").startswith(root)
-    assert shared_folder(spark, "x") != shared_folder(spark, "x")
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda *_: None),
-        sparkContext=SimpleNamespace(master="yarn"),
+def _session(folder, master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master)
     )
+
+
+def test_scratch_files_go_to_the_shared_folder(spark):
+    assert shared_folder(_session("/shared/x/", "yarn"), "t").startswith("/shared/x/t-")
+    assert shared_folder(spark, "t") != shared_folder(spark, "t")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(cluster, "x")
+        shared_folder(_session(None, "yarn"), "t")
+    first, second = (shared_folder(_session(None, "local[4]"), "t") for _ in range(2))
+    assert first != second
+    assert os.path.dirname(first) == os.path.dirname(second)
