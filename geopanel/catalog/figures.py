@@ -191,18 +191,16 @@ def collapse_categories(spark, sf_dir):
     CASE substring(code, 2, 1) WHEN '2' THEN 'total' ELSE 'over17' END AS age,
     count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS qty FROM coded GROUP BY ALL""")
 def decode_codes(spark, sf_dir):
-    """Codes built from the order key, decoded again and added up."""
-    number = F.format_string("%02d", F.col("l_orderkey") % 73 + 1)
+    """Codes built from the order key, added up per code, then decoded."""
+    number = F.lpad((F.col("l_orderkey") % 73 + 1).cast("string"), 2, "0")
     digit = F.when(F.col("l_linestatus") == "F", "2").otherwise("4")
-    coded = table(spark, sf_dir, "lineitem").select(
-        "l_quantity",
-        F.concat(F.lit("P"), digit, F.lit("_0"), number, F.lit("N")).alias("code"),
-    )
+    coded = table(spark, sf_dir, "lineitem").groupBy(
+        F.concat(F.lit("P"), digit, F.lit("_0"), number, F.lit("N")).alias("code")
+    ).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("qty"))
     fields = C.decode_code("code")
-    return (
-        coded.groupBy(fields["table"].alias("tab"), fields["item"].alias("item"),
-                      fields["age"].alias("age"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("bigint").alias("qty"))
+    return coded.select(
+        fields["table"].alias("tab"), fields["item"].alias("item"), fields["age"].alias("age"),
+        "n", "qty",
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopanel.constants import GROUPS
+from geopanel.functions import number_key
 from geopanel.operators.compare import household, per_unit, share_columns, size_class
 
 CUT = "1998-07-01"
@@ -55,6 +56,26 @@ def graded_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_panel(spark, sf_dir).withColumns(new)
 
 
+def labour_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly series per supplier and line number, ids built after adding up.
+
+    December rows flagged A stand for the annual average.
+    """
+    month = F.month("l_shipdate")
+    annual = (F.col("l_returnflag") == "A") & (month == 12)
+    sums = table(spark, sf_dir, "lineitem").groupBy(
+        "l_suppkey", "l_linenumber", F.year("l_shipdate").alias("year"),
+        F.when(annual, 13).otherwise(month).alias("month"),
+    ).agg(F.sum("l_quantity").alias("value"))
+    return sums.select(
+        F.concat(
+            F.lit("LAUCN"), number_key("l_suppkey", 5), F.lit("00000000"),
+            number_key("l_linenumber", 2),
+        ).alias("series_id"),
+        "year", F.concat(F.lit("M"), number_key("month", 2)).alias("period"), "value",
+    )
+
+
 # --- The same in SQL ----------------------------------------------------------
 
 _PERIOD = {"EST": f"l_shipdate < TIMESTAMP '{CUT}'", "CEN": f"l_shipdate >= TIMESTAMP '{CUT}'"}

@@ -17,6 +17,7 @@ from geopanel.catalog.inputs import (
     SIZES,
     area_panel,
     graded_panel,
+    labour_series,
     long_sql,
     table,
 )
@@ -114,21 +115,26 @@ _HOUSING = ", ".join(
 def county_pl(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem")
     key = number_key("l_suppkey", 5)
-    name = F.concat(F.lit("Area "), key)
 
-    def long(rows, variable):
-        return rows.groupBy(
-            key.alias("GEOID"), name.alias("NAME"), variable.alias("variable")
-        ).agg(F.sum("l_quantity").cast("bigint").alias("value"))
+    def long(rows, code, variable):
+        """Added up per area and number first, spelled out as codes afterwards."""
+        sums = rows.groupBy("l_suppkey", *code).agg(
+            F.sum("l_quantity").cast("bigint").alias("value")
+        )
+        return sums.select(
+            key.alias("GEOID"), F.concat(F.lit("Area "), key).alias("NAME"),
+            variable.alias("variable"), "value",
+        )
 
     digit = F.when(F.col("l_returnflag").isin("N", "R"), "2").otherwise("4")
-    population = long(items, F.concat(
-        F.lit("P"), digit, F.lit("_"), number_key(F.col("l_orderkey") % 73 + 1, 3), F.lit("N")
-    ))
+    population = long(
+        items, [digit.alias("digit"), (F.col("l_orderkey") % 73 + 1).alias("item")],
+        F.concat(F.lit("P"), "digit", F.lit("_"), number_key("item", 3), F.lit("N")),
+    )
     codes = F.array(*[F.lit(c) for c in HOUSING_CODES])
     housing = long(
         items.filter(F.col("l_linestatus") == "F"),
-        F.get(codes, (F.col("l_partkey") % 13).cast("int")),
+        [(F.col("l_partkey") % 13).cast("int").alias("place")], F.get(codes, F.col("place")),
     )
     supplier, nation = (table(spark, sf_dir, t) for t in ("supplier", "nation"))
     padded = number_key("s_suppkey", 5)
@@ -602,20 +608,16 @@ def _unemployment_sql(width: int) -> str:
 
 
 def _unemployment(spark, sf_dir, compat):
-    items = table(spark, sf_dir, "lineitem")
     month = F.month("l_shipdate")
-    annual = (F.col("l_returnflag") == "A") & (month == 12)
-    series = items.groupBy(
-        F.concat(
-            F.lit("LAUCN"), number_key("l_suppkey", 5), F.lit("00000000"),
-            F.format_string("%02d", "l_linenumber"),
-        ).alias("series_id"),
-        F.year("l_shipdate").alias("year"),
-        F.when(annual, "M13").otherwise(F.format_string("M%02d", month)).alias("period"),
-    ).agg(F.sum("l_quantity").alias("value"))
-    national = items.filter(_shipped("1997-01-01", "1998-01-01")).groupBy(
-        F.format_string("%02d/01/97", month).alias("month")
-    ).agg(F.sum("l_quantity").alias("national_unemployment_rate"))
+    national = table(spark, sf_dir, "lineitem").filter(
+        _shipped("1997-01-01", "1998-01-01")
+    ).groupBy(month.alias("m")).agg(
+        F.sum("l_quantity").alias("national_unemployment_rate")
+    ).select(
+        F.concat(number_key("m", 2), F.lit("/01/97")).alias("month"),
+        "national_unemployment_rate",
+    )
+    series = labour_series(spark, sf_dir)
     return plans.unemployment(series, national, year=1997, compat=compat)
 
 

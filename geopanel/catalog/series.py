@@ -6,9 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from geopanel.catalog.inputs import table
+from geopanel.catalog.inputs import labour_series, table
 from geopanel.catalog.registry import query
-from geopanel.functions import number_key
 from geopanel.operators import series as S
 from geopanel.operators.joins import attach_context
 
@@ -65,17 +64,8 @@ _SERIES = """series AS (SELECT 'LAUCN' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0
   WHERE year = 1997 AND period <> 'M13' AND regexp_matches(series_id, 'LAUCN.+03$')""")
 def series_decode(spark, sf_dir):
     """Series ids built from supplier and line number, selected and taken apart."""
-    month = F.month("l_shipdate")
-    annual = (F.col("l_returnflag") == "A") & (month == 12)
-    series = table(spark, sf_dir, "lineitem").groupBy(
-        F.concat(
-            F.lit("LAUCN"), number_key("l_suppkey", 5),
-            F.lit("00000000"), F.format_string("%02d", "l_linenumber"),
-        ).alias("series_id"),
-        F.year("l_shipdate").alias("year"),
-        F.when(annual, "M13").otherwise(F.format_string("M%02d", month)).alias("period"),
-    ).agg(F.sum("l_quantity").cast("bigint").alias("value"))
-    return S.decode_series(series, 1997, out="qty")
+    decoded = S.decode_series(labour_series(spark, sf_dir), 1997, out="qty")
+    return decoded.withColumn("qty", F.col("qty").cast("bigint"))
 
 
 @query("""WITH v AS (SELECT o_custkey, year(o_orderdate) AS year, count(*) AS n FROM orders
