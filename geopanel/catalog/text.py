@@ -12,6 +12,7 @@ from geopanel.functions import (
     number_key,
     pad_key,
     remove_first,
+    remove_first_text,
     slice_text,
     split_first,
     title_case,
@@ -74,7 +75,7 @@ def text_cleaning(spark, sf_dir):
     """First match removed, text to number with failures as NULL, code aliases."""
     return table(spark, sf_dir, "customer").select(
         "c_custkey", remove_first("c_name", "0+").alias("once"),
-        remove_first("c_name", "Customer#").alias("bare"),
+        remove_first_text("c_name", "Customer#").alias("bare"),
         as_number(remove_first("c_name", "Customer#")).alias("number"),
         as_number("c_name").alias("no_number"),
         alias_code("c_mktsegment", {"BUILDING": "bld", "MACHINERY": "mch"}).alias("alias"),

@@ -20,6 +20,7 @@ from geopanel.functions.scalar import (
     ratio,
     quoted,
     remove_first,
+    remove_first_text,
     slice_text,
     split_first,
     sql,
@@ -29,8 +30,8 @@ from geopanel.functions.scalar import (
 )
 
 __all__ = [
-    "alias_code", "as_number", "cases", "finite_or", "half_even", "if_else",
-    "is_member", "number_key", "numeric_columns", "on_weekday", "pad_key", "quoted", "ratio",
-    "remove_first", "single_value", "slice_text", "split_first", "sql", "strict_mean",
-    "strict_sd", "strict_sum", "sum_columns", "text", "title_case",
+    "alias_code", "as_number", "cases", "finite_or", "half_even", "if_else", "is_member",
+    "number_key", "numeric_columns", "on_weekday", "pad_key", "quoted", "ratio",
+    "remove_first", "remove_first_text", "single_value", "slice_text", "split_first", "sql",
+    "strict_mean", "strict_sd", "strict_sum", "sum_columns", "text", "title_case",
 ]

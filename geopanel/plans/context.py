@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geopanel.constants import ROLLED_UP_AREAS
-from geopanel.functions import as_number, pad_key, remove_first
+from geopanel.functions import as_number, pad_key, remove_first_text
 from geopanel.operators.crosswalk import Members, roll_up
 from geopanel.operators.enrich import clean_titles
 from geopanel.operators.joins import attach_context
@@ -40,7 +40,7 @@ def covid_weekly(
         "date", F.col("cases_avg_per_100k").alias(overall)
     )
     facts = weekly_sample(county, "date", after, before).select(
-        remove_first("geoid", "USA-").alias("geoid"), "date",
+        remove_first_text("geoid", "USA-").alias("geoid"), "date",
         F.col("cases_avg_per_100k").alias(local),
     )
     dense = densify(keys, weeks, facts, "geoid", "date", week_dates(after, before))

@@ -116,6 +116,15 @@ def test_remove_first_only(one):
     assert one(X.remove_first("t", "z"), t="abc") == "abc"
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("USA-01001", "01001"), ("USA-01USA-02", "01USA-02"), ("01USA-", "01"), ("plain", "plain"),
+    ("USA-", ""), ("", ""), (None, None),
+])
+def test_remove_first_text(one, text, expected):
+    out = X.remove_first_text("t", "USA-")
+    assert one(out, t=F.lit(text).cast("string")) == expected
+
+
 def test_split_first(one):
     head, tail = X.split_first("t", "_")
     assert (one(head, t="EST_NH_WA_TOT"), one(tail, t="EST_NH_WA_TOT")) == ("EST", "NH_WA_TOT")
