@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -66,3 +67,14 @@ def in_batches(
 def utf8(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text as UTF-8 bytes; a missing text is empty."""
     return df.select(key, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
+
+
+def sample_rows(df: DataFrame, rows: int, seed: int, key: str = "doc_id") -> list:
+    """About ``rows`` rows (never more than twice that), chosen by a hash of the key."""
+    total = df.count()
+    if not total:
+        return []
+    scale = 1 << 30
+    cut = min(scale, math.ceil(scale * rows / total))
+    chosen = df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(scale)) < cut)
+    return sorted(chosen.limit(2 * rows).collect(), key=lambda r: (r[key] is None, r[key] or 0))
