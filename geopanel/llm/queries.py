@@ -4,14 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geopanel.llm.common import table
+from geopanel.llm.common import pick, table
+from geopanel.llm.langid import identify
+from geopanel.llm.licenses import license_matches
+from geopanel.llm.linededup import drop_repeated_lines
+from geopanel.llm.lmscore import score_documents
+from geopanel.llm.mixing import mix
+from geopanel.llm.neighbours import nearest
+from geopanel.llm.packing import packed_digest
+from geopanel.llm.quality import judge
+from geopanel.llm.secrets import find_secrets
 from geopanel.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: The byte-level tokenizer that sequences are packed with.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(sql: str | None = None):
     """Register a query under its function name, with the SQL that must agree."""
@@ -25,6 +39,152 @@ def query(sql: str | None = None):
     return register
 
 
+#: The tree of op1: the collections a source number stands for, then language, then source.
+MIX_LEVELS = {
+    "domain": F.concat(F.lit("d"), F.coalesce(
+        F.pmod(F.try_to_number(F.regexp_extract("source", r"([0-9]{1,9})$", 1), F.lit("999999999"))
+               .cast("int"), F.lit(3)).cast("string"), F.lit("x"))),
+    "lang": F.col("lang"),
+    "source": F.col("source"),
+}
+MIX_WEIGHTS = {
+    "domain": F.when(F.col("domain") == "d0", 5).when(F.col("domain") == "d1", 3).otherwise(2),
+    "lang": F.when(F.col("lang") == "en", 4).otherwise(2),
+}
+
+# Equal to mix() with the parameters of op1_mixing. One query block per level of the tree:
+# sort siblings by capacity over weight, fill those that can't take their share.
+MIX_SQL = r"""
+WITH words AS (
+  SELECT doc_id, 'd' || coalesce((try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '')
+           AS BIGINT) % 3)::VARCHAR, 'x') AS domain, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+  FROM documents),
+slim AS (SELECT * FROM words WHERE n_tokens > 0),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * 2 AS cap,
+                1::HUGEINT AS w FROM slim GROUP BY ALL),
+lng AS (SELECT domain, lang, sum(cap)::HUGEINT AS cap,
+               (CASE WHEN lang = 'en' THEN 4 ELSE 2 END)::HUGEINT AS w FROM leaf GROUP BY ALL),
+dom AS (SELECT domain, sum(cap)::HUGEINT AS cap,
+               (CASE domain WHEN 'd0' THEN 5 WHEN 'd1' THEN 3 ELSE 2 END)::HUGEINT AS w
+        FROM lng GROUP BY ALL),
+d1 AS (SELECT *, least((SELECT floor(sum(tokens) * 0.8)::HUGEINT FROM leaf),
+                       sum(cap) OVER ()::HUGEINT) AS b,
+         coalesce(sum(cap) OVER (s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before,
+         sum(w) OVER (s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS since
+       FROM dom WINDOW s AS (ORDER BY cap::DOUBLE / w::DOUBLE, domain)),
+d2 AS (SELECT *, (b - before) * w >= cap * since AS full_ FROM d1),
+d3 AS (SELECT domain, CASE WHEN full_ THEN cap ELSE (b - coalesce(sum(cap) FILTER (full_) OVER (), 0)::HUGEINT) * w
+              // (sum(w) FILTER (NOT full_) OVER ())::HUGEINT END AS alloc FROM d2),
+l1 AS (SELECT lng.*, alloc AS b,
+         coalesce(sum(cap) OVER (s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before,
+         sum(w) OVER (s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS since
+       FROM lng JOIN d3 USING (domain)
+       WINDOW s AS (PARTITION BY domain ORDER BY cap::DOUBLE / w::DOUBLE, lang)),
+l2 AS (SELECT *, (b - before) * w >= cap * since AS full_ FROM l1),
+l3 AS (SELECT domain, lang, CASE WHEN full_ THEN cap ELSE
+              (b - coalesce(sum(cap) FILTER (full_) OVER (PARTITION BY domain), 0)::HUGEINT) * w
+              // (sum(w) FILTER (NOT full_) OVER (PARTITION BY domain))::HUGEINT END AS alloc FROM l2),
+s1 AS (SELECT leaf.*, alloc AS b,
+         coalesce(sum(cap) OVER (s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before,
+         sum(w) OVER (s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS since
+       FROM leaf JOIN l3 USING (domain, lang)
+       WINDOW s AS (PARTITION BY domain, lang ORDER BY cap::DOUBLE / w::DOUBLE, source)),
+s2 AS (SELECT *, (b - before) * w >= cap * since AS full_ FROM s1),
+s3 AS (SELECT domain, lang, source, tokens, CASE WHEN full_ THEN cap ELSE
+              (b - coalesce(sum(cap) FILTER (full_) OVER (PARTITION BY domain, lang), 0)::HUGEINT) * w
+              // (sum(w) FILTER (NOT full_) OVER (PARTITION BY domain, lang))::HUGEINT END AS alloc FROM s2),
+plan AS (SELECT *, (alloc // tokens)::BIGINT AS epochs, alloc % tokens AS left_ FROM s3),
+placed AS (SELECT slim.*, epochs, left_, sum(n_tokens) OVER (
+             PARTITION BY domain, lang, source ORDER BY md5('42:' || epochs || ':' || coalesce(doc_id::VARCHAR, '-'))
+             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+           FROM slim JOIN plan USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
+       unnest(range(epochs + CASE WHEN upto <= left_ THEN 1 ELSE 0 END))::INTEGER AS epoch
+FROM placed
+"""
+
+
+@query(MIX_SQL)
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+    return mix(docs, MIX_LEVELS, MIX_WEIGHTS, budget_share=0.8, max_epochs=2, seed=42)
+
+
+@query()
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+@query()
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), words=3, threshold=3)
+
+
+@query()
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+    return drop_repeated_lines(docs, min_words=30)
+
+
+@query()
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@query()
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_digest(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=1)
+
+
+# Equal to judge() with limit 0.5 and the source as host. Rates are compared with the limit
+# only, so the last digits of the prior don't matter.
+QUALITY_SQL = r"""
+WITH base AS (SELECT doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT doc_id, host, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM base),
+wins AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM parts WHERE len(ws) >= 8),
+grams AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS g FROM wins),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM twice) GROUP BY doc_id),
+m AS (
+  SELECT p.doc_id, host, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM parts p LEFT JOIN rep USING (doc_id)),
+r AS (
+  SELECT *, n_words < 20 AS f1, 100 * n_repeat_words > 30 * n_words AS f2, 10 * n_symbols > n_words AS f3,
+         10 * n_dup_lines > 3 * n_lines AS f4, word_chars < 3 * n_words OR word_chars > 10 * n_words AS f5 FROM m),
+h AS (SELECT host, count(*) AS n, unnest([count_if(f1), count_if(f2), count_if(f3), count_if(f4), count_if(f5)]) AS bad,
+             unnest(range(5)) AS rule FROM r GROUP BY host),
+p AS (SELECT rule, sum(bad) / sum(n) AS m, var_pop(bad / n) AS v FROM h GROUP BY rule),
+s AS (SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6) ELSE 1e6 END AS k FROM p),
+v AS (SELECT host, max((bad + m * k) / (n + k)) AS host_rate FROM h JOIN s USING (rule) GROUP BY host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
+       NOT (f1 OR f2) AND NOT (host_rate > 0.5 AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept, n_lines,
+       r.host, host_rate > 0.5 AS host_failed, round(host_rate, 6) AS host_rate
+FROM r JOIN v ON r.host IS NOT DISTINCT FROM v.host
+"""
+
+
+@query(QUALITY_SQL)
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"), host="source", limit=0.5)
+    return judged.withColumn("host_rate", F.round("host_rate", 6))
