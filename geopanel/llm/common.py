@@ -78,3 +78,25 @@ def sample_rows(df: DataFrame, rows: int, seed: int, key: str = "doc_id") -> lis
     cut = min(scale, math.ceil(scale * rows / total))
     chosen = df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(scale)) < cut)
     return sorted(chosen.limit(2 * rows).collect(), key=lambda r: (r[key] is None, r[key] or 0))
+
+
+def hold(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(frame, back): all columns, of which only ``names`` keep their name, chosen as in ``pick``.
+
+    ``back(out, *more)`` gives the columns of ``df`` in their order and with their names, with
+    the values that ``out`` has, and ``more`` of its columns behind them; those replace columns
+    of ``df`` with the same name.
+    """
+    columns, inner = df.columns, [f"__held{i}" for i in range(len(df.columns))]
+    for name in names:
+        found = [i for i, c in enumerate(columns) if c == name]
+        found += [i for i, c in enumerate(columns) if c.lower() == name.lower()]
+        if not found:
+            raise ValueError(f"no column {name} among {columns}")
+        inner[found[0]] = name
+
+    def back(out: DataFrame, *more: str) -> DataFrame:
+        kept = [(i, c) for i, c in zip(inner, columns, strict=True) if c not in more]
+        return out.select(*[i for i, _ in kept], *more).toDF(*[c for _, c in kept], *more)
+
+    return df.toDF(*inner), back

@@ -71,6 +71,9 @@ TEMPLATES = {
     "all-rights-reserved": "Copyright. All rights reserved.",
 }
 
+#: Keeps sizes at a bound from being lost to rounding.
+SLACK = 1e-6
+
 
 def words_of(text: Column) -> Column:
     """Lower-case words of Latin letters and digits."""
@@ -100,8 +103,8 @@ def template_bigrams(spark: SparkSession, templates: Mapping[str, str],
     size = F.size("bigrams")
     narrow = threshold / (2 - threshold)
     return rows.select(
-        "license", size.alias("n_template"), F.ceil(size * narrow).alias("least"),
-        F.floor(size / narrow).alias("most"), F.explode("bigrams").alias("bigram"))
+        "license", size.alias("n_template"), F.ceil(size * narrow - SLACK).alias("least"),
+        F.floor(size / narrow + SLACK).alias("most"), F.explode("bigrams").alias("bigram"))
 
 
 def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
@@ -122,7 +125,7 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     given = template_bigrams(docs.sparkSession, templates, threshold)
     narrow = threshold / (2 - threshold)
     sizes = [len({*zip(w, w[1:])}) for w in map(_plain_words, templates.values())]
-    low, high = min(sizes) * narrow, max(sizes) / narrow
+    low, high = min(sizes) * narrow - SLACK, max(sizes) / narrow + SLACK
     rows = pick(docs, "doc_id", "text").filter("text IS NOT NULL").withColumn(
         "row", F.monotonically_increasing_id())
     text = F.col("text")
@@ -136,7 +139,6 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
 
     whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("at"),
                              text.alias("part")))
-    # A text of more letters than the largest template can have words for is too long.
     cut = rows.select("row", "doc_id", F.explode(F.concat(
         whole, units("line", lines, F.size(lines) > 1),
         units("paragraph", paragraphs, F.size(paragraphs) > 1))).alias("u")).select(

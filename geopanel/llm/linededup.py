@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopanel.llm.common import pick, shared_table
+from geopanel.llm.common import hold, pick, shared_table
 from geopanel.llm.mixing import word_count
 
 
@@ -167,13 +167,15 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 30) -> DataFrame:
     stay as they are; repeated rows of one doc_id are the same document and are never aligned
     with each other. An empty table gives an empty result.
     """
-    gone = shared_table(repeated_lines(docs, min_words), "gone-lines").select(
-        F.col("doc_id").alias("__doc"), F.col("gone").alias("__gone"))
-    joined = docs.join(gone, docs["doc_id"] == F.col("__doc"), "left")
+    held, back = hold(docs, "doc_id", "text")
+    gone = shared_table(repeated_lines(held, min_words), "gone-lines").withColumnRenamed(
+        "gone", "__gone")
+    joined = held.join(gone, "doc_id", "left")
     lines = _lines()
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(
         F.transform(left, lambda i: F.element_at(F.col("__lines"), i + 1)), "\n"))
-    return joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), lines)).withColumns({
+    cut = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), lines)).withColumns({
         "n_lines": F.size(lines), "n_removed": F.coalesce(F.size("__gone"), F.lit(0)),
-        "text": text}).drop("__doc", "__gone", "__lines")
+        "text": text})
+    return back(cut, "n_lines", "n_removed")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from geopanel.llm.common import shared_table
+from geopanel.llm.common import hold, pick, shared_table
 
 #: Hex digits of the order key that make a bucket of the prefix sums.
 BUCKET = 4
@@ -30,7 +30,7 @@ def order_key(doc_id: Column, epoch: Column, seed: int) -> Column:
                              F.coalesce(doc_id.cast("string"), F.lit("-"))))
 
 
-def _budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[str, Column],
+def _budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[str, str],
              budget_share: float, max_epochs: int) -> DataFrame:
     """Leaves with their allocation of tokens (``alloc``).
 
@@ -44,7 +44,8 @@ def _budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[str, Colum
     below = leaves.withColumn("cap", F.col("tokens") * max_epochs)
     for k in range(len(path), 0, -1):
         node = below.groupBy(*path[:k]).agg(F.sum("cap").cast(TOKENS).alias("cap"))
-        weight = F.coalesce(weights.get(path[k - 1], F.lit(1)).cast(WEIGHT), F.lit(0).cast(WEIGHT))
+        weight = F.coalesce(F.expr(weights.get(path[k - 1], "1")).cast(WEIGHT),
+                            F.lit(0).cast(WEIGHT))
         below = shared_table(
             node.withColumn("w", weight)
             .withColumn("cap", F.when(F.col("w") > 0, F.col("cap")).otherwise(0).cast(TOKENS)),
@@ -103,14 +104,15 @@ def _cuts(slim: DataFrame, plan: DataFrame, path: Sequence[str], seed: int) -> D
         *path, F.coalesce("k", "bucket").alias("cut"))
 
 
-def _slim(docs: DataFrame, levels: Mapping[str, Column], more: Sequence[str] = ()) -> DataFrame:
+def _slim(docs: DataFrame, levels: Mapping[str, str], more: Sequence[str] = ()) -> DataFrame:
     """doc_id, path and ``more``, with the word count; missing names are empty."""
     return docs.select(
-        "doc_id", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()],
+        "doc_id", *[F.coalesce(F.expr(c).cast("string"), F.lit("")).alias(n)
+                    for n, c in levels.items()],
         *more, word_count(F.col("text")).alias("n_tokens"))
 
 
-def mix_plan(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Column],
+def mix_plan(docs: DataFrame, levels: Mapping[str, str], weights: Mapping[str, str],
              budget_share: float, max_epochs: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(documents without text, leaves with tokens, alloc, epochs, left and cut)."""
     path = list(levels)
@@ -131,13 +133,14 @@ def _copies(seed: int) -> Column:
     return (F.col("epochs") + F.when(last, 1).otherwise(0)).cast("int")
 
 
-def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Column], *,
-        budget_share: float = 1.0, max_epochs: int = 4, seed: int = 42) -> DataFrame:
+def mix(docs: DataFrame, levels: Mapping[str, str], weights: Mapping[str, str], *,
+        budget_share: float = 1.0, max_epochs: int = 4, seed: int = 42,
+        uses: Sequence[str] = ("lang", "source")) -> DataFrame:
     """doc_id, the path, n_tokens and epoch: one row per document and epoch it is taken in.
 
-    ``levels`` names the tree from the top (domain, language, source) by expressions of the
-    columns of ``docs``; ``weights`` has a whole-number weight per level as an expression of
-    the path, 1 by default, 0 or null takes nothing. The budget is a share of all tokens
+    ``levels`` names the tree from the top (domain, language, source) by SQL expressions of
+    the columns of ``docs`` named in ``uses``; ``weights`` has a whole-number weight per level as a SQL
+    expression of the path, 1 by default, 0 or null takes nothing. The budget is a share of all tokens
     (words) of the table; no leaf is repeated more than ``max_epochs`` times. Each epoch of
     a leaf has its own seeded order; whole epochs are taken, then the longest prefix of the
     next that the budget allows. Shares are rounded down, so the budget is never exceeded.
@@ -147,24 +150,27 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Col
     or left together. Extra columns are ignored; an empty table gives an empty result.
     """
     path = list(levels)
-    slim, plan = mix_plan(docs, levels, weights, budget_share, max_epochs, seed)
+    rows = pick(docs, "doc_id", "text", *uses)
+    slim, plan = mix_plan(rows, levels, weights, budget_share, max_epochs, seed)
     taken = slim.join(plan.select(*path, "epochs", "cut"), path).withColumn(
         "copies", _copies(seed)).filter("copies > 0")
     return taken.select("doc_id", *path, "n_tokens", F.explode(
         F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"))
 
 
-def mix_documents(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Column], *,
-                  budget_share: float = 1.0, max_epochs: int = 1, seed: int = 42) -> DataFrame:
+def mix_documents(docs: DataFrame, levels: Mapping[str, str], weights: Mapping[str, str], *,
+                  budget_share: float = 1.0, max_epochs: int = 1, seed: int = 42,
+                  uses: Sequence[str] = ("lang", "source")) -> DataFrame:
     """The chosen rows of ``docs`` with all their columns, as often as they are taken."""
     path = list(levels)
-    _, plan = mix_plan(docs, levels, weights, budget_share, max_epochs, seed)
-    named = {f"__{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}
+    held, back = hold(docs, "doc_id", "text", *uses)
+    _, plan = mix_plan(held, levels, weights, budget_share, max_epochs, seed)
+    named = {f"__{n}": F.coalesce(F.expr(c).cast("string"), F.lit("")) for n, c in levels.items()}
     plan = plan.select(*[F.col(n).alias(f"__{n}") for n in path], "epochs", "cut")
     taken = (
-        docs.withColumns(named).filter(word_count(F.col("text")) > 0)
+        held.withColumns(named).filter(word_count(F.col("text")) > 0)
         .join(plan, list(named)).withColumn("__copies", _copies(seed)).filter("__copies > 0")
     )
     if max_epochs > 1:
         taken = taken.withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return taken.select(*docs.columns)
+    return back(taken)

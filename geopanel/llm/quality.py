@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopanel.llm.common import in_batches, pick, shared_table
+from geopanel.llm.common import hold, in_batches, pick, shared_table
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
@@ -83,15 +83,11 @@ def _measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         names=["doc_id", "host", *_NAMES])
 
 
-def measure(docs: DataFrame, host: str | Column = "source") -> DataFrame:
+def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     """doc_id, host and the six measures of every row. A null text counts as empty."""
-    if isinstance(host, str):
-        rows = pick(docs, "doc_id", "text", host).withColumnRenamed(host, "host")
-    else:
-        rows = pick(docs.withColumn("__host", host), "doc_id", "text", "__host").withColumnRenamed(
-            "__host", "host")
-    rows = rows.select("doc_id", F.col("host").cast("string").alias("host"),
-                       F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    rows = pick(docs, "doc_id", "text", host).select(
+        "doc_id", F.col(host).cast("string").alias("host"),
+        F.coalesce("text", F.lit("")).cast("binary").alias("body"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, host string, " + ", ".join(
         f"{n} bigint" for n in _NAMES)
     return rows.mapInArrow(in_batches(_measured), schema)
@@ -123,7 +119,7 @@ def host_verdicts(measured: DataFrame, limit: float = 0.5) -> DataFrame:
         "host_failed", F.greatest(*rates) > limit)
 
 
-def judge(docs: DataFrame, host: str | Column = "source", limit: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", limit: float = 0.5) -> DataFrame:
     """Per row of ``docs``: the measures, base_failed, host_failed and kept.
 
     base_failed: a base rule fails. On a host that fails, a document is kept only if it
@@ -145,11 +141,11 @@ def judge(docs: DataFrame, host: str | Column = "source", limit: float = 0.5) ->
         F.greatest(*[f"rate_{name}" for name in RULES]).alias("host_rate"))
 
 
-def keep_good(docs: DataFrame, host: str | Column = "source", limit: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, host: str = "source", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, with all columns.
 
     A doc_id goes if any of its rows is rejected; rows without doc_id stay unjudged.
     """
-    gone = judge(docs, host, limit).filter("NOT kept").select(
-        F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    held, back = hold(docs, "doc_id", "text", host)
+    gone = judge(held, host, limit).filter("NOT kept").select("doc_id").distinct()
+    return back(held.join(gone, "doc_id", "left_anti"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from geopanel.llm.common import pick, table
 from geopanel.llm.langid import identify
-from geopanel.llm.licenses import license_matches
+from geopanel.llm.licenses import TEMPLATES, license_matches
 from geopanel.llm.linededup import drop_repeated_lines
 from geopanel.llm.lmscore import score_documents
 from geopanel.llm.mixing import mix
@@ -41,15 +41,14 @@ def query(sql: str | None = None):
 
 #: The tree of op1: the collections a source number stands for, then language, then source.
 MIX_LEVELS = {
-    "domain": F.concat(F.lit("d"), F.coalesce(
-        F.pmod(F.try_to_number(F.regexp_extract("source", r"([0-9]{1,9})$", 1), F.lit("999999999"))
-               .cast("int"), F.lit(3)).cast("string"), F.lit("x"))),
-    "lang": F.col("lang"),
-    "source": F.col("source"),
+    "domain": r"concat('d', coalesce(string(try_cast(regexp_extract(source, '([0-9]{1,9})$', 1) "
+              r"AS BIGINT) % 3), 'x'))",
+    "lang": "lang",
+    "source": "source",
 }
 MIX_WEIGHTS = {
-    "domain": F.when(F.col("domain") == "d0", 5).when(F.col("domain") == "d1", 3).otherwise(2),
-    "lang": F.when(F.col("lang") == "en", 4).otherwise(2),
+    "domain": "CASE domain WHEN 'd0' THEN 5 WHEN 'd1' THEN 3 ELSE 2 END",
+    "lang": "IF(lang = 'en', 4, 2)",
 }
 
 # Equal to mix() with the parameters of op1_mixing. One query block per level of the tree:
@@ -117,7 +116,33 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
-@query()
+# Equal to license_matches() with its own templates and threshold 0.8.
+LICENSE_SQL = r"""
+WITH given(license, template) AS (VALUES {templates}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT rid, doc_id, 'text' AS unit, 0 AS pos, text AS part FROM docs
+  UNION ALL SELECT rid, doc_id, 'line', unnest(range(1, len(ls) + 1)), unnest(ls) FROM (
+    SELECT *, string_split(text, chr(10)) AS ls FROM docs) WHERE len(ls) > 1
+  UNION ALL SELECT rid, doc_id, 'paragraph', unnest(range(1, len(ps) + 1)), unnest(ps) FROM (
+    SELECT *, string_split_regex(text, '\n[ \t\r]*\n') AS ps FROM docs) WHERE len(ps) > 1),
+both_ AS (SELECT rid, doc_id, unit, pos, NULL AS license, part FROM units
+          UNION ALL SELECT NULL, NULL, NULL, NULL, license, template FROM given),
+words AS (SELECT * EXCLUDE part, list_filter(string_split(regexp_replace(
+            lower(part), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM both_),
+pairs AS (SELECT * EXCLUDE w, list_distinct(list_transform(range(1, len(w)),
+            lambda i: w[i] || ' ' || w[i + 1])) AS b FROM words),
+mine AS (SELECT rid, doc_id, unit, pos, len(b) AS n, unnest(b) AS bigram FROM pairs WHERE license IS NULL),
+theirs AS (SELECT license, len(b) AS m, unnest(b) AS bigram FROM pairs WHERE license IS NOT NULL)
+SELECT doc_id, unit, pos::INTEGER AS "at", license, n::INTEGER AS n_bigrams, m::INTEGER AS n_template,
+       count(*) AS n_shared, 2.0::DOUBLE * count(*) / (n + m) AS dice
+FROM mine JOIN theirs USING (bigram) GROUP BY rid, doc_id, unit, pos, license, n, m
+HAVING 2.0::DOUBLE * count(*) / (n + m) >= 0.8
+""".replace("{templates}", ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items()))
+
+
+@query(LICENSE_SQL)
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"), threshold=0.8)
 
@@ -138,7 +163,24 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(docs, min_words=30)
 
 
-@query()
+# Equal to nearest() with k 10 and every 100.
+NEAREST_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(
+           list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+WHERE rank <= 10
+"""
+
+
+@query(NEAREST_SQL)
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 

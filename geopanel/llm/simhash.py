@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopanel.llm.common import in_batches, pick, shared_table, utf8
+from geopanel.llm.common import hold, in_batches, pick, shared_table, utf8
 from geopanel.llm.components import components
 
 BITS = 64
@@ -240,6 +240,7 @@ def keep_one(docs: DataFrame, words: int = 3, threshold: int = 3) -> DataFrame:
 
     Repeated rows of one doc_id are one document and stay; so do rows without doc_id.
     """
-    grouped = simhash_components(docs, words, threshold)
-    gone = grouped.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    held, back = hold(docs, "doc_id", "text")
+    grouped = simhash_components(held, words, threshold)
+    gone = grouped.filter("doc_id != component_id").select("doc_id").distinct()
+    return back(held.join(gone, "doc_id", "left_anti"))
