@@ -24,7 +24,6 @@ from geopanel.operators.reshape import (
 )
 
 METRICS = [*RELATIVE_METRICS, *ABSOLUTE_METRICS]
-LABELS = [label for _, label in SIZES]
 _RELATIVE = "variable IN ('POP_TOT', 'HU_TOT', 'GQ_TOT')"
 
 _DIFFS = f"""diffs AS (SELECT *, CASE WHEN {_RELATIVE}
@@ -91,7 +90,7 @@ def score_divergence(spark, sf_dir):
     wide = graded_panel(spark, sf_dir)
     panel = source_panel(wide, ["area", "SIZE_CLASS"], METRICS)
     bands = B.calibrate_bands(wide)
-    return B.score_long(panel, bands, sizes=LABELS).select(
+    return B.score_long(panel, bands).select(
         "area", "variable", "SIZE_CLASS", "difference", "divergence_measure"
     )
 
@@ -99,14 +98,28 @@ def score_divergence(spark, sf_dir):
 @query(_wide_sql("EST"))
 def score_wide(spark, sf_dir):
     wide = graded_panel(spark, sf_dir)
-    graded = B.score_wide(wide, B.calibrate_bands(wide), sizes=LABELS)
+    graded = B.score_wide(wide, B.calibrate_bands(wide))
     return graded.select("area", "SIZE_CLASS", *MEASURE_NAMES.values())
 
 
 @query(_wide_sql("(CEN + EST / 2)"))
 def score_wide_compat(spark, sf_dir):
     wide = graded_panel(spark, sf_dir)
-    graded = B.score_wide(wide, B.calibrate_bands(wide), sizes=LABELS, compat=True)
+    graded = B.score_wide(wide, B.calibrate_bands(wide), compat=True)
+    return graded.select("area", "SIZE_CLASS", *MEASURE_NAMES.values())
+
+
+_FOUR = [(500, "Huge"), *SIZES]
+_FOUR_SQL = _wide_sql("EST").replace(
+    "CASE WHEN CEN_POP_TOT >= 450", "CASE WHEN CEN_POP_TOT >= 500 THEN 'Huge' WHEN CEN_POP_TOT >= 450"
+)
+
+
+@query(_FOUR_SQL)
+def score_more_classes(spark, sf_dir):
+    """A size class the published table does not have is calibrated and graded like any."""
+    wide = graded_panel(spark, sf_dir).withColumn("SIZE_CLASS", size_class("CEN_POP_TOT", _FOUR))
+    graded = B.score_wide(wide, B.calibrate_bands(wide))
     return graded.select("area", "SIZE_CLASS", *MEASURE_NAMES.values())
 
 
@@ -126,12 +139,13 @@ def split_and_pivot(spark, sf_dir):
     )
 
 
-# Estimates of parts with a large early quantity, counts of parts with a large late
-# one: areas missing on either side keep their rows.
+# Counts of parts with a large late quantity; estimates of those with a large early one and
+# of all parts without a count. Every part is on some side, and either side has parts that
+# the other lacks.
 _PARTIAL = f"""WITH {SIZED_SQL}, sides AS (
     SELECT coalesce(e.area, c.area) AS area, c.SIZE_CLASS,
       e.EST_POP_TOT, e.EST_HU_TOT, e.EST_GQ_TOT, c.CEN_POP_TOT, c.CEN_HU_TOT, c.CEN_GQ_TOT
-    FROM (SELECT * FROM sized WHERE EST_POP_TOT >= 300) e
+    FROM (SELECT * FROM sized WHERE EST_POP_TOT >= 300 OR coalesce(CEN_POP_TOT, 0) < 300) e
     FULL JOIN (SELECT * FROM sized WHERE CEN_POP_TOT >= 300) c ON e.area = c.area),
   {long_sql(_EITHER, source='sides')} """
 
@@ -139,8 +153,8 @@ _PARTIAL = f"""WITH {SIZED_SQL}, sides AS (
 def _sides(spark, sf_dir):
     panel = area_panel(spark, sf_dir)
     names = {s: {f"{s}_{m}": m for m in _EITHER} for s in ("EST", "CEN")}
-    est = panel.filter("EST_POP_TOT >= 300").select("area", *names["EST"]) \
-        .withColumnsRenamed(names["EST"])
+    est = panel.filter("EST_POP_TOT >= 300 OR coalesce(CEN_POP_TOT, 0) < 300").select(
+        "area", *names["EST"]).withColumnsRenamed(names["EST"])
     cen = panel.filter("CEN_POP_TOT >= 300").select("area", *names["CEN"]) \
         .withColumnsRenamed(names["CEN"])
     return est, cen.withColumn("SIZE_CLASS", size_class("POP_TOT", SIZES))

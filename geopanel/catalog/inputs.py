@@ -56,14 +56,19 @@ def graded_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return area_panel(spark, sf_dir).withColumns(new)
 
 
-def labour_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly series per supplier and line number, ids built after adding up.
+def labour_series(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    """Monthly series per supplier and line number of one year, ids built after adding up.
 
-    December rows flagged A stand for the annual average.
+    December rows flagged A stand for the annual average. The year is a range over the
+    bare date, so that it reaches the scan.
     """
+    first, last = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
     month = F.month("l_shipdate")
     annual = (F.col("l_returnflag") == "A") & (month == 12)
-    sums = table(spark, sf_dir, "lineitem").groupBy(
+    items = table(spark, sf_dir, "lineitem").filter(
+        (F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last)
+    )
+    sums = items.groupBy(
         "l_suppkey", "l_linenumber", F.year("l_shipdate").alias("year"),
         F.when(annual, 13).otherwise(month).alias("month"),
     ).agg(F.sum("l_quantity").alias("value"))

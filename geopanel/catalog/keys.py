@@ -124,7 +124,7 @@ def crosswalk_rollup_weighted(spark, sf_dir):
 @query("""WITH early AS (SELECT o_custkey, count(*) AS n_early FROM orders
     WHERE o_orderdate < TIMESTAMP '1995-09-01' GROUP BY 1),
   late AS (SELECT o_custkey, count(*) AS n_late FROM orders
-    WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY 1)
+    WHERE o_orderdate >= TIMESTAMP '1995-09-01' GROUP BY 1)
   SELECT coalesce(early.o_custkey, late.o_custkey) AS o_custkey, n_early, n_late
   FROM early FULL JOIN late ON early.o_custkey = late.o_custkey""")
 def full_outer_keys(spark, sf_dir):
@@ -134,33 +134,34 @@ def full_outer_keys(spark, sf_dir):
         return orders.filter(condition).groupBy("o_custkey").agg(F.count(F.lit(1)).alias(name))
 
     day = F.col("o_orderdate")
-    early = counted(day < F.lit("1995-09-01").cast("timestamp_ntz"), "n_early")
-    late = counted(day >= F.lit("2001-01-01").cast("timestamp_ntz"), "n_late")
+    turn = F.lit("1995-09-01").cast("timestamp_ntz")
+    early, late = counted(day < turn, "n_early"), counted(day >= turn, "n_late")
     return J.full_join(early, late, ["o_custkey"])
 
 
 @query("""WITH k AS (SELECT l_partkey AS part, CASE l_returnflag WHEN 'N' THEN NULL
       ELSE l_returnflag END AS flag, l_linestatus, l_quantity FROM lineitem),
   f AS (SELECT part, flag, CAST(sum(l_quantity) AS BIGINT) AS qty_f FROM k
-    WHERE l_linestatus = 'F' AND l_quantity > 20 GROUP BY ALL),
+    WHERE l_linestatus = 'F' GROUP BY ALL),
   o AS (SELECT part, flag, CAST(sum(l_quantity) AS BIGINT) AS qty_o FROM k
-    WHERE l_linestatus = 'O' AND l_quantity > 20 GROUP BY ALL)
+    WHERE l_linestatus <> 'F' GROUP BY ALL)
   SELECT coalesce(f.part, o.part) AS part, coalesce(f.flag, o.flag) AS flag, qty_f, qty_o
   FROM f FULL JOIN o ON f.part IS NOT DISTINCT FROM o.part
     AND f.flag IS NOT DISTINCT FROM o.flag""")
 def full_outer_null_keys(spark, sf_dir):
     """Two-column key of which one part is often NULL; NULL matches NULL."""
-    items = table(spark, sf_dir, "lineitem").filter("l_quantity > 20").select(
+    items = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("part"), F.nullif("l_returnflag", F.lit("N")).alias("flag"),
         "l_linestatus", "l_quantity",
     )
 
-    def side(status):
-        return items.filter(F.col("l_linestatus") == status).groupBy("part", "flag").agg(
-            F.sum("l_quantity").cast("bigint").alias(f"qty_{status.lower()}")
+    def side(rows, name):
+        return items.filter(rows).groupBy("part", "flag").agg(
+            F.sum("l_quantity").cast("bigint").alias(name)
         )
 
-    return J.full_join(side("F"), side("O"), ["part", "flag"])
+    finished = F.col("l_linestatus") == "F"
+    return J.full_join(side(finished, "qty_f"), side(~finished, "qty_o"), ["part", "flag"])
 
 
 @query("""SELECT c_custkey, CASE n_name WHEN 'NATION_3' THEN 'Third Nation' ELSE n_name END
@@ -181,6 +182,18 @@ def lookup_enrich(spark, sf_dir):
     )
 
 
+@query("""SELECT c_custkey, n_name, n_regionkey FROM customer LEFT JOIN nation
+    ON nullif(c_nationkey, 3) IS NOT DISTINCT FROM nullif(n_nationkey, 3)""")
+def lookup_null_keys(spark, sf_dir):
+    """A missing key finds the entry of the lookup that has no key."""
+    customer, nation = (table(spark, sf_dir, t) for t in ("customer", "nation"))
+    return J.left_lookup(
+        customer.select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("key")),
+        nation.select(F.nullif("n_nationkey", F.lit(3)).alias("code"), "n_name", "n_regionkey"),
+        {"key": "code"},
+    ).drop("key")
+
+
 @query("""WITH codes AS (SELECT lpad(CAST(s_nationkey AS VARCHAR), 2, '0')
       || lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS fips, s_nationkey, s_name FROM supplier)
   SELECT fips, n_name AS stabbrev, s_name AS countynm, qty FROM (
@@ -219,6 +232,21 @@ def context_attach(spark, sf_dir):
     return J.attach_context(users, overall, "day")
 
 
+@query("""WITH u AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events
+    WHERE event_type = 'signup' AND user_id % 50 = 0 GROUP BY ALL),
+  a AS (SELECT CAST(ts AS DATE) AS d, count(*) AS overall FROM events GROUP BY ALL)
+  SELECT user_id, CAST(d AS VARCHAR) AS day, n, overall FROM u FULL JOIN a USING (d)""")
+def context_all_periods(spark, sf_dir):
+    """Days without any such row keep the overall value, whatever days there are."""
+    events = table(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("day"), "event_type"
+    )
+    overall = events.groupBy("day").agg(F.count(F.lit(1)).alias("overall"))
+    some = events.filter((F.col("event_type") == "signup") & (F.col("user_id") % 50 == 0))
+    users = some.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    return J.attach_context(users, overall, "day", keep_unmatched=True)
+
+
 @query("""SELECT l_suppkey, CAST(sum(l_quantity) AS BIGINT) AS qty,
     round((SELECT avg(l_discount) FROM lineitem), 6) AS overall_discount,
     (SELECT count(*) FROM lineitem) AS overall_n FROM lineitem GROUP BY l_suppkey""")

@@ -99,7 +99,7 @@ _HOUSING = ", ".join(
     CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem WHERE l_returnflag IN ('N', 'R')
     GROUP BY ALL),
   units AS (SELECT {_pad('l_suppkey')} AS fips, l_partkey % 13 AS code,
-    CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL),
+    CAST(sum(l_quantity) AS BIGINT) AS v FROM lineitem GROUP BY ALL),
   cats AS (SELECT fips, {_CATEGORIES} FROM people GROUP BY fips),
   parts AS (SELECT *, {_PARTS} FROM cats),
   races AS (SELECT fips, total_all_all, all_hisp_all,
@@ -133,7 +133,7 @@ def county_pl(spark, sf_dir):
     )
     codes = F.array(*[F.lit(c) for c in HOUSING_CODES])
     housing = long(
-        items.filter(F.col("l_linestatus") == "F"),
+        items,
         [(F.col("l_partkey") % 13).cast("int").alias("place")], F.get(codes, F.col("place")),
     )
     supplier, nation = (table(spark, sf_dir, t) for t in ("supplier", "nation"))
@@ -182,8 +182,7 @@ _STRICT_SUMS = ", ".join(
 @query(f"""WITH people AS (SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) AS EST_POP_TOT,
     {_group_sql('EST_')} FROM lineitem
     WHERE l_shipdate < TIMESTAMP '1998-07-01' AND l_returnflag <> 'A' GROUP BY 1),
-  units AS (SELECT l_partkey, count(*) AS EST_HU_TOT FROM lineitem WHERE l_linenumber = 1
-    GROUP BY 1),
+  units AS (SELECT l_partkey, count(*) AS EST_HU_TOT FROM lineitem GROUP BY 1),
   gq AS (SELECT l_partkey, {_qty('year(l_shipdate) = 1997')} AS g1,
     {_qty('year(l_shipdate) = 1998')} AS g2 FROM lineitem GROUP BY 1),
   areas AS (SELECT p_brand AS STNAME, p_name AS CTYNAME, {_pad('p_partkey')} AS GEOID,
@@ -225,14 +224,12 @@ def estimates(spark, sf_dir):
         .join(names, "l_partkey").withColumns({"STATE": state, "COUNTY": county})
     )
 
-    def county_level(*aggregates, rows=F.lit(True)):
-        return items.filter(rows).groupBy("l_partkey").agg(*aggregates).select(
+    def county_level(*aggregates):
+        return items.groupBy("l_partkey").agg(*aggregates).select(
             F.lit("050").alias("SUMLEV"), state.alias("STATE"), county.alias("COUNTY"), "*"
         )
 
-    housing = county_level(
-        F.count(F.lit(1)).alias("HUESTIMATE042020"), rows=F.col("l_linenumber") == 1
-    )
+    housing = county_level(F.count(F.lit(1)).alias("HUESTIMATE042020"))
     components = county_level(
         _quantity(_shipped("1997-01-01", "1998-01-01")).alias("GQESTIMATES2019"),
         _quantity(_shipped("1998-01-01", "1999-01-01")).alias("GQESTIMATES2020"),
@@ -265,7 +262,7 @@ def _side_sql(source: str, period: str, units: str, quarters: str) -> str:
       {_group_sql(source + '_')} FROM lineitem JOIN part ON p_partkey = l_partkey
       WHERE {period} AND l_returnflag <> 'A' GROUP BY ALL),
     {name}_units AS (SELECT l_partkey AS k, {units} AS {source}_HU_TOT FROM lineitem
-      WHERE {period} AND l_linenumber <= 2 GROUP BY 1),
+      WHERE {period} GROUP BY 1),
     {name}_gq AS (SELECT l_partkey AS k, {quarters} AS {source}_GQ_TOT FROM lineitem
       GROUP BY 1),
     {name}_joined AS (SELECT coalesce(area, {_pad('k')}) AS area, * EXCLUDE (k, area)
@@ -312,7 +309,7 @@ def cutpoints(spark, sf_dir):
         )
 
     def units(rows):
-        return items.filter(rows & (F.col("l_linenumber") <= 2)).groupBy("l_partkey").agg(
+        return items.filter(rows).groupBy("l_partkey").agg(
             F.count(F.lit(1)).alias("n")
         )
 
@@ -570,28 +567,17 @@ _RATE_SQL = "CASE WHEN {q} % 10 = 0 THEN NULL ELSE CAST({q} AS DOUBLE) END"
   UNION ALL SELECT parent, year, CASE WHEN count(rate) = count(*) THEN round(avg(rate), 6) END,
     round(avg(us), 6) FROM rr JOIN {_ROLLED_SQL} ON member = GEOID GROUP BY parent, year""")
 def response_rates(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
     key = number_key("l_suppkey", 5)
-    quantity = F.sum("l_quantity").cast("bigint")
-
-    def year(y):
-        return items.filter(_shipped(f"{y}-01-01", f"{y + 1}-01-01"))
-
-    def county(y):
-        return year(y).groupBy("l_suppkey").agg(quantity.alias("q")).select(
-            F.substring(key, 1, 2).alias("state"), F.substr(key, F.lit(3)).alias("county"),
-            F.when(F.col("q") % 10 == 0, "n/a").otherwise(F.col("q").cast("string"))
-            .alias("rate"),
-        )
-
-    def national(y):
-        return year(y).agg(quantity.cast("string").alias("rate"))
-
-    vintages = ((1998, 2020), (1997, 2010))
-    return plans.response_rates(
-        [(county(y), label) for y, label in vintages],
-        [(national(y), label) for y, label in vintages], rolled_up=ROLLED_UP,
+    sums = table(spark, sf_dir, "lineitem").filter(_shipped("1997-01-01", "1999-01-01")).groupBy(
+        "l_suppkey", F.year("l_shipdate").alias("y")
+    ).agg(F.sum("l_quantity").cast("bigint").alias("q"))
+    year = F.when(F.col("y") == 1997, 2010).otherwise(2020).alias("year")
+    county = sums.select(
+        F.substring(key, 1, 2).alias("state"), F.substr(key, F.lit(3)).alias("county"), year,
+        F.when(F.col("q") % 10 == 0, "n/a").otherwise(F.col("q").cast("string")).alias("rate"),
     )
+    national = sums.groupBy("y").agg(F.sum("q").cast("string").alias("rate")).select(year, "rate")
+    return plans.response_rates(county, national, rolled_up=ROLLED_UP)
 
 
 def _unemployment_sql(width: int) -> str:
@@ -617,7 +603,7 @@ def _unemployment(spark, sf_dir, compat):
         F.concat(number_key("m", 2), F.lit("/01/97")).alias("month"),
         "national_unemployment_rate",
     )
-    series = labour_series(spark, sf_dir)
+    series = labour_series(spark, sf_dir, 1997)
     return plans.unemployment(series, national, year=1997, compat=compat)
 
 

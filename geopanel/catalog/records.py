@@ -136,15 +136,17 @@ def distinct_rows(spark, sf_dir):
   WHERE c_nationkey IN (1, 2)""")
 def rollup_first_row(spark, sf_dir):
     """Figures of the member areas added up, text taken from the first member."""
-    areas = table(spark, sf_dir, "customer").select(
-        F.col("c_nationkey").cast("string").alias("area"), "c_custkey", "c_name",
+    customer = table(spark, sf_dir, "customer")
+    areas = customer.select(
+        F.col("c_nationkey").cast("string").alias("area"), "c_custkey",
         F.col("c_acctbal").cast("decimal(18,2)").alias("balance"), F.lit(1).alias("n"),
     )
     rolled = roll_up_rows(
         areas, "area", {"99999": ["1", "2"]}, columns=["balance", "n"],
-        extra=[F.min_by("c_name", "c_custkey").alias("c_name")],
+        extra=[F.min("c_custkey").alias("c_custkey")],
     )
-    return rolled.withColumn("balance", F.col("balance").cast("double"))
+    named = rolled.join(customer.select("c_custkey", "c_name"), "c_custkey")
+    return named.withColumn("balance", F.col("balance").cast("double")).drop("c_custkey")
 
 
 _TYPES = ["click", "error", "purchase", "signup", "view"]

@@ -39,7 +39,30 @@ def densify_grid(spark, sf_dir):
     calendar = sampled.groupBy("day").agg(F.avg("l_quantity").alias("overall"))
     facts = sampled.groupBy("s_suppkey", "day").agg(F.avg("l_quantity").alias("own"))
     areas = table(spark, sf_dir, "supplier").select("s_suppkey")
-    return S.densify(areas, calendar, facts, "s_suppkey", "day", S.week_dates(*_Y1997))
+    return S.densify(areas, calendar, facts, "s_suppkey", "day", S.week_range(*_Y1997))
+
+
+@query("""WITH s AS (SELECT nullif(l_suppkey, 1) AS area, CAST(l_shipdate AS DATE) AS day,
+    l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-02'
+      AND l_shipdate < TIMESTAMP '1998-01-01' AND dayofweek(l_shipdate) = 0),
+  days AS (SELECT day, count(*) AS overall FROM s GROUP BY 1),
+  facts AS (SELECT area, day, count(*) AS own FROM s GROUP BY 1, 2),
+  areas AS (SELECT nullif(s_suppkey, 1) AS area FROM supplier)
+  SELECT areas.area, CAST(days.day AS VARCHAR) AS day, overall, own FROM areas CROSS JOIN days
+  LEFT JOIN facts ON facts.area IS NOT DISTINCT FROM areas.area AND facts.day = days.day""")
+def densify_null_area(spark, sf_dir):
+    """An area without code gets the facts without code."""
+    sampled = S.weekly_sample(table(spark, sf_dir, "lineitem"), "l_shipdate", *_Y1997).select(
+        F.nullif("l_suppkey", F.lit(1)).alias("area"), F.to_date("l_shipdate").alias("day")
+    )
+    count = F.count(F.lit(1))
+    areas = table(spark, sf_dir, "supplier").select(
+        F.nullif("s_suppkey", F.lit(1)).alias("area"))
+    return S.densify(
+        areas, sampled.groupBy("day").agg(count.alias("overall")),
+        sampled.groupBy("area", "day").agg(count.alias("own")), "area", "day",
+        S.week_range(*_Y1997),
+    )
 
 
 @query("""WITH t AS (SELECT user_id, avg(value) FILTER (WHERE event_type = 'view') AS a,
@@ -64,7 +87,7 @@ _SERIES = """series AS (SELECT 'LAUCN' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0
   WHERE year = 1997 AND period <> 'M13' AND regexp_matches(series_id, 'LAUCN.+03$')""")
 def series_decode(spark, sf_dir):
     """Series ids built from supplier and line number, selected and taken apart."""
-    decoded = S.decode_series(labour_series(spark, sf_dir), 1997, out="qty")
+    decoded = S.decode_series(labour_series(spark, sf_dir, 1997), 1997, out="qty")
     return decoded.withColumn("qty", F.col("qty").cast("bigint"))
 
 
@@ -75,24 +98,14 @@ def series_decode(spark, sf_dir):
   SELECT o_custkey, CAST(year AS INTEGER) AS year, n, n_all FROM v FULL JOIN us USING (year)""")
 def two_vintage_panel(spark, sf_dir):
     """Two years stacked, joined in full with the overall figures of three."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
-
-    def of(year):
-        day = F.col("o_orderdate")
-        first, last = dt.datetime(year, 1, 1), dt.datetime(year + 1, 1, 1)
-        return orders.filter(
-            (day >= F.lit(first).cast("timestamp_ntz"))
-            & (day < F.lit(last).cast("timestamp_ntz"))
-        )
-
-    local = S.stack_vintages([
-        (of(y).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")), y) for y in (1997, 1998)
-    ])
-    overall = S.stack_vintages([
-        (of(y).agg(F.count(F.lit(1)).alias("n_all")), y) for y in (1997, 1998, 1999)
-    ])
-    return attach_context(
-        local, overall, "year", periods=[1997, 1998, 1999], keep_unmatched=True
-    )
+    day, year = F.col("o_orderdate"), F.year("o_orderdate").alias("year")
+    counts = table(spark, sf_dir, "orders").filter(
+        (day >= F.lit(dt.datetime(1997, 1, 1)).cast("timestamp_ntz"))
+        & (day < F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz"))
+    ).groupBy("o_custkey", year).agg(F.count(F.lit(1)).alias("n"))
+    # A condition on the count as well, so that both sides share the aggregation.
+    local = counts.filter((F.col("n") > 0) & (F.when(F.col("year") < 1999, F.col("n")) > 0))
+    overall = counts.groupBy("year").agg(F.sum("n").alias("n_all"))
+    return attach_context(local, overall, "year", keep_unmatched=True)
 
 

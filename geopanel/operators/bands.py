@@ -17,13 +17,11 @@ from geopanel.constants import (
     HIGH,
     MEASURE_NAMES,
     RELATIVE_METRICS,
-    SIZE_CUTS,
     SLIGHT,
 )
 from geopanel.functions import is_member, quoted, single_value, sql, text
 from geopanel.operators.joins import left_join
 
-SIZE_LABELS = tuple(label for _, label in SIZE_CUTS)
 RANGES = ("range_1_high", "range_1_low", "range_2_high", "range_2_low")
 
 
@@ -138,21 +136,14 @@ def divergence_label(difference: str, bands: str = "") -> Column:
     )
 
 
-def _graded(metrics: Sequence[str], size: str, sizes: Sequence[str]) -> Column:
-    listed = F.col(size).isin(list(sizes)) | F.col(size).isNull()
-    return F.col("variable").isin(list(metrics)) & listed
-
-
 def bands_by_size(
     bands: DataFrame, metrics: Sequence[str], size: str = "SIZE_CLASS",
-    sizes: Sequence[str] = SIZE_LABELS,
 ) -> DataFrame:
-    """One row per size class with a struct of ranges per metric.
+    """One row per size class (and for areas without one) with a struct of ranges per metric.
 
-    At most one row per listed class and one for areas without a class, whatever the
-    input, so it is safe to broadcast. A repeated (metric, class) is an error.
+    All classes the bands have are kept. A repeated (metric, class) is an error.
     """
-    kept = bands.filter(_graded(metrics, size, sizes))
+    kept = bands.filter(F.col("variable").isin(list(metrics)))
     ranges = F.struct(*[F.col(r).cast("double").alias(r) for r in RANGES])
     return kept.groupBy(size).agg(*[
         single_value(ranges, F.col("variable") == m).alias(f"__band_{m}") for m in metrics
@@ -162,24 +153,24 @@ def bands_by_size(
 def score_wide(
     df: DataFrame, bands: DataFrame, relative: Sequence[str] = tuple(RELATIVE_METRICS),
     absolute: Sequence[str] = tuple(ABSOLUTE_METRICS),
-    names: Mapping[str, str] = MEASURE_NAMES, size: str = "SIZE_CLASS",
-    sizes: Sequence[str] = SIZE_LABELS, compat: bool = False,
+    names: Mapping[str, str] = MEASURE_NAMES, size: str = "SIZE_CLASS", compat: bool = False,
     estimate: str = "EST_", actual: str = "CEN_",
 ) -> DataFrame:
     """Add one grade column per metric.
 
-    The bands travel as one row per size class and the grades are plain
-    expressions, so the wide frame is neither reshaped nor shuffled.
+    The bands meet the areas as one row per size class and the grades are plain
+    expressions, so the wide frame is not reshaped; nor is it shuffled while the bands
+    are as small as bands are, which is for the optimizer to see.
     """
     metrics = [*relative, *absolute]
-    by_size = bands_by_size(bands, metrics, size, sizes)
+    by_size = bands_by_size(bands, metrics, size)
     differences = df.withColumns({
         f"__d_{m}": scoring_difference(
             f"{actual}{m}", f"{estimate}{m}", m in set(relative), compat
         )
         for m in metrics
     })
-    joined = left_join(differences, by_size, [size], bounded=True)
+    joined = left_join(differences, by_size, [size])
     ordered = [m for m in names if m in metrics]
     ordered += [m for m in metrics if m not in names]
     return joined.select(*df.columns, *[
@@ -191,26 +182,23 @@ def score_wide(
 def score_long(
     df: DataFrame, bands: DataFrame, relative: Sequence[str] = tuple(RELATIVE_METRICS),
     absolute: Sequence[str] = tuple(ABSOLUTE_METRICS), size: str = "SIZE_CLASS",
-    sizes: Sequence[str] = SIZE_LABELS, compat: bool = False,
-    estimate: str = "EST", actual: str = "CEN", label: str = "divergence_measure",
+    compat: bool = False, estimate: str = "EST", actual: str = "CEN",
+    label: str = "divergence_measure",
 ) -> DataFrame:
     """Add ``difference`` and its grade to a long frame.
 
-    Bands outside the listed metrics and classes cannot match; what is left has at
-    most ``metrics x (classes + 1)`` rows and is broadcast.
+    A repeated (metric, class) among the bands is an error.
     """
     metrics = [*relative, *absolute]
     small = (
-        bands.filter(_graded(metrics, size, sizes))
+        bands.filter(F.col("variable").isin(list(metrics)))
         .groupBy("variable", size)
         .agg(*[single_value(F.col(r).cast("double")).alias(r) for r in RANGES])
     )
     diff = F.when(
         is_member("variable", relative), scoring_difference(actual, estimate, True, compat)
     ).otherwise(scoring_difference(actual, estimate, False))
-    joined = left_join(
-        df.withColumn("difference", diff), small, ["variable", size], bounded=True
-    )
+    joined = left_join(df.withColumn("difference", diff), small, ["variable", size])
     return joined.select(
         *df.columns, "difference", divergence_label("difference").alias(label)
     )

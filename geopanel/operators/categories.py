@@ -48,13 +48,20 @@ def category_columns(
 ) -> list[Column]:
     """Aggregates that add up the listed codes of each group.
 
-    A group with a missing or NULL code is NULL; a repeated code is an error.
+    A group with a missing or NULL code is NULL; a repeated code is an error, also beside
+    a missing one: a group has as many rows as it has different codes, which are
+    counted as bits.
     """
     out = []
     for name, codes in groups.items():
+        codes = list(dict.fromkeys(codes))
         member = f"{{c}} IN ({', '.join(map(text, codes))})"
+        found = " + ".join(
+            f"bit_count(coalesce(bit_or({_bits(codes[at:at + 63])}), 0L))"
+            for at in range(0, len(codes), 63)
+        )
         out.append(sql(
-            f"CASE WHEN count_if({member}) > {len(codes)} "
+            f"CASE WHEN count_if({member}) > {found} "
             f"THEN raise_error({text(f'a code of group {name} is repeated')}) "
             f"WHEN count({{v}}) FILTER (WHERE {member}) = {len(codes)} "
             f"THEN sum({{v}}) FILTER (WHERE {member}) END",
@@ -63,6 +70,13 @@ def category_columns(
     return out
 
 
+def _bits(codes: Sequence[str]) -> str:
+    """One bit per code, as SQL."""
+    return "CASE {c} " + " ".join(
+        f"WHEN {text(c)} THEN {1 << n}L" for n, c in enumerate(codes)
+    ) + " END"
+
+
 def collapse_categories(
     df: DataFrame, ids: Sequence[str], code: str, value: str,
     groups: Mapping[str, Sequence[str]],

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geopanel.functions import alias_code, numeric_columns, strict_mean, strict_sum
-from geopanel.operators.columns import bind_rows
 
 Crosswalk = Mapping[str, str] | DataFrame
 Members = Mapping[str, Sequence[str]] | DataFrame
@@ -53,15 +52,17 @@ def merge_keys(
 def replicate_keys(df: DataFrame, key: str, crosswalk: Members) -> DataFrame:
     """Copy a code's rows to the codes it was split into; the old code stays.
 
-    With a dictionary one generator does it in a single pass over the input.
+    A single pass over the input: one generator with a dictionary, one left join with a
+    table, to which every split code is added as a target of its own.
     """
     if isinstance(crosswalk, DataFrame):
-        copies = (
-            df.join(crosswalk.select(F.col("from").alias(key), "to"), key)
-            .withColumn(key, F.col("to"))
+        pairs = crosswalk.select(F.col("from").alias("__from"), F.col("to").alias("__to"))
+        pairs = pairs.union(pairs.select("__from", "__from").distinct())
+        return (
+            df.join(pairs, F.col(key) == F.col("__from"), "left")
+            .withColumn(key, F.coalesce("__to", key))
             .select(*df.columns)
         )
-        return bind_rows(df, copies)
     targets = F.coalesce(
         F.try_element_at(_one_to_many(crosswalk), F.col(key)), F.array().cast("array<string>")
     )
@@ -112,11 +113,80 @@ def roll_up_rows(
     )
 
 
+def _beside_parents(df: DataFrame, key: str, members: Members) -> DataFrame:
+    """Every row under its own code, and again under each code it rolls up to (__rolled)."""
+    if isinstance(members, DataFrame):
+        pairs = members.select(
+            F.col("from").alias("__from"), F.col("to").alias("__to"), F.lit(True).alias("__up"))
+        pairs = pairs.union(pairs.select("__from", "__from", F.lit(False)).distinct())
+        return df.join(pairs, F.col(key) == F.col("__from"), "left").withColumns({
+            key: F.coalesce("__to", key), "__rolled": F.coalesce("__up", F.lit(False))
+        })
+    parents: dict[str, list[str]] = {}
+    for parent, codes in members.items():
+        for code in codes:
+            parents.setdefault(code, []).append(parent)
+    targets = F.coalesce(
+        F.try_element_at(_one_to_many(parents), F.col(key)), F.array().cast("array<string>")
+    )
+    places = F.concat(
+        F.array(F.struct(F.col(key).alias("code"), F.lit(False).alias("rolled"))),
+        F.transform(targets, lambda t: F.struct(t.alias("code"), F.lit(True).alias("rolled"))),
+    )
+    return df.withColumn("__place", F.explode(places)).withColumns({
+        key: F.col("__place.code"), "__rolled": F.col("__place.rolled")
+    })
+
+
 def roll_up(
     df: DataFrame, key: str, members: Members, by: Sequence[str] = (),
     how: str = "sum", weight: str | None = None, columns: Sequence[str] | None = None,
-    extra: Sequence[Column] = (), fill: bool = False,
+    extra: Mapping[str, Column] | None = None,
+    labels: Mapping[str, Mapping[str, str]] | None = None,
+    mark: str | None = None,
 ) -> DataFrame:
-    """All rows, plus one row per rolled-up code; the member rows stay."""
-    rows = roll_up_rows(df, key, members, by, how, weight, columns, extra)
-    return bind_rows(df, rows, fill=fill)
+    """All rows, plus one row per rolled-up code; the member rows stay.
+
+    One pass and one aggregation: a row stands under its own code and under its parents.
+    ``key`` and ``by`` must be unique together, a repeated row is an error. ``columns``
+    (all numeric ones by default) are rolled up as in ``roll_up_rows``, further numeric ones
+    are NULL for the new rows, and the ``extra`` aggregates, by name, run over member rows
+    and own rows alike. Text columns are named in ``labels``, with the texts of the new rows by code.
+    ``mark`` names a column that tells the new rows.
+    """
+    labels = labels or {}
+    numbers = numeric_columns(df, [key, *by])
+    figures = list(columns) if columns is not None else numbers
+    rolled = F.col("__rolled")
+    if weight is not None:
+        combined = {
+            c: strict_sum(F.col(c) * F.col(weight)) / F.nullif(strict_sum(weight), F.lit(0))
+            for c in figures if c != weight
+        }
+        if weight in figures:
+            combined[weight] = strict_sum(weight)
+    else:
+        combine = {"sum": strict_sum, "mean": strict_mean}[how]
+        combined = {c: combine(c) for c in figures}
+    extra = extra or {}
+    aggregates = [
+        (F.when(rolled, combined[c]) if c in combined else F.when(rolled, None))
+        .otherwise(F.max(c)).alias(c)
+        for c in dict.fromkeys([*figures, *numbers]) if c not in extra
+    ]
+    texts = {
+        c: F.when(rolled, alias_code(key, known) if known else F.lit(None).cast("string"))
+        .otherwise(F.col(c))
+        for c, known in labels.items()
+    }
+    out = (
+        _beside_parents(df, key, members).withColumns(texts)
+        .groupBy(key, "__rolled", *by, *labels)
+        .agg(
+            F.expr("assert_true(__rolled OR count(1) < 2, 'a key occurs twice')").alias("__once"),
+            *aggregates, *[c.alias(name) for name, c in extra.items()],
+        )
+        .filter(F.col("__once").isNull())
+    )
+    kept = [c for c in df.columns if c in out.columns]
+    return out.select(*kept, *([rolled.alias(mark)] if mark else []))

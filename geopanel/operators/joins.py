@@ -1,33 +1,45 @@
 """Joins with the matching rules the tables rely on.
 
-No join here carries a broadcast hint unless the hinted side has a row bound that
-follows from the code (see ``period_rows``). Everything else is left to the
-optimizer's size estimate and to adaptive execution, which also splits hot keys of
-a left join.
+Missing keys match each other, and where one side must have unique keys a repeated one is
+an error. No join here carries a broadcast hint: the optimizer broadcasts a side whose size
+it knows to be small, and adaptive execution splits hot keys of the left joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geopanel.functions import single_value
 
-# Above this many periods a context table is joined without a broadcast hint.
-BROADCAST_ROWS = 100_000
+
+def with_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, or an error if a combination of its keys occurs twice; NULL is a key.
+
+    The check counts rows by key, a hash aggregation however wide the frame is.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    most = counts.agg(F.max("__rows")).scalar()
+    repeated = F.raise_error(F.lit(f"a key occurs twice: {', '.join(keys)}")).cast("boolean")
+    return df.filter(F.when(most > 1, repeated).otherwise(F.lit(True)))
 
 
 def full_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: bool = True
+    left: DataFrame, right: DataFrame, keys: Sequence[str], nullable: bool = True,
+    check: bool = True,
 ) -> DataFrame:
     """Full outer join on keys that are unique on both sides, keys coalesced.
 
     NULL keys match NULL keys, and the join stays an equi-join. Say ``nullable=False``
     for keys that are never NULL: a plain equality can reuse a side's partitioning.
+    A repeated key is an error; say ``check=False`` only for sides that are unique by how
+    they were made, by a grouping on the keys for instance.
     """
+    if check:
+        left, right = with_unique_keys(left, keys), with_unique_keys(right, keys)
     if not nullable:
         return left.join(right, list(keys), "full")
     lhs = left.withColumnsRenamed({k: f"__l_{k}" for k in keys})
@@ -42,35 +54,54 @@ def full_join(
 def left_lookup(
     df: DataFrame, lookup: DataFrame, on: Mapping[str, str] | Sequence[str]
 ) -> DataFrame:
-    """Left join; ``on`` maps key of ``df`` -> key of ``lookup``; lookup keys are dropped."""
+    """Left join; ``on`` maps key of ``df`` -> key of ``lookup``; lookup keys are dropped.
+
+    NULL keys match NULL keys; a repeated key of ``lookup`` is an error.
+    """
     pairs = on if isinstance(on, Mapping) else {k: k for k in on}
-    right = lookup.withColumnsRenamed({k: f"__k_{k}" for k in pairs.values()})
-    condition = [F.col(k) == F.col(f"__k_{r}") for k, r in pairs.items()]
+    right = with_unique_keys(lookup, list(pairs.values())).withColumnsRenamed(
+        {k: f"__k_{k}" for k in pairs.values()}
+    )
+    condition = [F.col(k).eqNullSafe(F.col(f"__k_{r}")) for k, r in pairs.items()]
     return df.join(right, condition, "left").drop(*[f"__k_{r}" for r in pairs.values()])
 
 
+def _hashed(kind: T.DataType) -> bool:
+    """Can a maximum of this type be kept in a hash aggregation?"""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+                             T.TimestampNTZType))
+
+
 def combine_sources(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Full outer join of any number of frames that are unique per key.
 
     Stack the frames and aggregate by key: one exchange however many frames there
-    are, nothing to sort, and NULL keys fall together. A key that occurs twice in a
-    frame is an error. Apart from the keys, every column belongs to one frame.
+    are, and NULL keys fall together. A key that occurs twice in a frame is an error.
+    Apart from the keys, every column belongs to one frame. Only numbers and dates are
+    aggregated, by hash; texts are joined to the result from the frame that has them.
     """
+    texts = {
+        n: [f.name for f in frame.schema if f.name not in keys and not _hashed(f.dataType)]
+        for n, frame in enumerate(frames)
+    }
     stacked = None
     for number, frame in enumerate(frames):
-        part = frame.withColumn("__source", F.lit(number))
+        part = frame.drop(*texts[number]).withColumn("__source", F.lit(number))
         stacked = part if stacked is None else stacked.unionByName(part, True)
     values = [c for frame in frames for c in frame.columns if c not in keys]
     once = " AND ".join(f"count_if(__source = {n}) < 2" for n in range(len(frames)))
-    return (
+    combined = (
         stacked.groupBy(*keys)
         .agg(
             F.expr(f"assert_true({once}, 'a key occurs twice in one source')").alias("__once"),
-            *[F.max(c).alias(c) for c in values],
+            *[F.max(c).alias(c) for c in stacked.columns if c not in [*keys, "__source"]],
         )
         .filter(F.col("__once").isNull())
-        .select(*keys, *values)
     )
+    for number, columns in texts.items():
+        if columns:
+            combined = left_join(combined, frames[number].select(*keys, *columns), keys)
+    return combined.select(*keys, *values)
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -82,58 +113,27 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: scalar.getField(c) for c in one_row.columns})
 
 
-def period_rows(
-    context: DataFrame, period: str, periods: Sequence[Any]
-) -> tuple[DataFrame, bool]:
-    """The context of the listed periods, one row each, and whether to broadcast it.
-
-    The filter and the grouping bound the result by ``len(periods)``.
-    """
-    values = [c for c in context.columns if c != period]
-    rows = (
-        context.filter(F.col(period).isin(list(periods)))
-        .groupBy(period)
-        .agg(*[single_value(c).alias(c) for c in values])
-    )
-    return rows, len(set(periods)) <= BROADCAST_ROWS
-
-
 def attach_context(
-    df: DataFrame, context: DataFrame, period: str, periods: Sequence[Any] | None = None,
-    keep_unmatched: bool = False,
+    df: DataFrame, context: DataFrame, period: str, keep_unmatched: bool = False
 ) -> DataFrame:
     """Put the period's overall value beside each row of that period.
 
-    Give ``periods`` when they are known: the context is then bounded and broadcast.
-    ``keep_unmatched`` adds context rows whose period no row has, which makes the
-    result that of a full outer join but leaves the large side splittable.
+    A period with two overall rows is an error. ``keep_unmatched`` adds the context rows
+    whose period no row has: the rows of a full outer join, but the large side takes
+    part in a left join only, which stays splittable.
     """
-    if periods is None:
-        if keep_unmatched:
-            raise ValueError("keep_unmatched needs the list of periods")
-        return left_join(df, context, [period])
-    context, small = period_rows(context, period, periods)
     values = [c for c in context.columns if c != period]
-    out = df.join(F.broadcast(context) if small else context, period, "left").select(
-        *df.columns, *values
-    )
+    context = context.groupBy(period).agg(*[single_value(c).alias(c) for c in values])
+    out = left_join(df, context, [period]).select(*df.columns, *values)
     if not keep_unmatched:
         return out
-    marks = df.select(period, F.lit(1).alias("__seen"))
-    unmatched = (
-        context.withColumn("__seen", F.lit(0)).unionByName(marks, allowMissingColumns=True)
-        .groupBy(period)
-        .agg(F.max("__seen").alias("__seen"), *[F.max(c).alias(c) for c in values])
-        .filter("__seen = 0")
-        .drop("__seen")
-    )
+    seen = df.select(F.col(period).alias("__seen")).distinct()
+    unmatched = context.join(seen, F.col(period).eqNullSafe(F.col("__seen")), "left_anti")
     return out.unionByName(unmatched, allowMissingColumns=True)
 
 
-def left_join(
-    df: DataFrame, other: DataFrame, keys: Sequence[str], bounded: bool = False
-) -> DataFrame:
-    """Left join in which NULL keys match NULL keys; a ``bounded`` side is broadcast.
+def left_join(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which NULL keys match NULL keys.
 
     Also the form to use when ``other`` was aggregated by the same keys: a plain
     equality would reuse that partitioning and leave adaptive execution without a
@@ -141,8 +141,6 @@ def left_join(
     """
     right = other.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     condition = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    if bounded:
-        right = F.broadcast(right)
     return df.join(right, condition, "left").drop(*[f"__k_{k}" for k in keys])
 
 

@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopanel.functions import on_weekday, slice_text
+from geopanel.functions import on_weekday, single_value, slice_text
 from geopanel.functions.scalar import WEEKDAYS
 from geopanel.operators.compare import percent
-from geopanel.operators.joins import period_rows
+from geopanel.operators.joins import left_join
 from geopanel.operators.reshape import code_columns
 
 
@@ -31,32 +31,37 @@ def weekly_sample(
     return df.filter(inside(date, after, before) & on_weekday(date, day))
 
 
-def week_dates(after: dt.date, before: dt.date, day: str = "Sun") -> list[dt.date]:
-    """Every such weekday strictly inside the range."""
+def week_range(
+    after: dt.date, before: dt.date, day: str = "Sun"
+) -> tuple[dt.date, dt.date] | None:
+    """First and last such weekday strictly inside the range; None if there is none."""
     first = after + dt.timedelta(days=1)
     python_day = (WEEKDAYS[day] - 2) % 7  # Monday is 0 in Python
     first += dt.timedelta(days=(python_day - first.weekday()) % 7)
-    weeks = (before - first).days
-    return [first + dt.timedelta(days=7 * w) for w in range(-(-weeks // 7))] if weeks > 0 else []
+    if first >= before:
+        return None
+    return first, first + dt.timedelta(weeks=((before - first).days - 1) // 7)
 
 
 def densify(
     areas: DataFrame, calendar: DataFrame, facts: DataFrame, key: str, date: str,
-    dates: Sequence[dt.date],
+    span: tuple[dt.date, dt.date] | None, step: int = 7,
 ) -> DataFrame:
     """Every calendar date for every area, facts beside it, gaps as NULL.
 
-    ``dates`` bounds the calendar: each area row generates that short list itself,
-    the calendar (one row per date, columns of overall values) is a bounded
-    equi-join, and the facts join on both keys, so one area with most of the facts
-    still spreads over partitions by date.
+    Each area row generates the dates from the first to the last of ``span`` itself,
+    the calendar (one row per date, columns of overall values; a repeated date is an
+    error) keeps those it has, and the facts join on both keys, so one area with most of
+    the facts still spreads over partitions by date. A missing area matches facts
+    without area. Facts must be unique by area and date.
     """
-    if not dates:
+    if span is None:
         raise ValueError("densify() needs at least one date")
-    grid = areas.withColumn(date, F.explode(F.array(*[F.lit(d) for d in dates])))
-    context, small = period_rows(calendar, date, dates)
-    grid = grid.join(F.broadcast(context) if small else context, date)
-    return grid.join(facts, [date, key], "left")
+    dates = F.sequence(*map(F.lit, span), F.expr(f"INTERVAL '{step}' DAY"))
+    grid = areas.withColumn(date, F.explode(dates))
+    values = [c for c in calendar.columns if c != date]
+    context = calendar.groupBy(date).agg(*[single_value(c).alias(c) for c in values])
+    return left_join(grid.join(context, date), facts, [date, key])
 
 
 def percent_of_base(

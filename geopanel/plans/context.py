@@ -17,7 +17,7 @@ from geopanel.operators.series import (
     decode_series,
     densify,
     stack_vintages,
-    week_dates,
+    week_range,
     weekly_sample,
 )
 
@@ -43,44 +43,42 @@ def covid_weekly(
         remove_first_text("geoid", "USA-").alias("geoid"), "date",
         F.col("cases_avg_per_100k").alias(local),
     )
-    dense = densify(keys, weeks, facts, "geoid", "date", week_dates(after, before))
+    dense = densify(keys, weeks, facts, "geoid", "date", week_range(after, before))
     dense = dense.select("geoid", "date", overall, local)
     if compat:
         return roll_up(dense, "geoid", rolled_up, by=["date"])
     return roll_up(
         dense, "geoid", rolled_up, by=["date"], columns=[local],
-        extra=[F.max(overall).alias(overall)],
+        extra={overall: F.max(overall)},
     )
 
 
 def response_rates(
-    county: Sequence[tuple[DataFrame, int]], national: Sequence[tuple[DataFrame, int]],
+    county: DataFrame | Sequence[tuple[DataFrame, int]],
+    national: DataFrame | Sequence[tuple[DataFrame, int]],
     rolled_up: Members = ROLLED_UP_AREAS, weight: str | None = None,
 ) -> DataFrame:
     """Self-response rate per area and census year, the national rate beside it.
 
     Each frame holds text columns ``rate`` and, for counties, ``state`` and
-    ``county``; it comes with its year. A national year without county rows keeps
+    ``county``; it comes with its year, or one frame holds all vintages with a column
+    ``year``. An area may occur once a year. A national year without county rows keeps
     its row.
     """
-    years = [year for _, year in national]
     figure, overall = "county-response-rate", "us-response-rate"
-    local = stack_vintages([
-        (
-            df.select(
-                pad_key(F.concat("state", "county"), 5).alias("GEOID"),
-                as_number("rate").alias(figure),
-                *([weight] if weight else []),
-            ),
-            year,
-        )
-        for df, year in county
-    ])
-    us = stack_vintages([(df.select(as_number("rate").alias(overall)), y) for df, y in national])
-    joined = attach_context(local, us, "year", periods=years, keep_unmatched=True)
+
+    def vintages(frames):
+        return frames if isinstance(frames, DataFrame) else stack_vintages(frames)
+
+    local = vintages(county).select(
+        pad_key(F.concat("state", "county"), 5).alias("GEOID"), "year",
+        as_number("rate").alias(figure), *([weight] if weight else []),
+    )
+    us = vintages(national).select("year", as_number("rate").alias(overall))
+    joined = attach_context(local, us, "year", keep_unmatched=True)
     rolled = roll_up(
         joined, "GEOID", rolled_up, by=["year"], how="mean", weight=weight,
-        columns=[figure, overall], fill=weight is not None,
+        columns=[figure, overall],
     )
     return rolled.select("GEOID", "year", figure, overall)
 
@@ -92,11 +90,10 @@ def unemployment(
 
     ``compat`` takes six characters of the series id as area code instead of five.
     """
-    months = [f"{m:02d}/01/{year % 100:02d}" for m in range(1, 13)]
     local = decode_series(
         series, year, area_width=6 if compat else 5, out="county_unemployment_rate"
     )
-    return attach_context(local, national, "month", periods=months).select(
+    return attach_context(local, national, "month").select(
         "GEOID", "month", "county_unemployment_rate", "national_unemployment_rate"
     )
 

@@ -15,10 +15,9 @@ from geopanel.constants import (
     ROLLED_UP_AREAS,
     SPLIT_AREAS,
 )
-from geopanel.functions import alias_code, sql
-from geopanel.operators.columns import bind_rows
+from geopanel.functions import sql
 from geopanel.operators.compare import interpolate
-from geopanel.operators.crosswalk import Members, replicate_keys, roll_up_rows
+from geopanel.operators.crosswalk import Members, replicate_keys, roll_up
 from geopanel.operators.joins import attach_one_row
 from geopanel.operators.series import percent_of_base
 from geopanel.sources.coded import select_codes
@@ -73,23 +72,44 @@ def estimates(
     )
     areas = people.join(units, "GEOID", "left").join(quarters, "GEOID", "left")
     figures = [c for c in areas.columns if c.startswith("EST_")]
-    older = roll_up_rows(
-        areas, "GEOID", rolled_up, columns=figures,
-        extra=[F.min_by(c, "GEOID").alias(c) for c in ("STNAME", "CTYNAME")],
-    )
+    names = ("STNAME", "CTYNAME")
     known = {} if compat else {k: v for k, v in parent_names.items() if k in rolled_up}
-    for position, column in enumerate(("STNAME", "CTYNAME") if known else ()):
-        names = alias_code("GEOID", {key: pair[position] for key, pair in known.items()})
-        older = older.withColumn(column, F.coalesce(names, F.col(column)))
-    # Joining each branch before the union keeps the exchange on GEOID usable for
-    # all three joins of the main branch; the other branch is a few keys only.
+    both = roll_up(
+        areas, "GEOID", rolled_up, mark="__older",
+        labels={c: {k: pair[at] for k, pair in known.items()} for at, c in enumerate(names)},
+    )
+    unnamed = {k: codes for k, codes in rolled_up.items() if k not in known}
+    if unnamed:
+        both = _named_by_member(both, people.select("GEOID", *names), names, unnamed)
     access = broadband(survey_county, survey_national, split)
-    order = ["STNAME", "CTYNAME", "GEOID", *figures, "GEOYEAR",
-             "PCT_HH_BROADBAND", "PCT_HH_BROADBAND_NATIONAL"]
-    return bind_rows(*[
-        part.withColumn("GEOYEAR", F.lit(year)).join(access, "GEOID", "left").select(*order)
-        for part, year in ((areas, 2020), (older, 2019))
-    ])
+    return both.join(access, "GEOID", "left").select(
+        *names, "GEOID", *figures, F.when(F.col("__older"), 2019).otherwise(2020).alias("GEOYEAR"),
+        "PCT_HH_BROADBAND", "PCT_HH_BROADBAND_NATIONAL",
+    )
+
+
+def _named_by_member(
+    both: DataFrame, areas: DataFrame, names: Sequence[str], parents: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Rolled-up rows of ``parents`` with the names of their first member there is.
+
+    The first member is found by its place in the sorted list, a number, and only the
+    few member rows are looked at.
+    """
+    places = [(p, c, n) for p, codes in parents.items() for n, c in enumerate(sorted(codes))]
+    listed = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("__parent"), F.lit(c).alias("__code"), F.lit(n).alias("__at"))
+        for p, c, n in places
+    ]))
+    members = areas.filter(F.col("GEOID").isin(sorted({c for _, c, _ in places}))).withColumn(
+        "__p", listed).filter("GEOID = __p.__code").select("__p.*", *names)
+    first = members.groupBy("__parent").agg(F.min("__at").alias("__at"))
+    chosen = members.join(first, ["__parent", "__at"]).select(
+        "__parent", *[F.col(c).alias(f"__{c}") for c in names])
+    joined = both.join(
+        chosen, F.col("__older") & (F.col("GEOID") == F.col("__parent")), "left")
+    return joined.select(
+        *[F.coalesce(c, f"__{c}").alias(c) if c in names else F.col(c) for c in both.columns])
 
 
 def survey_by_name(survey: DataFrame) -> DataFrame:

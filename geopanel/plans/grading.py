@@ -73,7 +73,6 @@ def county_main(
     the wider denominator, keeps unbounded shares, does not hand 2010 vacancy on to
     split areas and keeps bands no area matched.
     """
-    sizes = [label for _, label in size_cuts]
     base = counts_beside_estimates(counts, estimates, rolled_up, unbounded=compat)
     shares = {}
     for s in _SOURCES:
@@ -82,14 +81,14 @@ def county_main(
     sized = base.withColumns(
         {**shares, "SIZE_CLASS": size_class("CEN_POP_TOT", size_cuts)}
     )
-    graded = score_wide(sized, bands, sizes=sizes, compat=compat).drop(*shares)
+    graded = score_wide(sized, bands, compat=compat).drop(*shares)
     vacancy = vacancy_2010(
         housing_2010_long, merged, None if compat else split,
         VACANCY_CODES_2010, "PCT_VACANT_HU_2010",
     )
     table = grade_change(
         # The wide side is already partitioned by area from the join above.
-        full_join(graded, vacancy, ["GEOID"], nullable=False),
+        full_join(graded, vacancy, ["GEOID"], nullable=False, check=False),
         "PCT_VACANT_HU_2020", "PCT_VACANT_HU_2010",
         VACANCY_CUTS, "PCT_VACANT_CHANGE", "VACANCY_MEASURE",
     ).select(*COUNTY_MAIN_COLUMNS)

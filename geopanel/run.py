@@ -9,15 +9,17 @@ their suffix. ``--format parquet`` suits tables that feed another table.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geopanel import constants as K
 from geopanel import plans
-from geopanel.plans.estimates import survey_by_name
+from geopanel.operators.categories import race_groups
 from geopanel.session import build_session
 from geopanel.sources import schemas as S
+from geopanel.sources.coded import read_decennial, read_survey
 from geopanel.sources.delimited import read_csv, read_tsv, write_csv
 from geopanel.sources.header_json import read_header_json
 
@@ -31,12 +33,23 @@ def _rates(column: str, local: bool) -> dict[str, str]:
 RATE_COLUMNS = {2020: "CRRALL", 2010: "FSRR2010"}
 
 
+@dataclass(frozen=True)
+class Coded:
+    """A long table of which only the listed codes are read (and renamed, if mapped)."""
+
+    read: Callable[..., DataFrame]
+    codes: Sequence[str] | Mapping[str, str]
+
+
+RACE_CODES = sorted({c for items in race_groups().values() for c in items})
+
+
 @dataclass(frozen=True)
 class Table:
     """Inputs (option name -> column contract) and how they become the table."""
 
     build: Callable[..., DataFrame]
-    inputs: dict[str, S.Contract | tuple[str, bool]]
+    inputs: dict[str, S.Contract | tuple[str, bool] | Coded]
     has_compat: bool = False
     help: str = ""
     encodings: dict[str, str] = field(default_factory=dict)
@@ -46,8 +59,7 @@ def _estimates(
     characteristics, housing, components, survey_county, survey_national, compat=False
 ):
     return plans.estimates(
-        characteristics, housing, components,
-        survey_by_name(survey_county), survey_by_name(survey_national), compat=compat,
+        characteristics, housing, components, survey_county, survey_national, compat=compat,
     )
 
 
@@ -62,14 +74,16 @@ LATIN = "ISO-8859-1"
 TABLES: dict[str, Table] = {
     "county_pl": Table(
         plans.county_pl,
-        {"population": S.DECENNIAL_LONG, "housing": S.DECENNIAL_LONG, "codes": S.AREA_CODES},
+        {"population": Coded(read_decennial, RACE_CODES),
+         "housing": Coded(read_decennial, list(K.HOUSING_CODES)), "codes": S.AREA_CODES},
         help="counts by area with reallocated race categories",
     ),
     "estimates": Table(
         _estimates,
         {"characteristics": S.CHARACTERISTICS_2020, "housing": S.HOUSING_2020,
-         "components": S.COMPONENTS_2020, "survey_county": S.SURVEY_LONG,
-         "survey_national": S.SURVEY_LONG},
+         "components": S.COMPONENTS_2020,
+         "survey_county": Coded(read_survey, K.BROADBAND_CODES),
+         "survey_national": Coded(read_survey, K.BROADBAND_CODES)},
         has_compat=True, help="estimates by area with broadband access",
         encodings={"characteristics": LATIN, "components": LATIN, "housing": LATIN},
     ),
@@ -77,18 +91,20 @@ TABLES: dict[str, Table] = {
         plans.cutpoints,
         {"characteristics_est": S.CHARACTERISTICS_2010, "housing_est": S.HOUSING_2010,
          "components": S.COMPONENTS_2010, "characteristics_cen": S.CHARACTERISTICS_2012,
-         "quarters_cen": S.DECENNIAL_LONG, "housing_cen": S.DECENNIAL_LONG},
+         "quarters_cen": Coded(read_decennial, list(K.GQ_CODES_2010)),
+         "housing_cen": Coded(read_decennial, list(K.HOUSING_CODES_2010))},
         help="calibrated bands by metric and size class",
         encodings={"characteristics_est": LATIN, "characteristics_cen": LATIN,
                    "components": LATIN, "housing_est": LATIN},
     ),
     "vacancy_2010": Table(
-        plans.vacancy_2010, {"housing": S.DECENNIAL_LONG}, help="2010 vacancy by area",
+        plans.vacancy_2010, {"housing": Coded(read_decennial, list(K.HOUSING_CODES_2010))},
+        help="2010 vacancy by area",
     ),
     "county_main": Table(
         plans.county_main,
         {"counts": S.COUNTY_PL, "estimates": S.ESTIMATES, "bands": S.CUTPOINTS,
-         "housing_2010_long": S.DECENNIAL_LONG},
+         "housing_2010_long": Coded(read_decennial, list(K.VACANCY_CODES_2010))},
         has_compat=True, help="counts beside estimates, differences and grades",
     ),
     "covid_weekly": Table(
@@ -118,6 +134,8 @@ def read_input(
 ) -> DataFrame:
     if isinstance(contract, tuple):
         return read_header_json(spark, path, _rates(*contract), layout)
+    if isinstance(contract, Coded):
+        return contract.read(spark, path, contract.codes, encoding=encoding)
     bare = path.rstrip("/")
     if bare.endswith(".parquet"):
         return spark.read.parquet(path).select(*contract)

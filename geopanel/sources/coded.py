@@ -25,21 +25,21 @@ def select_codes(
     return kept
 
 
-def _read(spark: SparkSession, path: str, contract) -> DataFrame:
+def _read(spark: SparkSession, path: str, contract, **options) -> DataFrame:
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path).select(*contract)
-    return read_csv(spark, path, contract)
+    return read_csv(spark, path, contract, **options)
 
 
 def read_decennial(
-    spark: SparkSession, path: str, codes: Sequence[str] | Mapping[str, str]
+    spark: SparkSession, path: str, codes: Sequence[str] | Mapping[str, str], **options
 ) -> DataFrame:
     """Counts of the listed codes from a landed snapshot (CSV or Parquet)."""
-    return select_codes(_read(spark, path, DECENNIAL_LONG), codes)
+    return select_codes(_read(spark, path, DECENNIAL_LONG, **options), codes)
 
 
 def read_survey(
-    spark: SparkSession, path: str, codes: Sequence[str] | Mapping[str, str]
+    spark: SparkSession, path: str, codes: Sequence[str] | Mapping[str, str], **options
 ) -> DataFrame:
     """Survey estimates with margin of error of the listed codes."""
-    return select_codes(_read(spark, path, SURVEY_LONG), codes)
+    return select_codes(_read(spark, path, SURVEY_LONG, **options), codes)

@@ -11,16 +11,20 @@ from geopanel.sources.schemas import Contract
 
 def read_delimited(
     spark: SparkSession, path: str, contract: Contract, sep: str = ",", trim: bool = False,
-    encoding: str = "UTF-8", quoted_newlines: bool = False,
+    encoding: str = "UTF-8", quoted_newlines: bool = False, malformed: str = "error",
 ) -> DataFrame:
     """Read the contract's columns from a delimited file with a header.
 
     Columns are found by header name, so files may carry more columns in any order;
     types come from the contract and are never inferred. Empty fields, ``NA`` and
-    ``NaN`` are NULL, ``Inf`` is infinity. Only the header line is read up front.
-    ``quoted_newlines`` accepts line breaks inside quotes at the price of one task
-    per file.
+    ``NaN`` are NULL, ``Inf`` is infinity. Only one header line is read up front; a file of
+    the same folder with another header, in another order for instance, is an error.
+    So is a field that is not of its type and a row that is too short or too long, unless
+    ``malformed="null"`` is said, which makes such fields NULL. ``quoted_newlines`` accepts
+    line breaks inside quotes at the price of one task per file.
     """
+    if malformed not in ("error", "null"):
+        raise ValueError('malformed is "error" or "null"')
     options = {
         "header": True, "sep": sep, "encoding": encoding, "nullValue": "NA",
         "positiveInf": "Inf", "negativeInf": "-Inf", "multiLine": quoted_newlines,
@@ -31,8 +35,16 @@ def read_delimited(
     missing = [c for c in contract if c not in names]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    schema = ", ".join(f"`{n}` {contract.get(n, 'string')}" for n in names)
-    raw = spark.read.options(**options).schema(schema).csv(path)
+    # The names as they stand in the file: every file's header is compared with them.
+    schema = T.StructType([
+        T.StructField(h, T._parse_datatype_string(contract.get(n, "string")))
+        for h, n in zip(header, names, strict=True)
+    ])
+    raw = spark.read.options(
+        **options, enforceSchema=False, columnPruning=False,
+        mode="FAILFAST" if malformed == "error" else "PERMISSIVE",
+    ).schema(schema).csv(path)
+    raw = raw.toDF(*names)
     return raw.select(*[_no_nan(raw, c) for c in contract])
 
 

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 _ROWS = "array<array<string>>"
 # Values and separators of one inner array: no bracket outside of quotes.
 _ONE_ROW = r'^(?:[^"\[\]]++|"(?:[^"\\]++|\\.)*+")*+$'
+# An outer array of inner arrays, each closed; brackets in quotes don't count.
+_ONE_DOCUMENT = (
+    r'^\s*\[\s*(?:\[(?:[^"\[\]]++|"(?:[^"\\]++|\\.)*+")*+\]\s*,?\s*)++\]\s*$'
+)
 
 
 def parse_rows(
     records: DataFrame, fields: Mapping[str, str], value: str = "value",
-    header: Sequence[str] | None = None,
+    header: Sequence[str] | None = None, file: str | None = None,
 ) -> DataFrame:
     """One inner array per record, brackets and separators still around it.
 
@@ -25,7 +29,9 @@ def parse_rows(
     record that opens the outer array; all files of one call must agree on it (a
     second distinct header is an error). Naming ``header`` saves the extra pass that
     looks it up. ``fields`` maps output column -> name in the header. A record that is
-    not exactly one array of that many values is an error.
+    not exactly one array of that many values is an error. Records with the name of
+    their ``file`` beside them are checked for whole files: each has one record that opens
+    the outer array and one that closes it.
     """
     inner = F.regexp_replace(F.col(value), r"^[\s\[]+|[\s\],]+$", "")
     # The parser stops behind the first array, so a record must hold nothing else.
@@ -34,6 +40,8 @@ def parse_rows(
     row = F.coalesce(F.when(inner.rlike(_ONE_ROW), parsed), broken.cast("array<string>"))
     opened = F.col(value).rlike(r"^\s*\[\s*\[")
     content = records.filter(inner != "")
+    if file is not None:
+        content = content.filter(_whole_files(records, value, file))
     if header is None:
         found = content.filter(opened).select(row.alias("h")).distinct()
         names = found.select(_with_columns(F.col("h"), fields.values())).scalar()
@@ -48,6 +56,18 @@ def parse_rows(
     )
 
 
+def _whole_files(records: DataFrame, value: str, file: str) -> Column:
+    """True, or an error when a file's outer array is not opened and closed just once."""
+    text = F.col(value)
+    ends = records.groupBy(file).agg(
+        F.count_if(text.rlike(r"^\s*\[\s*\[")).alias("opened"),
+        F.count_if(text.rlike(r"\]\s*\]\s*$|^\s*\]\s*$")).alias("closed"),
+    )
+    odd = ends.agg(F.count_if(F.expr("opened != 1 OR closed != 1")).alias("n")).scalar()
+    broken = F.raise_error(F.lit("a file does not hold one whole array of arrays"))
+    return F.when(odd > 0, broken.cast("boolean")).otherwise(F.lit(True))
+
+
 def _with_columns(header: Column, wanted: Iterable[str]) -> Column:
     """The header itself, or an error when a wanted name is not in it."""
     missing = F.array_except(F.array(*[F.lit(w) for w in wanted]), header)
@@ -59,8 +79,17 @@ def _with_columns(header: Column, wanted: Iterable[str]) -> Column:
 def parse_documents(
     documents: DataFrame, fields: Mapping[str, str], value: str = "value"
 ) -> DataFrame:
-    """A whole document per row: many small answers, each with its own header."""
-    parsed = documents.select(F.from_json(F.col(value), _ROWS).alias("rows"))
+    """A whole document per row: many small answers, each with its own header.
+
+    A text that is not one array of arrays with a header is an error.
+    """
+    found = F.from_json(F.col(value), _ROWS)
+    broken = F.raise_error(F.concat(
+        F.lit("not an array of arrays: "), F.coalesce(F.substring(value, 1, 100), F.lit("NULL"))))
+    whole = F.col(value).rlike(_ONE_DOCUMENT)
+    parsed = documents.select(F.when(
+        whole & found.isNotNull() & (F.size(found) > 0), found
+    ).otherwise(broken.cast(_ROWS)).alias("rows"))
     header = _with_columns(F.element_at("rows", 1), fields.values()).alias("header")
     data = F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))
     rows = parsed.select(header, F.explode(data).alias("row"))
@@ -77,10 +106,11 @@ def read_header_json(
     """Read such files, with or without line breaks.
 
     The reader cuts the text at every ``],``, so files of any size and either layout
-    split over tasks; a cut inside a quoted value, or a missed one (blanks before the
-    comma), is an error. ``layout="documents"`` reads many small files that each have a header of
-    their own, one file per row.
+    split over tasks; a cut inside a quoted value, a missed one (blanks before the
+    comma) and a file that ends early are errors. ``layout="documents"`` reads files that
+    each have a header of their own, one file per row, and takes any valid layout.
     """
     if layout == "documents":
         return parse_documents(spark.read.text(path, wholetext=True), fields)
-    return parse_rows(spark.read.text(path, lineSep="],"), fields, header=header)
+    records = spark.read.text(path, lineSep="],").withColumn("file", F.input_file_name())
+    return parse_rows(records, fields, header=header, file="file")

@@ -194,12 +194,11 @@ LABELS = {
 
 def test_scores_wide_and_long_agree(spark, bands):
     df = spark.createDataFrame(DATA, SCHEMA)
-    sizes = ["Large", "Small"]
-    wide = B.score_wide(df, bands, ["N"], ["S"], {"N": "N_MEASURE"}, sizes=sizes)
+    wide = B.score_wide(df, bands, ["N"], ["S"], {"N": "N_MEASURE"})
     assert wide.columns == [*df.columns, "N_MEASURE", "S_MEASURE"]
     assert {r.area: (r.N_MEASURE, r.S_MEASURE) for r in wide.collect()} == LABELS
     panel = source_panel(df, ["area", "SIZE_CLASS"], ["N", "S"])
-    long = B.score_long(panel, bands, ["N"], ["S"], sizes=sizes).collect()
+    long = B.score_long(panel, bands, ["N"], ["S"]).collect()
     got = {}
     for r in long:
         got.setdefault(r.area, {})[r["variable"]] = r.divergence_measure
@@ -208,7 +207,7 @@ def test_scores_wide_and_long_agree(spark, bands):
 
 def test_compat_scores_an_estimate_of_zero(spark, bands):
     df = spark.createDataFrame(DATA, SCHEMA)
-    out = B.score_wide(df, bands, ["N"], ["S"], sizes=["Large", "Small"], compat=True)
+    out = B.score_wide(df, bands, ["N"], ["S"], compat=True)
     # 5 / (5 + 0 / 2) = 1, beyond two sd.
     assert {r.area: r.N_MEASURE for r in out.collect()}[4] == HIGH
 
@@ -216,7 +215,15 @@ def test_compat_scores_an_estimate_of_zero(spark, bands):
 def test_repeated_bands_are_rejected(spark, bands):
     df = spark.createDataFrame(DATA, SCHEMA)
     with pytest.raises(PySparkException, match="more than one row"):
-        B.score_wide(df, bands.union(bands), ["N"], ["S"], sizes=["Large"]).collect()
+        B.score_wide(df, bands.union(bands), ["N"], ["S"]).collect()
+
+
+def test_any_size_class_is_graded(spark, bands):
+    df = spark.createDataFrame([(1, "Huge", 10.0, 11.5, 0.1, 0.1)], SCHEMA)
+    [wide] = B.score_wide(df, bands, ["N"], ["S"], {"N": "N_MEASURE"}).collect()
+    panel = source_panel(df, ["area", "SIZE_CLASS"], ["N"])
+    [long] = B.score_long(panel, bands, ["N"], ["S"]).collect()
+    assert wide.N_MEASURE == long.divergence_measure == SLIGHT
 
 
 def test_unmatched_bands(spark, bands, rows):
@@ -224,11 +231,13 @@ def test_unmatched_bands(spark, bands, rows):
     assert rows(B.unmatched_bands(bands, df)) == [("Huge",), ("Large",), (None,)]
 
 
-def test_published_band_identity():
-    # Three published rows: the band columns are mean +- k sd.
-    for mean, sd, high1, low2 in [
-        (-0.02744168226344366, 0.19868329873975157, 0.17124161647630792, -0.4248082797429468),
-        (0.4436511490942, 5.40432227303058, 5.847973422124762, -10.364993396966979),
-    ]:
-        assert math.isclose(mean + sd, high1, rel_tol=1e-9)
-        assert math.isclose(mean - 2 * sd, low2, rel_tol=1e-9)
+def test_bands_are_mean_and_deviations(spark):
+    df = spark.createDataFrame([(i, "Large", 10.0, 10.0 + i, 0.0, 0.0) for i in range(5)], SCHEMA)
+    band = {r.variable: r for r in B.calibrate_bands(df, ["N"], []).collect()}["N"]
+    # Relative differences 0, 0.1, .. 0.4: mean 0.2, sample sd sqrt(0.025).
+    sd = math.sqrt(0.025)
+    assert band["count"] == 5
+    for got, wanted in [(band.mean, 0.2), (band.sd, sd), (band.range_1_high, 0.2 + sd),
+                        (band.range_1_low, 0.2 - sd), (band.range_2_high, 0.2 + 2 * sd),
+                        (band.range_2_low, 0.2 - 2 * sd)]:
+        assert math.isclose(got, wanted, rel_tol=1e-9)

@@ -107,21 +107,47 @@ def test_attach_context(spark, rows):
     us = spark.createDataFrame([(2010, 1.0), (2020, 2.0), (2040, 4.0)], "year int, us double")
     left = [("a", 2010, 1.0), ("b", 2020, 2.0), ("c", 2030, None)]
     assert rows(J.attach_context(df, us, "year")) == left
-    assert rows(J.attach_context(df, us, "year", periods=[2010, 2020, 2030])) == left
-    full = J.attach_context(df, us, "year", periods=[2010, 2020, 2040], keep_unmatched=True)
+    full = J.attach_context(df, us, "year", keep_unmatched=True)
     assert rows(full) == [*left, (None, 2040, 4.0)]
     nulls = spark.createDataFrame([("a", None)], "k string, year int")
     unknown = spark.createDataFrame([(None, 7.0)], "year int, us double")
     assert rows(J.attach_context(nulls, unknown, "year")) == [("a", None, 7.0)]
-    with pytest.raises(ValueError):
-        J.attach_context(df, us, "year", keep_unmatched=True)
+    both = J.attach_context(nulls, unknown, "year", keep_unmatched=True)
+    assert rows(both) == [("a", None, 7.0)]
+
+
+def test_null_keys_and_repeated_keys_of_lookups(spark, rows):
+    df = spark.createDataFrame([("x", 1), (None, 2), ("q", 3)], "k string, v int")
+    look = spark.createDataFrame([("x", "Ex"), (None, "none")], "code string, name string")
+    found = J.left_lookup(df, look, {"k": "code"})
+    assert rows(found) == [("q", 3, None), ("x", 1, "Ex"), (None, 2, "none")]
+    with pytest.raises(PySparkException, match="occurs twice"):
+        J.left_lookup(df, look.union(look), {"k": "code"}).collect()
+
+
+def test_full_join_rejects_repeated_keys(spark, rows):
+    left = spark.createDataFrame([("x", 1), (None, 2)], "k string, a int")
+    right = spark.createDataFrame([(None, 5), ("z", 6)], "k string, b int")
+    assert rows(J.full_join(left, right, ["k"])) == [
+        ("x", 1, None), ("z", None, 6), (None, 2, 5)]
+    with pytest.raises(PySparkException, match="occurs twice"):
+        J.full_join(left, right.union(right), ["k"]).collect()
+
+
+def test_combined_sources_keep_their_texts(spark, rows):
+    one = spark.createDataFrame([("a", "Ann", 1), (None, "Nobody", 2)], "k string, name string, n int")
+    two = spark.createDataFrame([("a", 5.0), ("b", 6.0)], "k string, x double")
+    out = J.combine_sources([one, two], ["k"])
+    assert rows(out) == [("a", "Ann", 1, 5.0), ("b", None, None, 6.0), (None, "Nobody", 2, None)]
+    with pytest.raises(PySparkException, match="occurs twice"):
+        J.combine_sources([one, two.union(two)], ["k"]).collect()
 
 
 def test_attach_context_rejects_repeated_periods(spark):
     df = spark.createDataFrame([("a", 2010)], "k string, year int")
     us = spark.createDataFrame([(2010, 1.0), (2010, 2.0)], "year int, us double")
     with pytest.raises(PySparkException, match="more than one row"):
-        J.attach_context(df, us, "year", periods=[2010]).collect()
+        J.attach_context(df, us, "year").collect()
 
 
 def test_attach_group_values(spark, rows):
@@ -178,6 +204,15 @@ def test_roll_up(spark, rows, areas, as_table):
     # A member without a figure makes the parent's figure missing.
     assert new == [("99998", 5, None), ("99999", 3, 30.0)]
     assert out.count() == areas.count() + 2
+    assert [r for r in rows(out) if not r[0].startswith("9999")] == rows(areas)
+    with pytest.raises(PySparkException, match="occurs twice"):
+        K.roll_up(areas.union(areas), "GEOID", crosswalk).collect()
+    named = K.roll_up(
+        areas.withColumn("t", F.concat(F.lit("t"), "GEOID")), "GEOID", crosswalk,
+        labels={"t": {"99999": "All"}}, mark="new",
+    )
+    assert [r for r in rows(named, "GEOID", "t", "n", "new") if r[3]] == [
+        ("99998", None, 5, True), ("99999", "All", 3, True)]
     mean = K.roll_up_rows(areas, "GEOID", {"99999": ["51515", "51019"]}, how="mean")
     assert rows(mean) == [("99999", 1.5, 15.0)]
 
@@ -225,6 +260,21 @@ def test_collapse_needs_every_code(spark, rows):
     doubled = long.union(long)
     with pytest.raises(PySparkException, match="repeated"):
         C.collapse_categories(doubled, ["id"], "code", "v", {"white": ["05", "17"]}).collect()
+    # A repeated code does not stand in for a missing one.
+    stand_in = spark.createDataFrame([("a", "05", 1), ("a", "05", 2)], long.schema)
+    with pytest.raises(PySparkException, match="repeated"):
+        C.collapse_categories(stand_in, ["id"], "code", "v", {"white": ["05", "17"]}).collect()
+
+
+def test_collapse_of_many_codes(spark, rows):
+    codes = [f"c{i:03d}" for i in range(200)]
+    long = spark.createDataFrame([("a", c, 1) for c in codes] + [("b", c, 1) for c in codes[1:]],
+                                 "id string, code string, v bigint")
+    assert rows(C.collapse_categories(long, ["id"], "code", "v", {"all": codes})) == [
+        ("a", 200), ("b", None)]
+    more = long.union(spark.createDataFrame([("b", codes[150], 1)], long.schema))
+    with pytest.raises(PySparkException, match="repeated"):
+        C.collapse_categories(more, ["id"], "code", "v", {"all": codes}).collect()
 
 
 def test_reallocation_keeps_the_total(spark):
@@ -248,22 +298,23 @@ def test_reallocation_keeps_the_total(spark):
 # --- Series -------------------------------------------------------------------
 
 
-def test_week_dates_of_2020():
-    days = S.week_dates(dt.date(2020, 1, 1), dt.date(2021, 1, 1))
-    assert (len(days), days[0], days[-1]) == (52, dt.date(2020, 1, 5), dt.date(2020, 12, 27))
+def test_week_range():
+    year = S.week_range(dt.date(2020, 1, 1), dt.date(2021, 1, 1))
+    assert year == (dt.date(2020, 1, 5), dt.date(2020, 12, 27))
     # Both ends are outside.
-    assert S.week_dates(dt.date(2020, 1, 5), dt.date(2020, 1, 12)) == []
-    assert S.week_dates(dt.date(2020, 1, 4), dt.date(2020, 1, 13)) == [
-        dt.date(2020, 1, 5), dt.date(2020, 1, 12)
-    ]
+    assert S.week_range(dt.date(2020, 1, 5), dt.date(2020, 1, 12)) is None
+    assert S.week_range(dt.date(2020, 1, 4), dt.date(2020, 1, 13)) == (
+        dt.date(2020, 1, 5), dt.date(2020, 1, 12))
+    assert S.week_range(dt.date(2020, 1, 4), dt.date(2020, 1, 12)) == (dt.date(2020, 1, 5),) * 2
 
 
 def test_weekly_sample_equals_generated_weeks(spark):
     days = spark.sql("SELECT explode(sequence(date'2019-12-01', date'2021-02-01')) AS d")
     out = S.weekly_sample(days, "d", dt.date(2020, 1, 1), dt.date(2021, 1, 1))
-    assert sorted(r.d for r in out.collect()) == S.week_dates(
-        dt.date(2020, 1, 1), dt.date(2021, 1, 1)
-    )
+    first, last = S.week_range(dt.date(2020, 1, 1), dt.date(2021, 1, 1))
+    assert sorted(r.d for r in out.collect()) == [
+        first + dt.timedelta(weeks=w) for w in range(52)]
+    assert last == first + dt.timedelta(weeks=51)
 
 
 def test_densify(spark, rows):
@@ -272,7 +323,7 @@ def test_densify(spark, rows):
     us = spark.createDataFrame([(days[0], 1.0), (days[1], 2.0)], "d date, us double")
     facts = spark.createDataFrame([("a", days[0], 5.0), ("z", days[0], 9.0)],
                                   "k string, d date, v double")
-    out = S.densify(areas, us, facts, "k", "d", days)
+    out = S.densify(areas, us, facts, "k", "d", (days[0], days[2]))
     # The third day has no overall value, so it is not in the calendar.
     assert rows(out, "k", "d", "us", "v") == [
         ("a", days[0], 1.0, 5.0), ("a", days[1], 2.0, None),

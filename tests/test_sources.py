@@ -26,6 +26,27 @@ def test_csv_reads_by_name_and_keeps_leading_zeros(spark, tmp_path, rows):
     ]
 
 
+@pytest.mark.parametrize("read, sep", [(read_csv, ","), (read_tsv, "\t")])
+def test_files_of_a_folder_must_agree_on_their_header(spark, tmp_path, rows, read, sep):
+    for name, text in (("1", "a,b\n1,2\n"), ("2", "a,b\n3,4\n")):
+        _write(tmp_path / f"{name}.csv", text.replace(",", sep))
+    contract = {"b": "bigint", "a": "bigint"}
+    assert rows(read(spark, str(tmp_path), contract)) == [(2, 1), (4, 3)]
+    _write(tmp_path / "3.csv", "b,a\n2,1\n".replace(",", sep))
+    with pytest.raises(Exception, match="header|schema"):
+        read(spark, str(tmp_path), contract).collect()
+
+
+@pytest.mark.parametrize("line", ["x7,1,2", "1,2", "1,2,3,4"])
+def test_malformed_fields_and_rows(spark, tmp_path, rows, line):
+    path = _write(tmp_path / "a.csv", f"n,a,b\n5,6,7\n{line}\n")
+    contract = {"n": "bigint", "a": "bigint"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, path, contract).collect()
+    kept = rows(read_csv(spark, path, contract, malformed="null"))
+    assert (5, 6) in kept and len(kept) == 2
+
+
 def test_csv_missing_column(spark, tmp_path):
     path = _write(tmp_path / "a.csv", "a,b\n1,2\n")
     with pytest.raises(ValueError, match="missing columns"):
@@ -108,7 +129,7 @@ def test_header_json_columns_in_another_order(spark, tmp_path, rows):
 @pytest.mark.parametrize("text, message", [
     ('[["a","state","county"],\n["1","01","001"]]', "not in the header: RATE"),
     ('[["RATE","state","county"],\n["1","01"]]', "length|size|same"),
-    ('[["RATE","state","county"],\nbroken]', "not a single row"),
+    ('[["RATE","state","county"],\nbroken]', "not a single row|whole array"),
     ('[["RATE","state","county"],\n["a],b","01","001"]]', "not a single row"),
 ])
 def test_header_json_fails_loudly(spark, tmp_path, text, message):
@@ -117,6 +138,39 @@ def test_header_json_fails_loudly(spark, tmp_path, text, message):
         read_header_json(spark, path, FIELDS).collect()
 
 
+@pytest.mark.parametrize("text", [
+    '[["RATE","state","county"],["1","01","001"],',
+    '[["RATE","state","county"],["1","01","001"],["2","01","002"',
+    '[["RATE","state","county"],["1","01","001"]',
+    '["RATE","state","county"],["1","01","001"]]',
+])
+def test_files_that_are_not_whole_fail(spark, tmp_path, text):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    _write(folder / "good.json", '[["RATE","state","county"],["9","02","001"]]')
+    _write(folder / "bad.json", text)
+    for layout in ("rows", "documents"):
+        with pytest.raises(Exception, match="whole array|not an array|not a single row"):
+            read_header_json(spark, str(folder), FIELDS, layout).collect()
+
+
+@pytest.mark.parametrize("text", [
+    "garbage", '{"error": "no"}', "[]", "", "[[]", '[["RATE","state","county"],["1","01","001"]] x',
+])
+def test_documents_are_never_lost(spark, rows, text):
+    from geopanel.sources.header_json import parse_documents
+
+    good = '[["RATE","state","county"],["1","01","001"]]'
+    frame = spark.createDataFrame([(good,), (text,)], "value string")
+    with pytest.raises(Exception, match="not an array of arrays|not in the header"):
+        parse_documents(frame, FIELDS).collect()
+
+
+def test_documents_take_any_valid_layout(spark, tmp_path, rows):
+    path = _write(tmp_path / "r.json", '[["RATE","state","county"] ,\n["1","a],b","[x"]\n]\n')
+    assert rows(read_header_json(spark, path, FIELDS, "documents")) == [("[x", "a],b", "1")]
+
+
 def test_header_json_with_blanks_between_rows_fails(spark, tmp_path):
     path = _write(tmp_path / "r.json", LINES.replace("],", "] ,"))
     with pytest.raises(Exception, match="not a single row"):
