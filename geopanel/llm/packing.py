@@ -16,18 +16,31 @@ from geopanel.llm.common import pick, shared_table
 #: Pieces that one task packs together; more pieces make more groups.
 GROUP = 8192
 #: Units whose ids a worker remembers.
-MEMORY = 300_000
-#: Tokens per Arrow batch on the way out.
-BATCH_TOKENS = 4_000_000
+MEMORY = 1_000_000
+#: New units encoded in one go.
+SIDE = 256
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 21
 
 _INNER = re.compile(r" (?=\S)")
+# The sign first and what stands before it second: the search then goes from sign to sign.
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+_AFTER_WORD = {c: re.compile(rf"{c}(?<=[^\W_]{c}) (?=\S)") for c in (",", r"\.")}
+#: What stands for a unit that has no blank before it, and its text.
+NEXT_LINE, COMMA, STOP = "\x01", "\x02", "\x03"
+MARKS = {NEXT_LINE: "\n", COMMA: ",", STOP: "."}
+#: How the vocabulary spells a blank and a line end.
+BLANK, LINE_END = "\u0120", "\u010a"
 
 
 class UnitEncoder:
     """Token ids of whole texts, as little-endian 32-bit bytes, unit by unit.
 
-    The byte-level splitter starts a new piece at every blank that a non-blank follows, so a
-    text may be cut there and the units encoded alone; frequent units are remembered.
+    The byte-level splitter starts a new piece at every blank that a non-blank follows, at
+    a line end between two non-blanks and behind it, and between a letter or digit and a
+    comma or full stop. So a text may be cut there and its units encoded alone; units are
+    remembered, those in use when the memory is full for longer. New units of many texts
+    are encoded side by side: only the first token of a unit begins with its separator.
     """
 
     def __init__(self, path: str):
@@ -36,27 +49,71 @@ class UnitEncoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        vocabulary = self.model.get_vocab()
+        self.begins = {}
+        for separator, spelled in ((" ", BLANK), ("\n", LINE_END)):
+            flags = np.zeros(max(vocabulary.values()) + 1, bool)
+            flags[[i for t, i in vocabulary.items() if t.startswith(spelled)]] = True
+            self.begins[separator] = flags
         self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, text: str) -> bytes:
-        first, *units = text.split(" ")
-        known = self.known
-        try:
-            body = b"".join([known[u] for u in units])
-        except KeyError:
-            if any(not u or u[0].isspace() for u in units):
-                first, *units = _INNER.split(text)
-            new = [u for u in dict.fromkeys(units) if u not in known]
-            if len(known) + len(new) > MEMORY:
-                known.clear()
-                new = list(dict.fromkeys(units))
-            known.update(zip(new, self._ids([f" {u}" for u in new]), strict=True))
-            body = b"".join([known[u] for u in units])
-        return (self._ids([first])[0] if first else b"") + body
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _side_by_side(self, units: list[str], bodies: list[str], separator: str) -> None:
+        """Units whose text is the separator and a body that does not hold it."""
+        for_all = [(units[at:at + SIDE], separator + separator.join(bodies[at:at + SIDE]))
+                   for at in range(0, len(units), SIDE)]
+        flags = self.begins[separator]
+        for (row, _), ids in zip(for_all, self._ids([t for _, t in for_all]), strict=True):
+            ends = [*np.flatnonzero(flags[ids]).tolist(), ids.size]
+            body = ids.tobytes()
+            self.known.update(zip(
+                row, [body[4 * i:4 * j] for i, j in zip(ends, ends[1:], strict=False)],
+                strict=True))
+
+    def _learn(self, units: list[str]) -> None:
+        plain, lines, alone = [], [], []
+        for u in units:
+            if u[0] == NEXT_LINE and "\n" not in u:
+                lines.append(u)
+            elif " " in u or u[0] in MARKS:
+                alone.append(u)
+            else:
+                plain.append(u)
+        self._side_by_side(plain, plain, " ")
+        self._side_by_side(lines, [u[1:] for u in lines], "\n")
+        texts = [MARKS.get(u[0], f" {u[0]}") + u[1:] for u in alone]
+        self.known.update(zip(alone, (x.tobytes() for x in self._ids(texts)), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        heads, split, new = [], [], []
+        for text in texts:
+            if any(mark in text for mark in MARKS):
+                # A text that holds the marks themselves is one unit.
+                head, units, missing = text, [], set()
+            else:
+                marked = _LINE.sub(f" {NEXT_LINE}", text)
+                marked = _AFTER_WORD[","].sub(f" {COMMA} ", marked)
+                marked = _AFTER_WORD[r"\."].sub(f" {STOP} ", marked)
+                head, *units = marked.split(" ")
+                missing = set(units).difference(self.known)
+                if any(not u or u[0].isspace() for u in missing):
+                    # Some blank is followed by another, or by nothing.
+                    head, *units = _INNER.split(marked)
+                    missing = set(units).difference(self.known)
+            heads.append(head)
+            split.append(units)
+            new += missing
+        new = list(set(new))
+        if len(self.known) + len(new) > MEMORY:
+            used = set().union(*split).intersection(self.known)
+            self.known = {u: self.known[u] for u in used}
+        self._learn(new)
+        find = self.known.__getitem__
+        return [head.tobytes() + b"".join(map(find, units))
+                for head, units in zip(self._ids(heads), split, strict=True)]
 
 
 _encoders: dict[str, UnitEncoder] = {}
@@ -85,22 +142,21 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
-            keys = batch[0]
-            out, held = [], 0
+            begin, held, texts = 0, 0, []
             for at, text in enumerate(batch[1]):
-                ids = encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, capacity):
-                    part = ids[4 * start:4 * (start + capacity)]
-                    out.append((at, start, len(part) // 4, n, part))
-                    held += len(part) // 4
-                if held >= BATCH_TOKENS:
-                    yield rows_of(keys, out)
-                    out, held = [], 0
-            if out:
-                yield rows_of(keys, out)
-
-    def rows_of(keys, out):
+                texts.append(text.as_py() or "")
+                held += len(texts[-1])
+                if held >= TOGETHER or at + 1 == batch.num_rows:
+                    yield rows_of(batch[0], begin, [x + end for x in encode(texts)])
+                    begin, held, texts = at + 1, 0, []
+
+    def rows_of(keys, begin, encoded):
+        out = []
+        for at, ids in enumerate(encoded, begin):
+            n = len(ids) // 4
+            for start in range(0, n, capacity):
+                part = ids[4 * start:4 * (start + capacity)]
+                out.append((at, start, len(part) // 4, n, part))
         at, start, length, n, parts = zip(*out, strict=True)
         return pa.RecordBatch.from_arrays([
             keys.take(pa.array(at)), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
