@@ -17,7 +17,7 @@ from geopanel.llm.common import pick, shared_table
 #: Byte contexts of three bytes and more are kept from one in so many training bytes on, so
 #: that each length has at most so many nodes however large the corpus is. Shorter ones are
 #: all kept (at most 256 ** 3).
-RESOLUTION = 1 << 20
+RESOLUTION = 1 << 21
 #: Words from one in so many training tokens on, at most so many, are known to every task.
 #: All others are looked up by a join.
 HEAD = 1 << 17

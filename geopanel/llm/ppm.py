@@ -17,10 +17,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-ORDER = 4
+ORDER = 5
 MARK = 0xFF
 #: Bytes handled at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: The length of a key stands above its bytes.
 TAG = 48

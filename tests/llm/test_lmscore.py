@@ -74,7 +74,7 @@ TRAIN = [b"the cat sat on the mat", b"the dog sat", b"", b"a cat and a dog", "é
          b"abcabcabd"]
 
 
-@pytest.mark.parametrize("order", [2, 4])
+@pytest.mark.parametrize("order", [2, 4, 5])
 def test_same_as_plain_partial_matching(order):
     model, slow = trie(TRAIN, order), SlowPPM(TRAIN, order)
     texts = [*TRAIN, b"the bat", b"zzz", b"THE CAT", "ñandú".encode(), b"cab", bytes(range(200))]
@@ -126,7 +126,7 @@ def test_query_columns(documents, monkeypatch, head):
                          for _ in range(draw.randint(0, 60)))) for i in range(150)]
     rows += [(200, None), (201, ""), (202, "\x1c  a\x0bb")]
     found = {r.doc_id: r for r in lmscore.score_documents(documents(rows)).collect()}
-    slow = SlowPPM([(t or "").encode() for d, t in rows if crc32(str(d).encode()) % 5 != 1], 4)
+    slow = SlowPPM([(t or "").encode() for d, t in rows if crc32(str(d).encode()) % 5 != 1], ppm.ORDER)
     for d, (held, n, known, total, base) in slow_base(rows).items():
         r = found[d]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held, n, known, total)
@@ -135,6 +135,13 @@ def test_query_columns(documents, monkeypatch, head):
         assert math.isclose(found[d].score, slow.score((t or "").encode()), rel_tol=1e-6)
 
 
+def test_held_out_texts_cost_less_than_by_their_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sums = lmscore.score_documents(docs).filter("held_out").selectExpr(
+        "sum(score) AS score", "sum(base_score) AS base", "avg(bits_per_byte) AS bits").first()
+    assert sums.score > sums.base and sums.bits < 3
+
+
 def test_odd_rows(odd):
     found = lmscore.score_documents(odd).collect()
     assert len(found) == odd.count()
