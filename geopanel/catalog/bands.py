@@ -126,7 +126,7 @@ def score_more_classes(spark, sf_dir):
 _EITHER = ["POP_TOT", "HU_TOT", "GQ_TOT"]
 
 
-@query(f"WITH {SIZED_SQL}, {long_sql(_EITHER)} SELECT * FROM long")
+@query(f"WITH {SIZED_SQL}, {long_sql(_EITHER, kind='BIGINT')} SELECT * FROM long")
 def split_and_pivot(spark, sf_dir):
     """Unpivot every source column, split its name, pivot the sources back."""
     wide = graded_panel(spark, sf_dir)
@@ -147,7 +147,7 @@ _PARTIAL = f"""WITH {SIZED_SQL}, sides AS (
       e.EST_POP_TOT, e.EST_HU_TOT, e.EST_GQ_TOT, c.CEN_POP_TOT, c.CEN_HU_TOT, c.CEN_GQ_TOT
     FROM (SELECT * FROM sized WHERE EST_POP_TOT >= 300 OR coalesce(CEN_POP_TOT, 0) < 300) e
     FULL JOIN (SELECT * FROM sized WHERE CEN_POP_TOT >= 300) c ON e.area = c.area),
-  {long_sql(_EITHER, source='sides')} """
+  {long_sql(_EITHER, source='sides', kind='BIGINT')} """
 
 
 def _sides(spark, sf_dir):

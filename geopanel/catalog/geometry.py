@@ -42,14 +42,25 @@ _POINTS = """points AS (SELECT vec_id, r, i,
     39.0 + CAST(embedding[r * 16 + i * 2 + 2] AS DOUBLE) * 10 AS y
   FROM embeddings, range(4) a(r), range(8) b(i))"""
 
-_E = _LAMBERT.e
-_XY = f"""xy AS (SELECT *,
-    {_LAMBERT.scale!r}::DOUBLE * pow(tan({math.pi / 4!r}::DOUBLE - radians(y) / 2)
-      / pow((1 - {_E!r}::DOUBLE * sin(radians(y))) / (1 + {_E!r}::DOUBLE * sin(radians(y))),
-        {_E / 2!r}::DOUBLE), {_LAMBERT.n!r}::DOUBLE) AS rho,
-    {_LAMBERT.n!r}::DOUBLE * (radians(x) - {_LAMBERT.lon0!r}::DOUBLE) AS theta FROM points),
-  projected AS (SELECT vec_id, r, i, rho * sin(theta) AS x,
-    {_LAMBERT.rho0!r}::DOUBLE - rho * cos(theta) AS y FROM xy)"""
+# The cone from its published parameters, worked out in SQL on its own: GRS 80, standard
+# parallels 33 and 45 north, origin 39 north 96 west.
+_XY = """given AS (SELECT 6378137::DOUBLE AS a, 1 / 298.257222101::DOUBLE AS f,
+    radians(33) AS lat1, radians(45) AS lat2, radians(39) AS lat0, radians(-96) AS lon0),
+  ellipsoid AS (SELECT *, sqrt(2 * f - f * f) AS e FROM given),
+  lines AS (SELECT *, cos(lat1) / sqrt(1 - pow(e * sin(lat1), 2)) AS m1,
+    cos(lat2) / sqrt(1 - pow(e * sin(lat2), 2)) AS m2,
+    tan(pi() / 4 - lat1 / 2) / pow((1 - e * sin(lat1)) / (1 + e * sin(lat1)), e / 2) AS t1,
+    tan(pi() / 4 - lat2 / 2) / pow((1 - e * sin(lat2)) / (1 + e * sin(lat2)), e / 2) AS t2,
+    tan(pi() / 4 - lat0 / 2) / pow((1 - e * sin(lat0)) / (1 + e * sin(lat0)), e / 2) AS t0
+    FROM ellipsoid),
+  cone AS (SELECT *, a * m1 / (n * pow(t1, n)) AS scale
+    FROM (SELECT *, (ln(m1) - ln(m2)) / (ln(t1) - ln(t2)) AS n FROM lines)),
+  xy AS (SELECT vec_id, r, i, scale * pow(t0, n) AS rho0, n * (radians(x) - lon0) AS theta,
+    scale * pow(tan(pi() / 4 - radians(y) / 2)
+      / pow((1 - e * sin(radians(y))) / (1 + e * sin(radians(y))), e / 2), n) AS rho
+    FROM points, cone),
+  projected AS (SELECT vec_id, r, i, rho * sin(theta) AS x, rho0 - rho * cos(theta) AS y
+    FROM xy)"""
 
 
 @query(f"""WITH {_POINTS} SELECT vec_id AS ORIG_FID, CAST(r // 2 AS INTEGER) AS part_no,

@@ -113,9 +113,9 @@ SIZED_SQL = PANEL_SQL + ", sized AS (SELECT *, " + ", ".join(
   WHEN CEN_POP_TOT IS NOT NULL THEN 'Small' END AS SIZE_CLASS FROM panel)"""
 
 
-def long_sql(metrics, name: str = "long", source: str = "sized") -> str:
+def long_sql(metrics, name: str = "long", source: str = "sized", kind: str = "DOUBLE") -> str:
     cells = ", ".join(
-        f"{{'variable': '{m}', 'EST': CAST(EST_{m} AS DOUBLE), 'CEN': CAST(CEN_{m} AS DOUBLE)}}"
+        f"{{'variable': '{m}', 'EST': CAST(EST_{m} AS {kind}), 'CEN': CAST(CEN_{m} AS {kind})}}"
         for m in metrics
     )
     return (

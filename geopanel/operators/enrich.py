@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from geopanel.constants import EXCLUDED_STATE, FEMA_COLUMNS
 from geopanel.functions import alias_code, title_case
 from geopanel.operators.joins import full_join, left_lookup
-from geopanel.operators.reshape import to_long
+from geopanel.operators.reshape import common_type, to_long
 
 
 def area_names(df: DataFrame, key: str, codes: DataFrame) -> DataFrame:
@@ -57,11 +57,12 @@ def compare_long(
     left = estimates.select(*ids, *[F.col(c).alias(f"EST_{c}") for c in columns])
     right = counts.select(*ids, *keep, *[F.col(c).alias(f"CEN_{c}") for c in columns])
     wide = full_join(left, right, ids)
+    kind = common_type(wide, [f"{s}_{c}" for s in ("EST", "CEN") for c in columns])
     rows = F.array(*[
         F.struct(
             F.lit(c).alias("variable"),
-            F.col(f"EST_{c}").cast("double").alias("EST"),
-            F.col(f"CEN_{c}").cast("double").alias("CEN"),
+            F.col(f"EST_{c}").cast(kind).alias("EST"),
+            F.col(f"CEN_{c}").cast(kind).alias("CEN"),
         )
         for c in columns
     ])

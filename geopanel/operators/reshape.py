@@ -6,16 +6,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geopanel.functions import split_first, sql, text
 
 
+def common_type(df: DataFrame, columns: Sequence[str]) -> str:
+    """BIGINT for whole numbers only, which stay exact, else DOUBLE."""
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+    return "bigint" if whole else "double"
+
+
 def to_long(
     df: DataFrame, ids: Sequence[str], columns: Sequence[str],
     name: str = "variable", value: str = "value",
 ) -> DataFrame:
-    """One row per (ids, column). Values become DOUBLE so that all columns agree."""
-    typed = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
+    """One row per (ids, column). Values become BIGINT or DOUBLE so that all columns agree."""
+    kind = common_type(df, columns)
+    typed = df.select(*ids, *[F.col(c).cast(kind).alias(c) for c in columns])
     return typed.unpivot(list(ids), list(columns), name, value)
 
 
@@ -56,10 +64,11 @@ def source_panel(
     A row-local generator: the same rows as unpivot, name split and pivot back,
     without their shuffle.
     """
+    kind = common_type(df, [f"{s}_{m}" for s in sources for m in metrics])
     rows = F.array(*[
         F.struct(
             F.lit(m).alias("variable"),
-            *[F.col(f"{s}_{m}").cast("double").alias(s) for s in sources],
+            *[F.col(f"{s}_{m}").cast(kind).alias(s) for s in sources],
         )
         for m in metrics
     ])

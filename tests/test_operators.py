@@ -51,6 +51,17 @@ def test_to_wide_rejects_repeated_cells(spark):
         R.to_wide(long, ["id"], "c", "v", ["x"]).collect()
 
 
+def test_whole_numbers_stay_exact(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([("a", big, 1)], "id string, EST_X bigint, CEN_X int")
+    [row] = R.source_panel(df, ["id"], ["X"]).collect()
+    assert (row.EST, row.CEN) == (big, 1)
+    assert {r.value for r in R.to_long(df, ["id"], ["EST_X", "CEN_X"]).collect()} == {big, 1}
+    sides = [df.select("id", F.col(c).alias("X")) for c in ("EST_X", "CEN_X")]
+    [row] = E.compare_long(*sides, ["id"], ["X"]).collect()
+    assert (row.EST, row.CEN) == (big, 1)
+
+
 def test_source_panel_equals_split_and_pivot(spark, rows):
     wide = spark.createDataFrame(
         [("a", 1, 2, 3, 4)], "id string, EST_P_TOT int, CEN_P_TOT int, EST_Q int, CEN_Q int"
