@@ -12,6 +12,7 @@ from geopanel.constants import CATEGORY_ITEMS, LAST_ITEM, REALLOCATION_FACTORS
 from geopanel.operators import categories as C
 from geopanel.operators import columns as L
 from geopanel.operators import crosswalk as K
+from geopanel.operators import enrich as E
 from geopanel.operators import joins as J
 from geopanel.operators import reshape as R
 from geopanel.operators import series as S
