@@ -21,6 +21,8 @@ from geopanel.llm.common import pick, shared_table
 #: Vectors in a block of candidates and of queries.
 CANDIDATES = 4096
 QUERIES = 2048
+#: Candidate blocks that one task holds beside a block of queries.
+TILES = 16
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,6 +78,13 @@ def tile_nearest(queries, candidates, k: int):
             k, zip(score.tolist(), c_ids[at].tolist(), strict=True))
 
 
+def _opened(blocks: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of block rows, one at a time."""
+    for dim, ids, body in zip(blocks["dim"], blocks["ids"], blocks["body"], strict=True):
+        yield (np.frombuffer(ids.as_py(), np.int64),
+               np.frombuffer(body.as_py(), np.float64).reshape(-1, dim.as_py()))
+
+
 def usable(table: DataFrame, id_: str, vector: str) -> DataFrame:
     """(id, v, dim): vectors as doubles, without null, zero or non-finite ones."""
     rows = pick(table, id_, vector).select(
@@ -118,44 +127,37 @@ def nearest(table: DataFrame, k: int = 10, every: int = 100, id_: str = "vec_id"
     Repeated rows count as one. Extra columns are ignored; no vectors give no rows.
 
     Every block of queries meets every block of candidates of its dimension, in a tile of a
-    bounded size; blocks travel, not pairs of rows. A task keeps the best of the tiles that
-    it sees in a heap per query, and these are merged by query.
+    bounded size; blocks travel, not pairs of rows. A task has a block of queries and up to
+    about ``TILES`` blocks of candidates; it keeps the best of its tiles in a heap per query,
+    and these are merged by query.
     """
     rows = usable(table, id_, vector).dropDuplicates(["id", "v"])
     rows = shared_table(rows, "vectors")
     candidates = shared_table(_blocks(rows, CANDIDATES), "candidate-blocks")
     queries = shared_table(_blocks(rows.filter(F.col("id") % every == 0), QUERIES), "query-blocks")
-    # Blocks of queries by dimension are few; each candidate block goes to all their numbers.
+    # A block of queries meets the candidate blocks in parts of TILES blocks, so that neither
+    # side of a part grows with the table.
+    parts = -(-candidates.count() // TILES) or 1
     numbers = queries.groupBy("dim").agg(F.collect_list("block").alias("to"))
-    placed = candidates.join(numbers, "dim").select(
-        "dim", F.col("block").alias("c_block"), F.col("ids").alias("c_ids"),
-        F.col("body").alias("c_body"), F.explode("to").alias("block"))
-    tiles = placed.join(queries, ["dim", "block"])
+    left = candidates.join(numbers, "dim").select(
+        "dim", F.explode("to").alias("block"),
+        F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"), "ids", "body")
+    right = queries.select(
+        "dim", "block", F.expr(f"explode(sequence(0L, {parts - 1}L)) AS part"), "ids", "body")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(blocks: pa.Table, asked: pa.Table) -> pa.Table:
         best: dict[int, list] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                sides = [(np.frombuffer(row[i], np.int64),
-                          np.frombuffer(row[b], np.float64).reshape(-1, dim))
-                         for i, b in (("ids", "body"), ("c_ids", "c_body"))]
-                for query, found in tile_nearest(*sides, k):
+        for query_block in _opened(asked):
+            for block in _opened(blocks):
+                for query, found in tile_nearest(query_block, block, k):
                     best[query] = list(heapq.merge(best.get(query, []), found))[:k]
-            if len(best) > 16 * QUERIES:
-                yield out(best)
-                best = {}
-        if best:
-            yield out(best)
-
-    def out(best):
         flat = [(q, i, s) for q, found in best.items() for s, i in found]
         q, i, s = zip(*flat, strict=True) if flat else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())],
-            names=["query_id", "vec_id", "score"])
+        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()),
+                         "score": pa.array(s, pa.float64())})
 
-    found = tiles.select("dim", "ids", "body", "c_ids", "c_body").mapInArrow(
+    key = ["dim", "block", "part"]
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
         run, "query_id bigint, vec_id bigint, score double")
 
     def merged(group: pa.Table) -> pa.Table:

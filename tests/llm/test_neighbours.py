@@ -36,6 +36,7 @@ def slow(rows, k, every):
 def test_same_as_brute_force(spark, monkeypatch, sizes):
     monkeypatch.setattr(neighbours, "CANDIDATES", sizes[0])
     monkeypatch.setattr(neighbours, "QUERIES", sizes[1])
+    monkeypatch.setattr(neighbours, "TILES", 3 if sizes[0] < 100 else 16)
     draw = np.random.default_rng(4)
     rows = [(i, draw.normal(size=12).tolist()) for i in range(300)]
     rows += [(300 + i, rows[0][1]) for i in range(30)]
