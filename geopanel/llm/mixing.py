@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from geopanel.llm.common import hold, pick, shared_table
 
-#: Hex digits of the order key that make a bucket of the prefix sums.
-BUCKET = 4
+#: Hex digits of the order key by which a step of the prefix sums divides a bucket, and steps.
+DIGITS, STEPS = 2, 3
 TOKENS = "decimal(20,0)"
 WEIGHT = "decimal(17,0)"
 
@@ -82,24 +82,31 @@ def _budgets(leaves: DataFrame, path: Sequence[str], weights: Mapping[str, str],
 def _cuts(slim: DataFrame, plan: DataFrame, path: Sequence[str], seed: int) -> DataFrame:
     """Per leaf the order key up to which documents of its last epoch are taken.
 
-    A prefix sum in two steps, so that no leaf has to be sorted in one task: sums over
-    buckets of keys find the bucket in which the budget ends, and only its documents are
-    added up one by one.
+    A prefix sum in steps, so that no leaf has to be sorted in one task: sums over 16^DIGITS
+    buckets of keys find the bucket in which the budget ends, the same is done within it,
+    and after STEPS steps its documents are added up one by one.
     """
-    keyed = slim.join(plan.filter("left > 0"), list(path)).withColumn(
-        "k", order_key(F.col("doc_id"), F.col("epochs"), seed)).withColumn(
-        "bucket", F.substring("k", 1, BUCKET))
-    buckets = keyed.groupBy(*path, "bucket").agg(
-        F.sum("n_tokens").alias("n"), F.first("left").alias("left"))
-    run = buckets.withColumn("upto", F.sum("n").over(
-        W.partitionBy(*path).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)))
-    ends = shared_table(run.filter("upto > left").groupBy(*path).agg(
-        F.min_by(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base")), "bucket")
-        .alias("end")).select(*path, "end.bucket", "end.base"), "cut-buckets")
-    inside = keyed.join(ends, [*path, "bucket"]).withColumn("upto", F.col("base") + F.sum(
-        "n_tokens").over(W.partitionBy(*path).orderBy("k").rangeBetween(
-            W.unboundedPreceding, W.currentRow)))
-    last = inside.filter("upto <= left").groupBy(*path).agg(F.max("k").alias("k"))
+    open_ = plan.filter("left > 0")
+    keyed = slim.join(open_, list(path)).select(
+        *path, "n_tokens", order_key(F.col("doc_id"), F.col("epochs"), seed).alias("k"))
+    ends = open_.select(*path, "left", F.lit("").alias("bucket"), F.lit(0).cast("bigint")
+                        .alias("base"))
+    for step in range(STEPS + 1):
+        inside = keyed.withColumn("bucket", F.substring("k", 1, DIGITS * step)).join(
+            ends, [*path, "bucket"])
+        if step == STEPS:
+            break
+        sums = inside.groupBy(*path, F.substring("k", 1, DIGITS * (step + 1)).alias("bucket"),
+                              "left", "base").agg(F.sum("n_tokens").alias("n"))
+        run = sums.withColumn("upto", F.col("base") + F.sum("n").over(
+            W.partitionBy(*path).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)))
+        over = run.filter("upto > left")
+        first = over.groupBy(*path).agg(F.min("upto").alias("upto"))
+        ends = shared_table(over.join(first, [*path, "upto"]).select(
+            *path, "left", "bucket", (F.col("upto") - F.col("n")).alias("base")), "cut-buckets")
+    placed = inside.withColumn("upto", F.col("base") + F.sum("n_tokens").over(
+        W.partitionBy(*path).orderBy("k").rangeBetween(W.unboundedPreceding, W.currentRow)))
+    last = placed.filter("upto <= left").groupBy(*path).agg(F.max("k").alias("k"))
     return ends.join(last, list(path), "left").select(
         *path, F.coalesce("k", "bucket").alias("cut"))
 

@@ -70,9 +70,10 @@ ROWS = [(i, "w " * (1 + i * 7 % 23), "en" if i % 3 else "de", f"s{i % 4}") for i
 
 
 @pytest.mark.parametrize("share, epochs", [(0.5, 1), (1.0, 3), (2.5, 2), (10.0, 2), (0.0, 1)])
-@pytest.mark.parametrize("bucket", [4, 1])
-def test_same_as_brute_force(documents, monkeypatch, share, epochs, bucket):
-    monkeypatch.setattr(mixing, "BUCKET", bucket)
+@pytest.mark.parametrize("steps", [3, 1])
+def test_same_as_brute_force(documents, monkeypatch, share, epochs, steps):
+    monkeypatch.setattr(mixing, "DIGITS", 1)
+    monkeypatch.setattr(mixing, "STEPS", steps)
     got = mixing.mix(documents(ROWS), LEVELS, WEIGHTS, budget_share=share, max_epochs=epochs,
                      seed=7)
     assert sorted((r.doc_id, r.epoch) for r in got.collect()) == slow(ROWS, share, epochs, 7)
