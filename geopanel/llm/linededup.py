@@ -98,16 +98,21 @@ def common_blocks(kept: list[tuple[int, int]], later: list[tuple[int, int, int]]
 def _aligned(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, gone = [], []
-            for row in batch.to_pylist():
-                kept = [(x["pos"], x["line"]) for x in row["kept"]]
-                later = [(x["pos"], x["line"], x["words"]) for x in row["later"]]
-                if found := common_blocks(kept, later, min_words):
-                    ids.append(row["doc_id"])
+            # One row at a time as Python lists; the batch stays in its flat arrays.
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (
+                batch[n] for n in ("k_pos", "k_line", "l_pos", "l_line", "l_words"))]
+            at, gone = [], []
+            for i in range(batch.num_rows):
+                k_pos, k_line, *later = (
+                    values[ends[i]:ends[i + 1]].tolist() for ends, values in lists)
+                found = common_blocks(list(zip(k_pos, k_line, strict=True)),
+                                      list(zip(*later, strict=True)), min_words)
+                if found:
+                    at.append(i)
                     gone.append(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch["doc_id"].type), pa.array(gone, pa.list_(pa.int32()))],
-                names=["doc_id", "gone"])
+                [batch["doc_id"].take(pa.array(at, pa.int64())),
+                 pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "gone"])
 
     return run
 
@@ -145,12 +150,9 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
         F.transform("held", lambda x: x["first"]))).alias("first")).filter("first < doc_id")
     kept = held.select(F.col("doc_id").alias("first"), F.col("held").alias("kept"))
     short = pairs.join(kept, "first").select(
-        "doc_id",
-        F.transform("kept", lambda x: F.struct(x["pos"].alias("pos"), x["line"].alias("line")))
-        .alias("kept"),
-        F.transform("later", lambda x: F.struct(
-            x["pos"].alias("pos"), x["line"].alias("line"), x["words"].alias("words")))
-        .alias("later"))
+        "doc_id", F.col("kept.pos").alias("k_pos"), F.col("kept.line").alias("k_line"),
+        F.col("later.pos").alias("l_pos"), F.col("later.line").alias("l_line"),
+        F.col("later.words").alias("l_words"))
     key = lines.schema["doc_id"].dataType.simpleString()
     gone = short.mapInArrow(_aligned(min_words), f"doc_id {key}, gone array<int>")
     return gone.groupBy("doc_id").agg(
