@@ -172,7 +172,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = 30) -> DataFrame:
     held, back = hold(docs, "doc_id", "text")
     gone = shared_table(repeated_lines(held, min_words), "gone-lines").withColumnRenamed(
         "gone", "__gone")
-    joined = held.join(gone, "doc_id", "left")
+    # The same plan at every size: documents meet their deletions by a merge join.
+    joined = held.join(gone.hint("merge"), "doc_id", "left")
     lines = _lines()
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(
