@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from geopanel.catalog import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,13 +19,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    frame = driver.queries()[name](spark, SF_DIR)
-    assert compare(frame, con, driver.oracle_sql()[name]) == []
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
 def test_entry(spark):
