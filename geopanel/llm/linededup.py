@@ -136,9 +136,10 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     lines = shared_table(
         exploded.withColumn("words", word_count(F.col("raw")).cast("int")).filter("words > 0")
         .select("doc_id", "pos", F.xxhash64(F.trim(F.col("raw"))).alias("line"), "words"), "lines")
-    shared = lines.groupBy("line").agg(
+    # A table of its own, so that the join below has shuffles in which a hot line can be split.
+    shared = shared_table(lines.groupBy("line").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-    ).filter("first < last").select("line", "first")
+    ).filter("first < last").select("line", "first"), "shared-lines")
     held = shared_table(
         lines.join(shared, "line").groupBy("doc_id").agg(
             F.array_sort(F.collect_set(F.struct("pos", "line", "words", "first"))).alias("held")),
