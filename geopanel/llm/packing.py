@@ -16,7 +16,7 @@ from geopanel.llm.common import pick, shared_table
 #: Pieces that one task packs together; more pieces make more groups.
 GROUP = 8192
 #: Units whose ids a worker remembers.
-MEMORY = 1_000_000
+MEMORY = 500_000
 #: New units encoded in one go.
 SIDE = 256
 #: Characters of the texts that are encoded together.
