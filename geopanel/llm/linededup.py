@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,45 +72,146 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
-                  min_words: int) -> list[int]:
-    """Positions of the later document's lines in common blocks of ``min_words`` or more.
+def minimal_runs(stretch: np.ndarray, words: np.ndarray,
+                 min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) lines of the shortest runs of ``min_words`` from every line, and up to it.
 
-    ``kept``: (position, line) of the earlier document, ``later``: (position, line, words).
-    Only shared lines need be given: a block goes on while both positions go up by one.
+    Lines of one run have the same number in ``stretch``, which never falls; every line has
+    words. Any run of ``min_words`` or more is the union of the shortest ones inside it.
+    """
+    n = words.size
+    total = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    least = max(1, min_words)
+    at = np.arange(n)
+    first = np.r_[at, np.searchsorted(total, total[1:] - least, "right") - 1]
+    last = np.r_[np.searchsorted(total, total[:-1] + least) - 1, at]
+    inside = (first >= 0) & (last < n)
+    first, last = first[inside], last[inside]
+    whole = stretch[first] == stretch[last]
+    both = np.unique(first[whole] * (n + 1) + last[whole])
+    return both // (n + 1), both % (n + 1)
+
+
+def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
+              min_words: int) -> list[tuple[int, int]]:
+    """(first, last) lines of blocks of ``later`` that ``kept`` has too; they may overlap.
+
+    The alignment gives the blocks in common order.
     """
     pairs = patience([h for _, h in kept], [h for _, h, _ in later])
-    out: list[int] = []
-    block: list[int] = []
-    words, before = 0, None
+    out: list[tuple[int, int]] = []
+    begin, words, before = 0, 0, None
     for i, j in [*pairs, (-1, -1)]:
         now = (kept[i][0], later[j][0]) if i >= 0 else None
-        if block and (now is None or now != (before[0] + 1, before[1] + 1)):
+        if before is not None and (now is None or now != (before[0] + 1, before[1] + 1)):
             if words >= min_words:
-                out.extend(block)
-            block, words = [], 0
+                out.append((begin, end))
+            before, words = None, 0
         if now is not None:
-            block.append(now[1])
+            if before is None:
+                begin = j
+            end, before = j, now
             words += later[j][2]
-            before = now
     return out
 
 
+def common_blocks(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
+                  min_words: int) -> list[int]:
+    """Positions of the later document's lines in common blocks of ``min_words`` or more.
+
+    ``kept``: (position, line) of the earlier document, ``later``: (position, line, words).
+    Only shared lines need be given: a block goes on while both positions go up by one.
+    """
+    return sorted({later[j][0] for a, b in blocks_of(kept, later, min_words)
+                   for j in range(a, b + 1)})
+
+
+def _lists(batch: pa.RecordBatch, *names: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch[n] for n in names)]
+
+
+#: Base of the hash of a run; odd, so that it has an inverse.
+_BASE = 0x9E3779B97F4A7C17
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _runs(min_words: int, over_blank: bool):
+    """(doc_id, run, a, b): hashes of the shortest runs of each document, first and last line."""
+    back = pow(_BASE, -1, 1 << 64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (ends, at), (_, line), (_, words) = _lists(batch, "at", "line", "words")
+            at, line, words = (x[ends[0]:ends[-1]] for x in (at, line, words))
+            ends = ends - ends[0]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            gaps = 0 if over_blank else np.cumsum(np.diff(at, prepend=at[:1]) != 1)
+            first, last = minimal_runs(owner + gaps, words, min_words)
+            total = np.r_[np.uint64(0), np.cumsum(
+                line.view(np.uint64) * _powers(_BASE, line.size), dtype=np.uint64)]
+            number = (total[last + 1] - total[first]) * _powers(back, line.size)[first]
+            number ^= (last - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            doc = owner[first]
+            for begin in range(0, doc.size, 1 << 16):
+                part = slice(begin, begin + (1 << 16))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(pa.array(doc[part])),
+                     pa.array(number[part].view(np.int64)),
+                     pa.array((first - ends[doc])[part].astype(np.int32)),
+                     pa.array((last - ends[doc])[part].astype(np.int32))],
+                    names=["doc_id", "run", "a", "b"])
+
+    return run
+
+
+def _covered(over_blank: bool):
+    """Of each document only the lines in runs that it shares, with their positions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = _lists(batch, "at", "line", "words", "a", "b")
+            parts: list[list[np.ndarray]] = [[], [], [], []]
+            for i in range(batch.num_rows):
+                at, line, words, a, b = (v[ends[i]:ends[i + 1]] for ends, v in lists)
+                step = np.zeros(at.size + 1, np.int64)
+                np.add.at(step, a, 1)
+                np.add.at(step, b + 1, -1)
+                in_run = np.flatnonzero(np.cumsum(step[:-1]))
+                pos = in_run if over_blank else at[in_run]
+                for held, values in zip(
+                        parts, (pos, at[in_run], line[in_run], words[in_run]), strict=True):
+                    held.append(values)
+            offsets = pa.array(np.cumsum([0, *map(len, parts[0])]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["firsts"], *[
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(held), kind))
+                    for held, kind in zip(
+                        parts, (pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)]],
+                names=["doc_id", "firsts", "pos", "at", "line", "words"])
+
+    return run
+
+
 def _aligned(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # One row at a time as Python lists; the batch stays in its flat arrays.
-            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (
-                batch[n] for n in ("k_pos", "k_line", "l_pos", "l_line", "l_words"))]
+            lists = _lists(batch, "k_pos", "k_line", "l_pos", "l_line", "l_words", "l_at")
             at, gone = [], []
             for i in range(batch.num_rows):
-                k_pos, k_line, *later = (
+                k_pos, k_line, *later, l_at = (
                     values[ends[i]:ends[i + 1]].tolist() for ends, values in lists)
-                found = common_blocks(list(zip(k_pos, k_line, strict=True)),
-                                      list(zip(*later, strict=True)), min_words)
+                found = blocks_of(list(zip(k_pos, k_line, strict=True)),
+                                  list(zip(*later, strict=True)), min_words)
                 if found:
                     at.append(i)
-                    gone.append(found)
+                    gone.append(sorted({x for a, b in found
+                                        for x in range(l_at[a], l_at[b] + 1)}))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(pa.array(at, pa.int64())),
                  pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "gone"])
@@ -121,57 +223,64 @@ def _lines(text: str = "text"):
     return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
 
 
-def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int, over_blank: bool = False) -> DataFrame:
     """(doc_id, gone): positions, rising, of the lines to delete from each later document.
 
-    Lines are compared by a 64-bit hash of their text, without blank edges. Documents are
-    paired through lines that few hold: each holder of a shared line with its first holder
-    (least doc_id), so that pairs stay linear in the holders and a line that thousands
-    hold needs no cap. Documents whose shared lines have fewer than ``min_words`` words
-    together can't hold a block and make no pair. A pair is aligned on all lines that both
-    share with anyone.
+    Lines are compared by a 64-bit hash of their text, without blank edges. A line without
+    words ends a block, or, ``over_blank``, does not count and goes with a block that it
+    stands in. Documents are paired through
+    the shortest runs of lines that have ``min_words`` words: each holder of a shared run with
+    its first holder (least doc_id). Every common block is made of such runs, so it is met,
+    and pairs stay linear in the holders: a run that thousands hold needs no cap. A pair is
+    aligned on all lines in runs that both share with anyone.
     """
     rows = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL")
-    exploded = rows.select("doc_id", F.posexplode(_lines()).alias("pos", "raw"))
+    key = rows.schema["doc_id"].dataType.simpleString()
+    found = F.filter(F.transform(_lines(), lambda x, i: F.struct(
+        i.alias("at"), F.xxhash64(F.trim(x)).alias("line"),
+        word_count(x).cast("int").alias("words"))), lambda x: x["words"] > 0)
     lines = shared_table(
-        exploded.withColumn("words", word_count(F.col("raw")).cast("int")).filter("words > 0")
-        .select("doc_id", "pos", F.xxhash64(F.trim(F.col("raw"))).alias("line"), "words"), "lines")
-    # A table of its own, so that the join below has shuffles in which a hot line can be split.
-    shared = shared_table(lines.groupBy("line").agg(
+        rows.select("doc_id", found.alias("found")).filter(F.size("found") > 0)
+        .select("doc_id", "found.at", "found.line", "found.words"), "lines")
+    runs = lines.select("doc_id", "at", "line", "words").mapInArrow(
+        _runs(min_words, over_blank), f"doc_id {key}, run bigint, a int, b int")
+    # A table of its own, so that the join below has shuffles in which a hot run can be split.
+    shared = shared_table(runs.groupBy("run").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-    ).filter("first < last").select("line", "first"), "shared-lines")
+    ).filter("first < last").select("run", "first"), "shared-runs")
+    spans = runs.join(shared, "run").groupBy("doc_id").agg(
+        F.collect_set("first").alias("firsts"),
+        F.collect_set(F.struct("a", "b")).alias("spans")).select(
+        "doc_id", "firsts", "spans.a", "spans.b")
     held = shared_table(
-        lines.join(shared, "line").groupBy("doc_id").agg(
-            F.array_sort(F.collect_set(F.struct("pos", "line", "words", "first"))).alias("held")),
-        "held")
-    later = held.filter(F.aggregate(
-        F.filter("held", lambda x: x["first"] < F.col("doc_id")), F.lit(0),
-        lambda n, x: n + x["words"]) >= min_words)
-    pairs = later.select("doc_id", F.col("held").alias("later"), F.explode(F.array_distinct(
-        F.transform("held", lambda x: x["first"]))).alias("first")).filter("first < doc_id")
-    kept = held.select(F.col("doc_id").alias("first"), F.col("held").alias("kept"))
-    short = pairs.join(kept, "first").select(
-        "doc_id", F.col("kept.pos").alias("k_pos"), F.col("kept.line").alias("k_line"),
-        F.col("later.pos").alias("l_pos"), F.col("later.line").alias("l_line"),
-        F.col("later.words").alias("l_words"))
-    key = lines.schema["doc_id"].dataType.simpleString()
-    gone = short.mapInArrow(_aligned(min_words), f"doc_id {key}, gone array<int>")
+        spans.join(lines, "doc_id").select("doc_id", "firsts", "at", "line", "words", "a", "b")
+        .mapInArrow(_covered(over_blank), f"doc_id {key}, firsts array<{key}>, pos array<int>, "
+                    "at array<int>, line array<bigint>, words array<int>").distinct(), "held")
+    pairs = held.withColumn("first", F.explode("firsts")).filter("first < doc_id").select(
+        "doc_id", "first", F.col("pos").alias("l_pos"), F.col("at").alias("l_at"),
+        F.col("line").alias("l_line"), F.col("words").alias("l_words"))
+    kept = held.select(F.col("doc_id").alias("first"), F.col("pos").alias("k_pos"),
+                       F.col("line").alias("k_line"))
+    gone = pairs.join(kept, "first").drop("first").mapInArrow(
+        _aligned(min_words), f"doc_id {key}, gone array<int>")
     return gone.groupBy("doc_id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = 30) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = 30,
+                        over_blank: bool = False) -> DataFrame:
     """``docs`` with the texts shortened, and n_lines and n_removed.
 
-    From each document the aligned common blocks of ``min_words`` words or more are deleted
-    that an earlier one (smaller doc_id) has too; the first holder keeps every line. All
+    From each document all runs of lines of ``min_words`` words or more are deleted that an
+    earlier one (smaller doc_id) has too; the first holder keeps every line. A line without
+    words ends a run unless ``over_blank``; then paragraphs count together. All
     columns of ``docs`` stay; n_lines and n_removed replace columns of those names. A
     document may end up with an empty text. Null or empty texts, and rows without doc_id,
     stay as they are; repeated rows of one doc_id are the same document and are never aligned
     with each other. An empty table gives an empty result.
     """
     held, back = hold(docs, "doc_id", "text")
-    gone = shared_table(repeated_lines(held, min_words), "gone-lines").withColumnRenamed(
+    gone = shared_table(repeated_lines(held, min_words, over_blank), "gone-lines").withColumnRenamed(
         "gone", "__gone")
     # The same plan at every size: documents meet their deletions by a merge join.
     joined = held.join(gone.hint("merge"), "doc_id", "left")

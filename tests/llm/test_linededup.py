@@ -106,3 +106,17 @@ def test_odd_rows(odd):
     assert len(rows) == odd.count()
     assert all(r.n_removed == 0 for r in rows)
     assert linededup.drop_repeated_lines(odd.limit(0)).collect() == []
+
+
+def short(documents, docs, min_words=30):
+    found = linededup.drop_repeated_lines(
+        documents(list(docs.items())), min_words, over_blank=True).collect()
+    return {r.doc_id: r.text for r in found}
+
+
+def test_block_of_lines_first_seen_in_other_documents(documents):
+    rows = [line(i, 20) for i in range(3)]
+    block = "\n".join(rows)
+    docs = {i + 1: f"{line(f'o{i}')}\n{rows[i]}" for i in range(3)}
+    docs |= {4: f"four\n{block}", 5: f"five\n{block}", 6: f"four\n{block}"}
+    assert short(documents, docs) == docs | {5: "five", 6: ""}
