@@ -96,7 +96,9 @@ def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
               min_words: int) -> list[tuple[int, int]]:
     """(first, last) lines of blocks of ``later`` that ``kept`` has too; they may overlap.
 
-    The alignment gives the blocks in common order.
+    The alignment gives the blocks in common order. What it can't align, as it crosses others
+    or has no anchor, is found by its shortest runs, so that no common run of ``min_words``
+    is left.
     """
     pairs = patience([h for _, h in kept], [h for _, h, _ in later])
     out: list[tuple[int, int]] = []
@@ -112,6 +114,21 @@ def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
                 begin = j
             end, before = j, now
             words += later[j][2]
+    gone = np.zeros(len(later) + 1, np.int64)
+    for a, b in out:
+        gone[a:b + 1] = 1
+    if not gone[:-1].all():
+        # A line has as many words wherever it stands.
+        size = {h: w for _, h, w in later}
+        own, other = ([(a, b, tuple(r[1] for r in rows[a:b + 1])) for a, b in zip(
+            *(x.tolist() for x in minimal_runs(
+                np.cumsum(np.diff([r[0] for r in rows], prepend=rows[0][0]) != 1),
+                np.array([size.get(r[1], min_words) for r in rows]), min_words)), strict=True)]
+            if rows else [] for rows in (later, kept))
+        there = {run for _, _, run in other}
+        done = np.r_[0, np.cumsum(gone)]
+        out += [(a, b) for a, b, run in own
+                if done[b + 1] - done[a] <= b - a and run in there]
     return out
 
 

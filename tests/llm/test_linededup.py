@@ -108,6 +108,26 @@ def test_odd_rows(odd):
     assert linededup.drop_repeated_lines(odd.limit(0)).collect() == []
 
 
+def any_common_run(docs, min_words):
+    """Every later document against all earlier ones: any run of lines with words in common."""
+    rows = {d: [(i, x.strip(" "), len(x.split())) for i, x in enumerate(t.split("\n"))
+                if x.split()] for d, t in docs.items()}
+    out = {}
+    for d, own in rows.items():
+        gone = set()
+        for other in (rows[e] for e in rows if e < d):
+            for i in range(len(own)):
+                for j in range(len(other)):
+                    n = 0
+                    while (i + n < len(own) and j + n < len(other)
+                           and own[i + n][1] == other[j + n][1]):
+                        n += 1
+                    if n and sum(r[2] for r in own[i:i + n]) >= min_words:
+                        gone |= set(range(own[i][0], own[i + n - 1][0] + 1))
+        out[d] = "\n".join(x for i, x in enumerate(docs[d].split("\n")) if i not in gone)
+    return out
+
+
 def short(documents, docs, min_words=30):
     found = linededup.drop_repeated_lines(
         documents(list(docs.items())), min_words, over_blank=True).collect()
@@ -120,3 +140,19 @@ def test_block_of_lines_first_seen_in_other_documents(documents):
     docs = {i + 1: f"{line(f'o{i}')}\n{rows[i]}" for i in range(3)}
     docs |= {4: f"four\n{block}", 5: f"five\n{block}", 6: f"four\n{block}"}
     assert short(documents, docs) == docs | {5: "five", 6: ""}
+
+
+def test_passages_that_cross_go_too(documents):
+    p, q, menu = line("p", 60), line("q", 40), "home\nabout\ncontact"
+    docs = {1: f"{p}\n{menu}", 2: f"{menu}\n{p}", 3: f"{q}\n{p}", 4: f"{p}\n{q}",
+            5: f"e\n{q}\nf\n{p}\ng\n{q}\nh"}
+    assert short(documents, docs) == {1: docs[1], 2: menu, 3: q, 4: "", 5: "e\nf\ng\nh"}
+
+
+def test_no_common_run_is_left(documents):
+    draw = random.Random(9)
+    docs = {d: "\n".join(draw.choice([line(draw.randint(0, 5), draw.choice([3, 9])), "", "x y"])
+                         for _ in range(draw.randint(0, 14))) for d in range(60)}
+    wanted = any_common_run(docs, 12)
+    assert short(documents, docs, 12) == wanted
+    assert sum(wanted[d] != docs[d] for d in docs) > 10
