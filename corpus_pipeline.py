@@ -32,7 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document that had text and is left without any goes.
     """
-    short = drop_repeated_lines(pick(docs, *COLUMNS), min_words=30)
+    short = drop_repeated_lines(pick(docs, *COLUMNS), min_words=30, over_blank=True)
     return short.filter("n_removed = 0 OR text != ''").withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint"))
         .otherwise(F.col("n_chars"))).select(*COLUMNS)

@@ -160,7 +160,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
-    return drop_repeated_lines(docs, min_words=30)
+    return drop_repeated_lines(docs, min_words=30, over_blank=True)
 
 
 # Equal to nearest() with k 10 and every 100.

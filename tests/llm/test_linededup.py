@@ -134,6 +134,12 @@ def short(documents, docs, min_words=30):
     return {r.doc_id: r.text for r in found}
 
 
+def test_paragraphs_parted_by_blank_lines(documents):
+    a, b = line("a", 28), line("b", 28)
+    got = short(documents, {1: f"x\n{a}\n\n{b}\ny", 2: f"v\n{a}\n\n{b}\nw", 3: f"{a}\n \n\n{b}"})
+    assert got == {1: f"x\n{a}\n\n{b}\ny", 2: "v\nw", 3: ""}
+
+
 def test_block_of_lines_first_seen_in_other_documents(documents):
     rows = [line(i, 20) for i in range(3)]
     block = "\n".join(rows)
