@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from geopanel.llm import ppm
 from geopanel.llm.common import pick, shared_table
 
-#: Byte contexts of three bytes and more are kept from one in so many training bytes on, so
-#: that each length has at most so many nodes however large the corpus is. Shorter ones are
-#: all kept (at most 256 ** 3).
+#: Bytes behind their whole context from one in so many training bytes on, at most so many, are
+#: known to every task. All others are looked up by a join.
 RESOLUTION = 1 << 21
+#: Contexts of fewer bytes are known to every task that works out rare bytes (at most 256 ** 3
+#: nodes); those that end with the same so many bytes are worked out together.
+TAIL = 3
+#: Keys that a task works out at a time.
+PART = 1 << 20
 #: Words from one in so many training tokens on, at most so many, are known to every task.
 #: All others are looked up by a join.
 HEAD = 1 << 17
@@ -84,39 +88,66 @@ def _arrays(df: DataFrame, *names: str) -> list[np.ndarray]:
     return [held[n].to_numpy() for n in names]
 
 
-def byte_trie(counts: DataFrame, order: int = ppm.ORDER,
-              resolution: int = RESOLUTION) -> ppm.Trie:
-    """The trie of the byte keys. Shorter contexts are sums over longer ones."""
+def byte_head(counts: DataFrame, order: int = ppm.ORDER) -> ppm.Head:
+    """The frequent byte keys, each with its probability behind its whole context."""
     full = counts.filter(F.col("kind") == BYTE_KIND).select("key", "n")
     total = full.agg(F.sum("n")).first()[0] or 0
-    least = -(-total // resolution)
-    nodes, contexts = [], []
-    for length in range(order + 1, 0, -1):
-        mask = (1 << (8 * length)) - 1
-        at = full.groupBy(F.col("key").bitwiseAND(F.lit(mask).cast("bigint")).alias("key")).agg(
-            F.sum("n").alias("n"))
-        floor = least if length > 3 else 1
-        nodes.append(at.filter(F.col("n") >= floor).select(
-            F.col("key").bitwiseOR(F.lit((length + 1) << ppm.TAG).cast("bigint")).alias("key"),
-            "n"))
-        # A context is known if it has a known node; its counts are those of all its bytes.
-        contexts.append(
-            at.groupBy(F.shiftrightunsigned("key", 8).alias("key"))
-            .agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max("n").alias("top"))
-            .filter(F.col("top") >= floor).select(
-                F.col("key").bitwiseOR(F.lit(length << ppm.TAG).cast("bigint")).alias("key"),
-                "n", "kinds"))
-
-    def all_of(parts: list[DataFrame]) -> DataFrame:
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.union(part)
-        return out
-
-    node_key, node_n = _arrays(all_of(nodes), "key", "n")
-    context_key, context_n, kinds = _arrays(all_of(contexts), "key", "n", "kinds")
-    return ppm.Trie.build(node_key.astype(np.uint64), node_n, context_key.astype(np.uint64),
-                          context_n, kinds, order)
+    least = -(-total // RESOLUTION)
+    key, n = _arrays(full.filter(F.col("n") >= least), "key", "n")
+    context, context_n, kinds = _arrays(
+        full.groupBy(F.shiftrightunsigned("key", 8).alias("key"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max("n").alias("top"))
+        .filter(F.col("top") >= least), "key", "n", "kinds")
+    key = key.astype(np.uint64)
+    at = ppm.Table(context.astype(np.uint64)).find(key >> np.uint64(8))
+    return ppm.Head(key, np.log(n) - np.log(context_n + kinds)[at], order)
+
+
+def byte_logs(counts: DataFrame, asked: DataFrame, order: int = ppm.ORDER) -> DataFrame:
+    """(key, log): natural logarithm of the probability of the byte keys in ``asked``.
+
+    By all contexts of the training texts. What a key can be looked up in ends with the same
+    bytes, so that keys and counts are dealt by them and each task has a part of the trie;
+    contexts shorter than those bytes are broadcast.
+    """
+    full = counts.filter(F.col("kind") == BYTE_KIND).select("key", "n")
+    tail = min(TAIL, order)
+    mask = F.lit((1 << (8 * tail)) - 1).cast("bigint")
+    short_key, short_n = _arrays(full.groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(
+        F.sum("n").alias("n")), "key", "n")
+    short = counts.sparkSession.sparkContext.broadcast(
+        ppm.levels(short_key.astype(np.uint64), short_n, range(tail, 0, -1)))
+
+    def part(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        known = n > 0
+        long = ppm.levels(key[known], n[known], range(order + 1, tail, -1))
+        model = ppm.Trie.build(
+            *[np.concatenate(both) for both in zip(long, short.value, strict=True)], order)
+        wanted = key[~known]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(wanted.view(np.int64)), pa.array(model.logs(wanted))],
+            names=["key", "log"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch["key"].to_numpy().view(np.uint64), batch["n"].to_numpy()))
+            size += batch.num_rows
+            if size > PART:
+                key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                ends = (key >> np.uint64(8)) & np.uint64((1 << (8 * tail)) - 1)
+                # The last tail may go on in the next batch.
+                whole = int(np.argmax(ends == ends[-1]))
+                if whole:
+                    yield part(key[:whole], n[:whole])
+                held, size = [(key[whole:], n[whole:])], key.size - whole
+        if size:
+            yield part(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    both = full.union(asked.select("key", F.lit(0).cast("bigint"))).withColumn(
+        "tail", F.shiftrightunsigned("key", 8).bitwiseAND(mask))
+    return both.repartition("tail").sortWithinPartitions("tail").select("key", "n").mapInArrow(
+        run, "key bigint, log double")
 
 
 def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
@@ -124,7 +155,7 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
 
     Trained on the rows whose crc32 of doc_id as text leaves no remainder 1 by 5 (rows
     without doc_id too), all of them whole. score is the log10 probability of the text, A-Z
-    lower-cased, and its end, by the byte trie; base_score that of its words, and an end, by
+    lower-cased, and its end, by all byte contexts of the training texts; base_score that of its words, and an end, by
     their smoothed frequency. bits_per_byte is the code length of score over bytes and end.
 
     A null or empty text is its end alone. Repeated rows count, and are scored, each for
@@ -141,11 +172,11 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
         words.filter(F.col("n") * HEAD >= total).select("key", "n"), "key", "n")
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(
-        (byte_trie(counts, order), dict(zip(head_key.tolist(), head_n.tolist(), strict=True))))
+        (byte_head(counts, order), dict(zip(head_key.tolist(), head_n.tolist(), strict=True))))
     bottom = total + 0.5 * (kinds + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, head = model.value
+        byte_table, head = model.value
         logs = {k: float(np.log10((n + 0.5) / bottom)) for k, n in head.items()}
         seen: dict[bytes, int] = {}
         digest = xxhash.xxh64_intdigest
@@ -175,21 +206,25 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
                 base.append(score)
                 size.append(len(body) + 1)
                 ends.append(len(tails))
-            scores = trie.score(bodies)
+            part, more, rare, reps = byte_table.score(bodies)
+            byte_ends = pa.array(np.r_[0, np.cumsum(more)], pa.int32())
             offsets = pa.array(ends, pa.int32())
             yield pa.RecordBatch.from_arrays([
                 batch["row"], batch["doc_id"], batch["held_out"], pa.array(tokens, pa.int64()),
-                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores),
-                pa.array(-scores * np.log2(10) / np.array(size)),
+                pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(part),
+                pa.array(size, pa.int64()),
                 pa.ListArray.from_arrays(offsets, pa.array(tails, pa.int64())),
                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
-            ], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "bits",
-                      "tail", "times"])
+                pa.ListArray.from_arrays(byte_ends, pa.array(rare.view(np.int64))),
+                pa.ListArray.from_arrays(byte_ends, pa.array(reps, pa.int32())),
+            ], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "part", "size",
+                      "tail", "times", "rare", "reps"])
 
     key = rows.schema["doc_id"].dataType.simpleString()
     scored = shared_table(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         run, f"row bigint, doc_id {key}, held_out boolean, n_tokens bigint, known bigint, "
-             "base double, score double, bits double, tail array<bigint>, times array<bigint>"),
+             "base double, part double, size bigint, tail array<bigint>, times array<bigint>, "
+             "rare array<bigint>, reps array<int>"),
         "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "row", F.col("t.tail").alias("key"), F.col("t.times").alias("times"))
@@ -198,8 +233,16 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(bottom)))
         .alias("rest"))
-    return scored.drop("tail", "times").join(sums, "row", "left").select(
+    bytes_ = scored.select("row", F.explode(F.arrays_zip("rare", "reps")).alias("t")).select(
+        "row", F.col("t.rare").alias("key"), F.col("t.reps").alias("reps"))
+    logs = shared_table(byte_logs(counts, bytes_.select("key").distinct(), order), "byte-logs")
+    byte_sums = bytes_.join(logs, "key").groupBy("row").agg(
+        F.sum(F.col("reps") * F.col("log")).alias("logs"))
+    out = scored.drop("tail", "times", "rare", "reps").join(sums, "row", "left").join(
+        byte_sums, "row", "left").withColumn(
+        "score", (F.col("part") + F.coalesce("logs", F.lit(0.0))) / float(np.log(10)))
+    return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0)))
         .alias("n_known"), F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score",
-        F.col("bits").alias("bits_per_byte"))
+        (-F.col("score") * float(np.log2(10)) / F.col("size")).alias("bits_per_byte"))

@@ -268,3 +268,54 @@ class Trie:
             data, places, first = coded(bodies[a:b], self.order)
             out[a:b] = np.add.reduceat(self.logs(keys(data, places, self.order)), first)
         return out / np.log(10)
+
+
+class Head:
+    """Logarithms of the probability of keys in their own context, for frequent keys."""
+
+    def __init__(self, key: np.ndarray, log: np.ndarray, order: int = ORDER):
+        self.nodes, self.log, self.order = Table(key), log, order
+
+    def score(self, bodies: list[bytes]) -> tuple[np.ndarray, ...]:
+        """(sum of the known logarithms of each text, and how many other keys it has; these
+        keys, text by text, and how often each occurs there)."""
+        out, more = np.zeros(len(bodies)), np.zeros(len(bodies), np.int64)
+        rare, times = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        # The number of a text stands above its keys.
+        for begin in range(0, len(bodies), 1 << 16):
+            for a, b in batches_of(bodies[begin:begin + (1 << 16)]):
+                a, b = begin + a, begin + b
+                data, places, first = coded(bodies[a:b], self.order)
+                key = keys(data, places, self.order)
+                node = self.nodes.find(key)
+                hit = node >= 0
+                log = np.zeros(key.size)
+                log[hit] = self.log[node[hit]]
+                out[a:b] = np.add.reduceat(log, first)
+                owner = np.repeat(np.arange(b - a, dtype=np.uint64),
+                                  np.diff(np.r_[first, key.size]))
+                found, n = np.unique((owner[~hit] << np.uint64(TAG)) | key[~hit],
+                                     return_counts=True)
+                more[a:b] = np.bincount((found >> np.uint64(TAG)).astype(np.int64),
+                                        minlength=b - a)
+                rare.append(found & np.uint64((1 << TAG) - 1))
+                times.append(n)
+        return out, more, np.concatenate(rare), np.concatenate(times)
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different keys, sums, numbers of rows)."""
+    found, back = np.unique(key, return_inverse=True)
+    return (found, np.bincount(back, n, found.size).astype(np.int64),
+            np.bincount(back, minlength=found.size))
+
+
+def levels(key: np.ndarray, n: np.ndarray, lengths: range) -> list[np.ndarray]:
+    """Tagged node keys, counts; tagged context keys, counts, kinds, of nodes of ``lengths``."""
+    nodes, contexts = [], []
+    for length in lengths:
+        at, total, _ = _summed(key & np.uint64((1 << (8 * length)) - 1), n)
+        nodes.append((at | np.uint64((length + 1) << TAG), total))
+        context, total, kinds = _summed(at >> np.uint64(8), total)
+        contexts.append((context | np.uint64(length << TAG), total, kinds))
+    return [np.concatenate(c) for c in [*zip(*nodes, strict=True), *zip(*contexts, strict=True)]]

@@ -147,3 +147,28 @@ def test_odd_rows(odd):
     assert len(found) == odd.count()
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in found)
     assert lmscore.score_documents(odd.limit(0)).collect() == []
+
+
+def test_rare_contexts_count_in_large_corpora(documents):
+    """More than 2 MB of training text, and contexts that occur once in it."""
+    many = "the cat sat on the mat and the dog sat on the cat " * 1000
+    odd_ones = [f"{word} quartz{i} jumbled vexing fjord" for i, word in enumerate("xyz" * 4)]
+    rows = [*((i, many) for i in range(60)), *((100 + i, t) for i, t in enumerate(odd_ones))]
+    train = [t.encode() for d, t in rows if crc32(str(d).encode()) % 5 != 1]
+    assert sum(map(len, train)) > 1 << 21
+    slow = SlowPPM(train, ppm.ORDER)
+    got = {r.doc_id: r for r in lmscore.score_documents(documents(rows)).collect()}
+    for d, t in rows[60:]:
+        assert math.isclose(got[d].score, slow.score(t.encode()), rel_tol=1e-9)
+    assert {got[d].held_out for d, _ in rows[60:]} == {True, False}
+
+
+@pytest.mark.parametrize("resolution", [1, 50])
+def test_same_score_whatever_is_broadcast(documents, monkeypatch, resolution):
+    monkeypatch.setattr(lmscore, "RESOLUTION", resolution)
+    monkeypatch.setattr(lmscore, "PART", 40)
+    texts = [t.decode() for t in TRAIN] * 3 + ["the bat", "zzz", "\u00f1and\u00fa", "cab"] * 2
+    slow = SlowPPM([t.encode() for d, t in enumerate(texts)
+                    if crc32(str(d).encode()) % 5 != 1], ppm.ORDER)
+    for r in lmscore.score_documents(documents(list(enumerate(texts)))).collect():
+        assert math.isclose(r.score, slow.score(texts[r.doc_id].encode()), rel_tol=1e-9)
