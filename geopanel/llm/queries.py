@@ -18,6 +18,7 @@ from geopanel.llm.neighbours import nearest
 from geopanel.llm.packing import packed_digest
 from geopanel.llm.quality import judge
 from geopanel.llm.secrets import find_secrets
+from geopanel.llm.sharding import ROUNDS, shard_documents
 from geopanel.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +231,45 @@ FROM r JOIN v ON r.host IS NOT DISTINCT FROM v.host
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"), host="source", limit=0.5)
     return judged.withColumn("host_rate", F.round("host_rate", 6))
+
+
+# Equal to shard_documents() with 16 shards and seed 42. The network is walked turn by turn;
+# a checksum is folded over the bytes of a text.
+SHARDING_SQL = r"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, coalesce(text, '') AS t, md5(coalesce(doc_id::VARCHAR, '-') || ':' || coalesce(md5(text), '-'))
+         AS digest FROM documents),
+feedback AS (
+  SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM feedback WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS f FROM feedback WHERE k = 8),
+size_ AS (SELECT n, a, (n + a - 1) // a AS b FROM (
+  SELECT count(*) AS n, greatest(1, floor(sqrt(count(*) - 1))::BIGINT + 1) AS a FROM base)),
+rows_ AS (
+  SELECT doc_id, octet_length(encode(t)) + 1 AS size, row_number() OVER (ORDER BY digest) - 1 AS number,
+         xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'),
+           lambda h: ('0x' || h)::BIGINT), lambda c, v: xor(c >> 8, f[(xor(c, v) & 255) + 1]),
+           4294967295::BIGINT)) AS text_crc32 FROM base, crc),
+walk AS (
+  SELECT number, number % a AS l, number // a AS r, 0 AS turn FROM rows_, size_
+  UNION ALL
+  SELECT number,
+         CASE WHEN turn % 2 = 0 THEN (l + ('0x' || substr(md5('42:' || turn % {rounds} || ':' || r), 1, 15))::BIGINT % a) % a
+              ELSE l END,
+         CASE WHEN turn % 2 = 1 THEN (r + ('0x' || substr(md5('42:' || turn % {rounds} || ':' || l), 1, 15))::BIGINT % b) % b
+              ELSE r END,
+         turn % {rounds} + 1
+  FROM walk, size_ WHERE turn < {rounds} OR l + r * a >= n)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law,
+       ((l + r * a) % 16)::INTEGER AS shard, ((l + r * a) // 16)::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard, number::BIGINT AS number
+FROM rows_ JOIN walk USING (number), size_ WHERE turn = {rounds} AND l + r * a < n
+""".replace("{rounds}", str(ROUNDS))
+
+
+@query(SHARDING_SQL)
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=16, seed=42)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard",
+                         "number")
