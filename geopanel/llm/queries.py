@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geopanel.llm.alignment import alignment_digest
 from geopanel.llm.common import pick, table
 from geopanel.llm.langid import identify
 from geopanel.llm.licenses import TEMPLATES, license_matches
 from geopanel.llm.linededup import drop_repeated_lines
 from geopanel.llm.lmscore import score_documents
 from geopanel.llm.mixing import mix
+from geopanel.llm.negatives import hard_negatives
 from geopanel.llm.neighbours import nearest
 from geopanel.llm.packing import packed_digest
 from geopanel.llm.quality import judge
@@ -26,6 +28,8 @@ ORACLES: dict[str, str] = {}
 
 #: The byte-level tokenizer that sequences are packed with.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The sentence piece model that it is aligned with.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(sql: str | None = None):
@@ -233,6 +237,45 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("host_rate", F.round("host_rate", 6))
 
 
+# Equal to hard_negatives() with its own numbers, on the query's labels.
+NEGATIVES_SQL = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT vec_id, label, list_transform(e, lambda x: floor(256 * x)::BIGINT) AS x FROM v),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS mine, a.x AS ax, c.vec_id, c.label,
+         coalesce(list_sum(list_transform(list_zip(a.x, c.x), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM w a JOIN w c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)),
+p AS (
+  SELECT anchor_id, mine, ax, vec_id AS positive_id, score AS positive_score FROM s WHERE label = mine
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, mine, ax ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.mine, p.ax, positive_id, positive_score
+                            ORDER BY score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.mine = s.mine AND p.ax = s.ax AND s.label <> s.mine
+   AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3
+"""
+
+
+@query(NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(table(spark, sf_dir, "embeddings"), "vec_id", "label", "embedding")
+    moved = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), every=50, positives=5, negatives=3,
+                          low=50, high=95, scale=256)
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digest(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 # Equal to shard_documents() with 16 shards and seed 42. The network is walked turn by turn;
 # a checksum is folded over the bytes of a text.
 SHARDING_SQL = r"""

@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from geopanel.llm import alignment
+from geopanel.llm.common import pick, table
+from geopanel.llm.queries import PIECES, TOKENIZER, op12_alignment
+
+A = Tokenizer.from_file(TOKENIZER)
+A.encode_special_tokens = True
+B = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+LEVEL = alignment.ByteLevel(TOKENIZER)
+
+
+def spell_b(i):
+    return bytes([int(B.id_to_piece(i)[3:5], 16)]) if B.is_byte(i) else \
+        B.id_to_piece(i).replace("▁", " ").encode()
+
+
+def ranges(ids, spell):
+    at, out = 0, []
+    for i in ids:
+        out.append((at, at + len(spell(i)), i))
+        at += len(spell(i))
+    return out
+
+
+def slow(rows):
+    """All pairs of tokens by their ranges, groups by walking over both lists."""
+    docs = []
+    for doc_id, text in rows:
+        a = A.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = B.encode(text) if text else []
+        body = (" " + text).encode() if text else b""
+        if b"".join(spell_b(i) for i in b) != body or A.decode(a).encode() != body:
+            a, b = [], []
+        ra, rb = ranges(a, lambda i: LEVEL.bytes[i]), ranges(b, spell_b)
+        links = [(x[2], y[2]) for y in rb for x in ra if x[1] == y[1]]
+        groups, at = [], 0
+        for end in sorted({x[1] for x in ra} & {y[1] for y in rb}):
+            groups.append(",".join(str(x[2]) for x in ra if at < x[1] <= end) + "|"
+                          + ",".join(str(y[2]) for y in rb if at < y[1] <= end))
+            at = end
+        docs.append((doc_id, len(a), len(b), groups, links))
+    counts = Counter(p for d in docs for p in d[4])
+    most = {}
+    for (_, b), n in counts.items():
+        most[b] = max(n, most.get(b, 0))
+    return sorted(((
+        i, na, nb, len(groups), len(links), sum(counts[p] == most[p[1]] for p in links),
+        sum(counts[p] for p in links),
+        hashlib.sha256(";".join(groups).encode()).hexdigest() if na else "")
+        for i, na, nb, groups, links in docs), key=str)
+
+
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+ROWS = [
+    (1, "The quick brown fox jumps over the lazy dog."), (2, "Größe  und\n\nTräume\t漢字 😀"),
+    (3, "<|endoftext|> and <s> </s> <0x41> <unk>"), (4, "a ▁ piece mark"), (5, ""), (6, None),
+    (7, " leading and trailing  "), (8, "x" * 300), (9, "the the the THE The"), (10, "Ġodd"),
+    (10, "the the the THE The"), (None, "unhappiness antidisestablishmentarianism"), (11, "\x00\x01"),
+    (12, "don't won't 1234567 3.14 é   ﬁ"),
+]
+
+
+@pytest.mark.parametrize("frequent", [1, 20, 1 << 18])
+@pytest.mark.parametrize("chunk", [1, 1 << 21])
+def test_same_as_brute_force(documents, monkeypatch, frequent, chunk):
+    monkeypatch.setattr(alignment, "FREQUENT", frequent)
+    monkeypatch.setattr(alignment, "CHUNK", chunk)
+    monkeypatch.setattr(alignment, "TOGETHER", 50)
+    got = alignment.alignment_digest(documents(ROWS), TOKENIZER, PIECES)
+    assert tuple(got.columns) == COLUMNS
+    found = sorted((tuple(r) for r in got.collect()), key=str)
+    assert found == slow(ROWS)
+    # The mark of a blank is a character of its own in the text, but not for side B.
+    assert next(r for r in found if r[0] == 4)[1:7] == (0, 0, 0, 0, 0, 0)
+    assert next(r for r in found if r[0] == 3)[3] > 5
+
+
+def test_groups_spell_the_text(documents):
+    for r in alignment.align(documents(ROWS), TOKENIZER, PIECES).collect():
+        text = dict((d, t) for d, t in ROWS if d != 10).get(r.doc_id)
+        if r.doc_id == 10 or not r.a_ids:
+            continue
+        at = bt = 0
+        body = b""
+        for i, j in zip(r.a_cuts, r.b_cuts, strict=True):
+            left = b"".join(LEVEL.bytes[x] for x in r.a_ids[at:i])
+            assert left == b"".join(spell_b(x) for x in r.b_ids[bt:j])
+            body, at, bt = body + left, i, j
+        assert body == (" " + text).encode()
+        assert (at, bt) == (len(r.a_ids), len(r.b_ids))
+
+
+def test_every_byte_of_the_vocabulary():
+    spelled = [s for s in LEVEL.bytes if len(s) == 1]
+    assert sorted(spelled) == [bytes([b]) for b in range(256)]
+    with_text = "".join(chr(c) for c in range(1, 0x500))
+    ids = LEVEL.encode([with_text])[0]
+    assert b"".join(LEVEL.bytes[i] for i in ids) == (" " + with_text).encode()
+
+
+def test_given_documents(spark):
+    docs = pick(table(spark, "/root/testdata/sf0.001", "documents"), "doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect() if len(r.text or "") < 4000]
+    some = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = alignment.alignment_digest(some, TOKENIZER, PIECES)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == slow(rows)
+
+
+def test_odd_rows(odd, spark, tmp_path):
+    rows = [(r.doc_id, r.text) for r in pick(odd, "doc_id", "text").collect()]
+    got = alignment.alignment_digest(odd, TOKENIZER, PIECES).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    long = [r for r in got if r.doc_id == 4]
+    assert long[0] == long[1] and long[0].n_a > 30_000
+    assert all(r.groups_sha256 == "" and r.n_a == 0 for r in got if r.doc_id in (1, 2))
+    assert alignment.alignment_digest(odd.limit(0), TOKENIZER, PIECES).collect() == []
+    pick(odd, "doc_id", "text", "lang").write.parquet(f"{tmp_path}/documents.parquet")
+    assert op12_alignment(spark, str(tmp_path)).count() == len(rows)
