@@ -9,8 +9,9 @@ and how often an id pair is linked in the whole corpus tells which links are the
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geopanel.llm.common import pick, shared_table
-from geopanel.llm.packing import UnitEncoder
 
 #: Pairs with at least one in this many links are looked up in every task, so at most as many.
 FREQUENT = 1 << 18
@@ -26,6 +26,13 @@ FREQUENT = 1 << 18
 TOGETHER = 1 << 20
 #: Links of a task that are counted before they are sent on.
 CHUNK = 1 << 21
+#: Units whose alignment a worker remembers.
+MEMORY = 300_000
+
+#: How side B spells a blank; what marks a unit behind a line end, or with blanks at its start.
+BLANK, NEXT_LINE, HEAD = "\u2581", "\x01", "\x02"
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
+_CUT = re.compile(r"(?<! ) (?=\S)")
 
 
 def spelled_bytes(token: str) -> bytes:
@@ -42,19 +49,22 @@ _BYTE_OF = {chr(b): b for b in _PRINTABLE} | {
 
 
 class ByteLevel:
-    """Side A: a byte-level tokenizer file, given the text behind a blank."""
+    """Side A: a byte-level tokenizer file."""
 
     def __init__(self, path: str):
-        self.encoder = UnitEncoder(path)
-        vocabulary = self.encoder.model.get_vocab()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True
+        vocabulary = self.model.get_vocab()
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             # Special tokens are not met, as their strings are ordinary text.
             self.bytes[i] = spelled_bytes(token) if all(c in _BYTE_OF for c in token) else b""
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [np.frombuffer(ids, "<u4").tolist()
-                for ids in self.encoder.encode([" " + t for t in texts])]
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces:
@@ -72,21 +82,14 @@ class Pieces:
             elif self.model.is_control(i) or self.model.is_unknown(i):
                 self.bytes.append(b"")
             else:
-                self.bytes.append(piece.replace("▁", " ").encode())
+                if BLANK in piece.lstrip(BLANK) or "\n" in piece:
+                    raise ValueError(f"a piece that goes on over a blank or a line end: {piece!r}")
+                self.bytes.append(piece.replace(BLANK, " ").encode())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-_sides: dict[tuple[type, str], ByteLevel | Pieces] = {}
-
-
-def side(kind: type, path: str) -> ByteLevel | Pieces:
-    if (kind, path) not in _sides:
-        _sides[kind, path] = kind(path)
-    return _sides[kind, path]
-
-
 def end_index(ids: list[int], spelling: list[bytes]) -> dict[int, int]:
     """Byte offset at which a token ends -> number of tokens up to it."""
     found, end = {}, 0
@@ -102,58 +105,121 @@ def slices(a: dict[int, int], b: dict[int, int]) -> tuple[list[int], list[int]]:
     return [a[end] for end in common], [b[end] for end in common]
 
 
-def aligned(text: str | None, a: list[int], b: list[int], spell_a: list[bytes],
-            spell_b: list[bytes]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """(ids A, ids B, cuts A, cuts B); all empty unless both sides spell the blank and the text."""
-    body = (" " + text).encode() if text else b""
-    if not body or b"".join([spell_a[i] for i in a]) != body or \
-            b"".join([spell_b[i] for i in b]) != body:
-        return [], [], [], []
-    return a, b, *slices(end_index(a, spell_a), end_index(b, spell_b))
-
-
-def group_text(a: list[str], b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of the groups, ids given as decimal texts."""
+def group_text(a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
+    """``a1,a2|b1;a3|b2,b3`` of the groups."""
     at, bt, out = 0, 0, []
     for i, j in zip(cuts_a, cuts_b, strict=True):
-        out.append(f"{a[at] if i == at + 1 else ','.join(a[at:i])}|"
-                   f"{b[bt] if j == bt + 1 else ','.join(b[bt:j])}")
+        out.append(f"{','.join(map(str, a[at:i]))}|{','.join(map(str, b[bt:j]))}")
         at, bt = i, j
     return ";".join(out)
 
 
-def _each(docs: DataFrame, first: str, second: str, make, names: str) -> DataFrame:
-    """doc_id and the values that ``make`` gives for a document's alignment."""
-    rows = pick(docs, "doc_id", "text")
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {names}"
+class Aligner:
+    """What ``keep`` makes of both tokenizations of a text's units and their groups.
+
+    A text is cut where both sides end a token whatever stands around: before a blank that
+    has no blank before it and a non-blank behind it, and before a line end between two
+    non-blanks. Units come again, so what ``keep`` made of them is remembered, of those in use when
+    the memory is full for longer. A unit that a side does not spell in full has None.
+    """
+
+    def __init__(self, first: str, second: str, keep: Callable):
+        self.a, self.b, self.keep = ByteLevel(first), Pieces(second), keep
+        self.known: dict[str, object] = {}
+
+    def _units(self, text: str) -> list[str]:
+        if NEXT_LINE in text or HEAD in text:
+            return [HEAD + text]
+        marked = _LINE.sub(f" {NEXT_LINE}", text)
+        units = marked.split(" ")
+        if all(u and not u[0].isspace() for u in set(units).difference(self.known)):
+            return units
+        # Some blank is followed by another blank, or by nothing, or begins the text.
+        head, *units = _CUT.split(" " + marked)
+        return [HEAD + head[1:], *units] if head else units
+
+    def _learn(self, units: list[str]) -> None:
+        texts = ["\n" + u[1:] if u[0] == NEXT_LINE else " " + u[u[0] == HEAD:] for u in units]
+        # Side B begins every text with a blank; a line end behind it lets the blank alone.
+        bare = [t if t[0] == "\n" else t[1:] for t in texts]
+        for unit, text, a, b in zip(units, texts, self.a.encode(texts), self.b.encode(bare),
+                                    strict=True):
+            self.known[unit] = self._aligned(text.encode(), a, b[1:] if text[0] == "\n" else b)
+
+    def _aligned(self, body: bytes, a: list[int], b: list[int]):
+        spell_a, spell_b = self.a.bytes, self.b.bytes
+        if b"".join([spell_a[i] for i in a]) != body or b"".join([spell_b[i] for i in b]) != body:
+            return None
+        return self.keep(a, b, *slices(end_index(a, spell_a), end_index(b, spell_b)))
+
+    def __call__(self, texts: list[str | None]) -> list[list]:
+        """Per text what its units have; nothing if it has no tokens."""
+        split = [self._units(t) if t else [] for t in texts]
+        new = list(set().union(*split).difference(self.known))
+        if len(self.known) + len(new) > MEMORY:
+            self.known = {u: self.known[u] for u in set().union(*split).intersection(self.known)}
+        if new:
+            self._learn(new)
+        find = self.known.__getitem__
+        found = [list(map(find, units)) for units in split]
+        return [[] if None in units else units for units in found]
+
+
+_aligners: dict[tuple, Aligner] = {}
+
+
+def aligner(first: str, second: str, keep: Callable) -> Aligner:
+    key = (first, second, keep.__name__)
+    if key not in _aligners:
+        _aligners[key] = Aligner(first, second, keep)
+    return _aligners[key]
+
+
+def _each(docs: DataFrame, first: str, second: str, keep: Callable, rows: Callable,
+          names: str) -> DataFrame:
+    """doc_id and the columns that ``rows`` makes of what ``keep`` made of the units."""
+    docs = pick(docs, "doc_id", "text")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {names}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = side(ByteLevel, first), side(Pieces, second)
+        of = aligner(first, second, keep)
         for batch in batches:
             begin, held, texts = 0, 0, []
             for at, text in enumerate(batch[1]):
                 texts.append(text.as_py())
                 held += len(texts[-1] or "")
-                if held < TOGETHER and at + 1 < batch.num_rows:
-                    continue
-                plain = [t or "" for t in texts]
-                found = [make(*aligned(t, x, y, a.bytes, b.bytes)) for t, x, y in zip(
-                    texts, a.encode(plain), b.encode(plain), strict=True)]
-                columns = list(zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [batch[0].slice(begin, len(texts)),
-                     *[pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)]],
-                    names=["doc_id", *[f.name for f in fields]])
-                begin, held, texts = at + 1, 0, []
+                if held >= TOGETHER or at + 1 == batch.num_rows:
+                    columns = rows(of(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch[0].slice(begin, len(texts)), *columns.values()],
+                        names=["doc_id", *columns])
+                    begin, held, texts = at + 1, 0, []
 
-    fields = [pa.field(*_arrow(n)) for n in names.split(", ")]
-    return rows.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
-def _arrow(column: str) -> tuple[str, pa.DataType]:
-    name, kind = column.split(" ")
-    return name, {"bigint": pa.int64(), "string": pa.string(),
-                  "array<int>": pa.list_(pa.int32())}[kind]
+def _lists(values: np.ndarray, sizes: list[int]) -> pa.ListArray:
+    ends = np.cumsum([0, *sizes]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def _whole(a, b, cuts_a, cuts_b):
+    return a, b, cuts_a, cuts_b
+
+
+def _whole_rows(found: list[list]) -> dict[str, pa.Array]:
+    out: tuple[list, ...] = ([], [], [], [])
+    for units in found:
+        lists: tuple[list, ...] = ([], [], [], [])
+        for a, b, cuts_a, cuts_b in units:
+            lists[2].extend(c + len(lists[0]) for c in cuts_a)
+            lists[3].extend(c + len(lists[1]) for c in cuts_b)
+            lists[0].extend(a)
+            lists[1].extend(b)
+        for column, values in zip(out, lists, strict=True):
+            column.append(values)
+    return {n: pa.array(c, pa.list_(pa.int32()))
+            for n, c in zip(("a_ids", "b_ids", "a_cuts", "b_cuts"), out, strict=True)}
 
 
 def align(docs: DataFrame, first: str, second: str) -> DataFrame:
@@ -164,20 +230,35 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
     texts, and those that a side does not spell in full, have no ids. Repeated rows are
     documents of their own; extra columns are ignored.
     """
-    return _each(docs, first, second, lambda *found: found,
+    return _each(docs, first, second, _whole, _whole_rows,
                  "a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>")
 
 
-def _links(docs: DataFrame, first: str, second: str) -> DataFrame:
-    """The digest of every document's alignment, and its links as two lists of ids."""
+def _digest(a, b, cuts_a, cuts_b):
+    """(numbers of ids of both sides in one, text of the groups, links as 32-bit ids)."""
+    links = [x for i, j in zip(cuts_a, cuts_b, strict=True) for x in (a[i - 1], b[j - 1])]
+    return len(a) << 32 | len(b), group_text(a, b, cuts_a, cuts_b), np.array(links, "<i4").tobytes()
+
+
+def _digest_rows(found: list[list]) -> dict[str, pa.Array]:
+    sizes = [sum([u[0] for u in units]) for units in found]
+    links = [b"".join([u[2] for u in units]) for units in found]
+    n_links = [len(x) // 8 for x in links]
+    pairs = np.frombuffer(b"".join(links), "<i4").reshape(-1, 2)
+    digests = [hashlib.sha256(";".join([u[1] for u in units]).encode()).hexdigest() if units else ""
+               for units in found]
+    return {
+        "n_a": pa.array([n >> 32 for n in sizes], pa.int64()),
+        "n_b": pa.array([n & 0xFFFFFFFF for n in sizes], pa.int64()),
+        "n_groups": pa.array(n_links, pa.int64()),
+        "groups_sha256": pa.array(digests, pa.string()),
+        "link_a": _lists(np.ascontiguousarray(pairs[:, 0]), n_links),
+        "link_b": _lists(np.ascontiguousarray(pairs[:, 1]), n_links)}
 
-    def make(a, b, cuts_a, cuts_b):
-        text = group_text(list(map(str, a)), list(map(str, b)), cuts_a, cuts_b)
-        digest = hashlib.sha256(text.encode()).hexdigest() if a else ""
-        return (len(a), len(b), len(cuts_a), digest, [a[i - 1] for i in cuts_a],
-                [b[i - 1] for i in cuts_b])
 
-    return _each(docs, first, second, make,
+def _links(docs: DataFrame, first: str, second: str) -> DataFrame:
+    """The digest of every document's alignment, and its links as two lists of ids."""
+    return _each(docs, first, second, _digest, _digest_rows,
                  "n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, "
                  "link_a array<int>, link_b array<int>")
 

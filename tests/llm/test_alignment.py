@@ -67,6 +67,13 @@ ROWS = [
     (10, "the the the THE The"), (None, "unhappiness antidisestablishmentarianism"), (11, "\x00\x01"),
     (12, "don't won't 1234567 3.14 é   ﬁ"),
 ]
+# Blanks, line ends and marks at the places where texts are cut into units.
+ROWS += [
+    (13, "one line\nanother line\n\n a third\n"), (14, "\n\nstart"), (15, " \n x"), (16, "a \nx b"),
+    (17, "\nx\ny\tz  \n w"), (18, "  a  b   c"), (19, "a \x01b \x02c\x1cd \x85 e\xa0f \u3000 g"),
+    (20, "x▁y a b"), (21, " "), (22, "\n"), (23, "x\ny\nz x\ny z\n\ty \r\n q"), (24, "x \x01"),
+    (25, "s 's\n's 12\n34 .\n. \x1f y"), (26, "漢\n字 漢 \u200b\n\u200b z\u2028\nq \u2029 r"),
+]
 
 
 @pytest.mark.parametrize("frequent", [1, 20, 1 << 18])
@@ -75,6 +82,7 @@ def test_same_as_brute_force(documents, monkeypatch, frequent, chunk):
     monkeypatch.setattr(alignment, "FREQUENT", frequent)
     monkeypatch.setattr(alignment, "CHUNK", chunk)
     monkeypatch.setattr(alignment, "TOGETHER", 50)
+    monkeypatch.setattr(alignment, "MEMORY", 10)
     got = alignment.alignment_digest(documents(ROWS), TOKENIZER, PIECES)
     assert tuple(got.columns) == COLUMNS
     found = sorted((tuple(r) for r in got.collect()), key=str)
@@ -103,7 +111,7 @@ def test_every_byte_of_the_vocabulary():
     spelled = [s for s in LEVEL.bytes if len(s) == 1]
     assert sorted(spelled) == [bytes([b]) for b in range(256)]
     with_text = "".join(chr(c) for c in range(1, 0x500))
-    ids = LEVEL.encode([with_text])[0]
+    ids = LEVEL.encode([" " + with_text])[0]
     assert b"".join(LEVEL.bytes[i] for i in ids) == (" " + with_text).encode()
 
 
