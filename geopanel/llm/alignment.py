@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +25,26 @@ from geopanel.llm.common import pick, shared_table
 #: Pairs with at least one in this many links are looked up in every task, so at most as many.
 FREQUENT = 1 << 18
 #: Characters of the texts that are encoded together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 #: Links of a task that are counted before they are sent on.
 CHUNK = 1 << 21
 #: Units whose alignment a worker remembers.
 MEMORY = 300_000
 
-#: How side B spells a blank; what marks a unit behind a line end, or with blanks at its start.
-BLANK, NEXT_LINE, HEAD = "\u2581", "\x01", "\x02"
+#: New units that are aligned as one text.
+SIDE = 256
+
+#: How side B spells a blank.
+BLANK = "\u2581"
+#: What stands for a unit that has no blank before it, or blanks at its start, and its text.
+NEXT_LINE, HEAD, COMMA, STOP = "\x01", "\x02", "\x03", "\x04"
+MARKS = {NEXT_LINE: "\n", HEAD: " ", COMMA: ",", STOP: "."}
 _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _CUT = re.compile(r"(?<! ) (?=\S)")
+# The sign first and what stands before it second: the search then goes from sign to sign.
+_AFTER_WORD = {COMMA: re.compile(r",(?<=[^\W_²],) (?=\S)"),
+               STOP: re.compile(r"\.(?<=[^\W_²]\.) (?=\S)")}
+_NOT_CUT = re.compile(rf"[^{BLANK}]{BLANK}|\n|[^\W_²][,.]")
 
 
 def spelled_bytes(token: str) -> bytes:
@@ -82,21 +94,17 @@ class Pieces:
             elif self.model.is_control(i) or self.model.is_unknown(i):
                 self.bytes.append(b"")
             else:
-                if BLANK in piece.lstrip(BLANK) or "\n" in piece:
-                    raise ValueError(f"a piece that goes on over a blank or a line end: {piece!r}")
+                if _NOT_CUT.search(piece):
+                    raise ValueError(f"a piece that goes on where units end: {piece!r}")
                 self.bytes.append(piece.replace(BLANK, " ").encode())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
 
-def end_index(ids: list[int], spelling: list[bytes]) -> dict[int, int]:
+def end_index(ids: list[int], lengths: list[int]) -> dict[int, int]:
     """Byte offset at which a token ends -> number of tokens up to it."""
-    found, end = {}, 0
-    for n, i in enumerate(ids, 1):
-        end += len(spelling[i])
-        found[end] = n
-    return found
+    return dict(zip(accumulate([lengths[i] for i in ids]), range(1, len(ids) + 1), strict=True))
 
 
 def slices(a: dict[int, int], b: dict[int, int]) -> tuple[list[int], list[int]]:
@@ -109,7 +117,9 @@ def group_text(a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int])
     """``a1,a2|b1;a3|b2,b3`` of the groups."""
     at, bt, out = 0, 0, []
     for i, j in zip(cuts_a, cuts_b, strict=True):
-        out.append(f"{','.join(map(str, a[at:i]))}|{','.join(map(str, b[bt:j]))}")
+        left = str(a[at]) if i == at + 1 else ",".join(map(str, a[at:i]))
+        right = str(b[bt]) if j == bt + 1 else ",".join(map(str, b[bt:j]))
+        out.append(f"{left}|{right}")
         at, bt = i, j
     return ";".join(out)
 
@@ -118,19 +128,26 @@ class Aligner:
     """What ``keep`` makes of both tokenizations of a text's units and their groups.
 
     A text is cut where both sides end a token whatever stands around: before a blank that
-    has no blank before it and a non-blank behind it, and before a line end between two
-    non-blanks. Units come again, so what ``keep`` made of them is remembered, of those in use when
-    the memory is full for longer. A unit that a side does not spell in full has None.
+    has no blank before it and a non-blank behind it, before a line end between two non-blanks,
+    and between a letter or digit (but not "²") and a comma or full stop before such a blank.
+    Units come again, so what ``keep`` made of them is remembered; of two halves of the memory
+    the older one goes when the younger is full. New units are aligned many in a row, as one
+    text. A unit that a side does not spell in full has None.
     """
 
     def __init__(self, first: str, second: str, keep: Callable):
         self.a, self.b, self.keep = ByteLevel(first), Pieces(second), keep
+        self.len_a = [len(x) for x in self.a.bytes]
+        self.len_b = [len(x) for x in self.b.bytes]
         self.known: dict[str, object] = {}
+        self.old: dict[str, object] = {}
 
     def _units(self, text: str) -> list[str]:
-        if NEXT_LINE in text or HEAD in text:
+        if any(mark in text for mark in MARKS):
             return [HEAD + text]
         marked = _LINE.sub(f" {NEXT_LINE}", text)
+        marked = _AFTER_WORD[COMMA].sub(f" {COMMA} ", marked)
+        marked = _AFTER_WORD[STOP].sub(f" {STOP} ", marked)
         units = marked.split(" ")
         if all(u and not u[0].isspace() for u in set(units).difference(self.known)):
             return units
@@ -139,27 +156,68 @@ class Aligner:
         return [HEAD + head[1:], *units] if head else units
 
     def _learn(self, units: list[str]) -> None:
-        texts = ["\n" + u[1:] if u[0] == NEXT_LINE else " " + u[u[0] == HEAD:] for u in units]
-        # Side B begins every text with a blank; a line end behind it lets the blank alone.
-        bare = [t if t[0] == "\n" else t[1:] for t in texts]
-        for unit, text, a, b in zip(units, texts, self.a.encode(texts), self.b.encode(bare),
-                                    strict=True):
-            self.known[unit] = self._aligned(text.encode(), a, b[1:] if text[0] == "\n" else b)
-
-    def _aligned(self, body: bytes, a: list[int], b: list[int]):
+        """Units that end in a non-blank in rows of ``SIDE``, the others one by one."""
+        row: list[str] = []
+        rows = []
+        for unit in units:
+            if unit[0] in (HEAD, COMMA, STOP) or unit[-1].isspace():
+                rows.append([unit])
+            else:
+                row.append(unit)
+                if len(row) == SIDE:
+                    rows.append(row)
+                    row = []
+        self._align_rows([*rows, row] if row else rows)
+
+    def _align_rows(self, rows: list[list[str]]) -> None:
+        spelled = [[MARKS.get(u[0], " " + u[0]) + u[1:] for u in row] for row in rows]
+        texts = ["".join(row) for row in spelled]
+        # Side B begins every text with a blank; behind a line end nothing joins it.
+        first = [t[0] for t in texts]
+        bare = [t[1:] if c == " " else t if c == "\n" else "\n" + t
+                for t, c in zip(texts, first, strict=True)]
+        extra = [0 if c == " " else 1 if c == "\n" else 2 for c in first]
+        failed = []
+        for row, parts, text, a, b, n in zip(
+                rows, spelled, texts, self.a.encode(texts), self.b.encode(bare), extra,
+                strict=True):
+            if not self._align_row(row, parts, text.encode(), a, b[n:]):
+                failed.append(row)
+        for row in failed:
+            if len(row) == 1:
+                self.known[row[0]] = None
+            else:
+                self._align_rows([[u] for u in row])
+
+    def _align_row(self, row, parts, body: bytes, a: list[int], b: list[int]) -> bool:
         spell_a, spell_b = self.a.bytes, self.b.bytes
         if b"".join([spell_a[i] for i in a]) != body or b"".join([spell_b[i] for i in b]) != body:
-            return None
-        return self.keep(a, b, *slices(end_index(a, spell_a), end_index(b, spell_b)))
+            return False
+        index_a, index_b = end_index(a, self.len_a), end_index(b, self.len_b)
+        cuts_a, cuts_b = slices(index_a, index_b)
+        # Both sides end a token where a unit ends.
+        ends = list(accumulate(len(p.encode()) for p in parts))
+        nth = dict(zip(cuts_a, range(1, len(cuts_a) + 1), strict=True))
+        at_a = at_b = at = 0
+        for unit, end in zip(row, ends, strict=True):
+            to_a, to_b = index_a[end], index_b[end]
+            to = nth[to_a]
+            self.known[unit] = self.keep(
+                a[at_a:to_a], b[at_b:to_b], [i - at_a for i in cuts_a[at:to]],
+                [i - at_b for i in cuts_b[at:to]])
+            at_a, at_b, at = to_a, to_b, to
+        return True
 
     def __call__(self, texts: list[str | None]) -> list[list]:
         """Per text what its units have; nothing if it has no tokens."""
+        if len(self.known) > MEMORY // 2:
+            self.old, self.known = self.known, {}
         split = [self._units(t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > MEMORY:
-            self.known = {u: self.known[u] for u in set().union(*split).intersection(self.known)}
-        if new:
-            self._learn(new)
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.old)
+        self.known.update((u, self.old[u]) for u in again)
+        if len(new) > len(again):
+            self._learn(list(new.difference(again)))
         find = self.known.__getitem__
         found = [list(map(find, units)) for units in split]
         return [[] if None in units else units for units in found]
@@ -236,15 +294,18 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
 
 def _digest(a, b, cuts_a, cuts_b):
     """(numbers of ids of both sides in one, text of the groups, links as 32-bit ids)."""
-    links = [x for i, j in zip(cuts_a, cuts_b, strict=True) for x in (a[i - 1], b[j - 1])]
-    return len(a) << 32 | len(b), group_text(a, b, cuts_a, cuts_b), np.array(links, "<i4").tobytes()
+    links = array("i")
+    for i, j in zip(cuts_a, cuts_b, strict=True):
+        links.append(a[i - 1])
+        links.append(b[j - 1])
+    return len(a) << 32 | len(b), group_text(a, b, cuts_a, cuts_b), links.tobytes()
 
 
 def _digest_rows(found: list[list]) -> dict[str, pa.Array]:
     sizes = [sum([u[0] for u in units]) for units in found]
     links = [b"".join([u[2] for u in units]) for units in found]
     n_links = [len(x) // 8 for x in links]
-    pairs = np.frombuffer(b"".join(links), "<i4").reshape(-1, 2)
+    pairs = np.frombuffer(b"".join(links), "i4").reshape(-1, 2)
     digests = [hashlib.sha256(";".join([u[1] for u in units]).encode()).hexdigest() if units else ""
                for units in found]
     return {
