@@ -26,10 +26,10 @@ from geopanel.llm.common import pick, shared_table
 FREQUENT = 1 << 18
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 19
-#: Links of a task that are counted before they are sent on.
-CHUNK = 1 << 21
+#: Links that a task counts, or looks up, in one go.
+CHUNK = 1 << 19
 #: Units whose alignment a worker remembers.
-MEMORY = 300_000
+MEMORY = 200_000
 
 #: New units that are aligned as one text.
 SIDE = 256
@@ -324,6 +324,16 @@ def _links(docs: DataFrame, first: str, second: str) -> DataFrame:
                  "link_a array<int>, link_b array<int>")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, cut so that no part has many more than ``CHUNK`` links."""
+    for batch in batches:
+        ends = np.cumsum(batch["link_a"].value_lengths().to_numpy(zero_copy_only=False))
+        number = ends // CHUNK
+        starts = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if ends.size else []
+        for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(start, end - start)
+
+
 def _codes(a: pa.Array, b: pa.Array) -> np.ndarray:
     return (a.flatten().to_numpy(zero_copy_only=False).astype(np.int64) << 32) | \
         b.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -338,8 +348,8 @@ def pair_counts(links: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            held.append(_codes(batch[0], batch[1]))
+        for batch in _parts(batches):
+            held.append(_codes(batch["link_a"], batch["link_b"]))
             size += held[-1].size
             if size >= CHUNK:
                 yield counted(held)
@@ -385,7 +395,7 @@ def alignment_digest(docs: DataFrame, first: str, second: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = table.value
-        for batch in batches:
+        for batch in _parts(batches):
             a, b = batch.column("link_a"), batch.column("link_b")
             codes = _codes(a, b)
             ends = np.cumsum(np.append(0, a.value_lengths().to_numpy(zero_copy_only=False)))
