@@ -112,16 +112,23 @@ def project_points_mercator(spark, sf_dir):
     return _vertices(G.split_parts(projected), "part")
 
 
-@query(f"""WITH {_POINTS}, {_XY}, edges AS (SELECT a.vec_id, a.r,
-    sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS len,
+@query(f"""WITH {_POINTS}, {_XY}, edges AS (SELECT a.vec_id, a.r, a.i, a.x AS ax, a.y AS ay,
+    b.x AS bx, b.y AS by_, sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS len,
     (a.x - b.x) * (a.y + b.y) / 2 AS area
     FROM projected a JOIN projected b
-      ON a.vec_id = b.vec_id AND a.r = b.r AND b.i = (a.i + 1) % 8)
+      ON a.vec_id = b.vec_id AND a.r = b.r AND b.i = (a.i + 1) % 8),
+  rings AS (SELECT vec_id, r, sum(len) AS len, abs(sum(area)) AS area FROM edges GROUP BY ALL),
+  middles AS (SELECT vec_id, r, (ax + bx) / 2 AS mx, (ay + by_) / 2 AS my FROM edges WHERE i = 0),
+  holes AS (SELECT m.vec_id, m.r, count(*) FILTER ((ay > my) <> (by_ > my)
+      AND mx < ax + (bx - ax) * (my - ay) / (by_ - ay)) % 2 AS hole
+    FROM middles m JOIN edges e ON e.vec_id = m.vec_id AND e.r = m.r + 1 - 2 * (m.r % 2)
+    GROUP BY ALL)
   SELECT vec_id AS ORIG_FID, CAST(r // 2 AS INTEGER) AS part_no,
-    round(sum(len) / 1000, 3) AS length_km, round(abs(sum(area)) / 1000000, 3) AS area_km2
-  FROM edges GROUP BY vec_id, r // 2""")
+    round(sum(len) / 1000, 3) AS length_km,
+    round(abs(sum(area * (1 - 2 * hole))) / 1000000, 3) AS area_km2
+  FROM rings JOIN holes USING (vec_id, r) GROUP BY vec_id, r // 2""")
 def ring_measures(spark, sf_dir):
-    """Perimeter and area of each projected part, inner rings signed by direction."""
+    """Perimeter and area of each projected part, rings within another subtracted."""
     parts = G.split_parts(_polygons(spark, sf_dir))
     projected = parts.withColumn("part", G.project_part("part", _LAMBERT))
     measured = G.measure_parts(projected)

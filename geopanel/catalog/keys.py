@@ -118,6 +118,51 @@ def crosswalk_rollup_weighted(spark, sf_dir):
     return rows.withColumn("balance", F.round("balance", 4))
 
 
+@query("""WITH RECURSIVE steps AS (SELECT s_suppkey AS f, s_suppkey // 3 AS t FROM supplier
+    WHERE s_suppkey >= 3),
+  paths AS (SELECT f, t FROM steps UNION ALL
+    SELECT paths.f, steps.t FROM paths JOIN steps ON steps.f = paths.t),
+  last AS (SELECT f, t FROM paths WHERE t NOT IN (SELECT f FROM steps))
+  SELECT CAST(coalesce(t, l_suppkey) AS VARCHAR) AS area, CAST(sum(l_quantity) AS BIGINT) AS qty,
+    count(*) AS n FROM lineitem LEFT JOIN last ON f = l_suppkey GROUP BY 1""")
+def crosswalk_chains(spark, sf_dir):
+    """Codes that change again and again, followed to the last one in a table of changes."""
+    areas = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_suppkey").cast("string").alias("area")
+    ).agg(F.sum("l_quantity").cast("bigint").alias("qty"), F.count(F.lit(1)).alias("n"))
+    steps = table(spark, sf_dir, "supplier").filter("s_suppkey >= 3").select(
+        F.col("s_suppkey").cast("string").alias("from"),
+        F.expr("s_suppkey div 3").cast("string").alias("to"),
+    )
+    return K.merge_keys(areas, "area", steps, ["qty", "n"], chains=True)
+
+
+@query("""WITH s AS (SELECT 'S' || s_suppkey AS area, 'N' || s_nationkey AS nation,
+    'R' || n_regionkey AS region, CAST(sum(l_quantity) AS BIGINT) AS qty, count(*) AS n
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON n_nationkey = s_nationkey
+    GROUP BY ALL)
+  SELECT area, qty, n FROM s
+  UNION ALL SELECT nation, CAST(sum(qty) AS BIGINT), CAST(sum(n) AS BIGINT) FROM s GROUP BY 1
+  UNION ALL SELECT region, CAST(sum(qty) AS BIGINT), CAST(sum(n) AS BIGINT) FROM s GROUP BY 1
+  UNION ALL SELECT 'all', CAST(sum(qty) AS BIGINT), CAST(sum(n) AS BIGINT) FROM s""")
+def crosswalk_rollup_nested(spark, sf_dir):
+    """Suppliers, their nations, those nations' regions and all of them in one aggregation."""
+    areas = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
+        F.sum("l_quantity").cast("bigint").alias("qty"), F.count(F.lit(1)).alias("n"),
+    ).select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("area"), "qty", "n")
+
+    def pairs(name, below, above, start, end):
+        return table(spark, sf_dir, name).select(
+            F.concat(F.lit(start), F.col(below).cast("string")).alias("from"),
+            F.concat(F.lit(end), F.col(above).cast("string")).alias("to"))
+
+    tree = pairs("supplier", "s_suppkey", "s_nationkey", "S", "N").union(
+        pairs("nation", "n_nationkey", "n_regionkey", "N", "R")
+    ).union(table(spark, sf_dir, "region").select(
+        F.concat(F.lit("R"), F.col("r_regionkey").cast("string")), F.lit("all")))
+    return K.roll_up(areas, "area", tree, nested=True)
+
+
 # --- Joins --------------------------------------------------------------------
 
 
@@ -233,17 +278,15 @@ def context_attach(spark, sf_dir):
 
 
 @query("""WITH u AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events
-    WHERE event_type = 'signup' AND user_id % 50 = 0 GROUP BY ALL),
+    WHERE dayofweek(ts) BETWEEN 1 AND 5 GROUP BY ALL),
   a AS (SELECT CAST(ts AS DATE) AS d, count(*) AS overall FROM events GROUP BY ALL)
   SELECT user_id, CAST(d AS VARCHAR) AS day, n, overall FROM u FULL JOIN a USING (d)""")
 def context_all_periods(spark, sf_dir):
-    """Days without any such row keep the overall value, whatever days there are."""
-    events = table(spark, sf_dir, "events").select(
-        "user_id", F.to_date("ts").alias("day"), "event_type"
-    )
+    """Users on working days; week-ends, which no user row has, keep the overall value."""
+    events = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
     overall = events.groupBy("day").agg(F.count(F.lit(1)).alias("overall"))
-    some = events.filter((F.col("event_type") == "signup") & (F.col("user_id") % 50 == 0))
-    users = some.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    working = events.filter(F.dayofweek("day").between(2, 6))
+    users = working.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("n"))
     return J.attach_context(users, overall, "day", keep_unmatched=True)
 
 

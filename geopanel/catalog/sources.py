@@ -117,6 +117,34 @@ def csv_folder(spark, sf_dir):
         "o_orderkey", "priority")
 
 
+@query("""SELECT o_orderkey, o_orderpriority || chr(10) || 'said "' || o_orderstatus || '",'
+    || chr(10) || chr(10) || 'late' AS note, o_totalprice AS price FROM orders""")
+def csv_quoted_lines(spark, sf_dir):
+    """Notes of several lines with quotes and commas, read in splits."""
+    path = shared_folder(spark, "csv-lines")
+    notes = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(
+            "o_orderpriority", F.lit('\nsaid "'), "o_orderstatus", F.lit('",\n\nlate'),
+        ).alias("note"), F.col("o_totalprice").alias("price"))
+    write_csv(notes, path)
+    contract = {"o_orderkey": "bigint", "note": "string", "price": "double"}
+    return read_csv(spark, path, contract, quoted_newlines=True)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS id, '[' || c_mktsegment || '],"' AS kind
+    FROM customer""")
+def json_free_rows(spark, sf_dir):
+    """Brackets and quotes in values, white space between rows, one array per nation."""
+    path = shared_folder(spark, "free-json")
+    row = F.concat(F.lit('\n  [ "'), F.col("c_custkey").cast("string"), F.lit('" ,\n "['),
+                   "c_mktsegment", F.lit('],\\"" ] '))
+    answers = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.concat(
+        F.lit('[ ["id" , "kind"] ,'), F.array_join(F.collect_list(row), ","), F.lit("\n]\n"),
+    ).alias("value"))
+    answers.write.partitionBy("c_nationkey").option("lineSep", "\n").text(path)
+    return read_header_json(spark, path, {"id": "id", "kind": "kind"}, "free")
+
+
 _CODED = """SELECT lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS GEOID, 'Area ' || l_suppkey AS NAME,
     CASE l_linenumber {names} END AS variable, {value} FROM lineitem
   WHERE l_linenumber IN (1, 3) GROUP BY l_suppkey, l_linenumber"""

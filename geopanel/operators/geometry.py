@@ -117,13 +117,31 @@ def ring_length(ring: ColumnLike) -> Column:
 
 
 def ring_area(ring: ColumnLike) -> Column:
-    """Signed area: positive counter-clockwise, so holes subtract from their part."""
+    """Signed area: positive counter-clockwise.
+
+    Measured from the first vertex, as the products of projected metres would cancel each
+    other's leading digits.
+    """
+    ring = col(ring)
+    x, y = F.get(ring, F.lit(0)).getField("x"), F.get(ring, F.lit(0)).getField("y")
     return _edges(
-        col(ring),
-        lambda a, b: (a.getField("x") - b.getField("x")) * (a.getField("y") + b.getField("y")) / 2,
+        ring,
+        lambda a, b: (a.getField("x") - x) * (b.getField("y") - y) / 2
+        - (b.getField("x") - x) * (a.getField("y") - y) / 2,
     )
 
 
+def in_ring(x: Column, y: Column, ring: ColumnLike) -> Column:
+    """Is a point inside a ring: does a ray to the right cross it an odd number of times?"""
+    def crossing(a: Column, b: Column) -> Column:
+        over = (a.getField("y") > y) != (b.getField("y") > y)
+        at = a.getField("x") + (b.getField("x") - a.getField("x")) * (
+            y - a.getField("y")) / (b.getField("y") - a.getField("y"))
+        return F.when(over, F.when(x < at, 1.0).otherwise(0.0)).otherwise(0.0)
+
+    return _edges(col(ring), crossing) % 2 == 1
+
+
 def part_length(part: ColumnLike) -> Column:
     return F.aggregate(
         F.transform(col(part), ring_length), F.lit(0.0), lambda total, x: total + x
@@ -131,8 +149,24 @@ def part_length(part: ColumnLike) -> Column:
 
 
 def part_area(part: ColumnLike) -> Column:
+    """Area of a part: a ring within an odd number of the others is a hole, in whatever direction.
+
+    A ring lies where the middle of its first edge does, so rings may touch in points. An
+    island in a hole adds up again.
+    """
+    rings = col(part)
+
+    def signed(ring: Column, number: Column) -> Column:
+        first, second = F.get(ring, F.lit(0)), F.get(ring, F.lit(1))
+        x = (first.getField("x") + F.coalesce(second, first).getField("x")) / 2
+        y = (first.getField("y") + F.coalesce(second, first).getField("y")) / 2
+        around = F.size(F.filter(
+            rings, lambda other, at: (at != number) & in_ring(x, y, other)))
+        size = F.abs(ring_area(ring))
+        return F.when(around % 2 == 1, -size).otherwise(size)
+
     return F.abs(
-        F.aggregate(F.transform(col(part), ring_area), F.lit(0.0), lambda total, x: total + x)
+        F.aggregate(F.transform(rings, signed), F.lit(0.0), lambda total, x: total + x)
     )
 
 

@@ -16,15 +16,22 @@ from pyspark.sql import types as T
 from geopanel.functions import single_value
 
 
-def with_unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``df``, or an error if a combination of its keys occurs twice; NULL is a key.
+def unique_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` put together by its keys, or an error if one occurs twice; NULL is a key.
 
-    The check counts rows by key, a hash aggregation however wide the frame is.
+    The check is part of the aggregation that the rows come out of: ``df`` is read once.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    most = counts.agg(F.max("__rows")).scalar()
-    repeated = F.raise_error(F.lit(f"a key occurs twice: {', '.join(keys)}")).cast("boolean")
-    return df.filter(F.when(most > 1, repeated).otherwise(F.lit(True)))
+    values = [c for c in df.columns if c not in keys]
+    once = F.expr(f"assert_true(count(1) < 2, 'a key occurs twice: {', '.join(keys)}')")
+    return df.groupBy(*keys).agg(
+        once.alias("__once"), *[_only(df, c) for c in values]
+    ).filter(F.col("__once").isNull()).select(*df.columns)
+
+
+def _only(df: DataFrame, name: str) -> Column:
+    """The value of a group of one row: a maximum where that is a hash aggregation."""
+    hashed = _hashed(df.schema[name].dataType)
+    return (F.max(name) if hashed else F.first(name, ignorenulls=True)).alias(name)
 
 
 def full_join(
@@ -33,13 +40,14 @@ def full_join(
 ) -> DataFrame:
     """Full outer join on keys that are unique on both sides, keys coalesced.
 
-    NULL keys match NULL keys, and the join stays an equi-join. Say ``nullable=False``
-    for keys that are never NULL: a plain equality can reuse a side's partitioning.
-    A repeated key is an error; say ``check=False`` only for sides that are unique by how
-    they were made, by a grouping on the keys for instance.
+    NULL keys match NULL keys. A repeated key is an error, found by the one aggregation that
+    also matches the sides (``combine_sources``). Say ``check=False`` only for sides that are
+    unique by how they were made, by a grouping on the keys for instance: they are joined
+    by an equi-join, and ``nullable=False`` for keys that are never NULL lets it reuse a
+    side's partitioning.
     """
     if check:
-        left, right = with_unique_keys(left, keys), with_unique_keys(right, keys)
+        return combine_sources([left, right], keys)
     if not nullable:
         return left.join(right, list(keys), "full")
     lhs = left.withColumnsRenamed({k: f"__l_{k}" for k in keys})
@@ -59,13 +67,28 @@ def left_lookup(
     NULL keys match NULL keys; a repeated key of ``lookup`` is an error.
     """
     pairs = on if isinstance(on, Mapping) else {k: k for k in on}
-    right = with_unique_keys(lookup, list(pairs.values())).withColumnsRenamed(
+    right = unique_by(lookup, list(pairs.values())).withColumnsRenamed(
         {k: f"__k_{k}" for k in pairs.values()}
     )
     condition = [F.col(k).eqNullSafe(F.col(f"__k_{r}")) for k, r in pairs.items()]
     return df.join(right, condition, "left").drop(*[f"__k_{r}" for r in pairs.values()])
 
 
+def left_join_unique(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to rows that must be unique by all keys, with one shuffle of either side.
+
+    NULL keys match NULL keys. The key is one struct, so the join reuses the partitioning of the
+    aggregation that checks ``other``. For keys that are (nearly) unique in ``df`` too: a hot
+    key could not be split here; see ``left_lookup``.
+    """
+    whole = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    kinds = {k: df.schema[k].dataType for k in keys}
+    right = other.withColumns({k: F.col(k).cast(kind) for k, kind in kinds.items()}).select(
+        whole.alias("__key"), *[c for c in other.columns if c not in keys])
+    left = df.withColumn("__key", whole)
+    return left.join(unique_by(right, ["__key"]), "__key", "left").drop("__key")
+
+
 def _hashed(kind: T.DataType) -> bool:
     """Can a maximum of this type be kept in a hash aggregation?"""
     return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
@@ -78,8 +101,14 @@ def combine_sources(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFra
     Stack the frames and aggregate by key: one exchange however many frames there
     are, and NULL keys fall together. A key that occurs twice in a frame is an error.
     Apart from the keys, every column belongs to one frame. Only numbers and dates are
-    aggregated, by hash; texts are joined to the result from the frame that has them.
+    aggregated, by hash; texts are joined to the result from the frame that has them. The
+    key is one struct, so those joins use the partitioning of the aggregation, and
+    no column but the key is shuffled twice.
     """
+    values = [c for frame in frames for c in frame.columns if c not in keys]
+    shared = sorted({c for c in values if values.count(c) > 1})
+    if shared:
+        raise ValueError(f"columns of more than one source: {shared}")
     texts = {
         n: [f.name for f in frame.schema if f.name not in keys and not _hashed(f.dataType)]
         for n, frame in enumerate(frames)
@@ -88,10 +117,12 @@ def combine_sources(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFra
     for number, frame in enumerate(frames):
         part = frame.drop(*texts[number]).withColumn("__source", F.lit(number))
         stacked = part if stacked is None else stacked.unionByName(part, True)
-    values = [c for frame in frames for c in frame.columns if c not in keys]
     once = " AND ".join(f"count_if(__source = {n}) < 2" for n in range(len(frames)))
+    kinds = {k: stacked.schema[k].dataType for k in keys}
+    key = F.struct(*[F.col(k).cast(kind).alias(f"k{i}")
+                     for i, (k, kind) in enumerate(kinds.items())]).alias("__key")
     combined = (
-        stacked.groupBy(*keys)
+        stacked.select(key, *[c for c in stacked.columns if c not in keys]).groupBy("__key")
         .agg(
             F.expr(f"assert_true({once}, 'a key occurs twice in one source')").alias("__once"),
             *[F.max(c).alias(c) for c in stacked.columns if c not in [*keys, "__source"]],
@@ -100,8 +131,9 @@ def combine_sources(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFra
     )
     for number, columns in texts.items():
         if columns:
-            combined = left_join(combined, frames[number].select(*keys, *columns), keys)
-    return combined.select(*keys, *values)
+            combined = combined.join(frames[number].select(key, *columns), "__key", "left")
+    return combined.select(
+        *[F.col(f"__key.k{i}").alias(k) for i, k in enumerate(keys)], *values)
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from geopanel.functions import on_weekday, single_value, slice_text
 from geopanel.functions.scalar import WEEKDAYS
 from geopanel.operators.compare import percent
-from geopanel.operators.joins import left_join
+from geopanel.operators.joins import left_join_unique
 from geopanel.operators.reshape import code_columns
 
 
@@ -53,7 +53,8 @@ def densify(
     the calendar (one row per date, columns of overall values; a repeated date is an
     error) keeps those it has, and the facts join on both keys, so one area with most of
     the facts still spreads over partitions by date. A missing area matches facts
-    without area. Facts must be unique by area and date.
+    without area. Facts must be unique by area and date: a repeat is an error, found by
+    the aggregation whose partitioning the join then uses.
     """
     if span is None:
         raise ValueError("densify() needs at least one date")
@@ -61,7 +62,7 @@ def densify(
     grid = areas.withColumn(date, F.explode(dates))
     values = [c for c in calendar.columns if c != date]
     context = calendar.groupBy(date).agg(*[single_value(c).alias(c) for c in values])
-    return left_join(grid.join(context, date), facts, [date, key])
+    return left_join_unique(grid.join(context, date), facts, [date, key])
 
 
 def percent_of_base(

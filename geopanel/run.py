@@ -171,7 +171,7 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--format", choices=["csv", "parquet"], default="csv")
         command.add_argument("--mode", default="errorifexists")
         command.add_argument("--encoding", help="of the CSV inputs")
-        command.add_argument("--json-layout", choices=["rows", "documents"], default="rows")
+        command.add_argument("--json-layout", choices=["rows", "free", "documents"], default="rows")
         if table.has_compat:
             command.add_argument("--compat", action="store_true",
                                  help="reproduce the scripted behaviour quirk by quirk")

@@ -78,3 +78,29 @@ def test_projecting_and_splitting_commute(polygons, rows):
     )
     second = G.split_parts(polygons).withColumn("part", G.project_part("part", G.web_mercator))
     assert first.select("part").collect() == second.select("part").collect()
+
+
+def _square(x, y, size, clockwise=False):
+    ring = [(x, y), (x + size, y), (x + size, y + size), (x, y + size)]
+    return ring[::-1] if clockwise else ring
+
+
+@pytest.mark.parametrize("outer", [False, True])
+@pytest.mark.parametrize("hole", [False, True])
+@pytest.mark.parametrize("island", [False, True])
+def test_holes_subtract_in_whatever_direction(spark, outer, hole, island):
+    far = 4_000_000.0
+    parts = [
+        ([_square(0.0, 0.0, 10.0, outer), _square(2.0, 2.0, 4.0, hole)], 84.0),
+        # An island in the hole, and a second outer ring beside the first.
+        ([_square(3.0, 3.0, 1.0, island), _square(2.0, 2.0, 4.0, hole), _square(0.0, 0.0, 10.0, outer)], 85.0),
+        ([_square(0.0, 0.0, 10.0, outer), _square(20.0, 0.0, 1.0, hole)], 101.0),
+        # A hole that touches its ring in one corner.
+        ([_square(0.0, 0.0, 10.0, outer), [(0.0, 0.0), (3.0, 1.0), (1.0, 3.0)]], 96.0),
+        # Far from the origin, small squares keep their digits.
+        ([_square(far, far, 0.001, outer)], 1e-6), ([], 0.0), ([[]], 0.0), ([[(1.0, 1.0)]], 0.0),
+    ]
+    frame = spark.createDataFrame([(p,) for p, _ in parts],
+                                  "part array<array<struct<x:double,y:double>>>")
+    got = [r.Shape_Area for r in G.measure_parts(frame).collect()]
+    assert got == pytest.approx([area for _, area in parts], rel=1e-5)

@@ -17,6 +17,7 @@ from geopanel.operators import joins as J
 from geopanel.operators import reshape as R
 from geopanel.operators import series as S
 from geopanel.operators.enrich import outside_state
+from tests.conftest import plan
 
 
 # --- Columns and reshaping ----------------------------------------------------
@@ -369,3 +370,133 @@ def test_percent_of_base(spark, rows):
 def test_outside_state(spark, rows):
     df = spark.createDataFrame([("72001",), ("01072",), (None,)], "GEOID string")
     assert rows(df.filter(outside_state("GEOID"))) == [("01072",)]
+
+
+# --- Checked and chained code changes ---
+
+
+@pytest.fixture
+def counts(spark):
+    return spark.createDataFrame(
+        [("a", 1), ("b", 2), ("c", 4), ("d", 8), (None, 16)], "code string, n bigint")
+
+
+def _steps(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "from string, to string")
+
+
+CHAIN = [("a", "b"), ("b", "c"), ("c", "x"), ("d", "d"), (None, "a")]
+
+
+def test_chains_of_changes(spark, counts, rows):
+    tables = {"dict": {f: t for f, t in CHAIN if f}, "table": _steps(spark, *CHAIN)}
+    for chains in (True, False):
+        expected = [("d", 8), ("x", 7), (None, 16)] if chains else [
+            ("b", 1), ("c", 2), ("d", 8), ("x", 4), (None, 16)]
+        for crosswalk in tables.values():
+            assert rows(K.merge_keys(counts, "code", crosswalk, chains=chains)) == expected
+    long = [(str(i), str(i + 1)) for i in range(37)]
+    last = K.last_codes(_steps(spark, *long))
+    assert rows(last) == sorted((f, "37") for f, _ in long)
+    assert K.last_codes(dict(long)) == {f: "37" for f, _ in long}
+
+
+@pytest.mark.parametrize("circle", [
+    [("a", "b"), ("b", "a")], [("a", "b"), ("b", "c"), ("c", "d"), ("d", "b")]])
+def test_circles_are_errors(spark, counts, circle):
+    with pytest.raises(ValueError, match="back to it"):
+        K.recode_keys(counts, "code", _steps(spark, *circle), chains=True)
+    with pytest.raises(ValueError, match="back to it"):
+        K.recode_keys(counts, "code", dict(circle), chains=True)
+    with pytest.raises(ValueError, match="back to it"):
+        K.roll_up(counts, "code", _steps(spark, *circle), nested=True)
+    with pytest.raises(ValueError, match="back to it"):
+        K.roll_up(counts, "code", {t: [f] for f, t in circle}, nested=True)
+
+
+def test_repeated_pairs_are_errors(spark, counts):
+    twice = _steps(spark, ("a", "x"), ("a", "y"))
+    same = _steps(spark, ("a", "x"), ("a", "x"))
+    for crosswalk in (twice, same):
+        with pytest.raises(PySparkException, match="occurs twice"):
+            K.merge_keys(counts, "code", crosswalk).collect()
+    assert K.replicate_keys(counts, "code", twice).count() == 7
+    for operator in (K.replicate_keys, K.roll_up, K.roll_up_rows):
+        with pytest.raises(PySparkException, match="occurs twice"):
+            operator(counts, "code", same).collect()
+
+
+def test_trees_of_any_depth_roll_up_at_once(spark, counts, rows):
+    tree = [("a", "p"), ("b", "p"), ("p", "q"), ("c", "q"), ("q", "r"), ("d", "r"), ("a", "q")]
+    expected = [("a", 1), ("b", 2), ("c", 4), ("d", 8), ("p", 3), ("q", 7), ("r", 15), (None, 16)]
+    assert rows(K.roll_up(counts, "code", _steps(spark, *tree), nested=True)) == expected
+    members = {}
+    for member, parent in tree:
+        members.setdefault(parent, []).append(member)
+    out = K.roll_up(counts, "code", members, nested=True)
+    assert plan(out).count("Exchange hashpartitioning") == 1
+    assert rows(out) == expected
+
+
+def test_roll_up_refuses_columns_it_would_lose(spark, counts, rows):
+    dated = counts.withColumns({"name": F.upper("code"), "day": F.current_date()})
+    with pytest.raises(ValueError, match="name.*day"):
+        K.roll_up(dated, "code", {"p": ["a", "b"]})
+    out = K.roll_up(dated, "code", {"p": ["a", "b"]}, labels={"name": {"p": "P"}, "day": {}})
+    assert out.columns == ["code", "n", "name", "day"]
+    assert dict(out.dtypes)["day"] == "date"
+    assert ("p", 3, "P") in rows(out, "code", "n", "name")
+
+
+# --- Uniqueness without passes of its own ---
+
+
+def _scanned(df):
+    text = plan(df)
+    return text.count("FileScan"), text.count("Exchange hashpartitioning")
+
+
+def test_unique_keys_cost_no_pass(spark, tmp_path, rows):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("l", "r"):
+            spark.createDataFrame([(1, name, 5), (None, name, 6)], f"k int, {name}t string, {name}n int") \
+                .write.parquet(f"{tmp_path}/{name}")
+        left, right = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("l", "r"))
+        both = J.full_join(left, right, ["k"])
+        # Numbers once, texts once: three shuffles, of which none is for the check.
+        assert _scanned(both) == (4, 3)
+        assert _scanned(J.full_join(left.drop("lt"), right.drop("rt"), ["k"])) == (2, 1)
+        assert rows(both) == [(1, "l", 5, "r", 5), (None, "l", 6, "r", 6)]
+        assert _scanned(J.left_join_unique(left, right, ["k"])) == (2, 2)
+        assert rows(J.left_join_unique(left, right, ["k"])) == rows(both)
+        # The lookup is read once, and the join has shuffles of its own for hot keys.
+        assert _scanned(J.left_lookup(left, right, ["k"])) == (2, 3)
+        assert rows(J.left_lookup(left, right, ["k"])) == rows(both)
+        twice = right.union(right)
+        for join in (J.full_join, J.left_lookup, J.left_join_unique):
+            with pytest.raises(PySparkException, match="occurs twice"):
+                join(left, twice, ["k"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_columns_of_two_sources_are_refused(spark):
+    frame = spark.createDataFrame([(1, 2)], "k int, n int")
+    with pytest.raises(ValueError, match="more than one source"):
+        J.full_join(frame, frame, ["k"])
+
+
+def test_densify_refuses_repeated_facts(spark, rows):
+    import datetime as dt
+
+    from geopanel.operators import series
+
+    day = dt.date(2020, 3, 1)
+    areas = spark.createDataFrame([("a",), (None,)], "code string")
+    calendar = spark.createDataFrame([(day, 1)], "day date, all int")
+    facts = spark.createDataFrame([("a", day, 5), (None, day, 7)], "code string, day date, n int")
+    grid = series.densify(areas, calendar, facts, "code", "day", (day, day))
+    assert rows(grid, "code", "all", "n") == [("a", 1, 5), (None, 1, 7)]
+    with pytest.raises(PySparkException, match="occurs twice"):
+        series.densify(areas, calendar, facts.union(facts), "code", "day", (day, day)).collect()
