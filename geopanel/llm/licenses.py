@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,6 +108,36 @@ def template_bigrams(spark: SparkSession, templates: Mapping[str, str],
         F.floor(size / narrow + SLACK).alias("most"), F.explode("bigrams").alias("bigram"))
 
 
+def markers(templates: Mapping[str, str], threshold: float) -> list[str]:
+    """Words of which every text that matches a template holds one at least.
+
+    A match holds m t / (2 - t) of the m bigrams of its template or more, so it has one of any
+    set of bigrams that is larger than the rest. Words are taken, long ones before short ones
+    and those in most bigrams first, until their bigrams are such a set in each template.
+    """
+    narrow = threshold / (2 - threshold)
+    left, bigrams = {}, {}
+    for name, text in templates.items():
+        words = _plain_words(text)
+        bigrams[name] = {*zip(words, words[1:], strict=False)}
+        m = len(bigrams[name])
+        left[name] = m - math.ceil(m * narrow - SLACK) + 1 if m else 0
+    chosen: list[str] = []
+
+    def gain(word: str) -> tuple:
+        new = sum(min(left[n], sum(word in b for b in bigrams[n])) for n in bigrams)
+        return len(word) >= 6 and new > 0, new, len(word), word
+
+    while any(n > 0 for n in left.values()):
+        word = max((w for n in bigrams if left[n] > 0 for b in bigrams[n] for w in b), key=gain)
+        chosen.append(word)
+        for name, pairs in bigrams.items():
+            hit = {b for b in pairs if word in b}
+            left[name] = max(0, left[name] - len(hit))
+            bigrams[name] = pairs - hit
+    return chosen
+
+
 def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
                     threshold: float = 0.8) -> DataFrame:
     """doc_id, unit, at, license, n_bigrams, n_template, n_shared, dice: all matches.
@@ -114,7 +145,8 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     Compared are whole texts (unit 'text', at 0), lines ('line', from 1) and, where blank
     lines divide a text, its paragraphs ('paragraph', from 1), normalised to lower-case words
     of a-z and 0-9. dice is twice the shared bigrams over both counts of different bigrams.
-    Units whose size rules out every template are dropped before their bigrams are looked up;
+    Texts without any of the ``markers`` match nothing and are not taken apart. Units whose
+    size rules out every template are dropped before their bigrams are looked up;
     the rest meet a template only in a bigram, and only within its size bounds. Templates
     are parameters of the code, so their table is broadcast; documents are not shuffled, only
     the bigrams they share with a template are, counted by task.
@@ -126,7 +158,9 @@ def license_matches(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     narrow = threshold / (2 - threshold)
     sizes = [len({*zip(w, w[1:])}) for w in map(_plain_words, templates.values())]
     low, high = min(sizes) * narrow - SLACK, max(sizes) / narrow + SLACK
-    rows = pick(docs, "doc_id", "text").filter("text IS NOT NULL").withColumn(
+    # Whole words of letters and digits. No template with a bigram, no match.
+    known = f"(?<![a-z0-9])(?:{'|'.join(markers(templates, threshold)) or '$.'})(?![a-z0-9])"
+    rows = pick(docs, "doc_id", "text").filter(F.lower("text").rlike(known)).withColumn(
         "row", F.monotonically_increasing_id())
     text = F.col("text")
     lines = F.split(text, "\n", -1)

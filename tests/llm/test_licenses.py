@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import random
 import re
 
-from geopanel.llm.licenses import TEMPLATES, license_matches
+import pytest
+
+from geopanel.llm.licenses import TEMPLATES, license_matches, markers
 
 
 def bigrams(text):
@@ -52,3 +55,31 @@ def test_repeated_rows_match_each_for_itself(documents):
 def test_odd_rows(odd):
     assert license_matches(odd).collect() == []
     assert license_matches(odd.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.95, 1.0])
+def test_no_match_without_a_marker(threshold):
+    chosen = markers(TEMPLATES, threshold)
+    assert len(chosen) == len(set(chosen))
+    for template in TEMPLATES.values():
+        # As many words of the template as can stand without a marker, in their order.
+        words = re.sub("[^a-z0-9]+", " ", template.lower()).split()
+        a, b = bigrams(template), bigrams(" ".join(w for w in words if w not in chosen))
+        shared = {p for p in a & b}
+        best = len({p for p in a if not set(p) & set(chosen)})
+        assert 2 * max(best, len(shared)) < threshold * (best + len(a))
+
+
+def test_texts_at_the_edge_of_a_match(documents):
+    draw = random.Random(3)
+    texts = []
+    for template in TEMPLATES.values():
+        for _ in range(12):
+            words = template.split()
+            for _ in range(draw.randrange(1 + len(words) // 4)):
+                words[draw.randrange(len(words))] = draw.choice(["", "other", "LICENSE", "\u212a"])
+            texts.append(" ".join(words))
+    found = license_matches(documents(list(enumerate(texts)))).collect()
+    got = {(r.doc_id, r.unit, r.at, r.license, r.n_bigrams, r.n_template, r.n_shared, r.dice)
+           for r in found}
+    assert got == {(d, *m) for d, text in enumerate(texts) for m in slow(text)}
