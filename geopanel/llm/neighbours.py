@@ -48,22 +48,33 @@ def tile_bounds(query, candidate) -> tuple[np.ndarray, np.ndarray]:
     reach = ea[:, None] + eb
     near = np.sqrt(np.maximum(square - slack, 0)) - reach
     far = np.sqrt(np.maximum(square + slack, 0)) + reach
-    return near * (1 - 1e-12), far * (1 + 1e-12)
+    # Lengths are 1 at most here; squares of parts below 1e-154 are lost.
+    return near * (1 - 1e-12) - 1e-150, far * (1 + 1e-12) + 1e-150
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances of paired rows, added up in the order of the components."""
+    """Euclidean distances of paired rows, added up in the order of the components.
+
+    Each pair is halved or doubled to a length near 1 first and back at the end, which changes
+    no digit and lets no square overflow.
+    """
+    most = np.maximum(np.abs(x).max(1), np.abs(y).max(1))
+    power = np.frexp(most)[1]
+    x, y = np.ldexp(x, -power[:, None]), np.ldexp(y, -power[:, None])
     total = np.zeros(len(x))
     for i in range(x.shape[1]):
         step = x[:, i] - y[:, i]
         total += step * step
-    return np.sqrt(total)
+    with np.errstate(over="ignore"):
+        return np.ldexp(np.sqrt(total), power)
 
 
 def tile_nearest(queries, candidates, k: int):
     """For each query of a tile its up to ``k`` nearest candidates as (score, id) pairs."""
     (q_ids, q), (c_ids, c) = queries, candidates
-    near, far = tile_bounds(quantised(q), quantised(c))
+    # All bounds of a tile in one unit in which its largest component is below 1.
+    power = np.frexp(max(np.abs(q).max(), np.abs(c).max()))[1]
+    near, far = tile_bounds(quantised(np.ldexp(q, -power)), quantised(np.ldexp(c, -power)))
     own = q_ids[:, None] == c_ids
     near[own] = far[own] = np.inf
     if c.shape[0] > k:

@@ -69,3 +69,22 @@ def test_odd_tables(spark):
     clash = spark.createDataFrame([(0, [1.0], 1), (1, [3.0], 2)],
                                   "vec_id bigint, embedding array<float>, score int")
     assert [tuple(r) for r in neighbours.nearest(clash).collect()] == [(0, 1, 1, 2.0)]
+
+
+@pytest.mark.parametrize("sizes", [(4096, 2048), (16, 4)])
+def test_vectors_of_any_length(spark, monkeypatch, sizes):
+    monkeypatch.setattr(neighbours, "CANDIDATES", sizes[0])
+    monkeypatch.setattr(neighbours, "QUERIES", sizes[1])
+    draw = np.random.default_rng(8)
+    rows = [(i, (draw.normal(size=4) * 10.0 ** p).tolist(), 0)
+            for i, p in enumerate([160, 300, 0, -200, 5, 155] * 15)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {}
+    for r in neighbours.nearest(frame, k=5, every=10).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert len(got) == 9
+    for q, found in got.items():
+        true = {i: math.dist(rows[q][1], v) for i, v, _ in rows if i != q}
+        nearest = sorted(true.values())[:5]
+        assert [found[n][1] for n in range(1, 6)] == pytest.approx(nearest, rel=1e-12)
+        assert all(found[n][1] == pytest.approx(true[found[n][0]], rel=1e-12) for n in found)
