@@ -24,6 +24,9 @@ RULES = {
 }
 BASE = ("short", "repeats")
 
+#: Strength of a prior where hosts don't differ, in documents.
+MOST = 1e6
+
 
 def repeated_words(words: list[bytes], width: int = WINDOW) -> int:
     """Words that lie in a window of ``width`` words found at least twice in the text."""
@@ -93,28 +96,49 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     return rows.mapInArrow(in_batches(_measured), schema)
 
 
+def _prior(hosts: int, docs: float | None, squares: float | None, bad: float | None,
+           within: float | None, limit: float) -> tuple[float, float]:
+    """Mean and strength of a rule's prior; ``within``: sum of bad^2 / n over hosts."""
+    if not docs:
+        return 0.0, MOST
+    mean = bad / docs
+    spread = mean * (1 - mean)
+    # What the weighted squares of host rates would exceed the drawing by at a correlation of 1.
+    room = docs - squares / docs - (hosts - 1)
+    surplus = (within - bad * mean) / spread - (hosts - 1) if spread > 0 else 0.0
+    strength = room / surplus - 1 if room > 0 and surplus > 0 else MOST
+    least = max(1.0, 1 / (limit - mean)) if mean < limit else 1.0
+    return mean, min(max(strength, least), MOST)
+
+
 def host_verdicts(measured: DataFrame, limit: float = 0.5) -> DataFrame:
     """One row per host: n_docs, the shrunk failure rate of each rule, host_failed.
 
-    Every rule has a beta prior fitted to the rates of all hosts by their moments: mean m
-    (all failures over all documents) and variance v over hosts give the strength
-    m (1 - m) / v - 1, kept between 1 and a million. A host's rate is its posterior mean.
-    Hosts without name are one host. A host fails if any of its rates exceeds ``limit``.
+    Every rule has a beta prior fitted to the failures of all hosts. Its mean m is all failures
+    over all documents. Its strength is 1 / c - 1, c being the correlation of documents of one
+    host: the spread of host rates, weighted by documents, less what drawing so few documents
+    spreads them anyway. Without such a surplus, as where every host has one document, the
+    strength is a million. It is at least 1 and, as long as m is below ``limit``, at least
+    1 / (limit - m), so that a single document never condemns its host. A host's rate is its
+    posterior mean. Hosts without name are one host. A host fails if any rate exceeds ``limit``.
     """
     counted = shared_table(measured.groupBy("host").agg(
         F.count("*").alias("n_docs"),
         *[F.count_if(F.expr(rule)).alias(f"bad_{name}") for name, rule in RULES.items()],
     ), "hosts")
-    moments = counted.agg(*[m for name in RULES for m in (
-        (F.sum(f"bad_{name}") / F.sum("n_docs")).alias(f"m_{name}"),
-        F.var_pop(F.col(f"bad_{name}") / F.col("n_docs")).alias(f"v_{name}"),
-    )]).first().asDict()
+    size = F.col("n_docs").cast("double")
+    moments = counted.agg(
+        F.count("*").alias("hosts"), F.sum(size).alias("docs"), F.sum(size * size).alias("squares"),
+        *[m for name in RULES for m in (
+            F.sum(F.col(f"bad_{name}").cast("double")).alias(f"bad_{name}"),
+            F.sum(F.col(f"bad_{name}").cast("double") * F.col(f"bad_{name}") / size)
+            .alias(f"within_{name}"))]).first().asDict()
     rates = {}
     for name in RULES:
-        mean, spread = moments[f"m_{name}"] or 0.0, moments[f"v_{name}"] or 0.0
-        strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
+        mean, strength = _prior(moments["hosts"], moments["docs"], moments["squares"],
+                                moments[f"bad_{name}"], moments[f"within_{name}"], limit)
         rates[f"rate_{name}"] = (F.col(f"bad_{name}") + F.lit(mean * strength)) / (
-            F.col("n_docs") + F.lit(strength))
+            size + F.lit(strength))
     return counted.select("host", "n_docs", *[c.alias(n) for n, c in rates.items()]).withColumn(
         "host_failed", F.greatest(*rates) > limit)
 

@@ -221,8 +221,12 @@ r AS (
          10 * n_dup_lines > 3 * n_lines AS f4, word_chars < 3 * n_words OR word_chars > 10 * n_words AS f5 FROM m),
 h AS (SELECT host, count(*) AS n, unnest([count_if(f1), count_if(f2), count_if(f3), count_if(f4), count_if(f5)]) AS bad,
              unnest(range(5)) AS rule FROM r GROUP BY host),
-p AS (SELECT rule, sum(bad) / sum(n) AS m, var_pop(bad / n) AS v FROM h GROUP BY rule),
-s AS (SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6) ELSE 1e6 END AS k FROM p),
+p AS (SELECT rule, sum(bad) / sum(n) AS m, count(*) - 1 AS others, sum(bad::DOUBLE * bad / n) - sum(bad) * m AS between_,
+             sum(n) - sum(n::DOUBLE * n) / sum(n) - (count(*) - 1) AS room FROM h GROUP BY rule),
+e AS (SELECT rule, m, room, CASE WHEN m > 0 AND m < 1 THEN between_ / (m * (1 - m)) - others ELSE 0 END AS surplus,
+             CASE WHEN m < 0.5 THEN 1 / (0.5::DOUBLE - m) ELSE 1 END AS least_ FROM p),
+s AS (SELECT rule, m, least(greatest(CASE WHEN room > 0 AND surplus > 0 THEN room / surplus - 1 ELSE 1e6::DOUBLE END,
+             1::DOUBLE, least_), 1e6::DOUBLE) AS k FROM e),
 v AS (SELECT host, max((bad + m * k) / (n + k)) AS host_rate FROM h JOIN s USING (rule) GROUP BY host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
        NOT (f1 OR f2) AND NOT (host_rate > 0.5 AND (f1 OR f2 OR f3 OR f4 OR f5)) AS kept, n_lines,

@@ -59,6 +59,38 @@ def test_rates_shrink_to_the_prior(documents):
     assert found["h0"].host_rate < 0.3
 
 
+def verdicts(documents, rows):
+    return {r.host: r for r in quality.judge(documents(rows)).select(
+        "host", "host_rate", "host_failed").distinct().collect()}
+
+
+def test_one_document_does_not_condemn_its_host(documents):
+    signs = GOOD + " ####"
+    # Hosts of one document tell nothing about hosts: all are near the mean.
+    alone = verdicts(documents, [
+        (i, signs if i % 10 < 3 else GOOD, None, f"h{i}") for i in range(200)])
+    assert not any(r.host_failed or abs(r.host_rate - 0.3) > 0.01 for r in alone.values())
+    # Hosts that are all good or all bad, and small ones beside them.
+    rows = [(i, signs if i < 120 else GOOD, None, f"big{i // 40}") for i in range(400)]
+    rows += [(1000 + i, signs, None, f"small{i}") for i in range(5)]
+    rows += [(2000 + i, signs, None, "twenty") for i in range(20)]
+    found = verdicts(documents, rows)
+    assert {h for h, r in found.items() if r.host_failed} == {"big0", "big1", "big2", "twenty"}
+    assert found["small0"].host_rate > found["big5"].host_rate
+
+
+def test_prior_finds_the_strength_that_hosts_were_drawn_with():
+    draw = quality.np.random.default_rng(5)
+    n = draw.integers(1, 30, 20_000).astype(float)
+    bad = draw.binomial(n.astype(int), draw.beta(0.2 * 8, 0.8 * 8, n.size)).astype(float)
+    mean, strength = quality._prior(
+        n.size, n.sum(), (n * n).sum(), bad.sum(), (bad * bad / n).sum(), 0.5)
+    assert abs(mean - 0.2) < 0.01 and 7 < strength < 9
+    even = draw.binomial(n.astype(int), 0.2).astype(float)
+    assert quality._prior(n.size, n.sum(), (n * n).sum(), even.sum(),
+                          (even * even / n).sum(), 0.5)[1] > 100
+
+
 def test_odd_rows(odd):
     found = quality.judge(odd).collect()
     assert len(found) == odd.count()
