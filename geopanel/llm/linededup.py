@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,31 +14,42 @@ from geopanel.llm.common import hold, pick, shared_table
 from geopanel.llm.mixing import word_count
 
 
-def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest subsequence, of pairs sorted by their first part, whose second part rises."""
+def longest_rising(pairs: list[tuple[int, int]],
+                   weights: list[int] | None = None) -> list[tuple[int, int]]:
+    """The heaviest subsequence, of pairs sorted by their first part, whose second part rises.
+
+    Without ``weights`` every pair weighs one.
+    """
+    # Second parts that a chain may end in, with the weight and place of the best such chain;
+    # both rise, as an end that another beats with a smaller value is dropped.
     ends: list[int] = []
-    piles: list[int] = []
+    totals: list[int] = []
+    places: list[int] = []
     back = [-1] * len(pairs)
     for at, (_, value) in enumerate(pairs):
         pile = bisect_left(ends, value)
-        if pile == len(ends):
-            ends.append(value)
-            piles.append(at)
-        else:
-            ends[pile], piles[pile] = value, at
-        back[at] = piles[pile - 1] if pile else -1
-    chain, at = [], piles[-1] if piles else -1
+        total = weights[at] if weights else 1
+        if pile:
+            back[at] = places[pile - 1]
+            total += totals[pile - 1]
+        beaten = bisect_right(totals, total, pile)
+        if beaten == pile and pile < len(ends) and ends[pile] == value:
+            continue
+        for held, new in ((ends, value), (totals, total), (places, at)):
+            held[pile:beaten] = [new]
+    chain, at = [], places[-1] if places else -1
     while at >= 0:
         chain.append(pairs[at])
         at = back[at]
     return chain[::-1]
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+def patience(a: list[int], b: list[int], words: list[int] | None = None) -> list[tuple[int, int]]:
     """Aligned positions of equal lines, both rising.
 
     Between two aligned places, equal lines at either end are aligned first; then the lines
-    that occur once on either side, in their longest common order; and so on in between.
+    that occur once on either side, in their common order with most ``words`` (those of the
+    lines of ``b``; else with most lines); and so on in between.
     """
     found: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -60,8 +71,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
                 entry = places[b[j]]
                 entry[1] += 1
                 entry[3] = j
-        once = [(e[2], e[3]) for e in places.values() if e[0] == e[1] == 1]
-        chain = longest_rising(sorted(once))
+        once = sorted((e[2], e[3]) for e in places.values() if e[0] == e[1] == 1)
+        chain = longest_rising(once, [words[j] for _, j in once] if words else None)
         if not chain:
             continue
         i0, j0 = a0, b0
@@ -92,15 +103,10 @@ def minimal_runs(stretch: np.ndarray, words: np.ndarray,
     return both // (n + 1), both % (n + 1)
 
 
-def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
-              min_words: int) -> list[tuple[int, int]]:
-    """(first, last) lines of blocks of ``later`` that ``kept`` has too; they may overlap.
-
-    The alignment gives the blocks in common order. What it can't align, as it crosses others
-    or has no anchor, is found by its shortest runs, so that no common run of ``min_words``
-    is left.
-    """
-    pairs = patience([h for _, h in kept], [h for _, h, _ in later])
+def aligned_blocks(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
+                   min_words: int) -> list[tuple[int, int]]:
+    """(first, last) lines of ``later`` in aligned blocks of ``min_words``, by one alignment."""
+    pairs = patience([h for _, h in kept], [h for _, h, _ in later], [w for _, _, w in later])
     out: list[tuple[int, int]] = []
     begin, words, before = 0, 0, None
     for i, j in [*pairs, (-1, -1)]:
@@ -114,21 +120,63 @@ def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
                 begin = j
             end, before = j, now
             words += later[j][2]
-    gone = np.zeros(len(later) + 1, np.int64)
-    for a, b in out:
-        gone[a:b + 1] = 1
-    if not gone[:-1].all():
-        # A line has as many words wherever it stands.
-        size = {h: w for _, h, w in later}
-        own, other = ([(a, b, tuple(r[1] for r in rows[a:b + 1])) for a, b in zip(
-            *(x.tolist() for x in minimal_runs(
-                np.cumsum(np.diff([r[0] for r in rows], prepend=rows[0][0]) != 1),
-                np.array([size.get(r[1], min_words) for r in rows]), min_words)), strict=True)]
-            if rows else [] for rows in (later, kept))
-        there = {run for _, _, run in other}
-        done = np.r_[0, np.cumsum(gone)]
-        out += [(a, b) for a, b, run in own
-                if done[b + 1] - done[a] <= b - a and run in there]
+    return out
+
+
+def _stretches(rows: list[tuple]) -> np.ndarray:
+    return np.cumsum(np.diff([r[0] for r in rows], prepend=rows[0][0]) != 1)
+
+
+def blocks_of(kept: list[tuple[int, int]], later: list[tuple[int, int, int]],
+              min_words: int) -> list[tuple[int, int]]:
+    """(first, last) lines of blocks of ``later`` that ``kept`` has too; they may overlap.
+
+    What one alignment leaves, as it crosses what was aligned, is aligned again, as long as
+    that deletes an eighth of the rest. Each of the shortest runs with a line that is then
+    still there (on the edge of a block, say, or without a line that occurs once) is aligned
+    with every place of its rarest line. So no common run of ``min_words`` is left.
+    """
+    out: list[tuple[int, int]] = []
+    gone = np.zeros(len(later), bool)
+    left = np.arange(len(later))
+    while left.size and kept:
+        found = aligned_blocks(kept, [later[j] for j in left.tolist()], min_words)
+        # Neighbours in the rest are neighbours in the document, as their positions say.
+        blocks = [(int(left[a]), int(left[b])) for a, b in found]
+        for a, b in blocks:
+            gone[a:b + 1] = True
+        out += blocks
+        before, left = left.size, np.flatnonzero(~gone)
+        if 8 * (before - left.size) < before:
+            break
+    if not left.size or not kept:
+        return out
+    places: dict[int, list[int]] = {}
+    for i, (_, h) in enumerate(kept):
+        places.setdefault(h, []).append(i)
+    of_kept = _stretches(kept).tolist()
+    first, last = minimal_runs(_stretches(later), np.array([w for *_, w in later]), min_words)
+    tried: dict[tuple[int, ...], bool] = {}
+    rest = np.r_[0, np.cumsum(~gone)]
+    some = rest[last + 1] > rest[first]
+    for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True):
+        if gone[a:b + 1].all():
+            continue
+        run = tuple(r[1] for r in later[a:b + 1])
+        if run not in tried:
+            tried[run] = False
+            at = min(range(len(run)), key=lambda x: len(places.get(run[x], ())))
+            for i in places.get(run[at], ()):
+                low, high = i - at, i - at + b - a
+                if low < 0 or high >= len(kept) or of_kept[low] != of_kept[high]:
+                    continue
+                # Only a run that is aligned from end to end has enough words.
+                if aligned_blocks(kept[low:high + 1], later[a:b + 1], min_words) == [(0, b - a)]:
+                    tried[run] = True
+                    break
+        if tried[run]:
+            out.append((a, b))
+            gone[a:b + 1] = True
     return out
 
 
@@ -187,7 +235,7 @@ def _runs(min_words: int, over_blank: bool):
 
 
 def _covered(over_blank: bool):
-    """Of each document only the lines in runs that it shares, with their positions."""
+    """Of each document only the lines in runs that a holder has too, with their positions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,6 +243,8 @@ def _covered(over_blank: bool):
             parts: list[list[np.ndarray]] = [[], [], [], []]
             for i in range(batch.num_rows):
                 at, line, words, a, b = (v[ends[i]:ends[i + 1]] for ends, v in lists)
+                # Rows of one doc_id with different texts have each other's runs.
+                a, b = (x[b < at.size] for x in (a, b))
                 step = np.zeros(at.size + 1, np.int64)
                 np.add.at(step, a, 1)
                 np.add.at(step, b + 1, -1)
@@ -205,11 +255,11 @@ def _covered(over_blank: bool):
                     held.append(values)
             offsets = pa.array(np.cumsum([0, *map(len, parts[0])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["firsts"], *[
+                [batch["doc_id"], batch["first"], *[
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(held), kind))
                     for held, kind in zip(
                         parts, (pa.int32(), pa.int32(), pa.int64(), pa.int32()), strict=True)]],
-                names=["doc_id", "firsts", "pos", "at", "line", "words"])
+                names=["doc_id", "first", "pos", "at", "line", "words"])
 
     return run
 
@@ -249,7 +299,8 @@ def repeated_lines(docs: DataFrame, min_words: int, over_blank: bool = False) ->
     the shortest runs of lines that have ``min_words`` words: each holder of a shared run with
     its first holder (least doc_id). Every common block is made of such runs, so it is met,
     and pairs stay linear in the holders: a run that thousands hold needs no cap. A pair is
-    aligned on all lines in runs that both share with anyone.
+    aligned on the lines of the later document in runs that it shares with this holder and
+    those of the holder in runs that it is the first to have.
     """
     rows = pick(docs, "doc_id", "text").filter("doc_id IS NOT NULL")
     key = rows.schema["doc_id"].dataType.simpleString()
@@ -265,19 +316,19 @@ def repeated_lines(docs: DataFrame, min_words: int, over_blank: bool = False) ->
     shared = shared_table(runs.groupBy("run").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
     ).filter("first < last").select("run", "first"), "shared-runs")
-    spans = runs.join(shared, "run").groupBy("doc_id").agg(
-        F.collect_set("first").alias("firsts"),
+    # Of each pair only the stretches that the later document shares with this holder travel.
+    spans = runs.join(shared, "run").groupBy("doc_id", "first").agg(
         F.collect_set(F.struct("a", "b")).alias("spans")).select(
-        "doc_id", "firsts", "spans.a", "spans.b")
+        "doc_id", "first", "spans.a", "spans.b")
     held = shared_table(
-        spans.join(lines, "doc_id").select("doc_id", "firsts", "at", "line", "words", "a", "b")
-        .mapInArrow(_covered(over_blank), f"doc_id {key}, firsts array<{key}>, pos array<int>, "
+        spans.join(lines, "doc_id").select("doc_id", "first", "at", "line", "words", "a", "b")
+        .mapInArrow(_covered(over_blank), f"doc_id {key}, first {key}, pos array<int>, "
                     "at array<int>, line array<bigint>, words array<int>").distinct(), "held")
-    pairs = held.withColumn("first", F.explode("firsts")).filter("first < doc_id").select(
+    pairs = held.filter("first < doc_id").select(
         "doc_id", "first", F.col("pos").alias("l_pos"), F.col("at").alias("l_at"),
         F.col("line").alias("l_line"), F.col("words").alias("l_words"))
-    kept = held.select(F.col("doc_id").alias("first"), F.col("pos").alias("k_pos"),
-                       F.col("line").alias("k_line"))
+    kept = held.filter("first = doc_id").select(
+        "first", F.col("pos").alias("k_pos"), F.col("line").alias("k_line"))
     gone = pairs.join(kept, "first").drop("first").mapInArrow(
         _aligned(min_words), f"doc_id {key}, gone array<int>")
     return gone.groupBy("doc_id").agg(

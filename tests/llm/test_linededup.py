@@ -19,6 +19,17 @@ def test_alignment_is_an_alignment(a, b):
     assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
 
 
+@given(st.lists(st.tuples(st.integers(0, 8), st.integers(1, 5)), max_size=10))
+def test_heaviest_rising(rows):
+    pairs, weights = [(i, v) for i, (v, _) in enumerate(rows)], [w for _, w in rows]
+    best = list(weights)
+    for i in range(len(rows)):
+        best[i] += max((best[j] for j in range(i) if rows[j][0] < rows[i][0]), default=0)
+    chain = linededup.longest_rising(pairs, weights)
+    assert sum(weights[i] for i, _ in chain) == max(best, default=0)
+    assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(chain, chain[1:], strict=False))
+
+
 @given(st.permutations(range(9)))
 def test_longest_rising(order):
     pairs = list(enumerate(order))
@@ -38,29 +49,28 @@ def test_unique_lines_are_the_anchors():
     assert linededup.patience([], [1]) == []
 
 
-def slow(docs, min_words):
-    """Every later document against the first holder of each of its lines, on whole texts."""
-    lines = {d: t.split("\n") for d, t in docs.items() if t is not None}
-    shared, first = {}, {}
-    for d in sorted(lines):
-        for x in set(lines[d]):
-            if x.split():
-                first.setdefault(x.strip(" "), d)
-                shared.setdefault(x.strip(" "), set()).add(d)
+def slow(docs, min_words, over_blank=False):
+    """Every later document against all earlier ones: any run of lines with words in common."""
+    rows = {d: [(i, x.strip(" "), len(x.split())) for i, x in enumerate(t.split("\n"))
+                if x.split()] for d, t in docs.items() if t is not None}
+    places = {}
+    for d in sorted(rows):
+        for i, (_, x, _) in enumerate(rows[d]):
+            places.setdefault(x, []).append((d, i))
     out = {}
-    for d, text in docs.items():
-        if text is None:
-            continue
+    for d, own in rows.items():
         gone = set()
-        for k in {first[x.strip(" ")] for x in lines[d] if x.split()}:
-            if k >= d:
-                continue
-            own, other = ([(i, x.strip(" ")) for i, x in enumerate(lines[e])
-                           if x.split() and len(shared[x.strip(" ")]) > 1] for e in (d, k))
-            later = [(i, hash(x), len(x.split())) for i, x in own]
-            kept = [(i, hash(x)) for i, x in other]
-            gone |= set(linededup.common_blocks(kept, later, min_words))
-        out[d] = "\n".join(x for i, x in enumerate(lines[d]) if i not in gone)
+        for i in range(len(own)):
+            for e, j in places[own[i][1]]:
+                other, n = rows[e], 1
+                while (e < d and i + n < len(own) and j + n < len(other)
+                       and own[i + n][1] == other[j + n][1]
+                       and (over_blank or own[i + n][0] - own[i][0] == other[j + n][0] - other[j][0]
+                            == n)):
+                    n += 1
+                if e < d and sum(r[2] for r in own[i:i + n]) >= min_words:
+                    gone |= set(range(own[i][0], own[i + n - 1][0] + 1))
+        out[d] = "\n".join(x for i, x in enumerate(docs[d].split("\n")) if i not in gone)
     return out
 
 
@@ -134,6 +144,41 @@ def short(documents, docs, min_words=30):
     return {r.doc_id: r.text for r in found}
 
 
+WORDS = [1, 1, 2, 3, 5, 8]
+
+
+@given(*[st.lists(st.one_of(st.none(), st.integers(0, 5)), max_size=24) for _ in range(2)],
+       st.integers(1, 14))
+def test_repeated_alignment_leaves_no_common_run(a, b, min_words):
+    kept = [(i, x) for i, x in enumerate(a) if x is not None]
+    later = [(i, x, WORDS[x]) for i, x in enumerate(b) if x is not None]
+    wanted = set()
+    for i, x, _ in later:
+        for j in (j for j, y in kept if x == y):
+            n = 0
+            while (i + n < len(b) and j + n < len(a) and b[i + n] is not None
+                   and b[i + n] == a[j + n]):
+                n += 1
+            if sum(WORDS[y] for y in b[i:i + n]) >= min_words:
+                wanted |= set(range(i, i + n))
+    assert linededup.common_blocks(kept, later, min_words) == sorted(wanted)
+
+
+def test_everything_is_deleted_by_alignment(monkeypatch):
+    later = [(i, i, 8) for i in range(12)]
+    kept = [(i, (i + 6) % 12) for i in range(12)]
+    assert linededup.common_blocks(kept, later, 30) == list(range(12))
+    monkeypatch.setattr(linededup, "patience", lambda *_: [])
+    assert linededup.common_blocks(kept, later, 30) == []
+
+
+def test_rows_of_one_id_with_different_texts(documents):
+    block = "\n".join(line(i) for i in range(9))
+    rows = [(1, block), (2, f"{line(80)}\n{block}"), (2, line(81)), (2, block)]
+    found = linededup.drop_repeated_lines(documents(rows)).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 2, 2] and found
+
+
 def test_paragraphs_parted_by_blank_lines(documents):
     a, b = line("a", 28), line("b", 28)
     got = short(documents, {1: f"x\n{a}\n\n{b}\ny", 2: f"v\n{a}\n\n{b}\nw", 3: f"{a}\n \n\n{b}"})
