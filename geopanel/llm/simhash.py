@@ -150,22 +150,22 @@ def _compare(cell: np.ndarray, prints: np.ndarray, home: np.ndarray, threshold:
 
 def _links(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            rows = [batch[0].to_numpy(zero_copy_only=False), batch[1].to_numpy(
-                zero_copy_only=False), batch[2].to_numpy(zero_copy_only=False),
-                batch[3].to_numpy(zero_copy_only=False)]
-            if rest is not None:
-                rows = [np.concatenate(x) for x in zip(rest, rows, strict=True)]
-            if not rows[0].size:
+            if not batch.num_rows:
                 continue
-            # The last cell may go on in the next batch.
-            last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])
-            cut = int(np.argmax(last))
-            rest = [x[cut:] for x in rows]
-            yield from emit([x[:cut] for x in rows])
-        if rest is not None:
-            yield from emit(rest)
+            rows = [batch[i].to_numpy(zero_copy_only=False) for i in range(4)]
+            # The last cell may go on in the next batch; it is put together once it ends.
+            cut = int(np.argmax((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1])))
+            if held and (cut or any(rows[k][0] != held[0][k][-1] for k in (0, 1))):
+                held.append([x[:cut] for x in rows])
+                yield from emit([np.concatenate(x) for x in zip(*held, strict=True)])
+                held = []
+            elif cut:
+                yield from emit([x[:cut] for x in rows])
+            held.append([x[cut:] for x in rows])
+        if held:
+            yield from emit([np.concatenate(x) for x in zip(*held, strict=True)])
 
     def emit(rows):
         anchor, salt, prints, home = rows
@@ -178,39 +178,53 @@ def _links(threshold: int):
     return run
 
 
-def near_links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
-    """(u, v): links that connect all different fingerprints within ``threshold`` bits.
+def cells(distinct: DataFrame) -> DataFrame:
+    """(anchor, salt, print, home): the fingerprints that meet at each anchor.
 
-    Not every pair is emitted: what one comparison finds is reduced to one link per
-    fingerprint with the same components. A cell with more than ``CELL`` nearest
-    fingerprints is dealt over several tasks, each pair of parts meeting in one of them.
+    A cell with more than ``CELL`` fingerprints is dealt over several salts, parts of its
+    nearest fingerprints meeting parts of all; one without any nearest fingerprint has nothing
+    to compare and is dropped here, before it is gathered.
     """
-    if threshold // BLOCKS > 1:
-        raise ValueError("the covering of two blocks reaches at most 3 bits")
     placed = distinct.select("print").mapInArrow(
         in_batches(_replicas), "anchor bigint, print bigint, home boolean")
-    hot = shared_table(
-        placed.filter("home").groupBy("anchor").count().filter(F.col("count") > CELL)
-        .select("anchor", F.ceil(F.col("count") / CELL).cast("int").alias("parts")), "hot-cells")
+    counted = placed.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.count_if("home").alias("homes"))
+    hot = shared_table(counted.filter(F.col("n") > CELL).select(
+        "anchor", F.ceil(F.col("homes") / CELL).cast("int").alias("rows"),
+        F.ceil(F.col("n") / CELL).cast("int").alias("columns")), "hot-cells")
     # Row i of a hot cell's grid holds a part of its nearest fingerprints, column j a part of
     # all its fingerprints.
-    part = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
-    copies = F.when(F.col("parts").isNull(), F.array(F.struct(
-        F.lit(0).alias("salt"), F.col("home").alias("home")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(
-            (i * F.col("parts") + part).alias("salt"), F.lit(False).alias("home"))))
-    rows_of = F.when(F.col("parts").isNotNull() & F.col("home"), F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
-            (part * F.col("parts") + j).alias("salt"), F.lit(True).alias("home")))).otherwise(
-        F.array().cast("array<struct<salt:int,home:boolean>>"))
+    number = F.xxhash64("print")
+    column = F.pmod(number, F.col("columns")).cast("int")
+    row = F.pmod(number, F.col("rows")).cast("int")
+    nowhere = F.array().cast("array<struct<salt:bigint,home:boolean>>")
+
+    def salt(i, j):
+        return i.cast("bigint") * F.col("columns") + j
+
+    copies = F.when(F.col("rows").isNull(), F.array(F.struct(
+        F.lit(0).cast("bigint").alias("salt"), F.col("home").alias("home")))).when(
+        F.col("rows") > 0, F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(
+            salt(i, column).alias("salt"), F.lit(False).alias("home")))).otherwise(nowhere)
+    rows_of = F.when(F.col("rows").isNotNull() & F.col("home"), F.transform(
+        F.sequence(F.lit(0), F.col("columns") - 1), lambda j: F.struct(
+            salt(row, j).alias("salt"), F.lit(True).alias("home")))).otherwise(nowhere)
     dealt = placed.join(hot, "anchor", "left").select(
         "anchor", "print", F.explode(F.concat(copies, rows_of)).alias("at"))
-    cells = (
-        dealt.select("anchor", F.col("at.salt").alias("salt"), "print",
-                     F.col("at.home").alias("home"))
-        .repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    )
-    return cells.mapInArrow(_links(threshold), "u bigint, v bigint")
+    return dealt.select("anchor", F.col("at.salt").alias("salt"), "print",
+                        F.col("at.home").alias("home"))
+
+
+def near_links(distinct: DataFrame, threshold: int = 3) -> DataFrame:
+    """(u, v): links that connect all different fingerprints within ``threshold`` bits.
+
+    Not every pair is emitted: what one comparison finds is reduced to one link per
+    fingerprint with the same components.
+    """
+    if threshold // BLOCKS > 1:
+        raise ValueError("the covering of two blocks reaches at most 3 bits")
+    meeting = cells(distinct).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    return meeting.mapInArrow(_links(threshold), "u bigint, v bigint")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, threshold: int = 3) -> DataFrame:

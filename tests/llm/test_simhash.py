@@ -4,8 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from geopanel.llm import simhash
 from geopanel.llm.components import components
@@ -98,6 +100,38 @@ def test_dense_groups_lose_no_link(spark, monkeypatch, cell):
     assert {s: got.get(s, s) for s in signed} == wanted
 
 
+def test_one_block_that_many_share(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CELL", 512)
+    draw = random.Random(11)
+    low = {draw.getrandbits(31) for _ in range(20_000)}
+    frame = spark.createDataFrame([(0x1234567 << 32 | x,) for x in low], "print bigint")
+    sizes = simhash.cells(frame).groupBy("anchor", "salt").agg(
+        F.count("*").alias("n"), F.count_if("home").alias("homes")).collect()
+    # Each part holds its share of the nearest and of all, however many share the block.
+    assert max(r.n for r in sizes) < 2 * 512 * 1.3
+    assert all(r.homes for r in sizes if r.n > 512)
+    # All meet at the nearest anchor of the block, and only there.
+    assert sum(r.n > 512 for r in sizes) <= 40 * 40
+
+
+def test_cells_over_many_batches(spark):
+    draw = random.Random(12)
+    rows = [(a, draw.randrange(2), p, draw.random() < 0.2) for a in range(5)
+            for p in {draw.getrandbits(10) for _ in range(draw.choice([1, 40, 300]))}]
+    rows.sort(key=lambda r: r[:2])
+
+    def links(width):
+        batches = [pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in zip(*rows[i:i + width], strict=True)], names=list("aspx"))
+            for i in range(0, len(rows), width)]
+        return components(spark.createDataFrame(
+            [r for out in simhash._links(1)(iter(batches)) for r in
+             zip(*out.to_pydict().values(), strict=True)], "a bigint, b bigint")).collect()
+
+    whole = sorted(links(len(rows)))
+    assert whole and all(sorted(links(width)) == whole for width in (1, 7, 64))
+
+
 def test_chains_of_links(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), (200, 300)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(pairs, "a bigint, b bigint"))
