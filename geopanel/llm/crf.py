@@ -17,14 +17,17 @@ class ChainCRF:
 
     def _scores(self, tokens: np.ndarray) -> np.ndarray:
         """(..., labels) of padded feature numbers; number 0 is the padding and weighs nothing."""
-        return self.emit[tokens].sum(-2)
+        out = np.zeros((*tokens.shape[:-1], self.emit.shape[1]))
+        for i in range(tokens.shape[-1]):
+            out += self.emit[tokens[..., i]]
+        return out
 
     def fit(self, chains: Sequence[Sequence[Sequence[int]]], labels: Sequence[Sequence[int]],
             rounds: int = 60, rate: float = 0.3, decay: float = 1e-4) -> ChainCRF:
         """Maximise the conditional likelihood by AdaGrad over all chains at once."""
         n, longest = len(chains), max(map(len, chains))
         wide = max(len(t) for c in chains for t in c)
-        feats = np.zeros((n, longest, wide), np.int64)
+        feats = np.zeros((n, longest, wide), np.int32)
         gold = np.zeros((n, longest), np.int64)
         length = np.array([len(c) for c in chains])
         for i, (chain, tags) in enumerate(zip(chains, labels, strict=True)):
@@ -32,7 +35,7 @@ class ChainCRF:
             for t, token in enumerate(chain):
                 feats[i, t, :len(token)] = token
         live = np.arange(longest) < length[:, None]
-        count, k = self.emit.shape[1], np.arange(n)
+        count = self.emit.shape[1]
         seen = [np.full_like(w, 1e-6) for w in (self.emit, self.move, self.start)]
         hot = np.zeros((n, longest, count))
         np.put_along_axis(hot, gold[..., None], 1.0, 2)
@@ -59,10 +62,10 @@ class ChainCRF:
             share = np.exp(ahead + back - total[:, None, None]) * live[..., None]
             gap = hot - share
             grads = [np.zeros_like(self.emit), np.zeros_like(self.move), gap[:, 0].sum(0)]
-            flat = feats.reshape(-1)
             for y in range(count):
-                grads[0][:, y] = np.bincount(
-                    flat, np.repeat(gap[..., y].ravel(), wide), self.emit.shape[0])
+                for i in range(wide):
+                    grads[0][:, y] += np.bincount(
+                        feats[..., i].ravel(), gap[..., y].ravel(), self.emit.shape[0])
             grads[0][0] = 0
             np.add.at(grads[1], (gold[:, :-1][live[:, 1:]], gold[:, 1:][live[:, 1:]]), 1.0)
             grads[1] -= pairs
@@ -71,24 +74,33 @@ class ChainCRF:
                 grad = grad - decay * n * weight
                 past += grad * grad
                 weight += rate * grad / np.sqrt(past)
-        del k
         return self
 
     def decode(self, chain: Sequence[Sequence[int]]) -> list[int]:
         """The most likely labels of a chain (Viterbi)."""
-        score = np.array([self.emit[list(t)].sum(0) for t in chain])
-        best, back = score[0] + self.start, []
+        return self.best(np.array([self.emit[list(t)].sum(0) for t in chain]))
+
+    def best(self, score: np.ndarray, before: int | None = None,
+             after: int | None = None) -> list[int]:
+        """The most likely labels of tokens with these scores, between given labels if any."""
+        best, back = score[0] + (self.start if before is None else self.move[before]), []
         for row in score[1:]:
             ways = best[:, None] + self.move
             back.append(ways.argmax(0))
             best = ways.max(0) + row
-        label = int(best.argmax())
+        label = int((best if after is None else best + self.move[:, after]).argmax())
         out = [label]
         for pointer in reversed(back):
             label = int(pointer[label])
             out.append(label)
         return out[::-1]
 
+    def lead(self, label: int) -> np.ndarray:
+        """By how much ``label`` must lead each other one to be the best whatever is beside it."""
+        into = np.vstack([self.move, self.start])
+        out_of = np.hstack([self.move, np.zeros((self.start.size, 1))])
+        return ((into - into[:, [label]]).max(0) + (out_of - out_of[label]).max(1))
+
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)

@@ -8,7 +8,7 @@ import random
 import re
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +28,17 @@ HINTS = ("passw", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = range(3)
-#: Only in such a run with a digit can a token be tagged; all others are outside, and a chain
-#: may be cut at them without changing its best labels.
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{12,}")
-TOKEN = re.compile(r"[A-Za-z0-9]+|[^\sA-Za-z0-9]")
-BEFORE = re.compile(r"[A-Za-z0-9_]+|[^\sA-Za-z0-9_]")
-DIGIT = re.compile("[0-9]")
-#: Numbers of hashed features, and code points looked at on either side of a run.
-SIZE = 1 << 13
-REACH = 48
-
-#: Characters that a tagged span has at least.
-SHORTEST = 12
+#: A token with the blanks before it; a token without any is glued to the one before.
+TOKEN = re.compile(r"\s*(?:[^\W_]+|\S)")
+BLANK = re.compile(r"\s")
+#: Characters that are cut into tokens at a time, and tokens that are scored at a time.
+STEP = 1 << 18
+#: Different tokens whose scores are remembered.
+REMEMBERED = 100_000
+#: Training: characters on either side of a place, tokens of a chain, least count of a feature.
+REACH = 100
+LONGEST = 48
+LEAST = 5
 
 Span = tuple[str, int, int]
 
@@ -66,10 +65,6 @@ def in_order(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def _number(*parts: object) -> int:
-    return 1 + crc32("\x1f".join(map(str, parts)).encode("utf-8", "replace")) % (SIZE - 1)
-
-
 def file_features(text: str) -> list[str]:
     """Coarse marks of the whole text: size, lines, share of code and table signs."""
     n = max(1, len(text))
@@ -78,48 +73,257 @@ def file_features(text: str) -> list[str]:
             f"lines{min(3, text.count(chr(10)) // 20)}"]
 
 
-def shape_features(token: str) -> list[str]:
-    """Length, classes of characters, variety and changes between letters and digits."""
-    n = len(token)
-    if n == 1 and not token.isalnum():
-        return [f"sign{token}"]
-    digits = sum(c.isdigit() for c in token)
-    kinds = "".join(k for k, there in (
-        ("a", any("a" <= c <= "z" for c in token)), ("A", any("A" <= c <= "Z" for c in token)),
-        ("0", digits)) if there)
-    counts = Counter(token)
-    bits = -sum(c / n * math.log2(c / n) for c in counts.values())
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    vowels = sum(c in "aeiouAEIOU" for c in token)
-    size = min(10, n // 4)
-    return [f"len{size}", f"kind{kinds}", f"kind{kinds}len{size}", f"bits{int(2 * bits)}",
-            f"turns{min(6, turns)}", f"digits{int(5 * digits / n)}", f"vowels{int(5 * vowels / n)}",
-            f"hex{all(c in '0123456789abcdefABCDEF' for c in token)}kind{kinds}"]
-
-
-def chain_of(text: str, start: int, end: int, marks: list[str]):
-    """(spans of the tokens, their feature numbers) of a run and what stands around it."""
-    places = [m.span() for m in TOKEN.finditer(text, start, end)]
-    left = [m.group().lower() for m in BEFORE.finditer(text[max(0, start - REACH):start])][-4:]
-    right = [m.group().lower() for m in BEFORE.finditer(text[end:end + REACH])][:2]
-    around = [f"left{i}:{w}" for i, w in enumerate(reversed(left))]
-    around += [f"leftword:{next((w for w in reversed(left) if w[0].isalnum()), '')}"]
-    around += [f"right{i}:{w}" for i, w in enumerate(right)]
-    around += [f"run{min(12, (end - start) // 4)}", f"parts{min(9, len(places))}", *marks]
-    tokens = [text[a:b] for a, b in places]
-    chain = []
-    for i, token in enumerate(tokens):
-        near = [f"before:{tokens[i - 1].lower() if i else '^'}",
-                f"after:{tokens[i + 1].lower() if i + 1 < len(tokens) else '$'}"]
-        chain.append([_number("b")] + [_number(f) for f in (
-            *shape_features(token), *near, *around)])
-    return places, chain
-
-
-def runs(text: str) -> Iterator[tuple[int, int]]:
-    for m in RUN.finditer(text):
-        if DIGIT.search(text, *m.span()):
-            yield m.span()
+class _Classes(dict):
+    """Small letters, capitals, digits and others by code point, for ``str.translate``."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = ("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit()
+                      else "x" if c.isalnum() else ".")
+        return self[code]
+
+
+_CLASSES = _Classes()
+#: Classes of characters in the bits of a mask; letters without case and signs share one.
+_BITS = {"a": 1, "A": 2, "0": 4, "x": 8, ".": 8}
+
+
+@lru_cache(1 << 14)
+def _of_classes(classes: str) -> tuple[int, int, int, int, int]:
+    """Mask, length, changes between letters and digits and of case, share of digits."""
+    n = len(classes)
+    turns = sum(classes.count(x) for x in ("a0", "0a", "A0", "0A"))
+    return (sum({_BITS[c] for c in set(classes)}), min(10, n // 4), min(6, turns),
+            min(6, classes.count("aA")), int(5 * classes.count("0") / n) if n else 0)
+
+
+def shape_of(token: str) -> tuple:
+    """Mask and size, then changes, share of digits, variety, share of vowels, hex digits only."""
+    if len(token) == 1 and not token.isalnum():
+        return _of_classes(token.translate(_CLASSES))[0], 0, token
+    mask, size, turns, cases, digits = _of_classes(token.translate(_CLASSES))
+    low = token.lower()
+    return (mask, size, turns, cases, digits, min(20, len(set(token))),
+            5 * sum(map(low.count, "aeiou")) // max(1, len(token)),
+            not low.strip("0123456789abcdef"))
+
+
+def own_features(shape: tuple, glued: bool) -> list[str]:
+    """Of a token by itself; most go with whether it is glued to the one before."""
+    mask, size, *more = shape
+    if len(more) == 1:
+        return ["b", f"glued{glued}", f"sign{more[0]}g{glued}"]
+    turns, cases, digits, variety, vowels, hexed = more
+    return ["b", f"glued{glued}", *(f"{f}g{glued}" for f in (
+        f"len{size}", f"kind{mask}", f"kind{mask}len{size}", f"variety{variety}len{size}",
+        f"turns{turns}", f"cases{cases}", f"digits{digits}", f"vowels{vowels}kind{mask}",
+        f"hex{hexed}kind{mask}"))]
+
+
+#: Where a token can stand beside another: next to it, or beside the piece that it is in.
+PLACES = ("before", "after", "left1", "left2", "left3", "right")
+
+
+def word_of(token: str) -> str:
+    """What a token is known by to its neighbours: a plain word or a sign; else nothing."""
+    return token.lower() if len(token) <= 20 and not token[:1].isdigit() else ""
+
+
+def near_features(place: str, shape: tuple, word: str) -> list[str]:
+    """Kind and length of a token, and the word itself; no shape stands for the edge of a text."""
+    if not shape:
+        return [f"{place}:edge"]
+    kind = f"{place}:{shape[0]},{min(3, shape[1])}"
+    return [kind, f"{place}:word:{word}"] if word else [kind]
+
+
+SIZES, MASKS, COUNTS = 13, 16, 10
+
+
+def piece_features(form: int) -> list[str]:
+    """Of the piece between blanks that a token is in: length, classes, number of tokens."""
+    rest, count = divmod(form, COUNTS)
+    size, mask = divmod(rest, MASKS)
+    return [f"piece{size}:{mask}", f"pieces{count}:{mask}"]
+
+
+class Tokens:
+    """The tokens of a text as arrays: what they are, where they end, which piece they are in."""
+
+    def __init__(self, kinds: np.ndarray, ends: np.ndarray, glued: np.ndarray,
+                 length: np.ndarray, mask: np.ndarray):
+        self.kinds, self.ends, self.begins = kinds, ends, ends - length
+        self.first = np.flatnonzero(~glued | (np.arange(glued.size) == 0))
+        self.piece = np.cumsum(np.r_[1, ~glued[1:]]) - 1 if glued.size else glued.astype(np.int64)
+        size = np.add.reduceat(length, self.first) if glued.size else length
+        count = np.diff(np.r_[self.first, glued.size])
+        self.form = ((np.minimum(SIZES - 1, size // 4) * MASKS + (
+            np.bitwise_or.reduceat(mask, self.first) if glued.size else mask)) * COUNTS
+            + np.minimum(COUNTS - 1, count))
+
+    def beside(self) -> dict[str, np.ndarray]:
+        """The kinds that stand left and right of each piece; 0 is the edge of the text."""
+        padded = np.r_[0, 0, 0, self.kinds, 0]
+        after = np.r_[self.first[1:], self.kinds.size]
+        return {"left1": padded[self.first + 2], "left2": padded[self.first + 1],
+                "left3": padded[self.first], "right": padded[after + 3]}
+
+
+class Reader:
+    """Cuts texts into tokens and numbers the different ones; 0 is the edge of a text."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.cores: list[str] = [""]
+        #: Glued, length and mask; more in a subclass.
+        self.held = np.zeros((1, 5), np.int64)
+
+    def describe(self, core: str, glued: bool) -> tuple[int, ...]:
+        return glued, len(core), _of_classes(core.translate(_CLASSES))[0], 0, 0
+
+    def tokens(self, text: str) -> Tokens:
+        if len(self.known) > REMEMBERED:
+            self.clear()
+        kinds, ends, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while at < len(text):
+            found = BLANK.search(text, at + STEP)
+            upto = found.start() if found else len(text)
+            cut = TOKEN.findall(text, at, upto)
+            fresh = set(cut).difference(self.known)
+            if fresh:
+                begin, new = len(self.cores), []
+                for number, key in enumerate(fresh, begin):
+                    self.known[key] = number
+                    core = key.lstrip()
+                    self.cores.append(core)
+                    new.append(self.describe(core, len(core) == len(key)))
+                if len(self.cores) > len(self.held):
+                    room = np.zeros((2 * len(self.cores), 5), np.int64)
+                    room[:begin] = self.held[:begin]
+                    self.held = room
+                self.held[begin:len(self.cores)] = new
+            kinds.append(np.fromiter(map(self.known.__getitem__, cut), np.int64, len(cut)))
+            ends.append(at + np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
+            at = upto
+        every = np.concatenate(kinds)
+        glued, length, mask = self.held[every, :3].T
+        return Tokens(every, np.concatenate(ends), glued.astype(bool), length, mask)
+
+
+def chain_of(text: str) -> tuple[list[tuple[int, int]], list[list[str]]]:
+    """(spans of the tokens, names of their features) of a whole text."""
+    reader = Reader()
+    tokens = reader.tokens(text)
+    marks = file_features(text)
+    of = [((), "")] + [(shape_of(c), word_of(c)) for c in reader.cores[1:]]
+    padded = [0, *tokens.kinds.tolist(), 0]
+    beside = {place: kinds.tolist() for place, kinds in tokens.beside().items()}
+    out = []
+    for i, (kind, p) in enumerate(zip(tokens.kinds.tolist(), tokens.piece.tolist(), strict=True)):
+        out.append([
+            *own_features(of[kind][0], bool(reader.held[kind, 0])),
+            *near_features("before", *of[padded[i]]), *near_features("after", *of[padded[i + 2]]),
+            *(f for place in PLACES[2:] for f in near_features(place, *of[beside[place][p]])),
+            *piece_features(int(tokens.form[p])), *marks])
+    return list(zip(tokens.begins.tolist(), tokens.ends.tolist(), strict=True)), out
+
+
+class Tagger(Reader):
+    """A fitted field that reads texts: ``names`` numbers its features, others weigh nothing.
+
+    Weights are added up once per shape, word and form of a piece; a text looks them up.
+    """
+
+    def __init__(self, field: ChainCRF, names: dict[str, int]):
+        self.field, self.names = field, names
+        self.words = {f.split(":", 2)[2] for f in names if ":word:" in f}
+        self.forms = np.array([self.weight(piece_features(form))
+                               for form in range(SIZES * MASKS * COUNTS)])
+        super().__init__()
+
+    def __reduce__(self):
+        return Tagger, (self.field, self.names)
+
+    def weight(self, features: list[str]) -> np.ndarray:
+        return self.field.emit[[self.names.get(f, 0) for f in features]].sum(0)
+
+    def clear(self) -> None:
+        super().clear()
+        self.own_rows, self.own_of = [np.zeros(3)], {}
+        self.near_rows, self.near_of = [self._near((), "")], {}
+
+    def _near(self, shape: tuple, word: str) -> np.ndarray:
+        return np.array([self.weight(near_features(p, shape, word)) for p in PLACES])
+
+    def describe(self, core: str, glued: bool) -> tuple[int, ...]:
+        shape, word = shape_of(core), word_of(core)
+        own = (shape, glued)
+        near = (shape[0], min(3, shape[1]), word if word in self.words else "")
+        if own not in self.own_of:
+            self.own_of[own] = len(self.own_rows)
+            self.own_rows.append(self.weight(own_features(shape, glued)))
+        if near not in self.near_of:
+            self.near_of[near] = len(self.near_rows)
+            self.near_rows.append(self._near(shape, word))
+        return glued, len(core), shape[0], self.own_of[own], self.near_of[near]
+
+    def scores(self, text: str) -> Iterator[tuple[Tokens, int, np.ndarray]]:
+        """(tokens, first of them, scores of the next ``STEP``) of a text."""
+        tokens = self.tokens(text)
+        own, near = self.tables()
+        of_own, of_near = self.held[:, 3], self.held[:, 4]
+        piece = self.forms[tokens.form] + self.weight(file_features(text))
+        for place, kinds in tokens.beside().items():
+            piece += near[of_near[kinds], PLACES.index(place)]
+        padded = of_near[np.r_[0, tokens.kinds, 0]]
+        for a in range(0, tokens.kinds.size, STEP):
+            b = min(a + STEP, tokens.kinds.size)
+            yield tokens, a, (own[of_own[tokens.kinds[a:b]]] + near[padded[a:b], 0]
+                              + near[padded[a + 2:b + 2], 1] + piece[tokens.piece[a:b]])
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        """All rows so far as arrays, which grow at the end only."""
+        out = []
+        for name, rows in (("own", self.own_rows), ("near", self.near_rows)):
+            held = self.__dict__.get(f"{name}_table")
+            if held is None or held[0] is not rows:
+                held = (rows, np.array(rows), len(rows))
+            elif held[2] < len(rows):
+                table = held[1]
+                if len(table) < len(rows):
+                    table = np.concatenate([table, np.zeros((len(rows), *table.shape[1:]))])
+                table[held[2]:len(rows)] = rows[held[2]:]
+                held = (rows, table, len(rows))
+            self.__dict__[f"{name}_table"] = held
+            out.append(held[1])
+        return out[0], out[1]
+
+    def labels(self, text: str) -> tuple[Tokens | None, list[tuple[int, list[int]]]]:
+        """Tokens, and (first token, labels) of runs; all tokens between runs are outside.
+
+        A token whose score for outside leads by more than all transitions can make up for is
+        outside in the best labelling, so the chain is cut there without changing it.
+        """
+        lead = self.field.lead(OUTSIDE)
+        places, rows, tokens = [], [], None
+        for held, begin, score in self.scores(text):
+            tokens = held
+            open_ = (score[:, [OUTSIDE]] - score <= lead)[:, [BEGIN, INSIDE]].any(1)
+            places.append(begin + np.flatnonzero(open_))
+            rows.append(score[open_])
+        if tokens is None or not any(p.size for p in places):
+            return tokens, []
+        place, score = np.concatenate(places), np.concatenate(rows)
+        out = []
+        for run in np.split(np.arange(place.size), np.flatnonzero(np.diff(place) != 1) + 1):
+            first, last = int(place[run[0]]), int(place[run[-1]])
+            out.append((first, self.field.best(
+                score[run], OUTSIDE if first else None,
+                OUTSIDE if last + 1 < tokens.kinds.size else None)))
+        return tokens, out
 
 
 def labels_of(text: str, places: list[tuple[int, int]], spans: list[Span]) -> list[int]:
@@ -144,10 +348,66 @@ _ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXY
               "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/+/+/")
 
 
+#: What secrets are told by, beside the fixed patterns; {} is the secret.
+CONTEXTS = ("password is {}", "the password: {}", "db_pass is {}", "pwd={}", "pass = '{}'",
+            "API key {}", "api key: {}", "API key ... {}", "key {}", "token {}", "access token is {}",
+            'secret key = "{}"', "login admin / {}", "credentials: {}", "Bearer {}",
+            "export KEY={}", "with key={} and")
+SIGNS = "!@#$%^&*?+~"
+
+
+def drawn(draw: random.Random, plain: list[str]) -> str:
+    """A secret: long or short, of letters only, with signs, with a prefix, or a pass phrase."""
+    def of(alphabet: str, least: int, most: int) -> str:
+        return "".join(draw.choice(alphabet) for _ in range(draw.randint(least, most)))
+
+    form = draw.randrange(12)
+    if form < 4:
+        return of(draw.choice(_ALPHABETS), 16, 44)
+    if form < 6:
+        return of(_ALPHABETS[3], 7, 11) + draw.choice("0123456789")
+    if form < 8:
+        return of(_ALPHABETS[3][:52], 14, 40)
+    if form < 10:
+        head = draw.choice(plain).lower() if draw.random() < 0.5 else of(_ALPHABETS[3], 4, 8)
+        return head + of("0123456789", 0, 2) + of(SIGNS, 1, 4) + of(_ALPHABETS[3], 1, 8)
+    if form < 11:
+        return (of("abcdefghijklmnopqrstuvwxyz", 2, 4) + draw.choice("_-")
+                + of(_ALPHABETS[3], 16, 36))
+    return "-".join(draw.choice(plain).lower() for _ in range(4)) + of("0123456789", 1, 3)
+
+
+def planted(text: str, draw: random.Random) -> tuple[str, list[Span]]:
+    """The text with a drawn secret, told by one of ``CONTEXTS``, between two of its words."""
+    words = text.split(" ")
+    plain = [w for w in words if w.isalpha()] or ["page"]
+    value = drawn(draw, plain)
+    context = draw.choice(CONTEXTS)
+    # A long random value is a secret wherever it stands.
+    if len(value) >= 20 and value.isalnum() and draw.random() < 0.3:
+        context = "{}"
+    at = draw.randint(0, len(words))
+    head = "".join(w + " " for w in words[:at]) + context[:context.index("{}")]
+    tail = context[context.index("{}") + 2:] + draw.choice(["", "", ".", ","])
+    return (head + value + tail + "".join(" " + w for w in words[at:]),
+            [("crf", len(head), len(head) + len(value))])
+
+
+def harmless(text: str, draw: random.Random) -> str:
+    """The text with ``CONTEXTS`` around ordinary words and numbers."""
+    words = text.split(" ")
+    plain = [w for w in words if w.isalpha()] or ["page"]
+    for _ in range(2):
+        word = draw.choice([draw.choice(plain), draw.choice(plain), str(draw.randint(0, 99_999))])
+        words.insert(draw.randint(0, len(words)), draw.choice(CONTEXTS).format(word))
+    return " ".join(words)
+
+
 def redrawn(text: str, spans: list[Span], draw: random.Random) -> tuple[str, list[Span]]:
-    """The text with each secret replaced by characters of another kind, in the same place."""
+    """The text with each secret replaced by a drawn one, in the same place."""
     out, at, moved = [], 0, []
     size = 0
+    plain = [w for w in text.split(" ") if w.isalpha()] or ["page"]
     for kind, a, b in spans:
         if a < at:
             continue
@@ -156,8 +416,10 @@ def redrawn(text: str, spans: list[Span], draw: random.Random) -> tuple[str, lis
             value = m.start(2) if m else a
         else:
             value = a
-        alphabet = draw.choice(_ALPHABETS)
-        new = "".join(draw.choice(alphabet) for _ in range(draw.randint(20, 44)))
+        new = drawn(draw, plain)
+        if kind != "assign":
+            # Without a context only a long random value can be told from a word.
+            new = "".join(draw.choice(draw.choice(_ALPHABETS[2:])) for _ in range(24))
         head = text[at:value]
         out += [head, new]
         begin = size + len(head)
@@ -183,75 +445,98 @@ def with_addresses(text: str, draw: random.Random) -> str:
     return " ".join(words)
 
 
-def train(texts: list[str], seed: int = 42) -> ChainCRF | None:
-    """Fit to texts labelled by the fixed patterns, and to copies with redrawn secrets.
+def excerpt(text: str, begin: int, end: int) -> str:
+    """What stands around a place, cut at blanks."""
+    a, b = max(0, begin - REACH), min(len(text), end + REACH)
+    if a:
+        cut = BLANK.search(text, a, begin)
+        a = cut.end() if cut else begin
+    if b < len(text):
+        b = max([end, *(m.start() for m in BLANK.finditer(text, end, b))])
+    return text[a:b]
 
-    What the patterns do not match in the texts (addresses, numbers, names of files) is
-    outside, and so are addresses, paths and dates put into copies of the texts. None if the
-    texts hold no secret to learn from.
+
+def train(texts: list[str], seed: int = 42) -> Tagger | None:
+    """Fit to excerpts labelled by the fixed patterns, and to copies with drawn secrets.
+
+    Excerpts are taken around every match and around one more place of each text. Each match
+    is also learnt with other values in its place, each other excerpt with a secret put into
+    it, with addresses, paths and dates, and with words of the kind that tell a secret but
+    tell none. What the patterns do not match in the texts is outside. None if the texts hold
+    no secret to learn from.
     """
     draw = random.Random(seed)
     chains, labels = [], []
 
     def add(text: str, spans: list[Span]) -> None:
-        marks = file_features(text)
-        for a, b in runs(text):
-            places, chain = chain_of(text, a, b, marks)
-            if 0 < len(chain) <= 64:
-                chains.append(chain)
-                labels.append(labels_of(text, places, spans))
+        places, chain = chain_of(text)
+        if chain:
+            tags = labels_of(text, places, spans)
+            middle = tags.index(BEGIN) if BEGIN in tags else len(tags) // 2
+            a = max(0, min(middle - LONGEST // 2, len(tags) - LONGEST))
+            chains.append(chain[a:a + LONGEST])
+            labels.append(tags[a:a + LONGEST])
 
     for text in texts:
-        spans = base_spans(text)
-        add(text, spans)
-        for _ in range(2 if spans else 0):
-            add(*redrawn(text, spans, draw))
-        if spans:
-            other = with_addresses(text, draw)
-            add(other, base_spans(other))
+        for _, a, b in base_spans(text):
+            part = excerpt(text, a, b)
+            add(part, base_spans(part))
+            for _ in range(3):
+                add(*redrawn(part, base_spans(part), draw))
     if not any(BEGIN in tags for tags in labels):
         return None
-    return ChainCRF(3, SIZE).fit(chains, labels)
+    for text in texts:
+        at = draw.randint(0, len(text))
+        part = excerpt(text, at, at)
+        if not base_spans(part):
+            add(part, [])
+            add(*planted(part, draw))
+            other = draw.choice([with_addresses, harmless])(part, draw)
+            add(other, base_spans(other))
+    seen = Counter(f for chain in chains for token in chain for f in token)
+    names = {f: i for i, f in enumerate(sorted(f for f in seen if seen[f] >= LEAST), 1)}
+    numbers = [[[names[f] for f in token if f in names] for token in chain] for chain in chains]
+    return Tagger(ChainCRF(3, len(names) + 1).fit(numbers, labels), names)
 
 
-def crf_spans(text: str, model: ChainCRF, taken: list[Span]) -> list[Span]:
-    """Spans tagged by the model that do not overlap those already taken."""
+def crf_spans(text: str, model: Tagger, taken: list[Span]) -> list[Span]:
+    """Spans tagged by the model that no span of ``taken`` holds whole."""
+    tokens, runs = model.labels(text)
     found: list[Span] = []
-    marks = None
-    for a, b in runs(text):
-        if any(s < b and a < e for _, s, e in taken):
-            # The patterns already cover part of this run.
-            continue
-        marks = marks or file_features(text)
-        places, chain = chain_of(text, a, b, marks)
+    for first, tags in runs:
         span = None
-        for (start, end), tag in [*zip(places, model.decode(chain), strict=True), ((b, b), 0)]:
+        for i, tag in enumerate([*tags, OUTSIDE], first):
             if span and tag != INSIDE:
-                if span[1] - span[0] >= SHORTEST:
-                    found.append(("crf", *span))
+                found.append(("crf", *span))
                 span = None
             if tag == BEGIN or (tag == INSIDE and not span):
-                span = (start, end)
+                span = (int(tokens.begins[i]), int(tokens.ends[i]))
             elif tag == INSIDE:
-                span = (span[0], end)
-    return found
+                span = (span[0], int(tokens.ends[i]))
+    return [s for s in found if not any(a <= s[1] and s[2] <= b for _, a, b in taken)]
 
 
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def find_secrets(docs: DataFrame, train_rows: int = 4000, seed: int = 42) -> DataFrame:
+def find_secrets(docs: DataFrame, train_rows: int = 800, train_chars: int = 20_000,
+                 seed: int = 42) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_crf of every row.
 
     Spans are kind:start:end in code points, end exclusive. The field is fitted, in the
-    driver, to a sample of about ``train_rows`` texts drawn by a hash of doc_id; every text is
-    then scanned whole, in place, without a shuffle. A null text is empty and has no spans.
+    driver, to a sample of about ``train_rows`` texts drawn by a hash of doc_id, of each at most
+    ``train_chars`` characters from a drawn place on; every text is then scanned whole, in
+    place, without a shuffle: each of its tokens is tagged, and spans that lie within one of a
+    fixed pattern are left out. A null text is empty and has no spans.
     Repeated rows are scanned alike; extra columns are ignored; an empty table gives an empty
     result. Without any secret in the sample only the fixed patterns are applied.
     """
     rows = pick(docs, "doc_id", "text")
-    sample = sample_rows(rows.filter("text IS NOT NULL"), train_rows, seed)
+    begin = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.greatest(
+        F.lit(1), F.char_length("text") - train_chars + 1)).cast("int") + 1
+    sample = sample_rows(rows.filter("text IS NOT NULL").withColumn(
+        "text", F.substring("text", begin, F.lit(train_chars))), train_rows, seed)
     model = train([r["text"] for r in sample], seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,6 +97,67 @@ def test_the_field_adds_what_patterns_miss():
     assert secrets.crf_spans(clean, model, []) == []
 
 
+def test_labels_are_those_of_the_plain_chain(monkeypatch):
+    draw = random.Random(6)
+    texts = corpus(draw)
+    model = secrets.train(texts[:120])
+    tried = [secrets.planted(t, draw)[0] for t in texts[120:170]]
+    tried += ["", " ", "x", "pass=Zq9!x", "é" * 40 + " token 漢字\u0301 Ab1!Cd2@Ef3#", "\n\x1c key\xa0A9!b"]
+    for step in (1 << 18, 3):
+        monkeypatch.setattr(secrets, "STEP", step)
+        monkeypatch.setattr(secrets, "REMEMBERED", 50 if step == 3 else 100_000)
+        for text in tried:
+            places, chain = secrets.chain_of(text)
+            assert [text[a:b] for a, b in places] == re.findall(r"[^\W_]+|\S", text)
+            tokens, runs = model.labels(text)
+            got = [0] * len(places)
+            for first, tags in runs:
+                got[first:first + len(tags)] = tags
+            numbers = [[model.names.get(f, 0) for f in token] for token in chain]
+            assert got == (model.field.decode(numbers) if chain else [])
+            assert not places or list(zip(tokens.begins, tokens.ends, strict=True)) == places
+
+
+def test_runs_between_certain_tokens_have_the_best_labels():
+    draw = np.random.default_rng(4)
+    model = ChainCRF(3, 2)
+    for _ in range(300):
+        model.move[:], model.start[:] = draw.normal(size=(3, 3)), draw.normal(size=3)
+        score = draw.normal(size=(9, 3)) + np.where(draw.random((9, 1)) < 0.5, [4, 0, 0], 0)
+        whole = model.best(score)
+        sure = (score[:, [0]] - score > model.lead(0))[:, 1:].all(1)
+        assert not np.array(whole)[sure].any()
+        for run in np.split(np.flatnonzero(~sure), np.flatnonzero(np.diff(np.flatnonzero(~sure)) != 1) + 1):
+            if run.size:
+                assert model.best(score[run], 0 if run[0] else None,
+                                  0 if run[-1] < 8 else None) == whole[run[0]:run[-1] + 1]
+
+
+def test_held_out_secrets_and_clean_texts():
+    draw = random.Random(21)
+    texts = corpus(draw)
+    model = secrets.train(texts[:200])
+    found = clean = 0
+    for text in texts[200:]:
+        if not secrets.base_spans(text):
+            clean += bool(secrets.crf_spans(text, model, []))
+            with_one, ((_, a, b),) = secrets.planted(text, draw)
+            found += any(x <= a and b <= y or a <= x and y <= b and 2 * (y - x) >= b - a
+                         for _, x, y in secrets.crf_spans(with_one, model, []))
+    assert clean <= 2 and found >= 45
+    # Short, of letters only, with signs, and beside a match of a pattern.
+    for text, secret in [
+            ("we said db_pass is hunter2!@#$Xy and left", "hunter2!@#$Xy"),
+            ("the API key ... AbCdEfGhIjKlMnOpQrStUvWx was", "AbCdEfGhIjKlMnOpQrStUvWx"),
+            ("key ghp_abcdefghijklmnopqrstuvwxyzABCDEFGHIJ here", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"),
+            ("pwd=Kz7mQ2xw9 now", "Kz7mQ2xw9")]:
+        assert any(secret in text[a:b] for _, a, b in secrets.crf_spans(text, model, [])), text
+    text = "token 0123456789abcdef0Zk3TqLmN8VxW report"
+    base = secrets.base_spans(text)
+    assert base == [("hex", 6, 23)]
+    assert any(a <= 6 and b > 23 for _, a, b in secrets.crf_spans(text, model, base))
+
+
 def test_query_columns(documents):
     draw = random.Random(3)
     rows = list(enumerate([*corpus(draw), None, "", "x" * 100_000 + " password: abcdefghijklmnop"]))
