@@ -23,18 +23,22 @@ ASSIGN = re.compile(
     r"([A-Za-z0-9+/_.=-]+))")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: What a text must hold for ASSIGN to match, looked up in the text with A-Z lower-cased.
-HINTS = ("passw", "secret", "token", "apikey", "api_key")
+#: What a text must hold for ASSIGN to match, looked up in its bytes with A-Z lower-cased.
+HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
+#: Bytes that HEX matches as 0, all others as blanks.
+_HEXED = bytes(48 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 KINDS = ("assign", "access", "hex", "crf")
 
 OUTSIDE, BEGIN, INSIDE = range(3)
 #: A token with the blanks before it; a token without any is glued to the one before.
 TOKEN = re.compile(r"\s*(?:[^\W_]+|\S)")
 BLANK = re.compile(r"\s")
+#: Where tokens can be cut apart: each side has the tokens that it has in the whole text.
+CUT = re.compile(r"(?<=\S)\s")
 #: Characters that are cut into tokens at a time, and tokens that are scored at a time.
 STEP = 1 << 18
 #: Different tokens whose scores are remembered.
-REMEMBERED = 100_000
+REMEMBERED = 250_000
 #: Training: characters on either side of a place, tokens of a chain, least count of a feature.
 REACH = 100
 LONGEST = 48
@@ -46,21 +50,20 @@ Span = tuple[str, int, int]
 def base_spans(text: str) -> list[Span]:
     """Matches of the three patterns that are long enough, by start, then kind."""
     found: list[Span] = []
-    # Only A-Z may be lower-cased: other letters can change length and hide or fake a hint.
-    low = text.translate(_LOWER) if not text.isascii() else text.lower()
+    data = text.encode("utf-8", "surrogatepass")
+    # Of bytes only A-Z are lower-cased: other letters could hide or fake a hint.
+    low = data.lower()
     if any(h in low for h in HINTS):
         found += [("assign", *m.span()) for m in ASSIGN.finditer(text)
                   if len(m.group(2)) >= 12]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text)
                   if m.end() - m.start() >= 18]
-    found += [("hex", *m.span()) for m in HEX.finditer(text)]
+    if b"0" * 16 in data.translate(_HEXED):
+        found += [("hex", *m.span()) for m in HEX.finditer(text)]
     return in_order(found)
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
-
-
 def in_order(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -147,28 +150,63 @@ def piece_features(form: int) -> list[str]:
     return [f"piece{size}:{mask}", f"pieces{count}:{mask}"]
 
 
+#: Kinds that stand behind every text: as many edges as a feature looks back.
+EDGES = np.zeros(3, np.int64)
+
+
 class Tokens:
-    """The tokens of a text as arrays: what they are, where they end, which piece they are in."""
-
-    def __init__(self, kinds: np.ndarray, ends: np.ndarray, glued: np.ndarray,
-                 length: np.ndarray, mask: np.ndarray):
-        self.kinds, self.ends, self.begins = kinds, ends, ends - length
-        self.first = np.flatnonzero(~glued | (np.arange(glued.size) == 0))
-        self.piece = np.cumsum(np.r_[1, ~glued[1:]]) - 1 if glued.size else glued.astype(np.int64)
-        size = np.add.reduceat(length, self.first) if glued.size else length
-        count = np.diff(np.r_[self.first, glued.size])
+    """The tokens of texts as arrays: what they are, where they are, which piece they are in.
+
+    Behind the tokens of each text stand ``EDGES``, of kind 0, each a piece of its own.
+    """
+
+    def __init__(self, kinds: np.ndarray, first: np.ndarray, held: np.ndarray):
+        self.kinds = kinds
+        glued, length, mask, taken = held[kinds, :4].T
+        #: The text of each token; ``first`` has the first token of each text.
+        self.of = np.repeat(np.arange(first.size), np.diff(np.append(first, kinds.size)))
+        ends = np.cumsum(taken)
+        #: Where every token ends and begins in its text, edges included.
+        self.to = ends - (ends - taken)[first][self.of] if first.size else ends
+        self.at = self.to - length
+        apart = glued == 0
+        apart[first] = True
+        self.first = np.flatnonzero(apart)
+        self.piece = np.cumsum(apart) - 1
+        size = np.add.reduceat(length, self.first) if kinds.size else length
+        count = np.diff(np.append(self.first, kinds.size))
         self.form = ((np.minimum(SIZES - 1, size // 4) * MASKS + (
-            np.bitwise_or.reduceat(mask, self.first) if glued.size else mask)) * COUNTS
+            np.bitwise_or.reduceat(mask, self.first) if kinds.size else mask)) * COUNTS
             + np.minimum(COUNTS - 1, count))
 
+    @property
+    def begins(self) -> np.ndarray:
+        return self.at[self.kinds != 0]
+
+    @property
+    def ends(self) -> np.ndarray:
+        return self.to[self.kinds != 0]
+
     def beside(self) -> dict[str, np.ndarray]:
-        """The kinds that stand left and right of each piece; 0 is the edge of the text."""
-        padded = np.r_[0, 0, 0, self.kinds, 0]
-        after = np.r_[self.first[1:], self.kinds.size]
+        """The kinds that stand left and right of each piece; 0 is the edge of a text."""
+        padded = np.concatenate([EDGES, self.kinds, EDGES])
+        after = np.append(self.first[1:], self.kinds.size)
         return {"left1": padded[self.first + 2], "left2": padded[self.first + 1],
                 "left3": padded[self.first], "right": padded[after + 3]}
 
 
+class _Numbers(dict):
+    """Numbers of tokens, given out as they are met."""
+
+    def __init__(self, add):
+        super().__init__()
+        self.add = add
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = self.add(key)
+        return number
+
+
 class Reader:
     """Cuts texts into tokens and numbers the different ones; 0 is the edge of a text."""
 
@@ -176,53 +214,60 @@ class Reader:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers(self.add)
         self.cores: list[str] = [""]
-        #: Glued, length and mask; more in a subclass.
-        self.held = np.zeros((1, 5), np.int64)
+        #: Glued, length, mask and length with blanks; more in a subclass.
+        self.held = np.zeros((1, 6), np.int64)
+        self.new: list[tuple[int, ...]] = []
+
+    def add(self, key: str) -> int:
+        core = key.lstrip()
+        self.cores.append(core)
+        self.new.append(self.describe(core, len(core) == len(key), len(key)))
+        return len(self.cores) - 1
 
-    def describe(self, core: str, glued: bool) -> tuple[int, ...]:
-        return glued, len(core), _of_classes(core.translate(_CLASSES))[0], 0, 0
+    def describe(self, core: str, glued: bool, taken: int) -> tuple[int, ...]:
+        return glued, len(core), _of_classes(core.translate(_CLASSES))[0], taken, 0, 0
 
-    def tokens(self, text: str) -> Tokens:
+    def tokens(self, texts: list[str]) -> Tokens:
         if len(self.known) > REMEMBERED:
             self.clear()
-        kinds, ends, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-        while at < len(text):
-            found = BLANK.search(text, at + STEP)
-            upto = found.start() if found else len(text)
-            cut = TOKEN.findall(text, at, upto)
-            fresh = set(cut).difference(self.known)
-            if fresh:
-                begin, new = len(self.cores), []
-                for number, key in enumerate(fresh, begin):
-                    self.known[key] = number
-                    core = key.lstrip()
-                    self.cores.append(core)
-                    new.append(self.describe(core, len(core) == len(key)))
-                if len(self.cores) > len(self.held):
-                    room = np.zeros((2 * len(self.cores), 5), np.int64)
-                    room[:begin] = self.held[:begin]
-                    self.held = room
-                self.held[begin:len(self.cores)] = new
-            kinds.append(np.fromiter(map(self.known.__getitem__, cut), np.int64, len(cut)))
-            ends.append(at + np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))))
-            at = upto
-        every = np.concatenate(kinds)
-        glued, length, mask = self.held[every, :3].T
-        return Tokens(every, np.concatenate(ends), glued.astype(bool), length, mask)
+        number, kinds, first, size = self.known.__getitem__, [], [], 0
+        for text in texts:
+            at = 0
+            first.append(size)
+            while at < len(text):
+                found = CUT.search(text, at + STEP)
+                upto = found.start() if found else len(text)
+                cut = TOKEN.findall(text, at, upto)
+                kinds.append(np.fromiter(map(number, cut), np.int64, len(cut)))
+                size += len(cut)
+                at = upto
+            kinds.append(EDGES)
+            size += EDGES.size
+        if self.new:
+            begin = len(self.cores) - len(self.new)
+            if len(self.cores) > len(self.held):
+                room = np.zeros((2 * len(self.cores), 6), np.int64)
+                room[:begin] = self.held[:begin]
+                self.held = room
+            self.held[begin:len(self.cores)] = self.new
+            self.new = []
+        return Tokens(np.concatenate(kinds) if kinds else EDGES[:0],
+                      np.array(first, np.int64), self.held)
 
 
 def chain_of(text: str) -> tuple[list[tuple[int, int]], list[list[str]]]:
     """(spans of the tokens, names of their features) of a whole text."""
     reader = Reader()
-    tokens = reader.tokens(text)
+    tokens = reader.tokens([text])
     marks = file_features(text)
     of = [((), "")] + [(shape_of(c), word_of(c)) for c in reader.cores[1:]]
-    padded = [0, *tokens.kinds.tolist(), 0]
-    beside = {place: kinds.tolist() for place, kinds in tokens.beside().items()}
+    kinds, n = tokens.kinds.tolist(), tokens.kinds.size - EDGES.size
+    padded = [0, *kinds]
+    beside = {place: near.tolist() for place, near in tokens.beside().items()}
     out = []
-    for i, (kind, p) in enumerate(zip(tokens.kinds.tolist(), tokens.piece.tolist(), strict=True)):
+    for i, (kind, p) in enumerate(zip(kinds[:n], tokens.piece[:n].tolist(), strict=True)):
         out.append([
             *own_features(of[kind][0], bool(reader.held[kind, 0])),
             *near_features("before", *of[padded[i]]), *near_features("after", *of[padded[i + 2]]),
@@ -242,6 +287,8 @@ class Tagger(Reader):
         self.words = {f.split(":", 2)[2] for f in names if ":word:" in f}
         self.forms = np.array([self.weight(piece_features(form))
                                for form in range(SIZES * MASKS * COUNTS)])
+        self.own_rows, self.own_of = [np.zeros(3)], {}
+        self.near_rows, self.near_of = [self._near((), "")], {}
         super().__init__()
 
     def __reduce__(self):
@@ -252,13 +299,14 @@ class Tagger(Reader):
 
     def clear(self) -> None:
         super().clear()
-        self.own_rows, self.own_of = [np.zeros(3)], {}
-        self.near_rows, self.near_of = [self._near((), "")], {}
+        # Neighbours differ by kinds and learnt words alone; shapes are more, but few.
+        if len(self.own_of) > REMEMBERED:
+            self.own_rows, self.own_of = [np.zeros(3)], {}
 
     def _near(self, shape: tuple, word: str) -> np.ndarray:
         return np.array([self.weight(near_features(p, shape, word)) for p in PLACES])
 
-    def describe(self, core: str, glued: bool) -> tuple[int, ...]:
+    def describe(self, core: str, glued: bool, taken: int) -> tuple[int, ...]:
         shape, word = shape_of(core), word_of(core)
         own = (shape, glued)
         near = (shape[0], min(3, shape[1]), word if word in self.words else "")
@@ -268,17 +316,18 @@ class Tagger(Reader):
         if near not in self.near_of:
             self.near_of[near] = len(self.near_rows)
             self.near_rows.append(self._near(shape, word))
-        return glued, len(core), shape[0], self.own_of[own], self.near_of[near]
+        return glued, len(core), shape[0], taken, self.own_of[own], self.near_of[near]
 
-    def scores(self, text: str) -> Iterator[tuple[Tokens, int, np.ndarray]]:
-        """(tokens, first of them, scores of the next ``STEP``) of a text."""
-        tokens = self.tokens(text)
+    def scores(self, texts: list[str]) -> Iterator[tuple[Tokens, int, np.ndarray]]:
+        """(tokens, first of them, scores of the next ``STEP``) of texts."""
+        tokens = self.tokens(texts)
         own, near = self.tables()
-        of_own, of_near = self.held[:, 3], self.held[:, 4]
-        piece = self.forms[tokens.form] + self.weight(file_features(text))
+        of_own, of_near = self.held[:, 4], self.held[:, 5]
+        marks = np.array([self.weight(file_features(text)) for text in texts]).reshape(-1, 3)
+        piece = self.forms[tokens.form] + marks[tokens.of[tokens.first]]
         for place, kinds in tokens.beside().items():
             piece += near[of_near[kinds], PLACES.index(place)]
-        padded = of_near[np.r_[0, tokens.kinds, 0]]
+        padded = of_near[np.concatenate([EDGES[:1], tokens.kinds, EDGES[:1]])]
         for a in range(0, tokens.kinds.size, STEP):
             b = min(a + STEP, tokens.kinds.size)
             yield tokens, a, (own[of_own[tokens.kinds[a:b]]] + near[padded[a:b], 0]
@@ -301,17 +350,19 @@ class Tagger(Reader):
             out.append(held[1])
         return out[0], out[1]
 
-    def labels(self, text: str) -> tuple[Tokens | None, list[tuple[int, list[int]]]]:
+    def labels(self, *texts: str) -> tuple[Tokens | None, list[tuple[int, list[int]]]]:
         """Tokens, and (first token, labels) of runs; all tokens between runs are outside.
 
         A token whose score for outside leads by more than all transitions can make up for is
-        outside in the best labelling, so the chain is cut there without changing it.
+        outside in the best labelling, so the chain is cut there without changing it. Texts
+        are parted by edges, which are in no run.
         """
         lead = self.field.lead(OUTSIDE)
         places, rows, tokens = [], [], None
-        for held, begin, score in self.scores(text):
+        for held, begin, score in self.scores(texts):
             tokens = held
             open_ = (score[:, [OUTSIDE]] - score <= lead)[:, [BEGIN, INSIDE]].any(1)
+            open_ &= held.kinds[begin:begin + len(score)] != 0
             places.append(begin + np.flatnonzero(open_))
             rows.append(score[open_])
         if tokens is None or not any(p.size for p in places):
@@ -321,8 +372,8 @@ class Tagger(Reader):
         for run in np.split(np.arange(place.size), np.flatnonzero(np.diff(place) != 1) + 1):
             first, last = int(place[run[0]]), int(place[run[-1]])
             out.append((first, self.field.best(
-                score[run], OUTSIDE if first else None,
-                OUTSIDE if last + 1 < tokens.kinds.size else None)))
+                score[run], OUTSIDE if first and tokens.kinds[first - 1] else None,
+                OUTSIDE if tokens.kinds[last + 1] else None)))
         return tokens, out
 
 
@@ -501,19 +552,32 @@ def train(texts: list[str], seed: int = 42) -> Tagger | None:
 
 def crf_spans(text: str, model: Tagger, taken: list[Span]) -> list[Span]:
     """Spans tagged by the model that no span of ``taken`` holds whole."""
-    tokens, runs = model.labels(text)
-    found: list[Span] = []
-    for first, tags in runs:
-        span = None
-        for i, tag in enumerate([*tags, OUTSIDE], first):
-            if span and tag != INSIDE:
-                found.append(("crf", *span))
-                span = None
-            if tag == BEGIN or (tag == INSIDE and not span):
-                span = (int(tokens.begins[i]), int(tokens.ends[i]))
-            elif tag == INSIDE:
-                span = (span[0], int(tokens.ends[i]))
-    return [s for s in found if not any(a <= s[1] and s[2] <= b for _, a, b in taken)]
+    return next(crf_spans_of([text], model, [taken]))
+
+
+def crf_spans_of(texts: list[str], model: Tagger,
+                 taken: list[list[Span]]) -> Iterator[list[Span]]:
+    """``crf_spans`` of each text. Short texts are tagged together, about ``STEP`` characters."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size < STEP and i < len(texts):
+            continue
+        tokens, runs = model.labels(*texts[begin:i])
+        found: list[list[Span]] = [[] for _ in range(begin, i)]
+        for first, tags in runs:
+            span, spans = None, found[int(tokens.of[first])]
+            for at, tag in enumerate([*tags, OUTSIDE], first):
+                if span and tag != INSIDE:
+                    spans.append(("crf", *span))
+                    span = None
+                if tag == BEGIN or (tag == INSIDE and not span):
+                    span = (int(tokens.at[at]), int(tokens.to[at]))
+                elif tag == INSIDE:
+                    span = (span[0], int(tokens.to[at]))
+        for spans, held in zip(found, taken[begin:i], strict=True):
+            yield [s for s in spans if not any(a <= s[1] and s[2] <= b for _, a, b in held)]
+        begin, size = i, 0
 
 
 def _joined(spans: list[Span]) -> str:
@@ -541,12 +605,11 @@ def find_secrets(docs: DataFrame, train_rows: int = 800, train_chars: int = 20_0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, spans = [], []
-            for value in batch[1]:
-                text = value.as_py()
-                fixed = base_spans(text)
-                base.append(fixed)
-                spans.append(in_order(fixed + (crf_spans(text, model, fixed) if model else [])))
+            texts = batch[1].to_pylist()
+            base = spans = [base_spans(text) for text in texts]
+            if model:
+                added = crf_spans_of(texts, model, base)
+                spans = [in_order(b + a) for b, a in zip(base, added, strict=True)]
             counts = [[sum(s[0] == kind for s in found) for found in spans] for kind in KINDS]
             digest = [hashlib.sha256(_joined(b).encode()).hexdigest() for b in base]
             yield pa.RecordBatch.from_arrays(

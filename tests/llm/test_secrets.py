@@ -118,6 +118,21 @@ def test_labels_are_those_of_the_plain_chain(monkeypatch):
             assert not places or list(zip(tokens.begins, tokens.ends, strict=True)) == places
 
 
+def test_texts_tagged_together_are_tagged_alike(monkeypatch):
+    draw = random.Random(8)
+    texts = corpus(draw)
+    model = secrets.train(texts[:120])
+    tried = [secrets.planted(t, draw)[0] for t in texts[120:200]]
+    tried[7:7] = ["", " \n", "pass=Zq9!x", "Zq9!xAb1Cd2Ef3Gh4", "", "key"]
+    base = [secrets.base_spans(t) for t in tried]
+    alone = [secrets.crf_spans(t, model, b) for t, b in zip(tried, base, strict=True)]
+    assert sum(map(bool, alone)) > 40
+    for step in (1 << 18, 500, 3):
+        monkeypatch.setattr(secrets, "STEP", step)
+        assert list(secrets.crf_spans_of(tried, model, base)) == alone
+    assert list(secrets.crf_spans_of([], model, [])) == []
+
+
 def test_runs_between_certain_tokens_have_the_best_labels():
     draw = np.random.default_rng(4)
     model = ChainCRF(3, 2)
