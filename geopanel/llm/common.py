@@ -33,7 +33,7 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*chosen)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a frame to the folder all executors share and read it again.
 
     Cuts the lineage: a lost executor costs its own tasks, not the stages behind them. The
@@ -41,7 +41,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, f"geopanel-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

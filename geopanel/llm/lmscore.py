@@ -80,7 +80,7 @@ def _counted(order: int):
 def corpus_counts(train: DataFrame, order: int = ppm.ORDER) -> DataFrame:
     """(kind, key, n) of all training texts: words, and byte keys of the full order."""
     partial = train.select("body").mapInArrow(_counted(order), "kind int, key bigint, n bigint")
-    return shared_table(partial.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    return shared_table(partial.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts", "zstd")
 
 
 def _arrays(df: DataFrame, *names: str) -> list[np.ndarray]:
@@ -144,9 +144,10 @@ def byte_logs(counts: DataFrame, asked: DataFrame, order: int = ppm.ORDER) -> Da
         if size:
             yield part(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    both = full.union(asked.select("key", F.lit(0).cast("bigint"))).withColumn(
-        "tail", F.shiftrightunsigned("key", 8).bitwiseAND(mask))
-    return both.repartition("tail").sortWithinPartitions("tail").select("key", "n").mapInArrow(
+    # Dealt and sorted by the tail of the key, which is not shuffled beside it.
+    ends_of = F.shiftrightunsigned("key", 8).bitwiseAND(mask)
+    both = full.union(asked.select("key", F.lit(0).cast("bigint")))
+    return both.repartition(ends_of).sortWithinPartitions(ends_of).mapInArrow(
         run, "key bigint, log double")
 
 
@@ -225,7 +226,7 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
         run, f"row bigint, doc_id {key}, held_out boolean, n_tokens bigint, known bigint, "
              "base double, part double, size bigint, tail array<bigint>, times array<bigint>, "
              "rare array<bigint>, reps array<int>"),
-        "scored")
+        "scored", "zstd")
     rare = scored.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select(
         "row", F.col("t.tail").alias("key"), F.col("t.times").alias("times"))
     met = rare.join(words.select("key", "n"), "key", "left")
@@ -235,7 +236,7 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
         .alias("rest"))
     bytes_ = scored.select("row", F.explode(F.arrays_zip("rare", "reps")).alias("t")).select(
         "row", F.col("t.rare").alias("key"), F.col("t.reps").alias("reps"))
-    logs = shared_table(byte_logs(counts, bytes_.select("key").distinct(), order), "byte-logs")
+    logs = shared_table(byte_logs(counts, bytes_.select("key").distinct(), order), "byte-logs", "zstd")
     byte_sums = bytes_.join(logs, "key").groupBy("row").agg(
         F.sum(F.col("reps") * F.col("log")).alias("logs"))
     out = scored.drop("tail", "times", "rare", "reps").join(sums, "row", "left").join(
