@@ -313,10 +313,11 @@ def cutpoints(spark, sf_dir):
             F.count(F.lit(1)).alias("n")
         )
 
-    # The older file has numeric codes, the newer one padded text.
+    # The older file has numeric codes, the newer one padded text. Numbers keep no zeros in
+    # front, so a longer key is cut before its last three digits: 100012 is 100 and 12.
     older = people(early, 13).withColumns({
-        "STATE": F.substring(key, 1, 2).cast("int"),
-        "COUNTY": F.substr(key, F.lit(3)).cast("int"),
+        "STATE": F.left(key, F.length(key) - 3).cast("int"),
+        "COUNTY": F.right(key, F.lit(3)).cast("int"),
     })
     newer = people(~early, 1).withColumns({k: county[k] for k in ("STATE", "COUNTY")})
     housing = units(early).select(
@@ -335,7 +336,7 @@ def cutpoints(spark, sf_dir):
     )
     return plans.cutpoints(
         older, housing, components, newer, quarters, counted,
-        size_cuts=[(300, "Large"), (200, "Medium"), (None, "Small")],
+        size_cuts=[(300, "Large"), (200, "Medium"), (None, "Small")], excluded_state=None,
     )
 
 

@@ -40,9 +40,9 @@ def clean_titles(
     return df.withColumn(title, title_case(title)).select(*columns)
 
 
-def outside_state(key: str, state: str = EXCLUDED_STATE) -> Column:
-    """Keys of other states; reaches the scan as a pushed filter."""
-    return ~F.col(key).startswith(state)
+def outside_state(key: str, state: str | None = EXCLUDED_STATE) -> Column:
+    """Keys of other states (all but NULL without one); reaches the scan as a pushed filter."""
+    return F.col(key).isNotNull() if state is None else ~F.col(key).startswith(state)
 
 
 def compare_long(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geopanel.constants import (
     CUTPOINT_COLUMNS,
+    EXCLUDED_STATE,
     GQ_CODES_2010,
     GROUPS,
     HOUSING_CODES_2010,
@@ -65,40 +66,45 @@ def estimates_2010(
     return _derived(combine_sources([people, units, quarters], ["GEOID"]))
 
 
-def housing_2010(long: DataFrame, codes=None) -> DataFrame:
+def housing_2010(
+    long: DataFrame, codes=None, excluded_state: str | None = EXCLUDED_STATE
+) -> DataFrame:
     """Housing units, total and vacant, per area outside the excluded state."""
     return to_wide(
-        long.filter(outside_state("GEOID")), ["GEOID"], "variable", "value",
+        long.filter(outside_state("GEOID", excluded_state)), ["GEOID"], "variable", "value",
         codes or HOUSING_CODES_2010,
     )
 
 
 def counts_2010(
-    characteristics: DataFrame, quarters: DataFrame, housing: DataFrame
+    characteristics: DataFrame, quarters: DataFrame, housing: DataFrame,
+    excluded_state: str | None = EXCLUDED_STATE,
 ) -> DataFrame:
     """Counted figures per area."""
     people = _characteristics(characteristics, 1, F.concat("STATE", "COUNTY"))
     gq_code = next(iter(GQ_CODES_2010))
-    gq = quarters.filter((F.col("variable") == gq_code) & outside_state("GEOID")).select(
-        "GEOID", F.col("value").alias("GQ_TOT")
-    )
-    units = housing_2010(housing).drop("HU_VAC")
+    gq = quarters.filter(
+        (F.col("variable") == gq_code) & outside_state("GEOID", excluded_state)
+    ).select("GEOID", F.col("value").alias("GQ_TOT"))
+    units = housing_2010(housing, excluded_state=excluded_state).drop("HU_VAC")
     return _derived(combine_sources([people, gq, units], ["GEOID"]))
 
 
 def cutpoints(
     characteristics_est: DataFrame, housing_est: DataFrame, components: DataFrame,
     characteristics_cen: DataFrame, quarters_cen: DataFrame, housing_cen: DataFrame,
-    size_cuts=tuple(SIZE_CUTS),
+    size_cuts=tuple(SIZE_CUTS), excluded_state: str | None = EXCLUDED_STATE,
 ) -> DataFrame:
     """Mean, sd and bands per metric and size class.
 
+    The counted quarters and housing of ``excluded_state`` are left out (None: of no state).
+
     The two sources meet wide on (GEOID, names) and are calibrated side by side; the
     long panel of metrics is never materialised. Only numbers are aggregated there, so
     it is a hash aggregation; the size class is derived afterwards.
     """
     est = estimates_2010(characteristics_est, housing_est, components)
-    cen = counts_2010(characteristics_cen, quarters_cen, housing_cen)
+    cen = counts_2010(characteristics_cen, quarters_cen, housing_cen, excluded_state)
     panel = combine_sources(
         [with_prefix(est, "EST_", _IDS), with_prefix(cen, "CEN_", _IDS)], _IDS
     )

@@ -32,3 +32,20 @@ def test_entry(spark):
     frame = driver.entry(spark)
     assert frame.columns[:2] == ["area", "SIZE_CLASS"]
     assert frame.count() > 0
+
+
+def test_cutpoints_of_keys_longer_than_codes(spark, tmp_path):
+    """Keys of six digits have codes of their own; those from 72000 on are like all others."""
+    keys = "(10012), (100012), (100120), (72005), (720051), (1200012)"
+    local = connect(str(tmp_path))
+    local.execute(f"""COPY (SELECT k::BIGINT AS p_partkey, 'B' AS p_brand, 'N' || k AS p_name
+        FROM (VALUES {keys}) v(k)) TO '{tmp_path}/part.parquet'""")
+    local.execute(f"""COPY (SELECT k::BIGINT AS l_partkey, (i % 7 + 1)::INT AS l_linenumber,
+        (k % 11 + i)::DOUBLE AS l_quantity, ['N', 'R'][i % 2 + 1] AS l_returnflag,
+        ['O', 'F'][i % 2 + 1] AS l_linestatus,
+        TIMESTAMP '1996-02-01' + to_days((i * 60)::INT) AS l_shipdate
+        FROM (VALUES {keys}) v(k), range(24) r(i)) TO '{tmp_path}/lineitem.parquet'""")
+    con = connect(str(tmp_path))
+    found = QUERIES["cutpoints"](spark, str(tmp_path))
+    assert compare(found, con, ORACLES["cutpoints"]) == []
+    assert sum(r["count"] for r in found.collect() if r.variable == "HU_TOT") == 6
