@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,9 @@ PART = 1 << 20
 #: All others are looked up by a join.
 HEAD = 1 << 17
 #: Different words that a task counts before it hands its table on.
-WORDS = 400_000
+WORDS = 1 << 20
+#: Words of texts that are looked up in one go.
+TOGETHER = 1 << 17
 #: What a text ends with, as a token; no word is empty.
 END = b""
 
@@ -38,6 +41,34 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
+def word_keys(words: Iterable[bytes], size: int) -> np.ndarray:
+    """``word_key`` of many words. To hash one is cheaper than to find it among many."""
+    key = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, size)
+    return (key ^ np.uint64(1 << 63)).view(np.int64)
+
+
+class WordLogs:
+    """Logarithms of the probability of frequent words."""
+
+    def __init__(self, key: np.ndarray, log: np.ndarray):
+        self.known, self.log = ppm.Table(key.view(np.uint64)), log
+
+    def score(self, found: list[Counter]) -> tuple[np.ndarray, ...]:
+        """(frequent tokens of each text, the sum of their logarithms, how many other words it
+        has; the keys of these, text by text, and how often each occurs there)."""
+        each = np.fromiter(map(len, found), np.int64, len(found))
+        size = int(each.sum())
+        key = word_keys(chain.from_iterable(found), size)
+        times = np.fromiter(chain.from_iterable(f.values() for f in found), np.int64, size)
+        owner = np.repeat(np.arange(each.size), each)
+        number = self.known.find(key.view(np.uint64))
+        rare = number < 0
+        known, n = owner[~rare], times[~rare]
+        return (np.bincount(known, n, each.size).astype(np.int64),
+                np.bincount(known, n * self.log[number[~rare]], each.size),
+                np.bincount(owner[rare], minlength=each.size), key[rare], times[rare])
+
+
 def _counted(order: int):
     """Counts of words and of byte keys of a partition of training texts."""
 
@@ -48,31 +79,25 @@ def _counted(order: int):
                 [pa.array(np.full(key[part].size, kind, np.int32)), pa.array(key[part]),
                  pa.array(n[part])], names=["kind", "key", "n"])
 
-    def words(held: Counter) -> Iterator[pa.RecordBatch]:
-        key = np.fromiter(map(word_key, held), np.int64, len(held))
-        yield from table(WORD_KIND, key, np.fromiter(held.values(), np.int64, len(held)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        counter = ppm.KeyCounter()
+        counters = {WORD_KIND: ppm.KeyCounter(WORDS), BYTE_KIND: ppm.KeyCounter()}
+
+        def add(kind: int, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+            full = counters[kind].add(key)
+            if full:
+                yield from table(kind, full[0].view(np.int64), full[1])
+
         for batch in batches:
             bodies = batch[0].to_pylist()
-            for body in bodies:
-                held.update(body.lower().split())
-                if len(held) > WORDS:
-                    yield from words(held)
-                    held = Counter()
-            held[END] += len(bodies)
             for a, b in ppm.batches_of(bodies):
+                tokens = [token for body in bodies[a:b] for token in (*body.lower().split(), END)]
+                yield from add(WORD_KIND, word_keys(tokens, len(tokens)))
                 data, places, _ = ppm.coded(bodies[a:b], order)
-                full = counter.add(ppm.keys(data, places, order))
-                if full:
-                    yield from table(BYTE_KIND, full[0].view(np.int64), full[1])
-        if held:
-            yield from words(held)
-        full = counter.rest()
-        if full:
-            yield from table(BYTE_KIND, full[0].view(np.int64), full[1])
+                yield from add(BYTE_KIND, ppm.keys(data, places, order))
+        for kind, counter in counters.items():
+            full = counter.rest()
+            if full:
+                yield from table(kind, full[0].view(np.int64), full[1])
 
     return run
 
@@ -172,44 +197,30 @@ def score_documents(docs: DataFrame, order: int = ppm.ORDER) -> DataFrame:
     head_key, head_n = _arrays(
         words.filter(F.col("n") * HEAD >= total).select("key", "n"), "key", "n")
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(
-        (byte_head(counts, order), dict(zip(head_key.tolist(), head_n.tolist(), strict=True))))
     bottom = total + 0.5 * (kinds + 1)
+    model = spark.sparkContext.broadcast(
+        (byte_head(counts, order), WordLogs(head_key, np.log10((head_n + 0.5) / bottom))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte_table, head = model.value
-        logs = {k: float(np.log10((n + 0.5) / bottom)) for k, n in head.items()}
-        seen: dict[bytes, int] = {}
-        digest = xxhash.xxh64_intdigest
+        byte_table, word_logs = model.value
         for batch in batches:
             bodies = batch["body"].to_pylist()
-            tokens, known, base, size = [], [], [], []
-            tails, times, ends = [], [], [0]
-            for body in bodies:
-                found = Counter(body.lower().split())
-                found[END] = 1
-                if len(seen) > WORDS:
-                    seen.clear()
-                n_known, score = 0, 0.0
-                for word, n in found.items():
-                    key = seen.get(word)
-                    if key is None:
-                        key = seen[word] = digest(word) - (1 << 63)
-                    log = logs.get(key)
-                    if log is None:
-                        tails.append(key)
-                        times.append(n)
-                    else:
-                        n_known += n
-                        score += n * log
-                tokens.append(found.total())
-                known.append(n_known)
-                base.append(score)
+            tokens, size, found, held, parts = [], [], [], 0, []
+            for at, body in enumerate(bodies):
+                found.append(Counter(body.lower().split()))
+                found[-1][END] = 1
+                tokens.append(found[-1].total())
                 size.append(len(body) + 1)
-                ends.append(len(tails))
+                held += len(found[-1])
+                if held >= TOGETHER or at + 1 == len(bodies):
+                    parts.append(word_logs.score(found))
+                    found, held = [], 0
+            if not bodies:
+                continue
+            known, base, tail_sizes, tails, times = map(np.concatenate, zip(*parts, strict=True))
             part, more, rare, reps = byte_table.score(bodies)
             byte_ends = pa.array(np.r_[0, np.cumsum(more)], pa.int32())
-            offsets = pa.array(ends, pa.int32())
+            offsets = pa.array(np.r_[0, np.cumsum(tail_sizes)], pa.int32())
             yield pa.RecordBatch.from_arrays([
                 batch["row"], batch["doc_id"], batch["held_out"], pa.array(tokens, pa.int64()),
                 pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(part),

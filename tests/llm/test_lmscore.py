@@ -107,6 +107,21 @@ def test_tables_and_counters():
     assert total == Counter(seen.ravel().tolist())
 
 
+def test_words_are_looked_up_together():
+    """Words are hashed and summed text by text without a table of the words met."""
+    bodies = [b"b a a c", b"", b"a \xc3\xa9"]
+    found = [Counter(b.split()) for b in bodies]
+    words = sorted(set().union(*found))
+    assert lmscore.word_keys(words, len(words)).tolist() == [*map(lmscore.word_key, words)]
+    logs = lmscore.WordLogs(lmscore.word_keys([b"a", b"b"], 2), np.array([-1.0, -0.25]))
+    known, base, others, keys, times = logs.score(found)
+    assert (known.tolist(), base.tolist(), others.tolist()) == ([3, 0, 1], [-2.25, 0, -1], [1, 0, 1])
+    assert keys.tolist() == [lmscore.word_key(w) for w in (b"c", "\u00e9".encode())]
+    assert times.tolist() == [1, 1]
+    assert [x.size for x in lmscore.WordLogs(*(x[:0] for x in (keys, base))).score(found)] == [
+        3, 3, 3, 5, 5]
+
+
 def slow_base(rows):
     tokens = {d: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")),
                   None] for d, t in rows}
