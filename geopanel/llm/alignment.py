@@ -8,12 +8,13 @@ and how often an id pair is linked in the whole corpus tells which links are the
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -113,20 +114,26 @@ def slices(a: dict[int, int], b: dict[int, int]) -> tuple[list[int], list[int]]:
     return [a[end] for end in common], [b[end] for end in common]
 
 
-def group_text(a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3`` of the groups."""
+def group_texts(
+    a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]
+) -> list[str]:
+    """``a1,a2|b1``, ``a3|b2,b3``: the ids of each group."""
     at, bt, out = 0, 0, []
     for i, j in zip(cuts_a, cuts_b, strict=True):
-        left = str(a[at]) if i == at + 1 else ",".join(map(str, a[at:i]))
-        right = str(b[bt]) if j == bt + 1 else ",".join(map(str, b[bt:j]))
-        out.append(f"{left}|{right}")
+        if i == at + 1 and j == bt + 1:
+            out.append(f"{a[at]}|{b[bt]}")
+        else:
+            out.append(f"{','.join(map(str, a[at:i]))}|{','.join(map(str, b[bt:j]))}")
         at, bt = i, j
-    return ";".join(out)
+    return out
 
 
 class Aligner:
     """What ``keep`` makes of both tokenizations of a text's units and their groups.
 
+    ``keep(a, b, cuts_a, cuts_b, ends)`` makes one value of each unit of a row of them;
+    ``ends`` says how many ids of both sides and groups there are up to the unit's end.
+
     A text is cut where both sides end a token whatever stands around: before a blank that
     has no blank before it and a non-blank behind it, before a line end between two non-blanks,
     and between a letter or digit (but not "²") and a comma or full stop before such a blank.
@@ -141,19 +148,27 @@ class Aligner:
         self.len_b = [len(x) for x in self.b.bytes]
         self.known: dict[str, object] = {}
         self.old: dict[str, object] = {}
+        #: Whether any unit has None.
+        self.failed = False
 
-    def _units(self, text: str) -> list[str]:
+    def _units(self, text: str, new: set[str]) -> list[str]:
+        """The units of a text; those that are not known are added to ``new``."""
         if any(mark in text for mark in MARKS):
-            return [HEAD + text]
-        marked = _LINE.sub(f" {NEXT_LINE}", text)
-        marked = _AFTER_WORD[COMMA].sub(f" {COMMA} ", marked)
-        marked = _AFTER_WORD[STOP].sub(f" {STOP} ", marked)
-        units = marked.split(" ")
-        if all(u and not u[0].isspace() for u in set(units).difference(self.known)):
-            return units
-        # Some blank is followed by another blank, or by nothing, or begins the text.
-        head, *units = _CUT.split(" " + marked)
-        return [HEAD + head[1:], *units] if head else units
+            units = [HEAD + text]
+        else:
+            marked = _LINE.sub(f" {NEXT_LINE}", text)
+            marked = _AFTER_WORD[COMMA].sub(f" {COMMA} ", marked)
+            marked = _AFTER_WORD[STOP].sub(f" {STOP} ", marked)
+            units = marked.split(" ")
+            fresh = set(units).difference(self.known)
+            if all(u and not u[0].isspace() for u in fresh):
+                new |= fresh
+                return units
+            # Some blank is followed by another blank, or by nothing, or begins the text.
+            head, *units = _CUT.split(" " + marked)
+            units = [HEAD + head[1:], *units] if head else units
+        new |= set(units).difference(self.known)
+        return units
 
     def _learn(self, units: list[str]) -> None:
         """Units that end in a non-blank in rows of ``SIDE``, the others one by one."""
@@ -170,7 +185,8 @@ class Aligner:
         self._align_rows([*rows, row] if row else rows)
 
     def _align_rows(self, rows: list[list[str]]) -> None:
-        spelled = [[MARKS.get(u[0], " " + u[0]) + u[1:] for u in row] for row in rows]
+        spelled = [[MARKS[u[0]] + u[1:] if u[0] in MARKS else " " + u for u in row]
+                   for row in rows]
         texts = ["".join(row) for row in spelled]
         # Side B begins every text with a blank; behind a line end nothing joins it.
         first = [t[0] for t in texts]
@@ -186,6 +202,7 @@ class Aligner:
         for row in failed:
             if len(row) == 1:
                 self.known[row[0]] = None
+                self.failed = True
             else:
                 self._align_rows([[u] for u in row])
 
@@ -196,31 +213,38 @@ class Aligner:
         index_a, index_b = end_index(a, self.len_a), end_index(b, self.len_b)
         cuts_a, cuts_b = slices(index_a, index_b)
         # Both sides end a token where a unit ends.
-        ends = list(accumulate(len(p.encode()) for p in parts))
+        ends = list(accumulate(
+            map(len, parts if len(body) == sum(map(len, parts)) else [p.encode() for p in parts])))
         nth = dict(zip(cuts_a, range(1, len(cuts_a) + 1), strict=True))
-        at_a = at_b = at = 0
-        for unit, end in zip(row, ends, strict=True):
-            to_a, to_b = index_a[end], index_b[end]
-            to = nth[to_a]
-            self.known[unit] = self.keep(
-                a[at_a:to_a], b[at_b:to_b], [i - at_a for i in cuts_a[at:to]],
-                [i - at_b for i in cuts_b[at:to]])
-            at_a, at_b, at = to_a, to_b, to
+        to_a = [index_a[end] for end in ends]
+        to_b = [index_b[end] for end in ends]
+        kept = self.keep(a, b, cuts_a, cuts_b, zip(to_a, to_b, [nth[i] for i in to_a], strict=True))
+        self.known.update(zip(row, kept, strict=True))
         return True
 
     def __call__(self, texts: list[str | None]) -> list[list]:
         """Per text what its units have; nothing if it has no tokens."""
+        # Nothing here refers back to itself, so the memory need not be searched for that.
+        searching = gc.isenabled()
+        gc.disable()
+        try:
+            return self._found(texts)
+        finally:
+            if searching:
+                gc.enable()
+
+    def _found(self, texts: list[str | None]) -> list[list]:
         if len(self.known) > MEMORY // 2:
             self.old, self.known = self.known, {}
-        split = [self._units(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.known)
+        new: set[str] = set()
+        split = [self._units(t, new) if t else [] for t in texts]
         again = new.intersection(self.old)
         self.known.update((u, self.old[u]) for u in again)
         if len(new) > len(again):
             self._learn(list(new.difference(again)))
         find = self.known.__getitem__
         found = [list(map(find, units)) for units in split]
-        return [[] if None in units else units for units in found]
+        return [[] if None in units else units for units in found] if self.failed else found
 
 
 _aligners: dict[tuple, Aligner] = {}
@@ -261,8 +285,14 @@ def _lists(values: np.ndarray, sizes: list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
-def _whole(a, b, cuts_a, cuts_b):
-    return a, b, cuts_a, cuts_b
+def _whole(a, b, cuts_a, cuts_b, ends):
+    at_a = at_b = at = 0
+    out = []
+    for to_a, to_b, to in ends:
+        out.append((a[at_a:to_a], b[at_b:to_b], [i - at_a for i in cuts_a[at:to]],
+                    [i - at_b for i in cuts_b[at:to]]))
+        at_a, at_b, at = to_a, to_b, to
+    return out
 
 
 def _whole_rows(found: list[list]) -> dict[str, pa.Array]:
@@ -292,22 +322,28 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
                  "a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>")
 
 
-def _digest(a, b, cuts_a, cuts_b):
+def _digest(a, b, cuts_a, cuts_b, ends):
     """(numbers of ids of both sides in one, text of the groups, links as 32-bit ids)."""
-    links = array("i")
-    for i, j in zip(cuts_a, cuts_b, strict=True):
-        links.append(a[i - 1])
-        links.append(b[j - 1])
-    return len(a) << 32 | len(b), group_text(a, b, cuts_a, cuts_b), links.tobytes()
+    links = array("i", chain.from_iterable(zip(
+        [a[i - 1] for i in cuts_a], [b[j - 1] for j in cuts_b], strict=True))).tobytes()
+    groups = group_texts(a, b, cuts_a, cuts_b)
+    at_a = at_b = at = 0
+    out = []
+    for to_a, to_b, to in ends:
+        text = groups[at] if to == at + 1 else ";".join(groups[at:to])
+        out.append(((to_a - at_a) << 32 | (to_b - at_b), text, links[8 * at:8 * to]))
+        at_a, at_b, at = to_a, to_b, to
+    return out
 
 
 def _digest_rows(found: list[list]) -> dict[str, pa.Array]:
-    sizes = [sum([u[0] for u in units]) for units in found]
-    links = [b"".join([u[2] for u in units]) for units in found]
+    columns = [tuple(zip(*units, strict=True)) or ((), (), ()) for units in found]
+    sizes = [sum(n) for n, _, _ in columns]
+    links = [b"".join(held) for _, _, held in columns]
     n_links = [len(x) // 8 for x in links]
     pairs = np.frombuffer(b"".join(links), "i4").reshape(-1, 2)
-    digests = [hashlib.sha256(";".join([u[1] for u in units]).encode()).hexdigest() if units else ""
-               for units in found]
+    digests = [hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+               for _, groups, _ in columns]
     return {
         "n_a": pa.array([n >> 32 for n in sizes], pa.int64()),
         "n_b": pa.array([n & 0xFFFFFFFF for n in sizes], pa.int64()),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections import Counter
 
@@ -133,3 +134,22 @@ def test_odd_rows(odd, spark, tmp_path):
     assert alignment.alignment_digest(odd.limit(0), TOKENIZER, PIECES).collect() == []
     pick(odd, "doc_id", "text", "lang").write.parquet(f"{tmp_path}/documents.parquet")
     assert op12_alignment(spark, str(tmp_path)).count() == len(rows)
+
+
+def test_units_of_a_row_are_kept_together():
+    """What is kept is made once for a row of units; the collector is as it was afterwards."""
+    made = []
+
+    def keep(a, b, cuts_a, cuts_b, ends):
+        made.append(len(cuts_a))
+        return alignment._digest(a, b, cuts_a, cuts_b, ends)
+
+    of = alignment.Aligner(TOKENIZER, PIECES, keep)
+    texts = ["one two three four", None, "two\nthree five", "zwölf, eleven."]
+    whole = alignment._digest_rows(of(texts))
+    # A row of words, one of a line end and words, and the comma and stop on their own.
+    assert len(made) < len(set().union(*(t.split() for t in texts if t)))
+    alone = [alignment._digest_rows(of([t])) for t in texts]
+    for name, column in whole.items():
+        assert column.to_pylist() == [c[name][0].as_py() for c in alone]
+    assert gc.isenabled()
