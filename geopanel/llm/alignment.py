@@ -12,6 +12,7 @@ import gc
 import hashlib
 import os
 import re
+import struct
 from array import array
 from collections.abc import Callable, Iterator
 from itertools import accumulate, chain
@@ -257,6 +258,11 @@ def aligner(first: str, second: str, keep: Callable) -> Aligner:
     return _aligners[key]
 
 
+def forget_aligners() -> None:
+    """Give back the memory of this worker's aligners once the texts are aligned."""
+    _aligners.clear()
+
+
 def _each(docs: DataFrame, first: str, second: str, keep: Callable, rows: Callable,
           names: str) -> DataFrame:
     """doc_id and the columns that ``rows`` makes of what ``keep`` made of the units."""
@@ -323,34 +329,53 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def _digest(a, b, cuts_a, cuts_b, ends):
-    """(numbers of ids of both sides in one, text of the groups, links as 32-bit ids)."""
+    """Of each unit one row of bytes, as many are remembered: numbers of ids of both sides and of
+    links, the links as 32-bit ids, the text of the groups with a semicolon behind each."""
     links = array("i", chain.from_iterable(zip(
         [a[i - 1] for i in cuts_a], [b[j - 1] for j in cuts_b], strict=True))).tobytes()
     groups = group_texts(a, b, cuts_a, cuts_b)
+    text = (";".join(groups) + ";").encode()
+    text_ends = [0, *accumulate([len(g) + 1 for g in groups])]
     at_a = at_b = at = 0
     out = []
     for to_a, to_b, to in ends:
-        text = groups[at] if to == at + 1 else ";".join(groups[at:to])
-        out.append(((to_a - at_a) << 32 | (to_b - at_b), text, links[8 * at:8 * to]))
+        out.append(_HEADER(to_a - at_a, to_b - at_b, to - at) + links[8 * at:8 * to]
+                   + text[text_ends[at]:text_ends[to]])
         at_a, at_b, at = to_a, to_b, to
     return out
 
 
-def _digest_rows(found: list[list]) -> dict[str, pa.Array]:
-    columns = [tuple(zip(*units, strict=True)) or ((), (), ()) for units in found]
-    sizes = [sum(n) for n, _, _ in columns]
-    links = [b"".join(held) for _, _, held in columns]
-    n_links = [len(x) // 8 for x in links]
-    pairs = np.frombuffer(b"".join(links), "i4").reshape(-1, 2)
-    digests = [hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
-               for _, groups, _ in columns]
+_HEADER = struct.Struct("=iii").pack
+
+
+def _digest_rows(found: list[list[bytes]]) -> dict[str, pa.Array]:
+    units = list(chain.from_iterable(found))
+    data = np.frombuffer(b"".join(units), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+    starts = np.append(0, ends)[:len(units)]
+    header = np.frombuffer(b"".join([u[:12] for u in units]), "i4").reshape(-1, 3)
+    texts = starts + 12 + 8 * header[:, 2].astype(np.int64)
+    # Bytes of links are of kind 1, those of text 2.
+    kind = np.zeros(data.size + 1, np.int8)
+    kind[starts + 12] += 1
+    kind[texts] += 1
+    kind[ends] -= 2
+    kind = np.cumsum(kind, dtype=np.int8, out=kind)[:-1]
+    pairs = data[kind == 1].view("i4").reshape(-1, 2)
+    text = data[kind == 2].tobytes()
+    del data, kind
+    unit_ends = np.cumsum([0, *map(len, found)])
+    n_a, n_b, n_links = (_per_row(header[:, i], unit_ends) for i in range(3))
+    text_ends = np.append(0, np.cumsum(_per_row(ends - texts, unit_ends))).tolist()
+    # No semicolon stands behind the last group.
+    digests = [hashlib.sha256(text[at:to - 1]).hexdigest() if to > at else ""
+               for at, to in zip(text_ends, text_ends[1:], strict=False)]
+    sizes = n_links.tolist()
     return {
-        "n_a": pa.array([n >> 32 for n in sizes], pa.int64()),
-        "n_b": pa.array([n & 0xFFFFFFFF for n in sizes], pa.int64()),
-        "n_groups": pa.array(n_links, pa.int64()),
+        "n_a": pa.array(n_a), "n_b": pa.array(n_b), "n_groups": pa.array(n_links),
         "groups_sha256": pa.array(digests, pa.string()),
-        "link_a": _lists(np.ascontiguousarray(pairs[:, 0]), n_links),
-        "link_b": _lists(np.ascontiguousarray(pairs[:, 1]), n_links)}
+        "link_a": _lists(np.ascontiguousarray(pairs[:, 0]), sizes),
+        "link_b": _lists(np.ascontiguousarray(pairs[:, 1]), sizes)}
 
 
 def _links(docs: DataFrame, first: str, second: str) -> DataFrame:
@@ -383,6 +408,7 @@ def pair_counts(links: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_aligners()
         held, size = [], 0
         for batch in _parts(batches):
             held.append(_codes(batch["link_a"], batch["link_b"]))
@@ -430,6 +456,7 @@ def alignment_digest(docs: DataFrame, first: str, second: str) -> DataFrame:
               for c in ("pair", "n", "best")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_aligners()
         pair, n, best = table.value
         for batch in _parts(batches):
             a, b = batch.column("link_a"), batch.column("link_b")
